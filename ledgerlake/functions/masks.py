@@ -54,21 +54,23 @@ def mask_phone(c) -> Column:
 
 
 def mask_for_type(mask_type: str | None, column_name: str, c) -> Column:
-    """Mask chosen by the column classifier: tokenize-type columns are shown as card masks
-    (cvv/pin fully redacted), partial masks by kind, redact -> '***'."""
-    name = column_name.lower()
+    """Display mask for a column the classifier marked as masked (mask_type not NULL),
+    chosen by what the column holds, as in the documented masking strategy: CVV / PIN
+    fully redacted, names first initial, e-mail first letter + domain, phone and card
+    last 4; any other masked column is redacted to '***'."""
     if mask_type is None:
         return _c(c)
-    if mask_type == "tokenize":
-        if any(w in name for w in ("cvv", "cvc", "pin")):
-            return mask_cvv(c)
-        return mask_card(c)
-    if mask_type == "partial":
-        if "email" in name:
-            return mask_email(c)
-        if "phone" in name:
-            return mask_phone(c)
+    name = column_name.lower()
+    if any(w in name for w in ("cvv", "cvc", "pin")):
+        return F.when(_c(c).isNull(), F.lit(None).cast("string")).otherwise(mask_cvv(c))
+    if "name" in name:
         return mask_name(c)
+    if "email" in name:
+        return mask_email(c)
+    if "phone" in name:
+        return mask_phone(c)
+    if "card" in name or "pan" in name:
+        return mask_card(c)
     return F.when(_c(c).isNull(), F.lit(None).cast("string")).otherwise(F.lit("***"))
 
 
