@@ -79,6 +79,17 @@ SELECT 'LI_' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING
        CAST(date_trunc('second', l_shipdate + l_linenumber * INTERVAL '1' HOUR) AS STRING) AS updated_at,
        '{{}}' AS metadata
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey"""),
+    # Payment events of the streaming design (pipeline C), one per event.
+    "fx_payment_events": (["fx_base"], f"""
+SELECT 'PAY_' || lpad(CAST(event_id AS STRING), 9, '0') AS transaction_id,
+       'M' || CAST(event_id % 20 AS STRING) AS merchant_id,
+       'C' || CAST(user_id AS STRING) AS customer_id,
+       {_METHOD_CASE} AS payment_method,
+       CASE WHEN event_type = 'signup' THEN 'authorized' WHEN event_type = 'purchase' THEN 'captured' WHEN event_type = 'error' THEN 'failed' WHEN event_type = 'click' THEN 'declined' ELSE 'refunded' END AS status,
+       ts AS event_ts,
+       amt AS amount,
+       {_CURRENCY_CASE} AS currency
+FROM {{fx_base}}"""),
     # Sensitive-record table in the shape of the reference's PCI tests (card, cvv, name,
     # e-mail, phone), derived from `customer`; a few rows carry short / empty / malformed values.
     "fx_cardholders": (["customer"], """
