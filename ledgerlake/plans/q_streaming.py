@@ -1,3 +1,349 @@
-"""Registered queries."""
+"""Registered queries of the streaming design.
 
-from .registry import register  # noqa: F401
+Each query lands its input (derived from the driver tables) as time-ordered files in a
+fresh folder under the shared checkpoint dir, runs the Structured Streaming job with
+``maxFilesPerTrigger=1`` and ``availableNow``, waits for it, and returns the sink read
+back as a batch DataFrame. Two far-future sentinel files end each stream so watermarks
+pass and append-mode state is flushed; sentinel rows are removed from results.
+
+Where the streaming result must equal a batch query (dedupe, join, velocity, routing,
+tokens, validation), the DuckDB oracle states that batch query.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .. import schemas
+from ..session import scratch_path
+from ..streaming import jobs, sources, stateful, validate
+from .oracle_sql import sql_with
+from .q_pci import FIXTURE_KEY, token_sql
+from .registry import register
+
+SENTINEL_TS = ["2099-01-01 00:00:00", "2099-01-01 00:00:01"]
+N_FILES = 4
+
+
+def _payment_sentinel(spark, i: int) -> DataFrame:
+    payload = ('{"transaction_id":"__sentinel__%d","merchant_id":"M0","customer_id":"__sentinel__","payment_method":"ach",'
+               '"amount":0.00,"status":"captured","card_number":"0000","event_ts":"%s"}' % (i, SENTINEL_TS[i]))
+    return spark.range(1).select(F.lit(payload).alias("payload"))
+
+
+def _signal_sentinel(spark, i: int) -> DataFrame:
+    payload = ('{"transaction_id":"__sentinel__%d","risk_score":0.00,"risk_level":"low","decision":"approve",'
+               '"signal_ts":"%s"}' % (i, SENTINEL_TS[i]))
+    return spark.range(1).select(F.lit(payload).alias("payload"))
+
+
+def _land(ctx, fixture: str, name: str, sentinel, ordered: bool = True) -> str:
+    path = scratch_path(ctx.spark, name)
+    src = ctx.fx(fixture)
+    if ordered:
+        sources.land_files(src.select("order_ts", "payload"), path, N_FILES, "order_ts")
+    else:  # arrival order unrelated to event time: late rows from the third file on
+        src.select("payload").repartition(N_FILES, F.col("payload")).write.mode("overwrite").parquet(path)
+    for i in range(2):
+        sentinel(ctx.spark, i).write.mode("append").parquet(path)
+    return path
+
+
+def _payments_path(ctx, ordered=True) -> str:
+    key = f"_pay_path_{ordered}"
+    if key not in ctx._memo:
+        ctx._memo[key] = _land(ctx, "fx_stream_payments", "stream-payments", _payment_sentinel, ordered)
+    return ctx._memo[key]
+
+
+def _signals_path(ctx) -> str:
+    if "_sig_path" not in ctx._memo:
+        ctx._memo["_sig_path"] = _land(ctx, "fx_stream_signals", "stream-signals", _signal_sentinel)
+    return ctx._memo["_sig_path"]
+
+
+def _run_to_files(ctx, df: DataFrame, name: str, partition_by=None) -> DataFrame:
+    out = scratch_path(ctx.spark, f"{name}-out")
+    q = jobs.start_file_sink(df, out, scratch_path(ctx.spark, f"{name}-ckpt"), partition_by)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return ctx.spark.read.parquet(out)
+
+
+def _not_sentinel(df: DataFrame) -> DataFrame:
+    return df.filter(~F.col("transaction_id").startswith("__sentinel__"))
+
+
+def _valid_payments(ctx, ordered=True) -> DataFrame:
+    raw = sources.payload_stream(ctx.spark, _payments_path(ctx, ordered))
+    checked = validate.schema_validate(raw, "payload", schemas.PAYMENT_EVENT, schemas.PAYMENT_EVENT_REQUIRED)
+    return checked.filter("is_valid").drop("payload", "is_valid", "error")
+
+
+# ---- oracle fragments: the same streams parsed as tables ----------------------
+
+S_LAYERS = {
+    "sp": (["fx_stream_payments"], """
+SELECT payload, json_valid(payload) AS ok,
+       CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.transaction_id') END AS transaction_id,
+       CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.merchant_id') END AS merchant_id,
+       CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.customer_id') END AS customer_id,
+       CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.payment_method') END AS payment_method,
+       CASE WHEN json_valid(payload) THEN CAST(json_extract_string(payload, '$.amount') AS DECIMAL(18,2)) END AS amount,
+       CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.status') END AS status,
+       CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.card_number') END AS card_number,
+       CASE WHEN json_valid(payload) THEN CAST(json_extract_string(payload, '$.event_ts') AS TIMESTAMP) END AS event_ts
+FROM fx_stream_payments"""),
+    "sp_valid": (["sp"], """SELECT * FROM sp WHERE ok AND transaction_id IS NOT NULL AND merchant_id IS NOT NULL
+       AND amount IS NOT NULL AND event_ts IS NOT NULL"""),
+    "ss": (["fx_stream_signals"], """
+SELECT json_extract_string(payload, '$.transaction_id') AS transaction_id,
+       CAST(json_extract_string(payload, '$.risk_score') AS DECIMAL(3,2)) AS risk_score,
+       json_extract_string(payload, '$.risk_level') AS risk_level,
+       json_extract_string(payload, '$.decision') AS decision,
+       CAST(json_extract_string(payload, '$.signal_ts') AS TIMESTAMP) AS signal_ts
+FROM fx_stream_signals"""),
+}
+
+
+def ssql(names, final):
+    return sql_with(names, final, extra=S_LAYERS)
+
+
+# ---- sources ----------------------------------------------------------------
+
+@register("src_stream_payments", ssql(["sp_valid"], "SELECT transaction_id, amount, status, event_ts FROM sp_valid"))
+def _src_stream_payments(ctx):
+    parsed = sources.stream_payments(ctx.spark, _payments_path(ctx))
+    out = _run_to_files(ctx, parsed.filter(F.col("event_ts").isNotNull() & F.col("amount").isNotNull()
+                                           & F.col("merchant_id").isNotNull()), "src-stream-payments")
+    return _not_sentinel(out).select("transaction_id", "amount", "status", "event_ts")
+
+
+@register("src_stream_signals", ssql(["ss"], "SELECT transaction_id, risk_score, decision, signal_ts FROM ss"))
+def _src_stream_signals(ctx):
+    parsed = sources.stream_signals(ctx.spark, _signals_path(ctx))
+    out = _run_to_files(ctx, parsed, "src-stream-signals")
+    return _not_sentinel(out).select("transaction_id", "risk_score", "decision", "signal_ts")
+
+
+def _settlement_dir(ctx) -> str:
+    if "_st_dir" not in ctx._memo:
+        path = scratch_path(ctx.spark, "settlement-drop")
+        st = ctx.fx("fx_settlement")
+        text = st.select(*[F.col(c).cast("string").alias(c) for c in st.columns])
+        # a few malformed amounts, as a drop folder receives them
+        text = text.withColumn("amount", F.when(F.col("settlement_id").endswith("7"), F.lit("12,50"))
+                               .otherwise(F.col("amount")))
+        (text.repartitionByRange(N_FILES, "settlement_date")
+         .write.option("header", "true").mode("overwrite").csv(path))
+        ctx._memo["_st_dir"] = path
+    return ctx._memo["_st_dir"]
+
+
+@register("src_settlement_files", sql_with(["fx_settlement"], """
+SELECT settlement_id, transaction_id, CAST(settlement_date AS VARCHAR) AS settlement_date,
+       CASE WHEN settlement_id LIKE '%7' THEN '12,50' ELSE CAST(amount AS VARCHAR) END AS amount,
+       CAST(fee AS VARCHAR) AS fee, CAST(chargeback_flag AS VARCHAR) AS chargeback_flag FROM fx_settlement"""))
+def _src_settlement(ctx):
+    stream = sources.stream_settlement(ctx.spark, _settlement_dir(ctx), max_files=1)
+    return _run_to_files(ctx, stream, "src-settlement")
+
+
+# ---- st1 / st2: validation and DLQ -------------------------------------------
+
+@register("st1_schema_validate", ssql(["sp"], """
+SELECT CASE WHEN ok THEN transaction_id ELSE json_extract_string(
+            regexp_replace(payload, ',"amount":$', '}'), '$.transaction_id') END AS transaction_id,
+       CASE WHEN NOT ok THEN 'malformed json' WHEN transaction_id IS NULL THEN 'missing transaction_id'
+            WHEN merchant_id IS NULL THEN 'missing merchant_id' WHEN amount IS NULL THEN 'missing amount'
+            WHEN event_ts IS NULL THEN 'missing event_ts' END AS error
+FROM sp"""))
+def _st1(ctx):
+    raw = sources.payload_stream(ctx.spark, _payments_path(ctx))
+    checked = validate.schema_validate(raw, "payload", schemas.PAYMENT_EVENT, schemas.PAYMENT_EVENT_REQUIRED)
+    out = _run_to_files(ctx, checked.select("transaction_id", "error", "is_valid", "payload"), "st1")
+    tid = F.coalesce(F.col("transaction_id"), F.regexp_extract("payload", r'"transaction_id":"([^"]*)"', 1))
+    return _not_sentinel(out.withColumn("transaction_id", tid)).select("transaction_id", "error")
+
+
+def _dlq_run(ctx):
+    if "_dlq" not in ctx._memo:
+        good = scratch_path(ctx.spark, "st2-good")
+        dlq = scratch_path(ctx.spark, "st2-dlq")
+        q = jobs.start_validated_ingest(ctx.spark, _payments_path(ctx), good, dlq, scratch_path(ctx.spark, "st2-ckpt"))
+        q.awaitTermination()
+        ctx._memo["_dlq"] = (good, dlq)
+    return ctx._memo["_dlq"]
+
+
+@register("st2_dlq", ssql(["sp"], """
+SELECT payload, CASE WHEN NOT ok THEN 'malformed json' WHEN transaction_id IS NULL THEN 'missing transaction_id'
+            WHEN merchant_id IS NULL THEN 'missing merchant_id' WHEN amount IS NULL THEN 'missing amount'
+            ELSE 'missing event_ts' END AS error
+FROM sp WHERE NOT (ok AND transaction_id IS NOT NULL AND merchant_id IS NOT NULL AND amount IS NOT NULL
+                   AND event_ts IS NOT NULL)"""))
+def _st2(ctx):
+    _good, dlq = _dlq_run(ctx)
+    return ctx.spark.read.parquet(dlq).select("payload", "error")
+
+
+# ---- st3: stream-stream join ----------------------------------------------------
+
+JOIN_SQL = ssql(["sp_valid", "ss"], """
+SELECT p.transaction_id, p.event_ts, p.status, s.risk_score, s.decision, s.signal_ts
+FROM sp_valid p LEFT JOIN ss s ON p.transaction_id = s.transaction_id
+ AND s.signal_ts >= p.event_ts AND s.signal_ts <= p.event_ts + INTERVAL 1 HOUR""")
+
+
+def _stream_join(ctx):
+    pay = _valid_payments(ctx)
+    sig = sources.stream_signals(ctx.spark, _signals_path(ctx))
+    joined = stateful.stream_join(pay, sig, bound="1 hour")
+    out = _run_to_files(ctx, joined.select("p.transaction_id", "p.event_ts", "p.status", "s.risk_score",
+                                           "s.decision", "s.signal_ts"), "st3")
+    return _not_sentinel(out)
+
+
+@register("st3_stream_join", JOIN_SQL)
+def _st3(ctx):
+    return _stream_join(ctx)
+
+
+@register("join_fraud_stream", JOIN_SQL)
+def _join_fraud_stream(ctx):
+    return _stream_join(ctx)
+
+
+# ---- st4: dedupe ------------------------------------------------------------------
+
+DEDUPE_SQL = ssql(["sp_valid"], """
+SELECT transaction_id, status, amount, event_ts FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY event_ts DESC) AS rn FROM sp_valid) d
+WHERE rn = 1""")
+
+
+def _dedupe_latest(ctx):
+    d = stateful.dedupe_latest(_valid_payments(ctx), "transaction_id", "event_ts", "30 minutes")
+    out = _run_to_files(ctx, d, "st4")
+    return _not_sentinel(out).select("transaction_id", "status", "amount", "event_ts")
+
+
+@register("st4_dedupe_latest", DEDUPE_SQL)
+def _st4(ctx):
+    return _dedupe_latest(ctx)
+
+
+@register("dedupe_stream_latest", DEDUPE_SQL)
+def _dedupe_stream_latest(ctx):
+    return _dedupe_latest(ctx)
+
+
+@register("st4b_dedupe_first", ssql(["sp_valid"], """
+SELECT transaction_id, status, amount, event_ts FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY event_ts) AS rn FROM sp_valid) d
+WHERE rn = 1"""))
+def _st4b(ctx):
+    d = stateful.dedupe_first(_valid_payments(ctx), "transaction_id", "event_ts", "30 minutes")
+    out = _run_to_files(ctx, d, "st4b")
+    return _not_sentinel(out).select("transaction_id", "status", "amount", "event_ts")
+
+
+# ---- st5: late rows to the DLQ -----------------------------------------------------
+
+@register("st5_late_to_dlq")
+def _st5(ctx):
+    good, dlq, hwm = (scratch_path(ctx.spark, n) for n in ("st5-good", "st5-dlq", "st5-hwm"))
+    stream = _valid_payments(ctx, ordered=False)
+    w = stream.writeStream.foreachBatch(validate.late_router("event_ts", 30 * 60, good, dlq, hwm)) \
+              .option("checkpointLocation", scratch_path(ctx.spark, "st5-ckpt"))
+    jobs._trigger(w, True).start().awaitTermination()
+    g = ctx.spark.read.parquet(good).select("transaction_id", "event_ts", F.lit("on_time").alias("route"))
+    try:
+        d = ctx.spark.read.parquet(dlq).select("transaction_id", "event_ts", F.lit("dlq").alias("route"))
+        g = g.unionByName(d)
+    except Exception:  # noqa: BLE001 - no late row at all
+        pass
+    return _not_sentinel(g)
+
+
+# ---- st6: partitioned bronze append -------------------------------------------------
+
+@register("st6_bronze_append", ssql(["sp_valid"], """
+SELECT transaction_id, amount, event_ts, CAST(event_ts AS DATE) AS ingestion_date FROM sp_valid"""))
+def _st6(ctx):
+    s = _valid_payments(ctx).withColumn("ingestion_date", F.col("event_ts").cast("date"))
+    out = _run_to_files(ctx, s.select("transaction_id", "amount", "event_ts", "ingestion_date"), "st6",
+                        partition_by=["ingestion_date"])
+    return _not_sentinel(out).select("transaction_id", "amount", "event_ts", "ingestion_date")
+
+
+# ---- st7: velocity with state --------------------------------------------------------
+
+@register("st7_velocity_state", ssql(["sp_valid"], """
+SELECT customer_id, transaction_id, event_ts,
+       (SELECT COUNT(*) FROM sp_valid b WHERE b.customer_id = a.customer_id AND b.event_ts >= a.event_ts - INTERVAL 24 HOUR
+          AND (b.event_ts < a.event_ts OR (b.event_ts = a.event_ts AND b.transaction_id < a.transaction_id))) AS prior_count
+FROM sp_valid a"""))
+def _st7(ctx):
+    v = stateful.velocity_state(_valid_payments(ctx), minutes=24 * 60, delay="30 minutes")
+    out = _run_to_files(ctx, v, "st7")
+    return _not_sentinel(out)
+
+
+# ---- st8 / st9 / st10 ------------------------------------------------------------------
+
+@register("st8_route_signals", ssql(["ss"], """
+SELECT topic, transaction_id AS key FROM ss, unnest(list_filter(
+  [CASE WHEN lower(risk_level) IN ('high', 'critical') THEN 'fraud.alerts' ELSE 'fraud.signals' END,
+   CASE WHEN lower(decision) <> 'approve' THEN 'fraud.decisions' END], lambda x: x IS NOT NULL)) t(topic)"""))
+def _st8(ctx):
+    sig = sources.stream_signals(ctx.spark, _signals_path(ctx))
+    out = _run_to_files(ctx, jobs.route_signals_stream(sig), "st8")
+    return out.filter(~F.col("key").startswith("__sentinel__")).select("topic", "key")
+
+
+@register("st9_subscribe")
+def _st9(ctx):
+    sink = scratch_path(ctx.spark, "st9-out")
+
+    def callback(batch: DataFrame, batch_id: int) -> None:
+        (batch.groupBy("decision").agg(F.count(F.lit(1)).alias("signals"))
+         .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}"))
+
+    sig = sources.stream_signals(ctx.spark, _signals_path(ctx))
+    jobs.subscribe(sig, callback, scratch_path(ctx.spark, "st9-ckpt")).awaitTermination()
+    return ctx.spark.read.parquet(sink).groupBy("decision").agg(F.sum("signals").alias("signals"))
+
+
+@register("st10_tokenize_stream", ssql(["sp_valid"], f"""
+SELECT transaction_id, event_ts, {token_sql('card_number')} AS tokenized_pan FROM sp_valid"""))
+def _st10(ctx):
+    t = jobs.tokenize_stream(_valid_payments(ctx), "card_number", FIXTURE_KEY)
+    out = _run_to_files(ctx, t.select("transaction_id", "event_ts", "tokenized_pan"), "st10")
+    return _not_sentinel(out)
+
+
+# ---- st11 and lag alert ------------------------------------------------------------------
+
+@register("st11_settlement_ingest", sql_with(["fx_settlement"], """
+SELECT settlement_id, transaction_id, settlement_date, amount, fee, chargeback_flag FROM fx_settlement
+WHERE settlement_id NOT LIKE '%7'"""))
+def _st11(ctx):
+    bronze, dlq = scratch_path(ctx.spark, "st11-bronze"), scratch_path(ctx.spark, "st11-dlq")
+    q = jobs.start_settlement_ingest(ctx.spark, _settlement_dir(ctx), bronze, dlq, scratch_path(ctx.spark, "st11-ckpt"),
+                                     max_files=1)
+    q.awaitTermination()
+    return ctx.spark.read.parquet(bronze).select("settlement_id", "transaction_id", "settlement_date", "amount",
+                                                 "fee", "chargeback_flag")
+
+
+@register("alert_stream_lag")
+def _lag(ctx):
+    d = stateful.dedupe_latest(_valid_payments(ctx), "transaction_id", "event_ts", "30 minutes")
+    out = scratch_path(ctx.spark, "lag-out")
+    q = jobs.start_file_sink(d, out, scratch_path(ctx.spark, "lag-ckpt"))
+    q.awaitTermination()
+    return jobs.alert_stream_lag(ctx.spark, jobs.lag_rows(q), 60)

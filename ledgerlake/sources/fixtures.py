@@ -90,6 +90,27 @@ SELECT 'PAY_' || lpad(CAST(event_id AS STRING), 9, '0') AS transaction_id,
        amt AS amount,
        {_CURRENCY_CASE} AS currency
 FROM {{fx_base}}"""),
+    # Payment-event stream payloads (JSON text): a second version of every 10th payment 10 minutes
+    # later, malformed JSON for every 53rd and a missing amount for every 59th event.
+    "fx_stream_payments": (["fx_payment_events"], """
+SELECT event_id, order_ts,
+       CASE WHEN event_id % 53 = 0 THEN '{{"transaction_id":"' || transaction_id || '","amount":'
+            ELSE '{{"transaction_id":"' || transaction_id || '","merchant_id":"' || merchant_id
+                 || '","customer_id":"' || customer_id || '","payment_method":"' || payment_method
+                 || CASE WHEN event_id % 59 = 0 THEN '' ELSE '","amount":' || CAST(amount AS STRING) || ',"status":"' END
+                 || CASE WHEN event_id % 59 = 0 THEN '","status":"' ELSE '' END
+                 || status || '","card_number":"4' || lpad(CAST(event_id * 7919 % 1000000000000000 AS STRING), 15, '0')
+                 || '","event_ts":"' || CAST(order_ts AS STRING) || '"}}' END AS payload
+FROM (SELECT *, CAST(substr(transaction_id, 5) AS BIGINT) AS event_id, event_ts AS order_ts FROM {fx_payment_events}
+      UNION ALL
+      SELECT transaction_id, merchant_id, customer_id, payment_method, 'captured', event_ts, amount, currency,
+             CAST(substr(transaction_id, 5) AS BIGINT), event_ts + INTERVAL '10' MINUTE
+      FROM {fx_payment_events} WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 10 = 0) e"""),
+    "fx_stream_signals": (["fx_fraud_signals_raw"], """
+SELECT CAST(substr(transaction_id, 5) AS BIGINT) AS event_id, CAST(created_at AS TIMESTAMP) AS order_ts,
+       '{{"transaction_id":"' || transaction_id || '","risk_score":' || risk_score || ',"risk_level":"' || risk_level
+       || '","decision":"' || decision || '","signal_ts":"' || created_at || '"}}' AS payload
+FROM {fx_fraud_signals_raw}"""),
     # Sensitive-record table in the shape of the reference's PCI tests (card, cvv, name,
     # e-mail, phone), derived from `customer`; a few rows carry short / empty / malformed values.
     "fx_cardholders": (["customer"], """
