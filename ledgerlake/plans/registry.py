@@ -37,7 +37,8 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # importing the modules fills REGISTRY
-    from . import q_fraud, q_incremental, q_lifecycle, q_medallion, q_pci, q_settlement, q_streaming  # noqa: F401
+    from . import (q_fraud, q_functions, q_incremental, q_io, q_lifecycle, q_medallion, q_pci,  # noqa: F401
+                   q_settlement, q_streaming)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
