@@ -13,12 +13,13 @@ from .medallion import Medallion
 
 class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str, payments: str = "fx_payments_raw",
-                 as_of: str = AS_OF, days: int = 90):
+                 as_of: str = AS_OF, days: int = 90, calendar_days: int = 730):
         self.spark = spark
         self.sf_dir = sf_dir
         self.payments_source = payments
         self.as_of = as_of
         self.days = days
+        self.calendar_days = calendar_days
         self._memo: dict = {}
 
     def fx(self, name: str) -> DataFrame:
@@ -27,4 +28,4 @@ class Ctx:
     @cached_property
     def med(self) -> Medallion:
         return Medallion(self.spark, self.fx(self.payments_source), self.fx("fx_fraud_signals_raw"),
-                         self.as_of, self.days)
+                         self.as_of, self.days, self.calendar_days)
