@@ -23,7 +23,8 @@ def land_files(df: DataFrame, path: str, n_files: int, order_col: str, fmt: str
     as the data grows, so no file exceeds about ``rows_per_file`` rows), and the ranges
     are written one after another, so file modification order equals event-time order."""
     key = F.unix_micros(F.col(order_col).cast("timestamp"))
-    keyed = df.withColumn("_o", key)
+    # computed once into the shared checkpoint dir; the range writes below only read it
+    keyed = df.withColumn("_o", key).checkpoint(eager=True)
     n = max(n_files, -(-keyed.count() // rows_per_file))
     cuts = keyed.approxQuantile("_o", [i / n for i in range(1, n)], 0.0001) if n > 1 else []
     bounds = [None, *cuts, None]
