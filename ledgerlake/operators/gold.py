@@ -12,9 +12,11 @@ MONEY_SUM = "decimal(38,2)"
 
 
 def mean(c) -> Column:
-    """AVG of a decimal column, exact (decimal division) and rounded to 4 places, as DOUBLE."""
+    """AVG of a decimal column as DOUBLE: the exact decimal sum converted once, then one
+    division. Any engine computing it this way gets the same double, bit for bit (a
+    rounded average would not be: rounding a half differs between decimal and binary)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(F.sum(col) / F.count(col), 4).cast("double")
+    return F.sum(col).cast("double") / F.count(col)
 
 
 def round4(c: Column) -> Column:
@@ -159,7 +161,7 @@ def metric_daily_payment_summary(calendar: DataFrame, fact: DataFrame) -> DataFr
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in zero_if_empty else F.col(c)
           for c in per_day.columns if c != "date_key"],
     ).withColumn("success_rate_pct",
-                 round4(risk.pct_rate(F.col("successful_transactions"), F.col("total_transactions"))))
+                 risk.pct_rate(F.col("successful_transactions"), F.col("total_transactions")))
 
 
 def metric_fraud_analytics(fact: DataFrame, merchants: DataFrame) -> DataFrame:
@@ -181,7 +183,7 @@ def metric_fraud_analytics(fact: DataFrame, merchants: DataFrame) -> DataFrame:
         count_when(F.col("payment_status") == "CAPTURED").alias("successful_captures"),
         count_when(F.col("payment_status").isin("DECLINED", "FAILED")).alias("failed_transactions"),
     ).withColumn("fraud_block_rate_pct",
-                 round4(risk.pct_rate(F.col("fraud_blocked_count"), F.col("total_transactions"))))
+                 risk.pct_rate(F.col("fraud_blocked_count"), F.col("total_transactions")))
     return per_m.join(merchants.select("merchant_id", "merchant_name"), on="merchant_id", how="left")
 
 

@@ -161,4 +161,4 @@ def scan_sensitive_values(df: DataFrame, table_name: str, columns: list[str] | N
         F.split("key", "__").getItem(1).alias("pattern"),
         F.col("matches").cast("long").alias("matches"),
         F.col("_total").alias("total_values"),
-        F.round(F.col("matches") / F.col("_total"), 4).alias("share"))
+        (F.col("matches") / F.col("_total")).alias("share"))

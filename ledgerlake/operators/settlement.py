@@ -116,8 +116,8 @@ def dq_alert_mismatch(mismatches: DataFrame, max_count: int = K.MAX_MISMATCH_COU
 
 def alert_fraud_spike(daily: DataFrame, max_pct: float = K.FRAUD_SPIKE_PCT) -> DataFrame:
     """Days whose fraud-blocked share of transactions exceeds ``max_pct`` percent."""
-    share = F.round(F.col("fraud_blocked_transactions").cast("double")
-                    / F.when(F.col("total_transactions") != 0, F.col("total_transactions")) * 100, 4)
+    share = (F.col("fraud_blocked_transactions").cast("double")
+             / F.when(F.col("total_transactions") != 0, F.col("total_transactions")) * F.lit(100.0))
     return (daily.withColumn("blocked_pct", share).filter(F.col("blocked_pct") > F.lit(max_pct))
             .select("calendar_date", "total_transactions", "fraud_blocked_transactions", "blocked_pct"))
 

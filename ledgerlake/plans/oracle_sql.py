@@ -39,7 +39,7 @@ RISK_CLASS_B_SQL = ("CASE WHEN {s} >= 0.8 THEN 'HIGH' WHEN {s} >= 0.5 THEN 'MODE
 
 
 def mean_sql(x: str) -> str:
-    return f"round(avg({x}), 4)"
+    return f"CAST(SUM({x}) AS DOUBLE) / COUNT({x})"
 
 
 def layers(src: str = "fx_payments_raw", as_of: str = AS_OF_SQL, days: int = K.RETENTION_DAYS,
@@ -146,8 +146,8 @@ SELECT d.calendar_date, d.year, d.quarter, d.month_number, d.month_name, d.week_
        COUNT(CASE WHEN f.payment_status = 'CAPTURED' THEN 1 END) AS successful_transactions,
        COUNT(CASE WHEN f.payment_status IN ('DECLINED', 'FAILED') THEN 1 END) AS failed_transactions,
        COUNT(CASE WHEN f.fraud_decision = 'DECLINED' THEN 1 END) AS fraud_blocked_transactions,
-       round(CAST(COUNT(CASE WHEN f.payment_status = 'CAPTURED' THEN 1 END) AS DOUBLE)
-             / NULLIF(COUNT(DISTINCT f.transaction_id), 0) * 100, 4) AS success_rate_pct,
+       CAST(COUNT(CASE WHEN f.payment_status = 'CAPTURED' THEN 1 END) AS DOUBLE)
+             / NULLIF(COUNT(DISTINCT f.transaction_id), 0) * 100 AS success_rate_pct,
        {mean_sql('f.risk_score')} AS avg_risk_score,
        COUNT(CASE WHEN f.overall_risk_category = 'HIGH_RISK' THEN 1 END) AS high_risk_count,
        COUNT(CASE WHEN f.overall_risk_category = 'MEDIUM_RISK' THEN 1 END) AS medium_risk_count,
@@ -164,8 +164,8 @@ SELECT f.merchant_id, dm.merchant_name,
        CAST(SUM(f.transaction_amount) AS DECIMAL(38,2)) AS total_volume,
        COUNT(CASE WHEN f.fraud_decision = 'DECLINED' THEN 1 END) AS fraud_blocked_count,
        CAST(SUM(CASE WHEN f.fraud_decision = 'DECLINED' THEN f.transaction_amount ELSE 0 END) AS DECIMAL(38,2)) AS fraud_blocked_volume,
-       round(CAST(COUNT(CASE WHEN f.fraud_decision = 'DECLINED' THEN 1 END) AS DOUBLE)
-             / NULLIF(COUNT(DISTINCT f.transaction_id), 0) * 100, 4) AS fraud_block_rate_pct,
+       CAST(COUNT(CASE WHEN f.fraud_decision = 'DECLINED' THEN 1 END) AS DOUBLE)
+             / NULLIF(COUNT(DISTINCT f.transaction_id), 0) * 100 AS fraud_block_rate_pct,
        {mean_sql('f.risk_score')} AS avg_risk_score, MAX(f.risk_score) AS max_risk_score,
        COUNT(CASE WHEN f.overall_risk_category = 'HIGH_RISK' THEN 1 END) AS high_risk_transactions,
        COUNT(CASE WHEN f.overall_risk_category = 'MEDIUM_RISK' THEN 1 END) AS medium_risk_transactions,

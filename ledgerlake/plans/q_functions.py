@@ -114,11 +114,11 @@ def _identity(ctx):
 
 @register("math", sql_with(["transactions_fact"], """
 SELECT transaction_id, LEAST(risk_score * 2, 1.00) AS doubled_score_capped,
-       round(amount / 3, 2) AS third_of_amount, round(CAST(risk_score AS DOUBLE) * 100, 4) AS score_pct
+       round(amount / 3, 2) AS third_of_amount, CAST(risk_score AS DOUBLE) * 100 AS score_pct
 FROM transactions_fact"""))
 def _math(ctx):
     t = ctx.med.transactions_fact
     return t.select("transaction_id",
                     F.least(F.col("risk_score") * 2, F.lit(1).cast("decimal(3,2)")).alias("doubled_score_capped"),
                     F.round(F.col("amount") / 3, 2).alias("third_of_amount"),
-                    F.round(F.col("risk_score").cast("double") * 100, 4).alias("score_pct"))
+                    (F.col("risk_score").cast("double") * 100).alias("score_pct"))

@@ -335,13 +335,13 @@ def _customer_profile(ctx):
 
 
 @register("pct_rate", sql_with(["fact_transactions"], """
-SELECT merchant_id, round(CAST(COUNT(CASE WHEN payment_status = 'CAPTURED' THEN 1 END) AS DOUBLE)
-                          / NULLIF(COUNT(*), 0) * 100, 4) AS capture_rate_pct
+SELECT merchant_id, CAST(COUNT(CASE WHEN payment_status = 'CAPTURED' THEN 1 END) AS DOUBLE)
+                          / NULLIF(COUNT(*), 0) * 100 AS capture_rate_pct
 FROM fact_transactions GROUP BY merchant_id"""))
 def _pct_rate(ctx):
     f = ctx.med.fact_transactions
-    return f.groupBy("merchant_id").agg(gold.round4(risk.pct_rate(
-        gold.count_when(F.col("payment_status") == "CAPTURED"), F.count(F.lit(1)))).alias("capture_rate_pct"))
+    return f.groupBy("merchant_id").agg(risk.pct_rate(
+        gold.count_when(F.col("payment_status") == "CAPTURED"), F.count(F.lit(1))).alias("capture_rate_pct"))
 
 
 @register("dim_merchant", sql_with(["dim_merchant"], "SELECT * FROM dim_merchant"))
@@ -389,7 +389,8 @@ def _window_count(ctx):
 
 @register("window_avg_max_sum", sql_with(["transactions_fact"], """
 SELECT transaction_id, customer_id,
-       round(AVG(risk_score) OVER (PARTITION BY customer_id), 4) AS customer_avg_risk,
+       CAST(SUM(risk_score) OVER (PARTITION BY customer_id) AS DOUBLE)
+         / COUNT(risk_score) OVER (PARTITION BY customer_id) AS customer_avg_risk,
        MAX(risk_score) OVER (PARTITION BY customer_id) AS customer_max_risk,
        SUM(CASE WHEN fraud_decision = 'DECLINED' THEN 1 ELSE 0 END) OVER (PARTITION BY customer_id) AS customer_declines
 FROM transactions_fact"""))

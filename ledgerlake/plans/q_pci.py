@@ -369,7 +369,7 @@ def _scan_sql() -> str:
             for p, rx in pci.SENSITIVE_PATTERNS.items():
                 parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{p}' AS pattern, "
                              f"COUNT(*) FILTER (WHERE regexp_matches({c}, '{rx}')) AS matches, COUNT(*) AS total_values, "
-                             f"round(COUNT(*) FILTER (WHERE regexp_matches({c}, '{rx}')) / COUNT(*), 4) AS share "
+                             f"COUNT(*) FILTER (WHERE regexp_matches({c}, '{rx}')) / COUNT(*) AS share "
                              f"FROM {t}")
     return "\nUNION ALL ".join(parts)
 

@@ -161,9 +161,9 @@ def _dq_alert(ctx):
 
 @register("alert_fraud_spike", sql_with(["metric_daily_payment_summary"], """
 SELECT calendar_date, total_transactions, fraud_blocked_transactions,
-       round(CAST(fraud_blocked_transactions AS DOUBLE) / NULLIF(total_transactions, 0) * 100, 4) AS blocked_pct
+       CAST(fraud_blocked_transactions AS DOUBLE) / NULLIF(total_transactions, 0) * 100 AS blocked_pct
 FROM metric_daily_payment_summary
-WHERE round(CAST(fraud_blocked_transactions AS DOUBLE) / NULLIF(total_transactions, 0) * 100, 4) > 10.0"""))
+WHERE CAST(fraud_blocked_transactions AS DOUBLE) / NULLIF(total_transactions, 0) * 100 > 10.0"""))
 def _fraud_spike(ctx):
     return st.alert_fraud_spike(ctx.med.metric_daily_payment_summary, 10.0)
 
