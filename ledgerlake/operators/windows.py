@@ -6,8 +6,9 @@
 * Per-key totals attached to every row (COUNT/AVG/MAX OVER PARTITION BY key) are an
   aggregate joined back: the aggregate combines map-side, and the join back is a
   plain equi-join whose skewed partitions AQE can split.
-* Time-bounded counts (velocity) and LAG are partitioned by (key, time bucket), not by
-  key alone, so a busy customer is spread over many tasks.
+* Time-bounded counts (velocity) and LAG are partitioned by (key, one-minute slice),
+  not by key alone; what crosses slices travels through small per-slice summaries
+  (counts, last values). A busy customer is spread over all its slices.
 """
 
 from __future__ import annotations
@@ -38,49 +39,60 @@ def window_count(df: DataFrame, key: str, name: str = "key_count") -> DataFrame:
     return per_key_totals(df, key, [F.count(F.lit(1)).alias(name)])
 
 
+def _micros(ts) -> Column:
+    col = F.col(ts) if isinstance(ts, str) else ts
+    return F.unix_micros(col.cast("timestamp"))
+
+
 def _bucket(ts: Column, seconds: int) -> Column:
-    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
+    return F.floor(_micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
 
 
 def velocity_count(df: DataFrame, key: str, ts: str, order_id: str, minutes: int = 60,
-                   name: str = "prior_count") -> DataFrame:
+                   name: str = "prior_count", slice_seconds: int = 60) -> DataFrame:
     """Number of *earlier* rows of the same key whose time lies in [ts - minutes, ts].
 
-    "Earlier" is by (ts, order_id): rows at the same instant count only when their id
-    is smaller, as if they had been processed first. Each row is also copied into the
-    next time bucket as a "shadow", so the frame of every row is complete inside its
-    own (key, bucket) partition.
+    "Earlier" is by (ts, order_id): rows at the same instant count only when their id is
+    smaller, as if processed first. The count is a difference of two ranks inside the key:
+        prior = #rows before (ts, id)  -  #rows with time < ts - minutes.
+    Each row and one marker at (ts - minutes) are ranked inside small (key, time slice)
+    partitions (``slice_seconds`` wide), and a per-key running sum over the slice counts
+    supplies the rows of earlier slices. No partition ever holds more than one slice of
+    one key, so a key with a third of all rows is spread over all its slices.
     """
-    span = minutes * 60
-    base = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp"))) \
-             .withColumn("_b", _bucket(F.col(ts), span))
-    cur = base.select(key, "_t", "_b", F.col(order_id).alias("_oid"), F.lit(False).alias("_shadow"))
-    shadow = base.select(key, "_t", (F.col("_b") + 1).alias("_b"), F.col(order_id).alias("_oid"),
-                         F.lit(True).alias("_shadow"))
-    both = cur.unionByName(shadow)
-    frame = Window.partitionBy(key, "_b").orderBy("_t").rangeBetween(-span * 1_000_000, 0)
-    peers = Window.partitionBy(key, "_b", "_t")
-    peer_rank = Window.partitionBy(key, "_b", "_t").orderBy("_oid")
-    counted = (both
-               .withColumn("_in_frame", F.count(F.lit(1)).over(frame))
-               .withColumn("_peers", F.count(F.lit(1)).over(peers))
-               .withColumn("_peer_pos", F.row_number().over(peer_rank))
-               .filter(~F.col("_shadow"))
-               .select(key, F.col("_oid").alias(order_id),
-                       (F.col("_in_frame") - F.col("_peers") + F.col("_peer_pos") - 1).alias(name)))
-    return df.join(counted, on=[key, order_id], how="left")
+    span = minutes * 60 * 1_000_000
+    width = slice_seconds * 1_000_000
+    oid = "_oid"
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    unknown = df.filter(~known).withColumn(name, F.lit(None).cast("long"))  # no key or time: no count
+    events = (df.filter(known).withColumn(oid, F.col(order_id)).withColumn("_p", _micros(ts))
+              .withColumn("_kind", F.lit(1)).withColumn("_ev", F.lit(1)))
+    markers = events.select(key, oid, (F.col("_p") - F.lit(span)).alias("_p"),
+                            F.lit(0).alias("_kind"), F.lit(0).alias("_ev"))
+    both = events.unionByName(markers, allowMissingColumns=True) \
+                 .withColumn("_s", F.floor(F.col("_p") / F.lit(width)).cast("long"))
+    slices = both.groupBy(key, "_s").agg(F.sum("_ev").alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = slices.select(key, "_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(key, "_s").orderBy("_p", "_kind", oid).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (both.withColumn("_within", F.coalesce(F.sum("_ev").over(within), F.lit(0)))
+              .join(prefix, on=[key, "_s"], how="inner")
+              .withColumn("_rank", F.col("_before") + F.col("_within")))
+    marker_rank = ranked.filter(F.col("_kind") == 0).select(key, oid, F.col("_rank").alias("_mrank"))
+    out = (ranked.filter(F.col("_kind") == 1).join(marker_rank, on=[key, oid], how="inner")
+           .withColumn(name, (F.col("_rank") - F.col("_mrank")).cast("long")))
+    return out.select(*df.columns, name).unionByName(unknown)
 
 
 def previous_value(df: DataFrame, key: str, ts: str, order_id: str, value: str,
-                   name: str = "previous_value", bucket_hours: int = 24) -> DataFrame:
-    """LAG(value) OVER (PARTITION BY key ORDER BY ts, order_id), bucketed by time.
+                   name: str = "previous_value", slice_seconds: int = 60) -> DataFrame:
+    """LAG(value) OVER (PARTITION BY key ORDER BY ts, order_id), computed per time slice.
 
-    Inside a (key, day) bucket LAG is a local window; the first row of a bucket takes
-    the last row of the nearest earlier non-empty bucket, found on a per-bucket summary
-    (one row per key and bucket, so small).
+    Inside a (key, slice) partition LAG is a local window; the first row of a slice takes
+    the last row of the nearest earlier non-empty slice of the key, found on a per-slice
+    summary (one small row per key and slice). Partitions hold one slice of one key.
     """
-    span = bucket_hours * 3600
-    base = df.select(key, ts, order_id, value).withColumn("_b", _bucket(F.col(ts), span))
+    base = df.select(key, ts, order_id, value).withColumn("_b", _bucket(F.col(ts), slice_seconds))
     w = Window.partitionBy(key, "_b").orderBy(ts, order_id)
     local = base.withColumn("_lag", F.lag(value).over(w)).withColumn("_pos", F.row_number().over(w))
     last_in_bucket = (base.groupBy(key, "_b")

@@ -26,16 +26,27 @@ def _events(spark, n=300, users=4, seed=7):
 
 def test_velocity_count_matches_brute_force(spark):
     rows, df = _events(spark)
-    got = {r["id"]: r["prior_count"] for r in windows.velocity_count(df, "customer_id", "ts", "id", 60).collect()}
-    for i, c, ts, _ in rows:
-        want = sum(1 for j, c2, t2, _ in rows if c2 == c and t2 >= ts - dt.timedelta(minutes=60)
-                   and (t2 < ts or (t2 == ts and j < i)))
-        assert got[i] == want, (i, got[i], want)
+    for slice_seconds in (60, 1800, 7200):
+        out = windows.velocity_count(df, "customer_id", "ts", "id", 60, slice_seconds=slice_seconds)
+        assert out.columns == df.columns + ["prior_count"]
+        got = {r["id"]: r["prior_count"] for r in out.collect()}
+        assert len(got) == len(rows)
+        for i, c, ts, _ in rows:
+            want = sum(1 for j, c2, t2, _ in rows if c2 == c and t2 >= ts - dt.timedelta(minutes=60)
+                       and (t2 < ts or (t2 == ts and j < i)))
+            assert got[i] == want, (slice_seconds, i, got[i], want)
+
+
+def test_velocity_keeps_rows_without_key_or_time(spark):
+    df = spark.createDataFrame([(1, "C1", T0), (2, None, T0), (3, "C1", None), (4, "C1", T0)],
+                               "id long, customer_id string, ts timestamp_ntz")
+    got = {r["id"]: r["prior_count"] for r in windows.velocity_count(df, "customer_id", "ts", "id").collect()}
+    assert got == {1: 0, 2: None, 3: None, 4: 1}
 
 
 def test_previous_value_matches_brute_force(spark):
     rows, df = _events(spark, seed=11)
-    got = {r["id"]: r["prev"] for r in windows.previous_value(df, "customer_id", "ts", "id", "loc", "prev", 1).collect()}
+    got = {r["id"]: r["prev"] for r in windows.previous_value(df, "customer_id", "ts", "id", "loc", "prev", 3600).collect()}
     for i, c, ts, _ in rows:
         earlier = sorted((t2, j, l2) for j, c2, t2, l2 in rows if c2 == c and (t2, j) < (ts, i))
         assert got[i] == (earlier[-1][2] if earlier else None)
