@@ -39,13 +39,23 @@ def window_count(df: DataFrame, key: str, name: str = "key_count") -> DataFrame:
     return per_key_totals(df, key, [F.count(F.lit(1)).alias(name)])
 
 
-def _micros(ts) -> Column:
+def _micros(ts, ntz: bool = True) -> Column:
+    """Microseconds since the epoch. For wall-clock (TIMESTAMP_NTZ) times the difference to
+    the epoch is taken on the wall clock itself, so the session time zone (and its DST
+    jumps) never changes a window length."""
     col = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(col.cast("timestamp"))
+    if ntz:
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col)
+    return F.unix_micros(col)
 
 
-def _bucket(ts: Column, seconds: int) -> Column:
-    return F.floor(_micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
+def _is_ntz(df: DataFrame, ts: str) -> bool:
+    from pyspark.sql.types import TimestampNTZType
+    return isinstance(df.schema[ts].dataType, TimestampNTZType)
+
+
+def _bucket(ts: Column, seconds: int, ntz: bool = True) -> Column:
+    return F.floor(_micros(ts, ntz) / F.lit(seconds * 1_000_000)).cast("long")
 
 
 def velocity_count(df: DataFrame, key: str, ts: str, order_id: str, minutes: int = 60,
@@ -65,7 +75,7 @@ def velocity_count(df: DataFrame, key: str, ts: str, order_id: str, minutes: int
     oid = "_oid"
     known = F.col(key).isNotNull() & F.col(ts).isNotNull()
     unknown = df.filter(~known).withColumn(name, F.lit(None).cast("long"))  # no key or time: no count
-    events = (df.filter(known).withColumn(oid, F.col(order_id)).withColumn("_p", _micros(ts))
+    events = (df.filter(known).withColumn(oid, F.col(order_id)).withColumn("_p", _micros(ts, _is_ntz(df, ts)))
               .withColumn("_kind", F.lit(1)).withColumn("_ev", F.lit(1)))
     markers = events.select(key, oid, (F.col("_p") - F.lit(span)).alias("_p"),
                             F.lit(0).alias("_kind"), F.lit(0).alias("_ev"))
@@ -92,7 +102,7 @@ def previous_value(df: DataFrame, key: str, ts: str, order_id: str, value: str,
     the last row of the nearest earlier non-empty slice of the key, found on a per-slice
     summary (one small row per key and slice). Partitions hold one slice of one key.
     """
-    base = df.select(key, ts, order_id, value).withColumn("_b", _bucket(F.col(ts), slice_seconds))
+    base = df.select(key, ts, order_id, value).withColumn("_b", _bucket(F.col(ts), slice_seconds, _is_ntz(df, ts)))
     w = Window.partitionBy(key, "_b").orderBy(ts, order_id)
     local = base.withColumn("_lag", F.lag(value).over(w)).withColumn("_pos", F.row_number().over(w))
     last_in_bucket = (base.groupBy(key, "_b")

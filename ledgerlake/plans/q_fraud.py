@@ -178,8 +178,8 @@ def _should_decline(ctx):
 
 
 @register("sink_topic_routing", _sql("""SELECT topic, transaction_id AS key,
-       to_json({'transaction_id': transaction_id, 'risk_score': CAST(risk_score AS VARCHAR),
-                'risk_level': risk_level, 'decision': decision}) AS value
+       CAST(to_json({'transaction_id': transaction_id, 'risk_score': CAST(risk_score AS VARCHAR),
+                'risk_level': risk_level, 'decision': decision}) AS VARCHAR) AS value
 FROM scored, unnest(list_filter([CASE WHEN risk_level IN ('high', 'critical') THEN 'fraud.alerts' ELSE 'fraud.signals' END,
                                  CASE WHEN decision <> 'approve' THEN 'fraud.decisions' END], lambda x: x IS NOT NULL)) t(topic)"""))
 def _routing(ctx):

@@ -13,7 +13,7 @@ from .registry import register
 @register("string", sql_with(["payments_cleaned"], """
 SELECT payment_id, upper(currency) AS currency_upper, lower(payment_method_normalized) AS method_lower,
        concat('Merchant_', merchant_id) AS merchant_label, customer_id || '/' || merchant_id AS pair_key,
-       length(payment_id) AS id_length, payment_id LIKE 'PAY_00000%' AS low_id,
+       CAST(length(payment_id) AS INTEGER) AS id_length, payment_id LIKE 'PAY_00000%' AS low_id,
        format('{:04d}{:02d}{:02d}', year(payment_created_at), month(payment_created_at), day(payment_created_at)) AS date_key
 FROM payments_cleaned"""))
 def _string(ctx):
@@ -92,7 +92,7 @@ def _struct(ctx):
 
 
 @register("json", sql_with(["fraud_signals_cleaned"], """
-SELECT signal_id, json_array_length(alerts) AS n_alerts,
+SELECT signal_id, CAST(json_array_length(alerts) AS INTEGER) AS n_alerts,
        list_contains(from_json(alerts, '["VARCHAR"]'), 'amount_anomaly') AS has_amount_alert
 FROM fraud_signals_cleaned"""))
 def _json(ctx):
@@ -113,12 +113,12 @@ def _identity(ctx):
 
 
 @register("math", sql_with(["transactions_fact"], """
-SELECT transaction_id, LEAST(risk_score * 2, 1.00) AS doubled_score_capped,
-       round(amount / 3, 2) AS third_of_amount, CAST(risk_score AS DOUBLE) * 100 AS score_pct
+SELECT transaction_id, CAST(LEAST(risk_score * 2, 1.00) AS DECIMAL(5,2)) AS doubled_score_capped,
+       CAST(round(amount / 3, 2) AS DECIMAL(18,2)) AS third_of_amount, CAST(risk_score AS DOUBLE) * 100 AS score_pct
 FROM transactions_fact"""))
 def _math(ctx):
     t = ctx.med.transactions_fact
     return t.select("transaction_id",
                     F.least(F.col("risk_score") * 2, F.lit(1).cast("decimal(3,2)")).alias("doubled_score_capped"),
-                    F.round(F.col("amount") / 3, 2).alias("third_of_amount"),
+                    F.round(F.col("amount") / 3, 2).cast("decimal(18,2)").alias("third_of_amount"),
                     (F.col("risk_score").cast("double") * 100).alias("score_pct"))

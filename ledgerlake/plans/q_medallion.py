@@ -392,7 +392,8 @@ SELECT transaction_id, customer_id,
        CAST(SUM(risk_score) OVER (PARTITION BY customer_id) AS DOUBLE)
          / COUNT(risk_score) OVER (PARTITION BY customer_id) AS customer_avg_risk,
        MAX(risk_score) OVER (PARTITION BY customer_id) AS customer_max_risk,
-       SUM(CASE WHEN fraud_decision = 'DECLINED' THEN 1 ELSE 0 END) OVER (PARTITION BY customer_id) AS customer_declines
+       CAST(SUM(CASE WHEN fraud_decision = 'DECLINED' THEN 1 ELSE 0 END) OVER (PARTITION BY customer_id) AS BIGINT)
+         AS customer_declines
 FROM transactions_fact"""))
 def _window_avg(ctx):
     from ..operators.windows import per_key_totals

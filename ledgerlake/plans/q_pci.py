@@ -135,7 +135,7 @@ REDACT_SQL = (f"regexp_replace(regexp_replace(text, '{masks.CARD_PATTERN}', '***
 
 
 @register("redact_text", f"""
-SELECT doc_id, sha256({REDACT_SQL}) AS redacted_sha256, length({REDACT_SQL}) AS redacted_length,
+SELECT doc_id, sha256({REDACT_SQL}) AS redacted_sha256, CAST(length({REDACT_SQL}) AS INTEGER) AS redacted_length,
        {REDACT_SQL} <> text AS changed
 FROM documents""")
 def _redact(ctx):

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..session import scratch_path
@@ -63,13 +64,20 @@ def _signals_path(ctx) -> str:
     return ctx._memo["_sig_path"]
 
 
+def wall_clock(df: DataFrame) -> DataFrame:
+    """Event times back as TIMESTAMP_NTZ (the wall-clock text of the payload), so results do
+    not depend on the reading session's time zone."""
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
 def _run_to_files(ctx, df: DataFrame, name: str, partition_by=None) -> DataFrame:
     out = scratch_path(ctx.spark, f"{name}-out")
     q = jobs.start_file_sink(df, out, scratch_path(ctx.spark, f"{name}-ckpt"), partition_by)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return ctx.spark.read.parquet(out)
+    return wall_clock(ctx.spark.read.parquet(out))
 
 
 def _not_sentinel(df: DataFrame) -> DataFrame:
@@ -187,7 +195,7 @@ FROM sp WHERE NOT (ok AND transaction_id IS NOT NULL AND merchant_id IS NOT NULL
                    AND event_ts IS NOT NULL)"""))
 def _st2(ctx):
     _good, dlq = _dlq_run(ctx)
-    return ctx.spark.read.parquet(dlq).select("payload", "error")
+    return wall_clock(ctx.spark.read.parquet(dlq).select("payload", "error"))
 
 
 # ---- st3: stream-stream join ----------------------------------------------------
@@ -266,7 +274,7 @@ def _st5(ctx):
         g = g.unionByName(d)
     except Exception:  # noqa: BLE001 - no late row at all
         pass
-    return _not_sentinel(g)
+    return wall_clock(_not_sentinel(g))
 
 
 # ---- st6: partitioned bronze append -------------------------------------------------
@@ -329,8 +337,8 @@ def _st10(ctx):
 # ---- st11 and lag alert ------------------------------------------------------------------
 
 @register("st11_settlement_ingest", sql_with(["fx_settlement"], """
-SELECT settlement_id, transaction_id, settlement_date, amount, fee, chargeback_flag FROM fx_settlement
-WHERE settlement_id NOT LIKE '%7'"""))
+SELECT settlement_id, transaction_id, settlement_date, CAST(amount AS DECIMAL(18,2)) AS amount, fee, chargeback_flag
+FROM fx_settlement WHERE settlement_id NOT LIKE '%7'"""))
 def _st11(ctx):
     bronze, dlq = scratch_path(ctx.spark, "st11-bronze"), scratch_path(ctx.spark, "st11-dlq")
     q = jobs.start_settlement_ingest(ctx.spark, _settlement_dir(ctx), bronze, dlq, scratch_path(ctx.spark, "st11-ckpt"),
@@ -346,4 +354,4 @@ def _lag(ctx):
     out = scratch_path(ctx.spark, "lag-out")
     q = jobs.start_file_sink(d, out, scratch_path(ctx.spark, "lag-ckpt"))
     q.awaitTermination()
-    return jobs.alert_stream_lag(ctx.spark, jobs.lag_rows(q), 60)
+    return wall_clock(jobs.alert_stream_lag(ctx.spark, jobs.lag_rows(q), 60))
