@@ -98,7 +98,7 @@ def run_once(spark, build) -> float:
 
 def main() -> None:
     registry.queries()  # load every query module
-    spark = build_session(master=f"local[{CPUS}]", shuffle_partitions=CPUS * 2,
+    spark = build_session(master=f"local[{CPUS}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", CPUS)),
                           app_name="ledgerlake-bench")
     results = {}
     for name, build in headline(spark).items():
