@@ -3,8 +3,9 @@
 Each query lands its input (derived from the driver tables) as time-ordered files in a
 fresh folder under the shared checkpoint dir, runs the Structured Streaming job with
 ``maxFilesPerTrigger=1`` and ``availableNow``, waits for it, and returns the sink read
-back as a batch DataFrame. Two far-future sentinel files end each stream so watermarks
-pass and append-mode state is flushed; sentinel rows are removed from results.
+back as a batch DataFrame. A far-future sentinel file ends each stream: the watermark
+jumps past every open session / join bound, Spark runs one more (no-data) batch that
+flushes append-mode state, and the sentinel rows are removed from the results.
 
 Where the streaming result must equal a batch query (dedupe, join, velocity, routing,
 tokens, validation), the DuckDB oracle states that batch query.
@@ -25,6 +26,7 @@ from .registry import register
 
 SENTINEL_TS = ["2099-01-01 00:00:00", "2099-01-01 00:00:01"]
 N_FILES = 4
+N_SENTINELS = 1
 
 
 def _payment_sentinel(spark, i: int) -> DataFrame:
@@ -46,7 +48,7 @@ def _land(ctx, fixture: str, name: str, sentinel, ordered: bool = True) -> str:
         sources.land_files(src.select("order_ts", "payload"), path, N_FILES, "order_ts")
     else:  # arrival order unrelated to event time: late rows from the third file on
         src.select("payload").repartition(N_FILES, F.col("payload")).write.mode("overwrite").parquet(path)
-    for i in range(2):
+    for i in range(N_SENTINELS):
         sentinel(ctx.spark, i).write.mode("append").parquet(path)
     return path
 
