@@ -48,15 +48,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     this function only reads it. Only when it is unset (local tests) is a fresh
     local folder created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    try:  # classic sessions: the SparkContext may already carry a checkpoint dir
+        sc = spark.sparkContext
+        current = current or sc.getCheckpointDir()
+        if not current:
+            current = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return sc.getCheckpointDir() or current
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, the conf is the source
+        if not current:
+            current = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", current)
+        return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
