@@ -75,7 +75,8 @@ def wall_clock(df: DataFrame) -> DataFrame:
 
 def _run_to_files(ctx, df: DataFrame, name: str, partition_by=None) -> DataFrame:
     out = scratch_path(ctx.spark, f"{name}-out")
-    q = jobs.start_file_sink(df, out, scratch_path(ctx.spark, f"{name}-ckpt"), partition_by)
+    q = jobs.start_file_sink(df, out, scratch_path(ctx.spark, f"{name}-ckpt"), partition_by,
+                             n_state_partitions=jobs.default_state_partitions(ctx.spark))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -354,6 +355,7 @@ def _st11(ctx):
 def _lag(ctx):
     d = stateful.dedupe_latest(_valid_payments(ctx), "transaction_id", "event_ts", "30 minutes")
     out = scratch_path(ctx.spark, "lag-out")
-    q = jobs.start_file_sink(d, out, scratch_path(ctx.spark, "lag-ckpt"))
+    q = jobs.start_file_sink(d, out, scratch_path(ctx.spark, "lag-ckpt"),
+                             n_state_partitions=jobs.default_state_partitions(ctx.spark))
     q.awaitTermination()
     return wall_clock(jobs.alert_stream_lag(ctx.spark, jobs.lag_rows(q), 60))

@@ -7,6 +7,7 @@ restarted driver or a lost executor resumes from the last committed batch.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +24,42 @@ def _trigger(writer, available_now: bool):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Start a stateful query with ``n`` state partitions. A streaming query snapshots the
+    session conf when it starts and keeps that partition count for the life of its
+    checkpoint, so the session value is set only around ``start()`` and then restored."""
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def default_state_partitions(spark: SparkSession) -> int:
+    """Cores of the cluster (at least 1), capped by the session's shuffle partitions."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+        cores = cap
+    return max(1, min(cap, cores))
+
+
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
-                    available_now: bool = True, mode: str = "append") -> StreamingQuery:
+                    available_now: bool = True, mode: str = "append",
+                    n_state_partitions: int | None = None) -> StreamingQuery:
     """st6: append a stream to a (partitioned) parquet table with a checkpoint."""
     w = df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    return _trigger(w, available_now).start(path)
+    with state_partitions(df.sparkSession, n_state_partitions):
+        return _trigger(w, available_now).start(path)
 
 
 def start_validated_ingest(spark: SparkSession, src_path: str, good_path: str, dlq_path: str, checkpoint: str,
