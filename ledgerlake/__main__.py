@@ -53,7 +53,8 @@ def cmd_increment(a) -> dict:
     from .sources import tables
     spark = _session()
     appended = run_increment(spark, tables.read_payment_transactions(spark, a.payments, a.format),
-                             tables.read_fraud_signals(spark, a.signals, a.format), a.state, a.as_of or _now(), a.days)
+                             tables.read_fraud_signals(spark, a.signals, a.format), a.state, a.as_of or _now(), a.days,
+                             a.prune_targets)
     return {"job": "increment", "appended": appended}
 
 
@@ -96,6 +97,7 @@ def main(argv=None) -> None:
     i.add_argument("--as-of")
     i.add_argument("--days", type=int, default=90)
     i.add_argument("--format", default="parquet")
+    i.add_argument("--prune-targets", action="store_true")
     g = sub.add_parser("merge")
     g.add_argument("--fact-root", required=True)
     g.add_argument("--settlement", required=True)

@@ -38,8 +38,19 @@ def payment_validated_batch(raw: DataFrame, as_of, days: int = K.RETENTION_DAYS)
                                                 "currency", "payment_method", "status"])
 
 
-def inc_payment_validated(raw: DataFrame, target: DataFrame | None, as_of, days: int = K.RETENTION_DAYS) -> DataFrame:
+def _recent(target: DataFrame, as_of, days: int) -> DataFrame:
+    """Target rows a batch key can still match: a payment keeps its created_at across
+    versions and the batch holds only the last ``days``, so older target rows never match.
+    On a target partitioned (or clustered) by creation date this is partition pruning,
+    and the anti join shuffles a retention window of keys instead of the whole history."""
+    return silver.retention_filter(target, "created_at", as_of, days)
+
+
+def inc_payment_validated(raw: DataFrame, target: DataFrame | None, as_of, days: int = K.RETENTION_DAYS,
+                          prune_target: bool = False) -> DataFrame:
     batch = payment_validated_batch(raw, as_of, days)
+    if target is not None and prune_target:
+        target = _recent(target, as_of, days)
     new = batch if target is None else anti_existing(batch, target, "payment_id")
     return new.select(*PAYMENT_VALIDATED_COLS)
 
@@ -82,7 +93,13 @@ def join_fact_b(validated: DataFrame, enriched: DataFrame) -> DataFrame:
                     F.col("fe.signal_id").alias("fraud_signal_id"), F.col("fe.risk_score"), F.col("pv.created_at")))
 
 
-def inc_fact_payments(validated: DataFrame, enriched: DataFrame, target: DataFrame | None) -> DataFrame:
-    """New facts only: a late signal never updates a fact that already exists."""
+def inc_fact_payments(validated: DataFrame, enriched: DataFrame, target: DataFrame | None,
+                      as_of=None, days: int = K.RETENTION_DAYS, prune_target: bool = False) -> DataFrame:
+    """New facts only: a late signal never updates a fact that already exists.
+    With ``prune_target`` both sides are cut to the retention window first (same result
+    when validated rows are themselves inside the window, as increments produce them)."""
+    if target is not None and prune_target:
+        validated = _recent(validated, as_of, days)
+        target = _recent(target, as_of, days)
     source = validated if target is None else anti_existing(validated, target, "payment_id")
     return join_fact_b(source, enriched).select(*FACT_PAYMENTS_COLS)

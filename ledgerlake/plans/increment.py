@@ -32,8 +32,10 @@ def _read_target(spark: SparkSession, state_dir: str, name: str) -> DataFrame |
 
 
 def run_increment(spark: SparkSession, payments: DataFrame, signals: DataFrame, state_dir: str, as_of,
-                  days: int = K.RETENTION_DAYS) -> dict[str, int]:
-    """Append the new rows of every step; returns the number of rows appended per table."""
+                  days: int = K.RETENTION_DAYS, prune_targets: bool = False) -> dict[str, int]:
+    """Append the new rows of every step; returns the number of rows appended per table.
+    ``prune_targets`` restricts the payment and fact anti joins to the retention window
+    of the target (see ``incremental._recent``)."""
     appended: dict[str, int] = {}
 
     def step(name: str, new_rows: DataFrame, columns: list[str]) -> None:
@@ -46,7 +48,8 @@ def run_increment(spark: SparkSession, payments: DataFrame, signals: DataFrame,
             append_table(staged, _path(state_dir, name), columns)
 
     step("payment_validated",
-         inc.inc_payment_validated(payments, _read_target(spark, state_dir, "payment_validated"), as_of, days),
+         inc.inc_payment_validated(payments, _read_target(spark, state_dir, "payment_validated"), as_of, days,
+                                   prune_targets),
          inc.PAYMENT_VALIDATED_COLS)
     step("fraud_enriched", inc.inc_fraud_enriched(signals, _read_target(spark, state_dir, "fraud_enriched")),
          inc.FRAUD_ENRICHED_COLS)
@@ -58,7 +61,8 @@ def run_increment(spark: SparkSession, payments: DataFrame, signals: DataFrame,
          inc.DIM_COLS["merchant"])
     step("dim_customer", inc.inc_dim_customer(validated, _read_target(spark, state_dir, "dim_customer")),
          inc.DIM_COLS["customer"])
-    step("fact_payments", inc.inc_fact_payments(validated, enriched, _read_target(spark, state_dir, "fact_payments")),
+    step("fact_payments", inc.inc_fact_payments(validated, enriched, _read_target(spark, state_dir, "fact_payments"),
+                                                as_of, days, prune_targets),
          inc.FACT_PAYMENTS_COLS)
     return appended
 
