@@ -43,13 +43,11 @@ def classify_sql(name_col: str = "column_name") -> str:
             f"WHEN {_in_words(n, K.PARTIAL_MASK_WORDS)} THEN 'partial' ELSE 'redact' END AS mask_type")
 
 
-_TABLE_LIST = ", ".join(f"'{t}'" for t in TEST_TABLES)
 _CARD_LIST = ", ".join(f"'{c}'" for c in CARDHOLDER_COLS)
 PCI_LAYERS = {
-    "cols": ([], f"""
-SELECT 'testdata' AS schema_name, table_name, column_name FROM information_schema.columns
-WHERE table_name IN ({_TABLE_LIST})
-UNION ALL SELECT 'testdata', 'fx_cardholders', unnest([{_CARD_LIST}])"""),
+    "cols": ([], "\nUNION ALL ".join(
+        [f"SELECT 'testdata' AS schema_name, '{t}' AS table_name, column_name FROM (DESCRIBE {t})" for t in TEST_TABLES]
+        + [f"SELECT 'testdata', 'fx_cardholders', unnest([{_CARD_LIST}])"])),
     "classified": (["cols"], f"SELECT schema_name, table_name, column_name, {classify_sql()} FROM cols"),
 }
 
