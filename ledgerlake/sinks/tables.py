@@ -107,3 +107,16 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     if v is None:
         raise FileNotFoundError(f"no published version under {root}")
     return spark.read.parquet(f"{root.rstrip('/')}/v={v}")
+
+
+def write_topics(routed: DataFrame, path: str) -> str:
+    """Routed (topic, key, value) rows as one folder per topic (``topic=<name>``), appended."""
+    routed.write.mode("append").partitionBy("topic").parquet(path)
+    return path
+
+
+def write_kafka(routed: DataFrame, bootstrap_servers: str) -> None:
+    """Routed rows to a broker: the Kafka sink reads the ``topic`` column per row. Needs the
+    spark-sql-kafka connector on the classpath (not bundled here)."""
+    (routed.selectExpr("topic", "CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+     .write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).save())

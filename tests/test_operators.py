@@ -185,3 +185,12 @@ def test_pruned_anti_join_gives_the_same_increment(spark):
     fa = inc.inc_fact_payments(r.pv2, r.fe2, r.fact1)
     fb = inc.inc_fact_payments(r.pv2, r.fe2, r.fact1, r.ctx.as_of, r.ctx.days, prune_target=True)
     assert sorted(map(tuple, fa.collect())) == sorted(map(tuple, fb.collect()))
+
+
+def test_route_and_write_topics(spark):
+    df = spark.createDataFrame([("a", "high", "review"), ("b", "low", "approve")],
+                               "transaction_id string, risk_level string, decision string")
+    path = scratch_path(spark, "test-topics")
+    sinks.write_topics(fraud.route_signals(df), path)
+    got = sorted((r["topic"], r["key"]) for r in spark.read.parquet(path).collect())
+    assert got == [("fraud.alerts", "a"), ("fraud.decisions", "a"), ("fraud.signals", "b")]
