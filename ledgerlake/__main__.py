@@ -74,7 +74,8 @@ def cmd_merge(a) -> dict:
 def cmd_settlement_stream(a) -> dict:
     from .streaming import jobs
     spark = _session()
-    q = jobs.start_settlement_ingest(spark, a.src, a.bronze, a.dlq, a.checkpoint, available_now=a.once)
+    q = jobs.start_settlement_ingest(spark, a.src, a.bronze, a.dlq, a.checkpoint, available_now=a.once,
+                                     include_existing=not a.skip_existing)
     q.awaitTermination()
     return {"job": "settlement-stream", "batches": len(q.recentProgress)}
 
@@ -108,6 +109,7 @@ def main(argv=None) -> None:
     s.add_argument("--dlq", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--once", action="store_true")
+    s.add_argument("--skip-existing", action="store_true", help="ignore files present at the first start")
     a = ap.parse_args(argv)
     fn = {"medallion": cmd_medallion, "increment": cmd_increment, "merge": cmd_merge,
           "settlement-stream": cmd_settlement_stream}[a.cmd]

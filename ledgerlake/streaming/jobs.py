@@ -74,11 +74,25 @@ def start_validated_ingest(spark: SparkSession, src_path: str, good_path: str, d
     return _trigger(w, available_now).start()
 
 
+def first_start_time(spark: SparkSession, checkpoint: str) -> str:
+    """The time this query first started, kept next to its checkpoint so that restarts
+    reuse it (files that arrive while the query is down are still read)."""
+    marker = f"{checkpoint.rstrip('/')}_first_start"
+    try:
+        return spark.read.text(marker).first()[0]
+    except Exception:  # noqa: BLE001 - first start
+        now = spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+        spark.createDataFrame([(now,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+        return now
+
+
 def start_settlement_ingest(spark: SparkSession, src_dir: str, bronze_path: str, dlq_path: str, checkpoint: str,
-                            max_files: int = K.SETTLEMENT_FILES_PER_TRIGGER,
-                            available_now: bool = True) -> StreamingQuery:
-    """st11: settlement CSV drop -> typed, validated bronze partitioned by settlement_date; bad rows -> DLQ."""
-    raw = sources.stream_settlement(spark, src_dir, max_files)
+                            max_files: int = K.SETTLEMENT_FILES_PER_TRIGGER, available_now: bool = True,
+                            include_existing: bool = True) -> StreamingQuery:
+    """st11: settlement CSV drop -> typed, validated bronze partitioned by settlement_date; bad rows -> DLQ.
+    ``include_existing=False`` ignores files already in the folder when the query first started."""
+    since = None if include_existing else first_start_time(spark, checkpoint)
+    raw = sources.stream_settlement(spark, src_dir, max_files, since)
     typed = raw.select(
         "settlement_id", "transaction_id",
         F.col("settlement_date").try_cast("date").alias("settlement_date"),

@@ -56,7 +56,14 @@ def stream_signals(spark: SparkSession, path: str, max_files: int = 1) -> DataFr
     return raw.select(F.from_json("payload", schemas.SIGNAL_EVENT).alias("s")).select("s.*")
 
 
-def stream_settlement(spark: SparkSession, path: str, max_files: int = K.SETTLEMENT_FILES_PER_TRIGGER) -> DataFrame:
-    """Settlement CSV drop folder: text columns (typed after validation), 100 files per trigger."""
-    return (spark.readStream.schema(schemas.SETTLEMENT_CSV).option("header", "true")
-            .option("maxFilesPerTrigger", max_files).csv(path))
+def stream_settlement(spark: SparkSession, path: str, max_files: int = K.SETTLEMENT_FILES_PER_TRIGGER,
+                      files_modified_since: str | None = None) -> DataFrame:
+    """Settlement CSV drop folder: text columns (typed after validation), 100 files per trigger.
+    ``files_modified_since`` skips files that were already in the folder before that time
+    (the drop folder's "include existing files = false"), using the file-scan metadata."""
+    stream = (spark.readStream.schema(schemas.SETTLEMENT_CSV).option("header", "true")
+              .option("maxFilesPerTrigger", max_files).csv(path))
+    if files_modified_since is None:
+        return stream
+    since = F.lit(files_modified_since).cast("timestamp")
+    return stream.filter(F.col("_metadata.file_modification_time") >= since).select(*schemas.SETTLEMENT_CSV.names)
