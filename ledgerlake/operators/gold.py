@@ -126,11 +126,20 @@ def fact_transactions(txn: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def metric_daily_payment_summary(calendar: DataFrame, fact: DataFrame) -> DataFrame:
-    """Per calendar day, empty days included. The fact is aggregated per date_key first
-    (map-side combine), so the calendar join sees one row per day, never the fact."""
+    """Per calendar day, empty days included.
+
+    The fact is first cut to the calendar's first..last day (scalar subqueries, so a fact
+    partitioned or clustered by date_key is pruned at the scan) and semi-joined to the
+    broadcast calendar (days + 1 rows, a bound set by the caller). The survivors are
+    aggregated per day (map-side combine), so the per-day result has at most days + 1
+    rows and is broadcast into the calendar join."""
     amt = F.col("transaction_amount")
     status = F.col("payment_status")
-    per_day = fact.groupBy("date_key").agg(
+    keys = calendar.select("date_key")
+    first_day, last_day = keys.select(F.min("date_key")).scalar(), keys.select(F.max("date_key")).scalar()
+    in_calendar = (fact.filter(F.col("date_key").between(first_day, last_day))  # prunes date partitions
+                   .join(F.broadcast(keys), on="date_key", how="left_semi"))
+    per_day = in_calendar.groupBy("date_key").agg(
         F.count("transaction_id").alias("total_transactions"),
         F.count_distinct("merchant_id").alias("active_merchants"),
         F.count_distinct("customer_id").alias("active_customers"),
@@ -155,7 +164,7 @@ def metric_daily_payment_summary(calendar: DataFrame, fact: DataFrame) -> DataFr
                      "medium_risk_count", "low_risk_count"]
     d = calendar.select("date_key", "calendar_date", "year", "quarter", "month_number", "month_name",
                         "week_number", "day_name")
-    j = d.join(per_day, on="date_key", how="left")
+    j = d.join(F.broadcast(per_day), on="date_key", how="left")
     return j.select(
         "calendar_date", "year", "quarter", "month_number", "month_name", "week_number", "day_name",
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in zero_if_empty else F.col(c)

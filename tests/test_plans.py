@@ -53,3 +53,13 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 def test_velocity_windows_are_bucketed(spark):
     p = plan(QUERIES["velocity_count"](spark, SF_SMALL))
     assert "Window" in p and "_s" in p  # partitioned by (customer, time slice), not by customer only
+
+
+def test_daily_summary_prunes_date_partitions(spark):
+    from ledgerlake.plans.context import Ctx
+    from ledgerlake.session import scratch_path
+    published = Ctx(spark, SF_SMALL).med.run(scratch_path(spark, "test-dpp"), partition_by=["date_key"])
+    df = published.metric_daily_payment_summary
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "date_key" in p and ("dynamicpruning" in p or "Subquery" in p)
+    assert df.count() == 731
