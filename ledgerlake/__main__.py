@@ -42,8 +42,7 @@ def cmd_medallion(a) -> dict:
                   tables.read_fraud_raw(spark, a.signals, a.format), a.as_of or _now(), a.days)
     published = m.run(a.out, partition_by=["date_key"] if a.partition_by_day else None)
     from .sinks.tables import write_table
-    for view in ("dim_date", "dim_merchant", "dim_customer", "dim_payment_method", "metric_daily_payment_summary",
-                 "metric_fraud_analytics", "metric_customer_risk_profile"):
+    for view in ("dim_date", "metric_daily_payment_summary", "metric_fraud_analytics", "metric_customer_risk_profile"):
         write_table(getattr(published, view), f"{a.out}/gold/{view}")
     return {"job": "medallion", "out": a.out}
 

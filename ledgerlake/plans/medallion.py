@@ -53,15 +53,15 @@ class Medallion:
 
     @cached_property
     def dim_merchant(self) -> DataFrame:
-        return gold.dim_merchant(self.transactions_fact)
+        return self._get("dim_merchant", lambda: gold.dim_merchant(self.transactions_fact))
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return gold.dim_customer(self.transactions_fact)
+        return self._get("dim_customer", lambda: gold.dim_customer(self.transactions_fact))
 
     @cached_property
     def dim_payment_method(self) -> DataFrame:
-        return gold.dim_payment_method(self.transactions_fact)
+        return self._get("dim_payment_method", lambda: gold.dim_payment_method(self.transactions_fact))
 
     @cached_property
     def fact_transactions(self) -> DataFrame:
@@ -80,9 +80,9 @@ class Medallion:
         return gold.metric_customer_risk_profile(self.fact_transactions, self.dim_customer)
 
     def run(self, out_dir: str, partition_by: list[str] | None = None) -> "Medallion":
-        """Write silver.transactions_fact and gold.fact_transactions under ``out_dir`` and
-        return a Medallion whose dimensions and metric views read them back (this also
-        cuts the lineage of everything built on top).
+        """Write silver.transactions_fact, gold.fact_transactions and the three key
+        dimensions under ``out_dir`` and return a Medallion whose metric views read them
+        back (this also cuts the lineage of everything built on top).
 
         The gold fact is clustered by ``date_key`` inside each file, so parquet min/max
         statistics skip row groups on date filters; pass ``partition_by=["date_key"]``
@@ -96,5 +96,12 @@ class Medallion:
         fact = gold.fact_transactions(txn)
         write_table(fact.sortWithinPartitions("date_key"), fact_path, partition_by=partition_by)
         fact = self.spark.read.schema(fact.schema).parquet(fact_path).select(*fact.columns)
+        overrides = {"transactions_fact": txn, "fact_transactions": fact}
+        staged = Medallion(self.spark, self.payments_raw, self.fraud_raw, self.as_of, self.days, self.calendar_days,
+                           overrides=overrides)
+        for dim in ("dim_merchant", "dim_customer", "dim_payment_method"):  # per-key tables, built from txn
+            path = f"{out_dir}/gold/{dim}"
+            write_table(getattr(staged, dim), path)
+            overrides[dim] = self.spark.read.parquet(path)
         return Medallion(self.spark, self.payments_raw, self.fraud_raw, self.as_of, self.days, self.calendar_days,
-                         overrides={"transactions_fact": txn, "fact_transactions": fact})
+                         overrides=overrides)
