@@ -189,7 +189,14 @@ def _routing(ctx):
     return fraud.route_signals(s, "fraud", value)
 
 
-@register("signal_to_json")
+@register("signal_to_json", _sql("""SELECT transaction_id, CAST(to_json({
+    'transaction_id': transaction_id, 'risk_score': CAST(risk_score AS VARCHAR), 'risk_level': risk_level,
+    'alerts': alerts, 'decision': decision, 'case_status': 'pending', 'case_id': CAST(NULL AS VARCHAR),
+    'merchant_id': merchant_id, 'customer_id': customer_id, 'amount': CAST(amount AS VARCHAR), 'currency': currency,
+    'ml_scores': MAP {}::MAP(VARCHAR, DOUBLE), 'created_at': strftime(ts, '%Y-%m-%dT%H:%M:%S'),
+    'updated_at': strftime(ts, '%Y-%m-%dT%H:%M:%S'), 'metadata': {'engine': 'simple', 'context_used': true}})
+  AS VARCHAR) AS signal_json
+FROM scored"""))
 def _signal_json(ctx):
     s = scored(ctx)
     return s.select("transaction_id", fraud.signal_json(s, "ts").alias("signal_json"))

@@ -316,12 +316,12 @@ def _st8(ctx):
     return out.filter(~F.col("key").startswith("__sentinel__")).select("topic", "key")
 
 
-@register("st9_subscribe")
+@register("st9_subscribe", ssql(["ss"], "SELECT decision, COUNT(*) AS signals FROM ss GROUP BY decision"))
 def _st9(ctx):
     sink = scratch_path(ctx.spark, "st9-out")
 
     def callback(batch: DataFrame, batch_id: int) -> None:
-        (batch.groupBy("decision").agg(F.count(F.lit(1)).alias("signals"))
+        (_not_sentinel(batch).groupBy("decision").agg(F.count(F.lit(1)).alias("signals"))
          .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}"))
 
     sig = sources.stream_signals(ctx.spark, _signals_path(ctx))

@@ -17,8 +17,8 @@ STREAM = sorted(n for n in QUERIES if n not in BATCH)
 def test_every_query_has_a_check():
     rows_only = sorted(n for n in QUERIES if n not in SQLS)
     # the operators that cannot be one SQL statement (model fit, stream state, current_user, file paths)
-    assert set(rows_only) <= {"ml_score", "signal_to_json", "src_file_metadata", "mask_by_user", "identity",
-                              "st5_late_to_dlq", "st9_subscribe", "alert_stream_lag"}, rows_only
+    assert set(rows_only) <= {"ml_score", "src_file_metadata", "mask_by_user", "identity",
+                              "st5_late_to_dlq", "alert_stream_lag"}, rows_only
 
 
 @pytest.mark.parametrize("name", BATCH)
