@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import risk
 from ..operators import fraud
 from .registry import register
 
@@ -155,9 +156,8 @@ def _decide(ctx):
 @register("extra_alerts", _sql("""SELECT transaction_id, risk_level, bl_alerts AS alerts, bl_decision AS decision
 FROM scored"""))
 def _extra_alerts(ctx):
-    from pyspark.sql import functions as F2
-    blacklist = (ctx.fx("customer").filter(F2.col("c_acctbal") < 0)
-                 .select(F2.concat(F2.lit("C"), F2.col("c_custkey").cast("string")).alias("customer_id")))
+    blacklist = (ctx.fx("customer").filter(F.col("c_acctbal") < 0)
+                 .select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("customer_id")))
     base = fraud.blacklist_alerts(scoring_context(ctx), blacklist, "customer_id")
     out = fraud.score_transactions(base, rules(), F.col("extra_alerts"))
     return out.select("transaction_id", "risk_level", "alerts", "decision")
@@ -166,14 +166,12 @@ def _extra_alerts(ctx):
 @register("is_high_risk", _sql("""SELECT transaction_id, risk_level, risk_level IN ('high', 'critical') AS is_high_risk
 FROM scored"""))
 def _is_high(ctx):
-    from ..functions import risk
     return scored(ctx).select("transaction_id", "risk_level", risk.is_high_risk("risk_level").alias("is_high_risk"))
 
 
 @register("should_decline", _sql("""SELECT transaction_id, decision, decision IN ('decline', 'block') AS should_decline
 FROM scored"""))
 def _should_decline(ctx):
-    from ..functions import risk
     return scored(ctx).select("transaction_id", "decision", risk.should_decline("decision").alias("should_decline"))
 
 

@@ -415,9 +415,8 @@ UNION ALL SELECT 'transactions_fact', COUNT(*) FROM transactions_fact
 UNION ALL SELECT 'dim_merchant', COUNT(*) FROM dim_merchant"""))
 def _union_all(ctx):
     m = ctx.med
-    parts = [(n, df) for n, df in [("payments_cleaned", m.payments_cleaned),
-                                    ("fraud_signals_cleaned", m.fraud_signals_cleaned),
-                                    ("transactions_fact", m.transactions_fact), ("dim_merchant", m.dim_merchant)]]
+    parts = [("payments_cleaned", m.payments_cleaned), ("fraud_signals_cleaned", m.fraud_signals_cleaned),
+             ("transactions_fact", m.transactions_fact), ("dim_merchant", m.dim_merchant)]
     out = None
     for n, df in parts:
         one = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
