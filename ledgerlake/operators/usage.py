@@ -18,6 +18,16 @@ def filter_recent_days(daily: DataFrame, as_of, days: int = 7) -> DataFrame:
     return daily.filter(F.col("calendar_date") >= start).orderBy(F.col("calendar_date").desc())
 
 
+def recent_daily_summary(calendar: DataFrame, fact: DataFrame, as_of, days: int = 7) -> DataFrame:
+    """The same rows as ``filter_recent_days`` over the full daily view, but the view is
+    built over the last ``days`` of the calendar, so only those days of the fact are read
+    (the calendar bounds reach the fact scan)."""
+    from .gold import metric_daily_payment_summary
+    start = F.date_sub(casts.as_of_ts(as_of).cast("date"), days)
+    daily = metric_daily_payment_summary(calendar.filter(F.col("calendar_date") >= start), fact)
+    return daily.orderBy(F.col("calendar_date").desc())
+
+
 def filter_risky_customers(profile: DataFrame, classes=("HIGH_RISK", "VERY_HIGH_RISK"),
                            order_by: str = "transaction_count") -> DataFrame:
     return (profile.filter(F.col("risk_classification").isin(*classes))

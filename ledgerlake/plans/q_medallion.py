@@ -126,7 +126,7 @@ def _high_block(ctx):
 SELECT * FROM metric_daily_payment_summary WHERE calendar_date >= CAST({AS_OF_SQL} AS DATE) - 7
 ORDER BY calendar_date DESC"""))
 def _recent_days(ctx):
-    return usage.filter_recent_days(ctx.med.metric_daily_payment_summary, ctx.as_of, 7)
+    return usage.recent_daily_summary(ctx.med.dim_date, ctx.med.fact_transactions, ctx.as_of, 7)
 
 
 @register("filter_risky_customers", sql_with(["metric_customer_risk_profile"], """

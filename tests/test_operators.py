@@ -194,3 +194,12 @@ def test_route_and_write_topics(spark):
     sinks.write_topics(fraud.route_signals(df), path)
     got = sorted((r["topic"], r["key"]) for r in spark.read.parquet(path).collect())
     assert got == [("fraud.alerts", "a"), ("fraud.decisions", "a"), ("fraud.signals", "b")]
+
+
+def test_recent_daily_summary_equals_filtered_view(spark):
+    from ledgerlake.operators import gold, usage
+    from ledgerlake.plans.context import Ctx
+    m = Ctx(spark, "/root/testdata/sf0.001").med
+    a = usage.filter_recent_days(gold.metric_daily_payment_summary(m.dim_date, m.fact_transactions), m.as_of, 7)
+    b = usage.recent_daily_summary(m.dim_date, m.fact_transactions, m.as_of, 7)
+    assert a.collect() == b.collect()
