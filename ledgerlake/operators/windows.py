@@ -113,3 +113,44 @@ def previous_value(df: DataFrame, key: str, ts: str, order_id: str, value: str,
            .select(key, order_id,
                    F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_lag")).alias(name)))
     return df.join(out, on=[key, order_id], how="left")
+
+
+def velocity_and_previous(df: DataFrame, key: str, ts: str, order_id: str, value: str, minutes: int = 60,
+                          count_name: str = "prior_count", prev_name: str = "previous_value",
+                          slice_seconds: int = 60) -> DataFrame:
+    """``velocity_count`` and ``previous_value`` in one pass over the same (key, slice)
+    partitions: inside a slice the previous value is the last event value over the
+    preceding rows (markers carry none), and the per-slice summary that feeds the count
+    prefix also carries each slice's last value to the next non-empty slice. Rows without
+    a key or a time get NULL for both."""
+    span = minutes * 60 * 1_000_000
+    width = slice_seconds * 1_000_000
+    oid = "_oid"
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    value_type = df.schema[value].dataType.simpleString()
+    unknown = (df.filter(~known).withColumn(count_name, F.lit(None).cast("long"))
+               .withColumn(prev_name, F.lit(None).cast(value_type)))
+    events = (df.filter(known).withColumn(oid, F.col(order_id)).withColumn("_p", _micros(ts, _is_ntz(df, ts)))
+              .withColumn("_kind", F.lit(1)).withColumn("_ev", F.lit(1))
+              .withColumn("_val", F.struct(F.col(value).alias("v"))))
+    markers = events.select(key, oid, (F.col("_p") - F.lit(span)).alias("_p"), F.lit(0).alias("_kind"),
+                            F.lit(0).alias("_ev"))
+    both = events.unionByName(markers, allowMissingColumns=True) \
+                 .withColumn("_s", F.floor(F.col("_p") / F.lit(width)).cast("long"))
+    is_event = F.col("_kind") == 1
+    slices = both.groupBy(key, "_s").agg(
+        F.sum("_ev").alias("_n"),
+        F.max_by(F.col("_val"), F.when(is_event, F.struct(F.col("_p"), F.col(oid)))).alias("_last"))
+    earlier = Window.partitionBy(key).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = slices.select(key, "_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+                           F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    within = Window.partitionBy(key, "_s").orderBy("_p", "_kind", oid).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (both.withColumn("_within", F.coalesce(F.sum("_ev").over(within), F.lit(0)))
+              .withColumn("_prev", F.last("_val", ignorenulls=True).over(within))
+              .join(prefix, on=[key, "_s"], how="inner")
+              .withColumn("_rank", F.col("_before") + F.col("_within")))
+    marker_rank = ranked.filter(F.col("_kind") == 0).select(key, oid, F.col("_rank").alias("_mrank"))
+    out = (ranked.filter(is_event).join(marker_rank, on=[key, oid], how="inner")
+           .withColumn(count_name, (F.col("_rank") - F.col("_mrank")).cast("long"))
+           .withColumn(prev_name, F.coalesce(F.col("_prev"), F.col("_carry")).getField("v")))
+    return out.select(*df.columns, count_name, prev_name).unionByName(unknown)

@@ -203,3 +203,17 @@ def test_recent_daily_summary_equals_filtered_view(spark):
     a = usage.filter_recent_days(gold.metric_daily_payment_summary(m.dim_date, m.fact_transactions), m.as_of, 7)
     b = usage.recent_daily_summary(m.dim_date, m.fact_transactions, m.as_of, 7)
     assert a.collect() == b.collect()
+
+
+def test_velocity_and_previous_in_one_pass(spark):
+    rows, df = _events(spark, seed=5)
+    rows = [(i, c, t, (None if i % 17 == 0 else l)) for i, c, t, l in rows]  # some NULL values
+    df = spark.createDataFrame(rows, "id long, customer_id string, ts timestamp_ntz, loc string")
+    got = {r["id"]: (r["prior_count"], r["prev"]) for r in
+           windows.velocity_and_previous(df, "customer_id", "ts", "id", "loc", 60, "prior_count", "prev").collect()}
+    assert len(got) == len(rows)
+    for i, c, ts, _ in rows:
+        cnt = sum(1 for j, c2, t2, _ in rows if c2 == c and t2 >= ts - dt.timedelta(minutes=60)
+                  and (t2 < ts or (t2 == ts and j < i)))
+        earlier = sorted((t2, j, l2) for j, c2, t2, l2 in rows if c2 == c and (t2, j) < (ts, i))
+        assert got[i] == (cnt, earlier[-1][2] if earlier else None), i
