@@ -50,37 +50,45 @@ def stream_join(payments: DataFrame, signals: DataFrame, key: str = "transaction
 
 
 VELOCITY_OUT = "customer_id string, transaction_id string, event_ts timestamp, prior_count long"
-VELOCITY_STATE = "times array<timestamp>, ids array<string>"
+VELOCITY_STATE = "times array<long>, ids array<string>"
 
 
-def _velocity_fn(window_us: int):
-    window = pd.Timedelta(microseconds=window_us)
+def _velocity_fn(window_us: int, session_tz: str):
+    """Per customer: state = (event times as local wall-clock microseconds, ids) inside the
+    window; each call ranks the new events against state + batch with numpy."""
+    tz = session_tz
+
+    def to_local_us(epoch_ms: int) -> int:  # watermark (UTC epoch) -> session wall clock
+        ts = pd.Timestamp(epoch_ms, unit="ms", tz="UTC").tz_convert(tz).tz_localize(None)
+        return int(ts.value // 1000)
+
+    def to_epoch_ms(local_us: int) -> int:  # session wall clock -> UTC epoch (timeout)
+        ts = pd.Timestamp(local_us * 1000).tz_localize(tz, ambiguous=True, nonexistent="shift_forward")
+        return int(ts.tz_convert("UTC").value // 1_000_000)
 
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        times, ids = ([], []) if not state.exists else (list(state.get[0]), list(state.get[1]))
-        hist = pd.DataFrame({"t": pd.to_datetime(pd.Series(times, dtype="object")).astype("datetime64[ns]"),
-                             "i": pd.Series(ids, dtype="object"), "new": False})
+        old_t = np.asarray(state.get[0] if state.exists else [], dtype="int64")
+        old_i = np.asarray(state.get[1] if state.exists else [], dtype=object)
         new = pd.concat(list(batches), ignore_index=True)
-        cur = pd.DataFrame({"t": pd.to_datetime(new["event_ts"]).astype("datetime64[ns]"),
-                            "i": new["transaction_id"].astype("object"), "new": True})
-        allr = pd.concat([hist, cur], ignore_index=True).sort_values(["t", "i"], kind="mergesort") \
-                 .reset_index(drop=True)
-        tv = allr["t"].to_numpy()
-        pos = np.flatnonzero(allr["new"].to_numpy())
-        lo = tv[pos] - np.timedelta64(window_us, "us")
-        prior = pos - np.searchsorted(tv, lo, side="left")
-        newest = allr["t"].iloc[-1]
-        # keep what a not-yet-late event (ts >= watermark) can still count
-        cutoff = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms") - window
-        keep = allr[allr["t"] >= cutoff]
-        state.update((list(keep["t"].dt.to_pydatetime()), list(keep["i"])))
-        state.setTimeoutTimestamp(int((newest + window).timestamp() * 1000))
-        emitted = allr.iloc[pos]
-        yield pd.DataFrame({"customer_id": [key[0]] * len(pos), "transaction_id": emitted["i"].to_numpy(),
-                            "event_ts": emitted["t"].to_numpy(), "prior_count": prior.astype("int64")})
+        new_t = new["event_ts"].to_numpy(dtype="datetime64[us]").astype("int64")
+        new_i = new["transaction_id"].to_numpy(dtype=object)
+        t = np.concatenate([old_t, new_t])
+        i = np.concatenate([old_i, new_i])
+        is_new = np.concatenate([np.zeros(len(old_t), bool), np.ones(len(new_t), bool)])
+        by_id = np.argsort(i, kind="stable")
+        order = by_id[np.argsort(t[by_id], kind="stable")]  # (time, id) order
+        t, i, is_new = t[order], i[order], is_new[order]
+        pos = np.flatnonzero(is_new)
+        prior = pos - np.searchsorted(t, t[pos] - window_us, side="left")
+        # keep what a not-yet-late event (time >= watermark) can still count
+        keep = t >= to_local_us(state.getCurrentWatermarkMs()) - window_us
+        state.update((t[keep].tolist(), i[keep].tolist()))
+        state.setTimeoutTimestamp(to_epoch_ms(int(t[-1]) + window_us))
+        yield pd.DataFrame({"customer_id": [key[0]] * len(pos), "transaction_id": i[pos],
+                            "event_ts": t[pos].astype("datetime64[us]"), "prior_count": prior.astype("int64")})
 
     return fn
 
@@ -90,6 +98,7 @@ def velocity_state(stream: DataFrame, minutes: int = K.ENGINE_WINDOW_MINUTES,
     """Per-customer count of earlier events within ``minutes`` (input columns customer_id,
     transaction_id, event_ts). State per customer holds only the window's events."""
     src = stream.select("customer_id", "transaction_id", "event_ts").withWatermark("event_ts", delay)
+    tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
     return src.groupBy("customer_id").applyInPandasWithState(
-        _velocity_fn(minutes * 60 * 1_000_000), VELOCITY_OUT, VELOCITY_STATE, "append",
+        _velocity_fn(minutes * 60 * 1_000_000, tz), VELOCITY_OUT, VELOCITY_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
