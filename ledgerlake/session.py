@@ -69,3 +69,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint dir for one job run."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "ledgerlake", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for a job that reads ``input_bytes`` on ``cores`` executor cores.
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each, so a task's data fits
+    in executor memory without spilling; shuffle partitions are a multiple of the cores (whole
+    waves) and AQE coalesces the ones that come out small. Skewed partitions above four
+    times the target are split by AQE; stream state lives in RocksDB (off the JVM heap).
+    """
+    cores = max(1, cores)
+    wanted = -(-input_bytes // partition_bytes)
+    shuffle = min(max(wanted, 2 * cores), 20 * cores)
+    shuffle = -(-shuffle // cores) * cores
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }

@@ -124,3 +124,12 @@ def test_normalize_and_currency(spark):
     assert one(spark, normalize.normalize_status, "pending") == "UNKNOWN"
     df = spark.createDataFrame([(Decimal("12.5"), "EUR"), (Decimal("3"), "CHF")], "a decimal(18,2), c string")
     assert [r[0] for r in df.select(normalize.format_currency("a", "c")).collect()] == ["€12.50", "CHF3.00"]
+
+
+def test_cluster_conf_sizes_whole_waves():
+    from ledgerlake.session import cluster_conf
+    big = cluster_conf(100 * 2**40, cores=8000)            # 100 TB on 1000 x 8 cores
+    n = int(big["spark.sql.shuffle.partitions"])
+    assert n % 8000 == 0 and 16000 <= n <= 160000
+    small = cluster_conf(40 * 2**20, cores=8)                # sf0.1-sized input on local[8]
+    assert small["spark.sql.shuffle.partitions"] == "16"
