@@ -114,6 +114,18 @@ def governance_summary(tables: DataFrame, catalog: str = "payments") -> DataFram
     }))
 
 
+def catalog_tables(spark: SparkSession, databases: list[str] | None = None) -> DataFrame:
+    """(schema_name, table_name, table_type) of the catalog's tables and views, the input of
+    ``governance_summary`` in deployments with a metastore (metadata only, one row per table)."""
+    dbs = databases or [d.name for d in spark.catalog.listDatabases()]
+    rows = []
+    for db in dbs:
+        for t in spark.catalog.listTables(db):
+            rows.append((t.namespace[0] if t.namespace else db, t.name, t.tableType))
+    schema = "schema_name string, table_name string, table_type string"
+    return spark.createDataFrame(rows, schema)
+
+
 def sort_governance(summary: DataFrame) -> DataFrame:
     return summary.orderBy("schema_name", "table_name")
 

@@ -217,3 +217,13 @@ def test_velocity_and_previous_in_one_pass(spark):
                   and (t2 < ts or (t2 == ts and j < i)))
         earlier = sorted((t2, j, l2) for j, c2, t2, l2 in rows if c2 == c and (t2, j) < (ts, i))
         assert got[i] == (cnt, earlier[-1][2] if earlier else None), i
+
+
+def test_governance_over_catalog_views(spark):
+    spark.range(1).createOrReplaceTempView("payments_raw")
+    spark.range(1).createOrReplaceTempView("dim_customer")
+    tables = pci.catalog_tables(spark, ["default"])
+    got = {r["table_name"]: (r["layer"], r["data_sensitivity"], r["requires_encryption"])
+           for r in pci.governance_summary(tables).collect()}
+    assert got["payments_raw"] == ("RAW (Bronze)", "PCI-DSS Restricted", True)
+    assert got["dim_customer"] == ("GOLD (Analytics)", "PII Restricted", True)
