@@ -47,3 +47,11 @@ def test_settlement_ingest_can_skip_existing_files(spark):
     jobs.start_settlement_ingest(spark, drop, bronze, dlq, ckpt, include_existing=False).awaitTermination()
     assert [r["settlement_id"] for r in spark.read.parquet(bronze).collect()] == ["S2"]
     assert [r["error"] for r in spark.read.parquet(dlq).collect()] == ["bad amount"]
+
+
+def test_kafka_source_needs_the_connector(spark):
+    import pytest
+
+    from ledgerlake.streaming import sources
+    with pytest.raises(Exception, match="(?i)kafka"):
+        sources.kafka_payload_stream(spark, "localhost:9092", "fraud_signals")
