@@ -127,3 +127,10 @@ def backfill_replay(bronze: DataFrame, start, end, date_col: str = "ingestion_da
     of a bronze table partitioned by ``date_col``."""
     rows = bronze.filter(F.col(date_col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     return canonicalize_payments(rows)
+
+
+def backfill_replay_write(bronze: DataFrame, start, end, silver_path: str, date_col: str = "ingestion_date") -> str:
+    """Replay [start, end] from bronze into a silver table partitioned by ``date_col``,
+    replacing only those days (dynamic partition overwrite); other days stay as they are."""
+    from ..sinks.tables import overwrite_partitions
+    return overwrite_partitions(backfill_replay(bronze, start, end, date_col), silver_path, [date_col])
