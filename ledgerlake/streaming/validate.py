@@ -23,8 +23,10 @@ def schema_validate(stream: DataFrame, payload: str, schema: T.StructType, requi
     """Adds the parsed fields, ``is_valid`` and ``error`` (malformed JSON or the first
     missing required field). The raw payload is kept for the dead-letter queue."""
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    parsed = stream.withColumn("_p", F.from_json(F.col(payload), with_corrupt,
-                                                 {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    doc = F.from_json(F.col(payload), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # The parse is the output of a one-row explode: a later filter on validity can then not be
+    # pushed below it by inlining the parse, so every payload is parsed exactly once.
+    parsed = stream.select("*", F.explode(F.array(doc)).alias("_p"))
     err = F.when(F.col(payload).isNull(), F.lit("empty payload")).when(F.col(f"_p.{CORRUPT}").isNotNull(),
                                                                        F.lit("malformed json"))
     for name in required:
