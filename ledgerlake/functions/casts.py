@@ -35,3 +35,16 @@ def as_of_ts(as_of) -> Column:
 def parse_failed(raw, parsed) -> Column:
     """True when a non-null input did not parse."""
     return _c(raw).isNotNull() & _c(parsed).isNull()
+
+
+def with_parsed(df, parsed: dict):
+    """Add parsed columns that are computed once per row, even when later filters test them.
+
+    Catalyst pushes a filter below the projection that defines its columns by inlining their
+    expressions, so a parse tested by a filter and also selected would run several times per
+    row. The parsed values are therefore produced by a one-row explode, whose output a filter
+    cannot inline."""
+    from pyspark.sql import functions as F
+    packed = F.struct(*[c.alias(name) for name, c in parsed.items()])
+    out = df.select("*", F.explode(F.array(packed)).alias("_parsed"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"_parsed.{n}").alias(n) for n in parsed])

@@ -28,14 +28,22 @@ def with_file_metadata(df: DataFrame) -> DataFrame:
 
 def _payments_parsed(raw: DataFrame, ignore_case: bool = False) -> DataFrame:
     extra = [c for c in ("file_path", "file_modification_time") if c in raw.columns]
-    return raw.select(
+    base = raw.select(
+        "payment_id", "merchant_id", "customer_id", "amount", "currency", "payment_method", "status",
+        "created_at", "updated_at", *extra)
+    parsed = casts.with_parsed(base, {
+        "_amount": casts.cast_money("amount"),
+        "_created": casts.cast_timestamp("created_at"),
+        "_updated": casts.cast_timestamp("updated_at"),
+    })
+    return parsed.select(
         "payment_id", "merchant_id", "customer_id",
-        casts.cast_money("amount").alias("amount"),
+        F.col("_amount").alias("amount"),
         F.upper("currency").alias("currency"),
         normalize.normalize_payment_method("payment_method", ignore_case).alias("payment_method_normalized"),
         normalize.normalize_status("status", ignore_case).alias("status_normalized"),
-        casts.cast_timestamp("created_at").alias("payment_created_at"),
-        casts.cast_timestamp("updated_at").alias("payment_updated_at"),
+        F.col("_created").alias("payment_created_at"),
+        F.col("_updated").alias("payment_updated_at"),
         *extra,
         F.col("amount").alias("_raw_amount"), F.col("created_at").alias("_raw_created"),
         F.col("updated_at").alias("_raw_updated"),
@@ -72,14 +80,17 @@ def clean_payments_rejects(raw: DataFrame, as_of, days: int = K.RETENTION_DAYS)
 def clean_fraud_signals(raw: DataFrame, as_of, days: int = K.RETENTION_DAYS, audit: bool = False) -> DataFrame:
     """fraud_signals_raw -> fraud_signals_cleaned. The derived level reads the raw score,
     as the reference's CASE does."""
-    parsed = raw.select(
+    base = casts.with_parsed(raw.select("signal_id", "transaction_id", "risk_score", "risk_level", "alerts",
+                                        "decision", "case_status", "created_at"),
+                             {"_score": casts.cast_score("risk_score"), "_created": casts.cast_timestamp("created_at")})
+    parsed = base.select(
         "signal_id", "transaction_id",
-        casts.cast_score("risk_score").alias("risk_score"),
+        F.col("_score").alias("risk_score"),
         risk.derive_risk_level(F.col("risk_score").try_cast("double")).alias("risk_level_derived"),
         "risk_level", "alerts",
         normalize.normalize_decision("decision").alias("decision_normalized"),
         normalize.normalize_case_status("case_status").alias("case_status_normalized"),
-        casts.cast_timestamp("created_at").alias("signal_created_at"),
+        F.col("_created").alias("signal_created_at"),
         F.col("risk_score").alias("_raw_score"), F.col("created_at").alias("_raw_created"),
     )
     ok = ~casts.parse_failed("_raw_score", "risk_score") & ~casts.parse_failed("_raw_created", "signal_created_at")

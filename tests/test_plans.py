@@ -63,3 +63,8 @@ def test_daily_summary_prunes_date_partitions(spark):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "date_key" in p and ("dynamicpruning" in p or "Subquery" in p)
     assert df.count() == 731
+
+
+def test_parses_run_once_per_row(spark):
+    p = plan(QUERIES["clean_payments"](spark, SF_SMALL))
+    assert p.count("try_cast(") <= 3, p.count("try_cast(")  # amount, created_at, updated_at: once each
