@@ -41,8 +41,8 @@ class BulkPipeline:
         self.spark = spark
         self.ctx = Ctx(spark, SF_DIR, **BULK)
         self.raw_dir = scratch_path(spark, "bench-raw")
-        for name in ("fx_payments_bulk", "fx_fraud_signals_raw"):
-            self.ctx.fx(name).write.mode("overwrite").parquet(f"{self.raw_dir}/{name}")
+        for name in ("fx_payments_bulk", "fx_fraud_signals_raw"):  # raw tables land as many files
+            self.ctx.fx(name).repartition(2 * CPUS).write.mode("overwrite").parquet(f"{self.raw_dir}/{name}")
             self.ctx._memo[name] = spark.read.parquet(f"{self.raw_dir}/{name}")
         self.out_dir = scratch_path(spark, "bench-medallion")
         self.published = None
@@ -113,8 +113,14 @@ def run_once(spark, build) -> float:
 
 def main() -> None:
     registry.queries()  # load every query module
+    extra = {}
+    if os.environ.get("BENCH_EVENTLOG"):  # stage / task times for profiling, in a fresh scratch folder
+        import tempfile
+        log_dir = tempfile.mkdtemp(prefix="ledgerlake-eventlog-", dir=os.environ.get("BENCH_EVENTLOG_ROOT", "/tmp"))
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+        print(f"event log: {log_dir}", file=sys.stderr)
     spark = build_session(master=f"local[{CPUS}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", CPUS)),
-                          app_name="ledgerlake-bench")
+                          app_name="ledgerlake-bench", extra=extra)
     results = {}
     for name, build in headline(spark).items():
         if ONLY and name not in ONLY:

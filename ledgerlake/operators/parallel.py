@@ -1,0 +1,20 @@
+"""Spread CPU-heavy, row-local work over the cluster's cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when ``df`` has fewer partitions than the cluster has cores.
+
+    A table stored as a few large files (or a single row group) is read by a few tasks; per-row
+    work such as regular expressions over whole texts would then run on a few cores. On a large
+    input with many files the partition count already exceeds the cores and this is a no-op, so
+    no shuffle is added where the data is big."""
+    try:
+        cores = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): leave the plan alone
+        return df
+    return df.repartition(cores) if current < cores else df

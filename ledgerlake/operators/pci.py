@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import crypto, masks
+from .parallel import ensure_parallelism
 
 COLUMNS_SCHEMA = T.StructType([T.StructField("schema_name", T.StringType()),
                                T.StructField("table_name", T.StringType()),
@@ -160,6 +161,7 @@ def scan_sensitive_values(df: DataFrame, table_name: str, columns: list[str] | N
     over the table (all counters in one agg), then unpivoted to long form."""
     patterns = patterns or SENSITIVE_PATTERNS
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    df = ensure_parallelism(df.select(*cols))
     aggs = [F.count(F.lit(1)).alias("_total")]
     for c in cols:
         for p, rx in patterns.items():

@@ -137,7 +137,8 @@ SELECT doc_id, sha256({REDACT_SQL}) AS redacted_sha256, CAST(length({REDACT_SQL}
        {REDACT_SQL} <> text AS changed
 FROM documents""")
 def _redact(ctx):
-    d = ctx.fx("documents").select("doc_id", "text")
+    from ..operators.parallel import ensure_parallelism
+    d = ensure_parallelism(ctx.fx("documents").select("doc_id", "text"))
     r = masks.redact_text("text")
     return d.select("doc_id", F.sha2(r, 256).alias("redacted_sha256"), F.length(r).alias("redacted_length"),
                     (r != F.col("text")).alias("changed"))
