@@ -48,12 +48,15 @@ def cmd_medallion(a) -> dict:
 
 
 def cmd_increment(a) -> dict:
-    from .plans.increment import run_increment
+    from .plans.increment import run_increment, run_increment_bucketed
     from .sources import tables
     spark = _session()
-    appended = run_increment(spark, tables.read_payment_transactions(spark, a.payments, a.format),
-                             tables.read_fraud_signals(spark, a.signals, a.format), a.state, a.as_of or _now(), a.days,
-                             a.prune_targets)
+    pays = tables.read_payment_transactions(spark, a.payments, a.format)
+    sigs = tables.read_fraud_signals(spark, a.signals, a.format)
+    if a.catalog_db:
+        appended = run_increment_bucketed(spark, pays, sigs, a.catalog_db, a.as_of or _now(), a.buckets, a.days)
+    else:
+        appended = run_increment(spark, pays, sigs, a.state, a.as_of or _now(), a.days, a.prune_targets)
     return {"job": "increment", "appended": appended}
 
 
@@ -93,7 +96,9 @@ def main(argv=None) -> None:
     i = sub.add_parser("increment")
     i.add_argument("--payments", required=True)
     i.add_argument("--signals", required=True)
-    i.add_argument("--state", required=True)
+    i.add_argument("--state", help="folder of path-based targets")
+    i.add_argument("--catalog-db", help="catalog database of bucketed targets instead of --state")
+    i.add_argument("--buckets", type=int, default=256)
     i.add_argument("--as-of")
     i.add_argument("--days", type=int, default=90)
     i.add_argument("--format", default="parquet")

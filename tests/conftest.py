@@ -15,8 +15,10 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from ledgerlake.session import build_session
     ckpt = tempfile.mkdtemp(prefix="ledgerlake-test-ckpt-")
+    warehouse = tempfile.mkdtemp(prefix="ledgerlake-test-warehouse-")
     s = build_session(master="local[4]", shuffle_partitions=4, app_name="ledgerlake-tests",
-                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g",
+                             "spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
