@@ -125,7 +125,9 @@ SELECT holder_id, {MASK_CARD_SQL.format(c='card_number')} AS card_number, '***'
        CASE WHEN expiration_date IS NULL THEN NULL ELSE '***' END AS expiration_date, amount
 FROM fx_cardholders"""))
 def _mask_table(ctx):
-    return pci.mask_table(ctx.fx("fx_cardholders"), _classified(ctx), "fx_cardholders")
+    holders = ctx.fx("fx_cardholders")
+    classified = pci.classify_columns(pci.columns_frame(ctx.spark, {"fx_cardholders": holders}, "testdata"))
+    return pci.mask_table(holders, classified, "fx_cardholders")
 
 
 REDACT_SQL = (f"regexp_replace(regexp_replace(text, '{masks.CARD_PATTERN}', '************\\1', 'g'), "
