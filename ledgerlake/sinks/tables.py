@@ -65,41 +65,29 @@ def register_view(df: DataFrame, name: str) -> str:
     return name
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def write_versioned(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write a new immutable version ``root/v=<n+1>``, then publish it by renaming a marker
-    into ``root/_published/<n+1>`` (a single atomic rename; nothing is deleted). Readers
-    take the highest published version, so they see the old or the new table, never a mix,
-    and a failed write leaves only an unpublished folder behind."""
+    """Write a new immutable version ``root/v=<n+1>``; only after it is complete, publish it by
+    writing a one-row marker dataset ``root/_published/version=<n+1>``. Readers take the highest
+    published version, so they see the old or the new table, never a mix, and a failed write
+    leaves only an unpublished folder behind (nothing is overwritten or deleted)."""
     spark = df.sparkSession
     nxt = (current_version(spark, root) or 0) + 1
     base = root.rstrip("/")
     target = f"{base}/v={nxt}"
     write_table(df, target, "overwrite", partition_by)
-    jvm = spark.sparkContext._jvm
-    fs, _ = _fs(spark, base)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{base}/_staging_marker_{nxt}")
-    fs.create(tmp, True).close()
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{base}/_published"))
-    if not fs.rename(tmp, jvm.org.apache.hadoop.fs.Path(f"{base}/_published/{nxt}")):
-        raise RuntimeError(f"could not publish version {nxt} of {root}")
+    spark.createDataFrame([(target,)], "path string").write.mode("errorifexists") \
+        .parquet(f"{base}/_published/version={nxt}")
     return target
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    jvm = spark.sparkContext._jvm
-    fs, _ = _fs(spark, root)
-    marks = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_published")
-    if not fs.exists(marks):
+    """Highest published version under ``root`` (None before the first publish)."""
+    from pyspark.sql import functions as F
+    try:
+        markers = spark.read.parquet(f"{root.rstrip('/')}/_published")
+    except Exception:  # noqa: BLE001 - nothing published yet
         return None
-    names = [st.getPath().getName() for st in fs.listStatus(marks)]
-    versions = [int(n) for n in names if n.isdigit()]
-    return max(versions) if versions else None
+    return markers.agg(F.max("version")).first()[0]
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
