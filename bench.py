@@ -72,7 +72,8 @@ def streamed(name):
         ctx = Ctx(spark, SF_DIR)
         ctx._memo.update(landed)
         df = registry.REGISTRY[name].build(ctx)
-        landed.update({k: v for k, v in ctx._memo.items() if k.startswith(("_pay_path", "_sig_path"))})
+        landed.update({k: v for k, v in ctx._memo.items()
+                       if k.startswith(("_pay_path", "_sig_path", "_rows_per_batch"))})
         return df
     return build
 

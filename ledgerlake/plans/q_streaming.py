@@ -45,7 +45,8 @@ def _land(ctx, fixture: str, name: str, sentinel, ordered: bool = True) -> str:
     path = scratch_path(ctx.spark, name)
     src = ctx.fx(fixture)
     if ordered:
-        sources.land_files(src.select("order_ts", "payload"), path, N_FILES, "order_ts")
+        _, per_file = sources.land_files(src.select("order_ts", "payload"), path, N_FILES, "order_ts")
+        ctx._memo["_rows_per_batch"] = max(per_file, ctx._memo.get("_rows_per_batch", 0))
     else:  # arrival order unrelated to event time: late rows from the third file on
         src.select("payload").repartition(N_FILES, F.col("payload")).write.mode("overwrite").parquet(path)
     for i in range(N_SENTINELS):
@@ -76,7 +77,8 @@ def wall_clock(df: DataFrame) -> DataFrame:
 def _run_to_files(ctx, df: DataFrame, name: str, partition_by=None) -> DataFrame:
     out = scratch_path(ctx.spark, f"{name}-out")
     q = jobs.start_file_sink(df, out, scratch_path(ctx.spark, f"{name}-ckpt"), partition_by,
-                             n_state_partitions=jobs.default_state_partitions(ctx.spark))
+                             n_state_partitions=jobs.default_state_partitions(ctx.spark,
+                                                                              ctx._memo.get("_rows_per_batch")))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -356,6 +358,7 @@ def _lag(ctx):
     d = stateful.dedupe_latest(_valid_payments(ctx), "transaction_id", "event_ts", "30 minutes")
     out = scratch_path(ctx.spark, "lag-out")
     q = jobs.start_file_sink(d, out, scratch_path(ctx.spark, "lag-ckpt"),
-                             n_state_partitions=jobs.default_state_partitions(ctx.spark))
+                             n_state_partitions=jobs.default_state_partitions(ctx.spark,
+                                                                              ctx._memo.get("_rows_per_batch")))
     q.awaitTermination()
     return wall_clock(jobs.alert_stream_lag(ctx.spark, jobs.lag_rows(q), 60))

@@ -41,14 +41,18 @@ def state_partitions(spark: SparkSession, n: int | None):
         spark.conf.set(key, before)
 
 
-def default_state_partitions(spark: SparkSession) -> int:
-    """Cores of the cluster (at least 1), capped by the session's shuffle partitions."""
+def default_state_partitions(spark: SparkSession, rows_per_batch: int | None = None,
+                             rows_per_partition: int = 25_000) -> int:
+    """State partitions for a stateful stream: enough for ``rows_per_partition`` rows of one
+    micro-batch each (every state partition costs a fixed amount of work per batch), at most
+    the cluster's cores and the session's shuffle partitions."""
     cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
         cores = cap
-    return max(1, min(cap, cores))
+    wanted = cores if rows_per_batch is None else -(-rows_per_batch // rows_per_partition)
+    return max(1, min(cap, cores, wanted))
 
 
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
