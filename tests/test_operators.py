@@ -286,3 +286,12 @@ def test_bucketed_increment_is_idempotent_and_keeps_the_target_in_place(spark):
     bucketed_plan, n_bucketed = exchanges(spark.table(f"{db}.payment_validated"))
     _, n_plain = exchanges(spark.read.parquet(plain_path))
     assert "Bucketed: true" in bucketed_plan and n_bucketed == n_plain - 1, (n_bucketed, n_plain)
+
+
+def test_ensure_parallelism_only_when_needed(spark):
+    from ledgerlake.operators.parallel import ensure_parallelism
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.range(1000).coalesce(1)
+    assert ensure_parallelism(narrow).rdd.getNumPartitions() == cores
+    wide = spark.range(1000).repartition(cores * 2)
+    assert ensure_parallelism(wide) is wide  # already spread: the plan is left alone
