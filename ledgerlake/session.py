@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -37,32 +38,47 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    checkpoint = ensure_checkpoint_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``; intermediate tables are written below it.
 
-    On a cluster the operator sets ``spark.checkpoint.dir`` to shared storage and
-    this function only reads it. Only when it is unset (local tests) is a fresh
-    local folder created and registered.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    try:  # classic sessions: the SparkContext may already carry a checkpoint dir
-        sc = spark.sparkContext
-        current = current or sc.getCheckpointDir()
-        if not current:
-            current = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", current)
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, the conf is the source
-        if not current:
-            current = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", current)
-        return current
+    On a cluster the setting must name shared storage; without it this raises. Only a session in
+    local mode (one JVM on one machine) gets a fresh local folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+_shipped: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers (once per application)."""
+    sc = spark.sparkContext
+    if _shipped.get(sc.applicationId):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(here):  # else the package already comes from a zip that was shipped
+        out = os.path.join(tempfile.mkdtemp(prefix="ledgerlake-zip-"), "ledgerlake.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in sorted(os.walk(here)):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.join("ledgerlake", os.path.relpath(full, here)))
+        sc.addPyFile(out)
+    _shipped[sc.applicationId] = here
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from ledgerlake.plans import registry
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare_one
 
-QUERIES = E.queries()
-SQLS = E.oracle_sql()
+QUERIES = registry.queries()
+SQLS = registry.oracle_sql()
 BATCH = sorted(n for n in QUERIES if not n.startswith("st") and n not in (
     "src_stream_payments", "src_stream_signals", "src_settlement_files", "join_fraud_stream",
     "dedupe_stream_latest", "alert_stream_lag"))
