@@ -16,6 +16,7 @@ text, nulls first. Repeated rows are written each. An empty table gives an empty
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -48,8 +49,18 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@lru_cache(maxsize=2)
+def _word_ends(path: str) -> np.ndarray:
+    """Which ids end a word of the tokenizer (its vocabulary marks them with </w>)."""
+    vocabulary = _tokenizer(path).get_vocab(with_added_tokens=False)
+    ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return ends
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True  # special tokens' strings in a text are ordinary text
@@ -57,17 +68,55 @@ def _tokenizer(path: str):
 
 
 _memory: dict = {}
+_TAIL = b".,!?;:*#$%&|"  # ends a word in a run of its own after a letter or digit
+
+
+def _encode_words(words: list[bytes], path: str, known: dict) -> None:
+    """Add the ids of ``words`` to ``known``.
+
+    The tokenizer cuts between letters or digits and a run of punctuation, so a word with such an end is its stem's ids
+    and its end's ids; stems recur far more often than whole words."""
+    composed, direct = [], set()
+    for w in words:
+        stem = w.rstrip(_TAIL)
+        if stem and stem != w and stem[-4:].decode("utf-8", "ignore").lower()[-1:].isalnum():
+            tail = w[len(stem):]
+            composed.append((w, stem, tail))
+            direct.update(x for x in (stem, tail) if x not in known)
+        else:
+            direct.add(w)
+    letters, others = [], []
+    for w in direct:
+        text = w.decode("utf-8", "replace")
+        (letters if text.lower().isalpha() else others).append((w, text))
+    encode = partial(_tokenizer(path).encode_batch_fast, add_special_tokens=False)
+    # words of letters alone are one word of the tokenizer each: many go into one text, cut again at the ids that end words
+    groups = [letters[i:i + 500] for i in range(0, len(letters), 500)]
+    for group, e in zip(groups, encode([" ".join([t for _, t in g]) for g in groups])):
+        ids = np.array(e.ids, dtype="<u4")
+        cuts = np.flatnonzero(_word_ends(path)[ids]) + 1
+        if len(cuts) != len(group) or (len(cuts) and cuts[-1] != len(ids)):
+            others.extend(group)
+            continue
+        for (w, _), a, b in zip(group, np.concatenate(([0], cuts[:-1])).tolist(), cuts.tolist()):
+            known[w] = ids[a:b].tobytes()
+    for (w, _), e in zip(others, encode([t for _, t in others])):
+        known[w] = np.array(e.ids, dtype="<u4").tobytes()
+    for w, stem, tail in composed:
+        known[w] = known[stem] + known[tail]
 
 
 def encode_texts(texts: list[bytes | None], params: TokenParams) -> list[bytes]:
-    """Ids of each text with the end id, as little-endian 32-bit bytes."""
+    """Ids of each text with the end id, as little-endian 32-bit bytes.
+
+    The vocabulary is lower case, so A-Z may be lowered first."""
     path = params.tokenizer or default_tokenizer()
     if _memory.get("path") != path:
         _memory.update(path=path, old={}, new={})
     elif len(_memory["new"]) > REMEMBERED:
         _memory.update(old=_memory["new"], new={})
     old, new = _memory["old"], _memory["new"]
-    split = [t.split() if t else [] for t in texts]  # white space \x20 \x09-\x0D
+    split = [t.lower().split() if t else [] for t in texts]  # white space \x20 \x09-\x0D
     missing = []
     for w in set().union(*split).difference(new):
         b = old.get(w)
@@ -75,10 +124,7 @@ def encode_texts(texts: list[bytes | None], params: TokenParams) -> list[bytes]:
             missing.append(w)
         else:
             new[w] = b
-    if missing:
-        encoded = _tokenizer(path).encode_batch_fast([w.decode("utf-8", "replace") for w in missing], add_special_tokens=False)
-        for w, e in zip(missing, encoded):
-            new[w] = np.array(e.ids, dtype="<u4").tobytes()
+    _encode_words(missing, path, new)
     end = np.array([params.end_id], dtype="<u4").tobytes()
     get = new.__getitem__
     return [b"".join([*map(get, words), end]) for words in split]
