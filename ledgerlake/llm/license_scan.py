@@ -54,7 +54,7 @@ SPLIT = "[^a-z0-9]+"
 @dataclass(frozen=True)
 class LicenseParams:
     threshold: float = 0.7
-    file_share: float = 0.5
+    file_share: float = 0.8
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
@@ -94,7 +94,8 @@ def scan(files: DataFrame, templates: DataFrame, params: LicenseParams = License
     for t in heavy:
         any_heavy = any_heavy | F.contains(F.col("low"), F.lit(t))
     held = F.array(*[F.lit(t) for t in heavy]) if heavy else F.array().cast("array<string>")
-    suspects = (src.select("text", F.lower("text").alias("low")).filter(any_heavy).select(F.md5("text").alias("text_key"), "text")
+    some = src.select("text", F.lower("text").alias("low")).filter(any_heavy)  # substrings first, then whole terms: only texts with a heavy term are shuffled
+    suspects = (some.filter(F.arrays_overlap(_terms(F.col("text")), held)).select(F.md5("text").alias("text_key"), "text")
                 .dropDuplicates(["text_key"]).select("text_key", F.posexplode(F.split("text", "\n")).alias("line", "body"))
                 .select("text_key", "line", _terms(F.col("body")).alias("terms")))
     words = suspects.groupBy("text_key").agg(F.sum(F.size("terms")).alias("words"))
