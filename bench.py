@@ -73,7 +73,7 @@ def streamed(name):
         ctx._memo.update(landed)
         df = registry.REGISTRY[name].build(ctx)
         landed.update({k: v for k, v in ctx._memo.items()
-                       if k.startswith(("_pay_path", "_sig_path", "_rows_per_batch"))})
+                       if k.startswith(("_pay_path", "_sig_path"))})
         return df
     return build
 

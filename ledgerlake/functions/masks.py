@@ -74,15 +74,18 @@ def mask_for_type(mask_type: str | None, column_name: str, c) -> Column:
     return F.when(_c(c).isNull(), F.lit(None).cast("string")).otherwise(F.lit("***"))
 
 
-# FIXED VALUES: free-text patterns for card numbers (16 digits, keep last 4) and e-mail addresses
-CARD_PATTERN = r"[0-9]{12}([0-9]{4})"
+# FIXED VALUES: free-text patterns for card numbers (13 to 19 digits, single spaces or dashes between them, keep
+# last 4), phone numbers (keep last 4) and e-mail addresses
+CARD_PATTERN = r"\b(?:[0-9][ -]?){9,15}([0-9]{4})\b"
+PHONE_PATTERN = r"\b[0-9]{3}-[0-9]{3}-([0-9]{4})\b"
 EMAIL_PATTERN = r"([A-Za-z0-9._%+-])[A-Za-z0-9._%+-]*@([A-Za-z0-9.-]+\.[A-Za-z]{2,})"
 
 
 def redact_text(c) -> Column:
-    """Card and e-mail masks applied inside free text."""
+    """Card, phone and e-mail masks applied inside free text."""
     no_cards = F.regexp_replace(_c(c), CARD_PATTERN, "************$1")
-    return F.regexp_replace(no_cards, EMAIL_PATTERN, "$1***@$2")
+    no_phones = F.regexp_replace(no_cards, PHONE_PATTERN, "***-***-$1")
+    return F.regexp_replace(no_phones, EMAIL_PATTERN, "$1***@$2")
 
 
 def mask_by_user(c, allowed_users: list[str], user: Column | None = None) -> Column:

@@ -67,4 +67,4 @@ def entity_name(c, prefix: str, require_non_empty: bool = True) -> Column:
 def format_currency(amount, currency) -> Column:
     """Symbol ($ EUR GBP JPY) or the code itself, then the amount with 2 decimals."""
     symbol = lookup(currency, K.CURRENCY_SYMBOLS)
-    return F.concat(F.coalesce(symbol, _c(currency)), F.format_string("%.2f", _c(amount).cast("double")))
+    return F.concat(F.coalesce(symbol, _c(currency)), _c(amount).cast("decimal(38,2)").cast("string"))

@@ -13,8 +13,8 @@ def _c(c) -> Column:
 
 
 def validate_amount(c) -> Column:
-    """0.01 <= amount <= 999999.99 (NULL amount is invalid)."""
-    a = _c(c).cast("decimal(18,2)")
+    """0.01 <= amount <= 999999.99 at the amount's own precision (NULL amount is invalid)."""
+    a = _c(c).cast("decimal(38,10)")
     return F.coalesce(a.between(F.lit(K.MIN_AMOUNT).cast("decimal(18,2)"),
                                 F.lit(K.MAX_AMOUNT).cast("decimal(18,2)")), F.lit(False))
 

@@ -8,7 +8,7 @@ deterministic ids (a re-run or a retried task produces the same ids).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import casts, risk, validation
@@ -56,14 +56,26 @@ def capture_batch(payments: DataFrame, requests: DataFrame, as_of, key: str = "p
     return out.select(key, "old_status", "new_status", "updated_at", "error")
 
 
-def refund_batch(payments: DataFrame, requests: DataFrame, as_of, key: str = "payment_id") -> DataFrame:
+def refund_batch(payments: DataFrame, requests: DataFrame, as_of, key: str = "payment_id",
+                 request_order: list[str] | None = None) -> DataFrame:
     """Only CAPTURED payments; a refund larger than the amount is rejected; the status
-    becomes REFUNDED even for a partial refund, and a zero/NULL amount skips the check."""
-    req = requests.select(key, "refund_amount")
+    becomes REFUNDED even for a partial refund, and a zero/NULL amount skips the check.
+
+    Requests for one payment are taken in the order of ``request_order`` (without one: by falling amount, NULL
+    last): the first valid one refunds it, all later ones meet a refunded payment."""
+    order = request_order or []
+    req = requests.select(key, "refund_amount", *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
     too_much = F.when(F.coalesce(F.col("refund_amount") != 0, F.lit(False))
                       & (F.col("refund_amount") > F.col("payment_amount")),
                       F.lit("Refund amount exceeds payment amount"))
     out = _apply_transition(payments, req, key, "captured", "refunded", as_of, too_much)
+    turn = Window.partitionBy(key).orderBy(*[F.col(f"_o{i}") for i in range(len(order))], F.col("refund_amount").desc_nulls_last())
+    done = F.coalesce(F.max(F.col("error").isNull().cast("int")).over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) == 1
+    out = out.withColumn("_done", done).withColumns({
+        "error": F.when(F.col("_done"), F.lit("Cannot refund payment with status: refunded")).otherwise(F.col("error")),
+        "old_status": F.when(F.col("_done"), F.lit("refunded")).otherwise(F.col("old_status")),
+        "new_status": F.when(F.col("_done"), F.lit("refunded")).otherwise(F.col("new_status")),
+        "updated_at": F.when(~F.col("_done"), F.col("updated_at"))})
     return out.select(key, "refund_amount", "old_status", "new_status", "updated_at", "error")
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import crypto, masks
-from .parallel import ensure_parallelism
 
 COLUMNS_SCHEMA = T.StructType([T.StructField("schema_name", T.StringType()),
                                T.StructField("table_name", T.StringType()),
@@ -161,18 +160,13 @@ def scan_sensitive_values(df: DataFrame, table_name: str, columns: list[str] | N
     over the table (all counters in one agg), then unpivoted to long form."""
     patterns = patterns or SENSITIVE_PATTERNS
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    df = ensure_parallelism(df.select(*cols))
-    aggs = [F.count(F.lit(1)).alias("_total")]
-    for c in cols:
-        for p, rx in patterns.items():
-            aggs.append(F.count_if(F.col(c).rlike(rx)).alias(f"{c}__{p}"))
-    wide = df.agg(*aggs)
-    ids = [f"{c}__{p}" for c in cols for p in patterns]
-    long = wide.unpivot("_total", ids, "key", "matches")
+    pairs = [(c, p, rx) for c in cols for p, rx in patterns.items()]
+    aggs = [F.count_if(F.col(f"`{c}`").rlike(rx)).alias(f"_m{i}") for i, (c, _, rx) in enumerate(pairs)]
+    wide = df.select(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_total"), *aggs)
+    found = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("pattern"), F.col(f"_m{i}").cast("long").alias("matches"))
+                      for i, (c, p, _) in enumerate(pairs)])
+    long = wide.select("_total", F.inline(found))
     return long.select(
-        F.lit(table_name).alias("table_name"),
-        F.split("key", "__").getItem(0).alias("column_name"),
-        F.split("key", "__").getItem(1).alias("pattern"),
-        F.col("matches").cast("long").alias("matches"),
+        F.lit(table_name).alias("table_name"), "column_name", "pattern", "matches",
         F.col("_total").alias("total_values"),
         (F.col("matches") / F.col("_total")).alias("share"))

@@ -6,9 +6,8 @@
 * Per-key totals attached to every row (COUNT/AVG/MAX OVER PARTITION BY key) are an
   aggregate joined back: the aggregate combines map-side, and the join back is a
   plain equi-join whose skewed partitions AQE can split.
-* Time-bounded counts (velocity) and LAG are partitioned by (key, one-minute slice),
-  not by key alone; what crosses slices travels through small per-slice summaries
-  (counts, last values). A busy customer is spread over all its slices.
+* Time-bounded counts (velocity) are windows over (key, time bucket as wide as the window), each row
+  standing in its own bucket and the next: one exchange, and a busy customer is spread over its buckets.
 """
 
 from __future__ import annotations
@@ -30,8 +29,8 @@ def latest_per_key(df: DataFrame, keys: list[str], order_desc: list) -> DataFram
 
 def per_key_totals(df: DataFrame, key: str, aggs: list[Column]) -> DataFrame:
     """Attach per-key aggregates to every row (the ``agg() OVER (PARTITION BY key)`` result)."""
-    totals = df.groupBy(key).agg(*aggs)
-    return df.join(totals, on=key, how="left")
+    totals = df.groupBy(F.col(key).alias("_key")).agg(*aggs)
+    return df.join(totals, df[key].eqNullSafe(totals["_key"]), "left").drop("_key")
 
 
 def window_count(df: DataFrame, key: str, name: str = "key_count") -> DataFrame:
@@ -58,99 +57,59 @@ def _bucket(ts: Column, seconds: int, ntz: bool = True) -> Column:
     return F.floor(_micros(ts, ntz) / F.lit(seconds * 1_000_000)).cast("long")
 
 
+def _in_buckets(df: DataFrame, key: str, ts: str, order_id: str, span: int) -> DataFrame:
+    """Every row with a key and a time, in its own time bucket (``span`` wide) and, as a row of the
+    past, in the next one: all rows within ``span`` before a row are then in the row's bucket."""
+    p = _micros(ts, _is_ntz(df, ts))
+    known = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    return (known.withColumn("_p", p).withColumn("_oid", F.col(order_id))
+            .withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False))))
+            .withColumn("_b", F.floor(F.col("_p") / F.lit(span)).cast("long") + F.when(F.col("_own"), 0).otherwise(1)))
+
+
+def _prior_count(key: str, span: int) -> Column:
+    """Rows of the key with a time in [_p - span, _p], without the row itself and those at the same
+    instant whose id is not smaller. All windows share the partitioning by (key, bucket)."""
+    within = Window.partitionBy(key, "_b").orderBy("_p").rangeBetween(-span, Window.currentRow)
+    instant = Window.partitionBy(key, "_b", "_p")
+    return (F.count(F.lit(1)).over(within) - F.count(F.lit(1)).over(instant)
+            + F.rank().over(instant.orderBy("_oid")) - 1).cast("long")
+
+
 def velocity_count(df: DataFrame, key: str, ts: str, order_id: str, minutes: int = 60,
-                   name: str = "prior_count", slice_seconds: int = 60) -> DataFrame:
+                   name: str = "prior_count") -> DataFrame:
     """Number of *earlier* rows of the same key whose time lies in [ts - minutes, ts].
 
     "Earlier" is by (ts, order_id): rows at the same instant count only when their id is
-    smaller, as if processed first. The count is a difference of two ranks inside the key:
-        prior = #rows before (ts, id)  -  #rows with time < ts - minutes.
-    Each row and one marker at (ts - minutes) are ranked inside small (key, time slice)
-    partitions (``slice_seconds`` wide), and a per-key running sum over the slice counts
-    supplies the rows of earlier slices. No partition ever holds more than one slice of
-    one key, so a key with a third of all rows is spread over all its slices.
-    """
+    smaller, as if processed first (a NULL id is the smallest; rows with equal ids do not count each
+    other). Every input row comes out once, whatever its id; rows without a key or a time get
+    NULL. One exchange by (key, time bucket) and no join: a key with a third of all rows is spread over
+    its buckets."""
     span = minutes * 60 * 1_000_000
-    width = slice_seconds * 1_000_000
-    oid = "_oid"
-    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
-    unknown = df.filter(~known).withColumn(name, F.lit(None).cast("long"))  # no key or time: no count
-    events = (df.filter(known).withColumn(oid, F.col(order_id)).withColumn("_p", _micros(ts, _is_ntz(df, ts)))
-              .withColumn("_kind", F.lit(1)).withColumn("_ev", F.lit(1)))
-    markers = events.select(key, oid, (F.col("_p") - F.lit(span)).alias("_p"),
-                            F.lit(0).alias("_kind"), F.lit(0).alias("_ev"))
-    both = events.unionByName(markers, allowMissingColumns=True) \
-                 .withColumn("_s", F.floor(F.col("_p") / F.lit(width)).cast("long"))
-    slices = both.groupBy(key, "_s").agg(F.sum("_ev").alias("_n"))
-    earlier = Window.partitionBy(key).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = slices.select(key, "_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = Window.partitionBy(key, "_s").orderBy("_p", "_kind", oid).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (both.withColumn("_within", F.coalesce(F.sum("_ev").over(within), F.lit(0)))
-              .join(prefix, on=[key, "_s"], how="inner")
-              .withColumn("_rank", F.col("_before") + F.col("_within")))
-    marker_rank = ranked.filter(F.col("_kind") == 0).select(key, oid, F.col("_rank").alias("_mrank"))
-    out = (ranked.filter(F.col("_kind") == 1).join(marker_rank, on=[key, oid], how="inner")
-           .withColumn(name, (F.col("_rank") - F.col("_mrank")).cast("long")))
-    return out.select(*df.columns, name).unionByName(unknown)
-
-
-def previous_value(df: DataFrame, key: str, ts: str, order_id: str, value: str,
-                   name: str = "previous_value", slice_seconds: int = 60) -> DataFrame:
-    """LAG(value) OVER (PARTITION BY key ORDER BY ts, order_id), computed per time slice.
-
-    Inside a (key, slice) partition LAG is a local window; the first row of a slice takes
-    the last row of the nearest earlier non-empty slice of the key, found on a per-slice
-    summary (one small row per key and slice). Partitions hold one slice of one key.
-    """
-    base = df.select(key, ts, order_id, value).withColumn("_b", _bucket(F.col(ts), slice_seconds, _is_ntz(df, ts)))
-    w = Window.partitionBy(key, "_b").orderBy(ts, order_id)
-    local = base.withColumn("_lag", F.lag(value).over(w)).withColumn("_pos", F.row_number().over(w))
-    last_in_bucket = (base.groupBy(key, "_b")
-                      .agg(F.max_by(F.col(value), F.struct(F.col(ts), F.col(order_id))).alias("_last")))
-    wb = Window.partitionBy(key).orderBy("_b")
-    carry = last_in_bucket.select(key, "_b", F.lag("_last").over(wb).alias("_carry"))
-    out = (local.join(carry, on=[key, "_b"], how="left")
-           .select(key, order_id,
-                   F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_lag")).alias(name)))
-    return df.join(out, on=[key, order_id], how="left")
+    unknown = (df.filter(F.col(key).isNull() | F.col(ts).isNull())
+               .withColumn(name, F.lit(None).cast("long")))
+    counted = _in_buckets(df, key, ts, order_id, span).withColumn(name, _prior_count(key, span)).filter("_own")
+    return counted.select(*df.columns, name).unionByName(unknown)
 
 
 def velocity_and_previous(df: DataFrame, key: str, ts: str, order_id: str, value: str, minutes: int = 60,
-                          count_name: str = "prior_count", prev_name: str = "previous_value",
-                          slice_seconds: int = 60) -> DataFrame:
-    """``velocity_count`` and ``previous_value`` in one pass over the same (key, slice)
-    partitions: inside a slice the previous value is the last event value over the
-    preceding rows (markers carry none), and the per-slice summary that feeds the count
-    prefix also carries each slice's last value to the next non-empty slice. Rows without
-    a key or a time get NULL for both."""
+                          count_name: str = "prior_count", prev_name: str = "previous_value") -> DataFrame:
+    """``velocity_count`` and LAG(value) OVER (PARTITION BY key ORDER BY ts, order_id) in one pass over
+    the same buckets. A row whose bucket and the one before hold no earlier row takes the last value
+    of the key's nearest earlier bucket, from a summary with one small row per key and bucket. Rows
+    without a key or a time get NULL for both."""
     span = minutes * 60 * 1_000_000
-    width = slice_seconds * 1_000_000
-    oid = "_oid"
-    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
     value_type = df.schema[value].dataType.simpleString()
-    unknown = (df.filter(~known).withColumn(count_name, F.lit(None).cast("long"))
+    unknown = (df.filter(F.col(key).isNull() | F.col(ts).isNull()).withColumn(count_name, F.lit(None).cast("long"))
                .withColumn(prev_name, F.lit(None).cast(value_type)))
-    events = (df.filter(known).withColumn(oid, F.col(order_id)).withColumn("_p", _micros(ts, _is_ntz(df, ts)))
-              .withColumn("_kind", F.lit(1)).withColumn("_ev", F.lit(1))
-              .withColumn("_val", F.struct(F.col(value).alias("v"))))
-    markers = events.select(key, oid, (F.col("_p") - F.lit(span)).alias("_p"), F.lit(0).alias("_kind"),
-                            F.lit(0).alias("_ev"))
-    both = events.unionByName(markers, allowMissingColumns=True) \
-                 .withColumn("_s", F.floor(F.col("_p") / F.lit(width)).cast("long"))
-    is_event = F.col("_kind") == 1
-    slices = both.groupBy(key, "_s").agg(
-        F.sum("_ev").alias("_n"),
-        F.max_by(F.col("_val"), F.when(is_event, F.struct(F.col("_p"), F.col(oid)))).alias("_last"))
-    earlier = Window.partitionBy(key).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = slices.select(key, "_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-                           F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
-    within = Window.partitionBy(key, "_s").orderBy("_p", "_kind", oid).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (both.withColumn("_within", F.coalesce(F.sum("_ev").over(within), F.lit(0)))
-              .withColumn("_prev", F.last("_val", ignorenulls=True).over(within))
-              .join(prefix, on=[key, "_s"], how="inner")
-              .withColumn("_rank", F.col("_before") + F.col("_within")))
-    marker_rank = ranked.filter(F.col("_kind") == 0).select(key, oid, F.col("_rank").alias("_mrank"))
-    out = (ranked.filter(is_event).join(marker_rank, on=[key, oid], how="inner")
-           .withColumn(count_name, (F.col("_rank") - F.col("_mrank")).cast("long"))
+    both = _in_buckets(df, key, ts, order_id, span).withColumn("_val", F.struct(F.col(value).alias("v")))
+    before = Window.partitionBy(key, "_b").orderBy("_p", "_oid", "_val")
+    counted = (both.withColumn(count_name, _prior_count(key, span)).withColumn("_prev", F.lag("_val").over(before))
+               .filter("_own"))
+    summary = (both.filter("_own").groupBy(key, "_b")
+               .agg(F.max_by("_val", F.struct("_p", "_oid", "_val")).alias("_last")))
+    carry = summary.select(F.col(key).alias("_k"), F.col("_b").alias("_cb"),
+                           F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_carry"))
+    out = (counted.join(carry, (F.col(key) == F.col("_k")) & (F.col("_b") == F.col("_cb")), "left")
            .withColumn(prev_name, F.coalesce(F.col("_prev"), F.col("_carry")).getField("v")))
     return out.select(*df.columns, count_name, prev_name).unionByName(unknown)

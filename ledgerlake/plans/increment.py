@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..operators import incremental as inc
 from ..session import scratch_path
-from ..sinks.tables import append_table
+from ..sinks.tables import append_table, read_if_exists
 
 TABLES = ["payment_validated", "fraud_enriched", "dim_merchant", "dim_customer", "fact_payments"]
 
@@ -25,11 +25,7 @@ def _path(state_dir: str, name: str) -> str:
 
 
 def _read_target(spark: SparkSession, state_dir: str, name: str) -> DataFrame | None:
-    path = _path(state_dir, name)
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - a missing table means "empty target"
-        return None
+    return read_if_exists(spark, _path(state_dir, name))
 
 
 def run_increment(spark: SparkSession, payments: DataFrame, signals: DataFrame, state_dir: str, as_of,

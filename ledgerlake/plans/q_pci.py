@@ -130,8 +130,8 @@ def _mask_table(ctx):
     return pci.mask_table(holders, classified, "fx_cardholders")
 
 
-REDACT_SQL = (f"regexp_replace(regexp_replace(text, '{masks.CARD_PATTERN}', '************\\1', 'g'), "
-              f"'{masks.EMAIL_PATTERN}', '\\1***@\\2', 'g')")
+REDACT_SQL = (f"regexp_replace(regexp_replace(regexp_replace(text, '{masks.CARD_PATTERN}', '************\\1', 'g'), "
+              f"'{masks.PHONE_PATTERN}', '***-***-\\1', 'g'), '{masks.EMAIL_PATTERN}', '\\1***@\\2', 'g')")
 
 
 @register("redact_text", f"""
@@ -139,8 +139,7 @@ SELECT doc_id, sha256({REDACT_SQL}) AS redacted_sha256, CAST(length({REDACT_SQL}
        {REDACT_SQL} <> text AS changed
 FROM documents""")
 def _redact(ctx):
-    from ..operators.parallel import ensure_parallelism
-    d = ensure_parallelism(ctx.fx("documents").select("doc_id", "text"))
+    d = ctx.fx("documents").select("doc_id", "text")
     r = masks.redact_text("text")
     return d.select("doc_id", F.sha2(r, 256).alias("redacted_sha256"), F.length(r).alias("redacted_length"),
                     (r != F.col("text")).alias("changed"))

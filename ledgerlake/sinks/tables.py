@@ -7,6 +7,7 @@ table behind (Spark's commit protocol already makes each write atomic per folder
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -80,12 +81,23 @@ def write_versioned(df: DataFrame, root: str, partition_by: list[str] | None = N
     return target
 
 
+def read_if_exists(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None where the path does not exist. Any other failure is raised: a
+    storage or permission error must not look like an empty table."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
     """Highest published version under ``root`` (None before the first publish)."""
     from pyspark.sql import functions as F
-    try:
-        markers = spark.read.parquet(f"{root.rstrip('/')}/_published")
-    except Exception:  # noqa: BLE001 - nothing published yet
+    markers = read_if_exists(spark, f"{root.rstrip('/')}/_published")
+    if markers is None:
         return None
     return markers.agg(F.max("version")).first()[0]
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sinks.tables import read_if_exists
 from .. import constants as K
 from .. import schemas
 from ..functions import crypto
@@ -41,20 +42,6 @@ def state_partitions(spark: SparkSession, n: int | None):
         spark.conf.set(key, before)
 
 
-def default_state_partitions(spark: SparkSession, rows_per_batch: int | None = None,
-                             rows_per_partition: int = 25_000) -> int:
-    """State partitions for a stateful stream: enough for ``rows_per_partition`` rows of one
-    micro-batch each (every state partition costs a fixed amount of work per batch), at most
-    the cluster's cores and the session's shuffle partitions."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
-        cores = cap
-    wanted = cores if rows_per_batch is None else -(-rows_per_batch // rows_per_partition)
-    return max(1, min(cap, cores, wanted))
-
-
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
                     available_now: bool = True, mode: str = "append",
                     n_state_partitions: int | None = None) -> StreamingQuery:
@@ -82,12 +69,12 @@ def first_start_time(spark: SparkSession, checkpoint: str) -> str:
     """The time this query first started, kept next to its checkpoint so that restarts
     reuse it (files that arrive while the query is down are still read)."""
     marker = f"{checkpoint.rstrip('/')}_first_start"
-    try:
-        return spark.read.text(marker).first()[0]
-    except Exception:  # noqa: BLE001 - first start
+    known = read_if_exists(spark, marker, "value string", "text")
+    if known is None:
         now = spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
-        spark.createDataFrame([(now,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+        spark.createDataFrame([(now,)], "value string").coalesce(1).write.mode("errorifexists").text(marker)
         return now
+    return known.first()[0]
 
 
 def start_settlement_ingest(spark: SparkSession, src_dir: str, bronze_path: str, dlq_path: str, checkpoint: str,
@@ -131,15 +118,17 @@ def route_signals_stream(signals: DataFrame, prefix: str = "fraud") -> DataFrame
 
 def subscribe(stream: DataFrame, callback: Callable[[DataFrame, int], None], checkpoint: str,
               errors: list | None = None, available_now: bool = True) -> StreamingQuery:
-    """st9: call ``callback(batch_df, batch_id)`` per micro-batch; a failing callback is
-    recorded and swallowed, as subscribers in the reference are."""
+    """st9: call ``callback(batch_df, batch_id)`` per micro-batch. A failing callback stops the query, so
+    the batch is delivered again after a restart; with a list ``errors`` it is recorded there and the
+    stream goes on without that batch."""
 
     def safe(batch: DataFrame, batch_id: int) -> None:
         try:
             callback(batch, batch_id)
-        except Exception as e:  # noqa: BLE001
-            if errors is not None:
-                errors.append((batch_id, repr(e)))
+        except Exception as e:  # noqa: BLE001 - a subscriber may fail in any way
+            if errors is None:
+                raise
+            errors.append((batch_id, repr(e)))
 
     w = stream.writeStream.foreachBatch(safe).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now).start()

@@ -16,29 +16,25 @@ from .. import schemas
 PAYLOAD_SCHEMA = T.StructType([T.StructField("payload", T.StringType(), True)])
 
 
-def land_files(df: DataFrame, path: str, n_files: int, order_col: str, fmt: str = "parquet",
-               rows_per_file: int = 100_000) -> tuple[str, int]:
-    """Drop ``df`` into ``path`` as time-ordered files, the way an upstream system does:
-    the rows are cut into contiguous ranges of ``order_col`` (at least ``n_files``, more
-    as the data grows, so no file exceeds about ``rows_per_file`` rows), and the ranges
-    are written one after another, so file modification order equals event-time order.
-    Returns the folder and the number of rows per file."""
+def land_files(df: DataFrame, path: str, n_files: int, order_col: str, fmt: str = "parquet") -> str:
+    """Drop ``df`` into ``path`` as ``n_files`` time-ordered files, the way an upstream system does:
+    the rows are cut into contiguous ranges of ``order_col`` and the ranges are written one
+    after another, so file modification order equals event-time order. Rows without a time
+    come with the first file."""
     key = F.unix_micros(F.col(order_col).cast("timestamp"))
     # computed once into the shared checkpoint dir; the range writes below only read it
     keyed = df.withColumn("_o", key).checkpoint(eager=True)
-    rows = keyed.count()
-    n = max(n_files, -(-rows // rows_per_file))
-    cuts = keyed.approxQuantile("_o", [i / n for i in range(1, n)], 0.0001) if n > 1 else []
+    cuts = keyed.approxQuantile("_o", [i / n_files for i in range(1, n_files)], 0.0001) if n_files > 1 else []
     bounds = [None, *cuts, None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("_o") >= F.lit(lo))
+        cond = F.lit(True) if lo is None else F.col("_o") >= F.lit(lo)
         if hi is not None:
             cond = cond & (F.col("_o") < F.lit(hi))
+        if lo is None:
+            cond = cond | F.col("_o").isNull()
         (keyed.filter(cond).drop("_o").coalesce(1).sortWithinPartitions(order_col)
          .write.mode("append").format(fmt).save(path))
-    return path, -(-rows // n)  # the folder and the rows of one file (one micro-batch at 1 file/trigger)
+    return path
 
 
 def payload_stream(spark: SparkSession, path: str, max_files: int = 1, fmt: str = "parquet") -> DataFrame:

@@ -29,7 +29,7 @@ def dedupe_latest(stream: DataFrame, key: str, ts: str, delay: str = K.WATERMARK
     cols = stream.columns
     return (stream.withWatermark(ts, delay)
             .groupBy(F.col(key).alias("_k"), F.session_window(F.col(ts), delay).alias("_w"))
-            .agg(F.max_by(F.struct(*cols), F.col(ts)).alias("_r"))
+            .agg(F.max_by(F.struct(*cols), F.struct(F.col(ts), *[F.col(c) for c in cols])).alias("_r"))
             .select("_r.*"))
 
 

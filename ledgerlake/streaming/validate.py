@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks.tables import read_if_exists
+
 CORRUPT = "_corrupt_record"
 
 
@@ -66,9 +68,8 @@ def late_router(ts: str, delay_seconds: int, good_path: str, dlq_path: str, hwm_
     in ``hwm_path`` (one small file per batch), so a restart continues from it."""
 
     def current_hwm(spark, batch_id: int) -> object:
-        try:
-            marks = spark.read.parquet(hwm_path)
-        except Exception:  # noqa: BLE001 - no batch stored yet
+        marks = read_if_exists(spark, hwm_path)
+        if marks is None:
             return None
         # a retried batch must not see its own earlier attempt
         return marks.filter(F.col("batch_id") < batch_id).agg(F.max("hwm")).first()[0]

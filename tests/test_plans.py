@@ -52,7 +52,7 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 
 def test_velocity_windows_are_bucketed(spark):
     p = plan(QUERIES["velocity_count"](spark, SF_SMALL))
-    assert "Window" in p and "_s" in p  # partitioned by (customer, time slice), not by customer only
+    assert "Window" in p and "_b" in p and "Join" not in p  # by (customer, time bucket), no self-join
 
 
 def test_daily_summary_prunes_date_partitions(spark):
