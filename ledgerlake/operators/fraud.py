@@ -104,7 +104,7 @@ def blacklist_alerts(df: DataFrame, blacklist: DataFrame, key: str, alert: str =
 def with_scoring_context(df: DataFrame, customer: str = "customer_id", ts: str = "ts", order_id: str = "event_id",
                          location: str = "current_location", window_minutes: int = K.ENGINE_WINDOW_MINUTES) -> DataFrame:
     """prior_count (velocity) and previous_location (LAG) per customer, in event time, from one
-    pass over (customer, time slice) partitions."""
+    pass over (customer, time bucket) partitions."""
     return windows.velocity_and_previous(df, customer, ts, order_id, location, window_minutes,
                                          "prior_count", "previous_location")
 
