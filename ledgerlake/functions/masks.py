@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -92,3 +92,17 @@ def mask_by_user(c, allowed_users: list[str], user: Column | None = None) -> Col
     """Column visible only to allowed users, else '****MASKED****'."""
     who = F.current_user() if user is None else user
     return F.when(who.isin(*allowed_users), _c(c)).otherwise(F.lit(K.MASKED_PLACEHOLDER))
+
+
+def mask_by_users_table(df: DataFrame, cols: list[str], allowed: DataFrame, user: Column | None = None) -> DataFrame:
+    """``cols`` in clear where the user (by default the session's) is in the one-column table ``allowed``, else
+    '****MASKED****'. The membership is one scalar subquery for the whole query; ``user`` may be a column
+    of ``df`` (the reader of each row): then it is a left semi-style lookup by join."""
+    if user is None:
+        name = allowed.columns[0]
+        shown = allowed.filter(F.col(name) == F.current_user()).agg((F.count(F.lit(1)) > 0).alias("shown")).scalar()
+        return df.withColumns({c: F.when(shown, F.col(c)).otherwise(F.lit(K.MASKED_PLACEHOLDER)) for c in cols})
+    users = allowed.toDF("_user").filter(F.col("_user").isNotNull()).distinct().withColumn("_shown", F.lit(True))
+    out = df.withColumn("_reader", user).join(users, F.col("_reader") == F.col("_user"), "left")
+    return out.withColumns({c: F.when(F.col("_shown"), F.col(c)).otherwise(F.lit(K.MASKED_PLACEHOLDER))
+                            for c in cols}).drop("_reader", "_user", "_shown")

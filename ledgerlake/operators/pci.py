@@ -170,3 +170,62 @@ def scan_sensitive_values(df: DataFrame, table_name: str, columns: list[str] | N
         F.lit(table_name).alias("table_name"), "column_name", "pattern", "matches",
         F.col("_total").alias("total_values"),
         (F.col("matches") / F.col("_total")).alias("share"))
+
+
+def classify_values(scan: DataFrame, min_share: float = 0.5) -> DataFrame:
+    """Classification that the values themselves ask for, from a ``scan_sensitive_values`` result: card
+    numbers in ``min_share`` of a column's values or more make it restricted, e-mails or phones PII."""
+    hit = (F.col("share") >= min_share)
+    return scan.groupBy("table_name", "column_name").agg(
+        F.coalesce(F.bool_or(hit & (F.col("pattern") == "card")), F.lit(False)).alias("_card"),
+        F.coalesce(F.bool_or(hit & (F.col("pattern") != "card")), F.lit(False)).alias("_pii")).select(
+        "table_name", "column_name",
+        F.when(F.col("_card"), "pci_dss_restricted").when(F.col("_pii"), "pii_restricted")
+         .otherwise("internal").alias("value_classification"))
+
+
+def classify_names_and_values(classified: DataFrame, values: DataFrame) -> DataFrame:
+    """Name classification raised by value evidence (never lowered); a column that only its values
+    give away is redacted. Columns without text values keep the name's class."""
+    j = classified.join(values, on=["table_name", "column_name"], how="left")
+    name, value = F.col("classification"), F.coalesce("value_classification", F.lit("internal"))
+    final = (F.when((name == "pci_dss_restricted") | (value == "pci_dss_restricted"), "pci_dss_restricted")
+             .when((name == "pii_restricted") | (value == "pii_restricted"), "pii_restricted").otherwise("internal"))
+    return j.withColumns({"classification": final, "is_masked": final != "internal",
+                          "mask_type": F.coalesce("mask_type", F.when(final != "internal", F.lit("redact")))}) \
+            .drop("value_classification")
+
+
+# ---- audit -----------------------------------------------------------------------
+
+def leaking_rows(df: DataFrame, table_name: str) -> DataFrame:
+    """(table_name, rows, leaking): rows with a card number or an e-mail address in any text column."""
+    text = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    found = reduce(lambda a, b: a | b, [F.coalesce(c.rlike(SENSITIVE_PATTERNS[p]), F.lit(False))
+                                        for c in text for p in ("card", "email")], F.lit(False))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(found).alias("leaking")).select(
+        F.lit(table_name).alias("table_name"), "rows", "leaking")
+
+
+def audit(inventory: DataFrame, columns: DataFrame, stored: DataFrame, leaks: DataFrame) -> DataFrame:
+    """Four checkpoints, each with what was checked and how much of it violates the rule:
+    raw tables classed as restricted (``inventory``: governance_summary rows), no card number or e-mail in
+    silver and gold text (``leaks``: leaking_rows of each table), a mask for every restricted column and
+    a stored classification for every column (``stored`` against the catalog's ``columns``)."""
+    def item(df: DataFrame, name: str, rule: str, violation) -> DataFrame:
+        counts = df.agg(F.count(F.lit(1)).alias("checked"), F.count_if(violation).alias("violations"))
+        return counts.select(F.lit(name).alias("audit_item"), F.lit(rule).alias("description"),
+                             F.when(F.col("violations") == 0, "PASS").otherwise("FAIL").alias("status"),
+                             "checked", "violations")
+
+    raw = item(inventory.filter(F.col("schema_name") == "raw"), "raw_tables_restricted",
+               "every raw table is classed as restricted", ~F.col("is_pci_dss_restricted"))
+    clear = item(leaks, "no_values_in_clear", "no card number or e-mail in clear in silver and gold text",
+                 F.col("leaking") > 0)
+    masked = item(stored.filter(F.col("classification") == "pci_dss_restricted"), "restricted_columns_masked",
+                  "every restricted column has a mask", F.col("mask_type").isNull())
+    known = stored.select("table_name", "column_name", "classification").filter(F.col("classification").isNotNull()) \
+                  .distinct().withColumnRenamed("classification", "_known")
+    listed = item(columns.join(known, on=["table_name", "column_name"], how="left"), "columns_classified",
+                  "every column has a stored classification", F.col("_known").isNull())
+    return raw.unionByName(clear).unionByName(masked).unionByName(listed)

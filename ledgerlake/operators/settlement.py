@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import crypto
+from ..sinks.tables import overwrite_partitions
 
 SILVER_TRANSACTION_COLS = ["transaction_id", "merchant_id", "payment_method", "event_ts", "status", "risk_score",
                            "tokenized_pan", "ingestion_date"]
@@ -69,6 +70,24 @@ def merge_settlement(fact: DataFrame, settlement: DataFrame, key: str = "transac
     return joined.select(*cols)
 
 
+def merge_settlement_by_day(spark: SparkSession, fact_path: str, settlement: DataFrame, schema, day_col: str,
+                            staging_path: str, key: str = "transaction_id") -> str:
+    """MERGE into a fact stored by ``day_col``, rewriting only the days that the settlement touches: those
+    that hold a matched row, and the day-less partition where unmatched settlement rows are inserted.
+    The merged days are written to ``staging_path`` first and replace their partitions from there, so the
+    fact is never overwritten by a plan that reads it. Running it again changes nothing.
+
+    The list of touched days (one value per day of the fact, whatever its rows) is read by the
+    driver, so that the scan prunes the other partitions."""
+    fact = spark.read.schema(schema).parquet(fact_path)
+    keys = settlement.select(key)
+    days = [r[0] for r in fact.select(key, day_col).join(keys, on=key, how="left_semi").select(day_col).distinct().collect()]
+    touched = fact.filter(F.col(day_col).isin([d for d in days if d is not None]) | F.col(day_col).isNull())
+    merged = merge_settlement(touched, settlement, key)
+    merged.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("overwrite").parquet(staging_path)
+    return overwrite_partitions(spark.read.schema(schema).parquet(staging_path), fact_path, [day_col])
+
+
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once (a MERGE source must return none)."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
@@ -132,5 +151,4 @@ def backfill_replay(bronze: DataFrame, start, end, date_col: str = "ingestion_da
 def backfill_replay_write(bronze: DataFrame, start, end, silver_path: str, date_col: str = "ingestion_date") -> str:
     """Replay [start, end] from bronze into a silver table partitioned by ``date_col``,
     replacing only those days (dynamic partition overwrite); other days stay as they are."""
-    from ..sinks.tables import overwrite_partitions
     return overwrite_partitions(backfill_replay(bronze, start, end, date_col), silver_path, [date_col])

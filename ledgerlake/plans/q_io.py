@@ -3,11 +3,15 @@ checkpoint dir and returns what a reader sees afterwards."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import settlement as st
 from ..session import scratch_path
 from ..sinks import tables as sinks
+from ..sources import tables as readers
+from .increment import run_increment
 from .oracle_sql import sql_with
 from .q_incremental import B_LAYERS, runs
 from .q_settlement import C_LAYERS, pc
@@ -42,22 +46,20 @@ def _append(ctx):
 
 
 @register("sink_partitioned_append", sql_with(["fact_transactions"],
-                                              "SELECT * FROM fact_transactions WHERE date_key >= '20240120'"))
+                                              "SELECT * FROM fact_transactions"))
 def _partitioned(ctx):
     fact = ctx.med.fact_transactions
     path = scratch_path(ctx.spark, "sink-partitioned")
     sinks.append_partitioned(fact, path, ["date_key"])
-    # the declared schema keeps date_key as text; the filter prunes partitions
-    back = ctx.spark.read.schema(fact.schema).parquet(path)
-    return back.filter(F.col("date_key") >= "20240120").select(*fact.columns)
+    # the declared schema keeps date_key as text
+    return ctx.spark.read.schema(fact.schema).parquet(path).select(*fact.columns)
 
 
 @register("sink_view", sql_with(["metric_fraud_analytics"], """
-SELECT merchant_id, merchant_name, fraud_block_rate_pct FROM metric_fraud_analytics WHERE fraud_block_rate_pct > 2.0"""))
+SELECT merchant_id, merchant_name, fraud_block_rate_pct FROM metric_fraud_analytics"""))
 def _view(ctx):
     name = sinks.register_view(ctx.med.metric_fraud_analytics, "metric_fraud_analytics_v")
-    return ctx.spark.sql(f"SELECT merchant_id, merchant_name, fraud_block_rate_pct FROM {name} "
-                         "WHERE fraud_block_rate_pct > 2.0")
+    return ctx.spark.sql(f"SELECT merchant_id, merchant_name, fraud_block_rate_pct FROM {name}")
 
 
 @register("merge_settlement_publish", sql_with(["c_fact_before", "c_silver_st"], """
@@ -77,3 +79,102 @@ def _merge_publish(ctx):
     st.assert_unique(c.settlement, "transaction_id")
     sinks.write_versioned(st.merge_settlement(sinks.read_current(ctx.spark, root), c.settlement), root)
     return sinks.read_current(ctx.spark, root)
+
+
+_MERGED_SQL = """
+SELECT COALESCE(t.transaction_id, s.transaction_id) AS transaction_id, t.merchant_id, t.payment_method, t.event_ts,
+       t.status, t.risk_score,
+       CASE WHEN s.transaction_id IS NOT NULL THEN s.settlement_date ELSE t.settlement_date END AS settlement_date,
+       CASE WHEN s.transaction_id IS NOT NULL THEN s.amount ELSE t.amount END AS amount,
+       CASE WHEN s.transaction_id IS NOT NULL THEN s.fee ELSE t.fee END AS fee,
+       CASE WHEN s.transaction_id IS NOT NULL THEN s.chargeback_flag ELSE t.chargeback_flag END AS chargeback_flag
+FROM c_fact_before t FULL OUTER JOIN (SELECT * FROM c_silver_st WHERE settlement_date BETWEEN DATE '2024-01-12' AND DATE '2024-01-13') s
+  ON t.transaction_id = s.transaction_id"""
+
+
+@register("merge_settlement_by_day", sql_with(["c_fact_before", "c_silver_st"], _MERGED_SQL, extra=C_LAYERS))
+def _merge_by_day(ctx):
+    """One night's settlement file against the fact partitioned by event day: the days it touches are rewritten,
+    twice, as a repeated run must change nothing."""
+    c = pc(ctx)
+    path = scratch_path(ctx.spark, "fact-by-day")
+    days = c.fact_before.withColumn("event_date", F.col("event_ts").cast("date"))
+    sinks.write_table(days, path, partition_by=["event_date"])
+    night = c.settlement.filter(F.col("settlement_date").between(F.lit("2024-01-12").cast("date"), F.lit("2024-01-13").cast("date")))
+    st.assert_unique(night, "transaction_id")
+    for _run in range(2):
+        st.merge_settlement_by_day(ctx.spark, path, night, days.schema, "event_date", scratch_path(ctx.spark, "merge-staging"))
+    return ctx.spark.read.schema(days.schema).parquet(path).drop("event_date")
+
+
+@register("backfill_rewrite", sql_with(["c_silver_tx"], "SELECT * FROM c_silver_tx", extra=C_LAYERS))
+def _backfill_rewrite(ctx):
+    """A silver table with a damaged week (statuses lost) is rebuilt by replaying that week from bronze."""
+    c = pc(ctx)
+    path = scratch_path(ctx.spark, "silver-by-day")
+    first, last = "2024-01-10", "2024-01-16"
+    damaged = F.col("ingestion_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    sinks.append_partitioned(c.transactions.withColumn("status", F.when(~damaged, F.col("status"))), path, ["ingestion_date"])
+    st.backfill_replay_write(c.bronze, first, last, path)
+    return ctx.spark.read.schema(c.transactions.schema).parquet(path).select(*c.transactions.columns)
+
+
+def _landed(ctx, fixture: str, name: str) -> str:
+    path = scratch_path(ctx.spark, name)
+    return sinks.write_table(ctx.fx(fixture), path)
+
+
+@register("read_payments_declared", sql_with(["fx_payments_raw"], """
+SELECT payment_id, merchant_id, customer_id, amount, currency, payment_method, status, created_at, updated_at FROM fx_payments_raw"""))
+def _read_payments(ctx):
+    back = readers.read_payments_raw(ctx.spark, _landed(ctx, "fx_payments_raw", "raw-payments"))
+    return back.select("payment_id", "merchant_id", "customer_id", "amount", "currency", "payment_method", "status",
+                       "created_at", "updated_at")
+
+
+@register("read_signals_declared", sql_with(["fx_fraud_signals_raw"], """
+SELECT signal_id, transaction_id, risk_score, risk_level, decision, created_at FROM fx_fraud_signals_raw"""))
+def _read_signals(ctx):
+    back = readers.read_fraud_raw(ctx.spark, _landed(ctx, "fx_fraud_signals_raw", "raw-signals"))
+    return back.select("signal_id", "transaction_id", "risk_score", "risk_level", "decision", "created_at")
+
+
+@register("sink_catalog_insert", sql_with(["pv2"], "SELECT * FROM pv2", extra=B_LAYERS))
+def _catalog_insert(ctx):
+    """A catalog table filled by run 1 and appended to by position by run 2."""
+    r = runs(ctx)
+    name = f"ledgerlake_payments_{uuid.uuid4().hex[:12]}"
+    sinks.save_as_table(r.pv1, name)
+    sinks.insert_into(r.new_pv.select(*reversed(r.new_pv.columns)), name)
+    return ctx.spark.table(name)
+
+
+def _two_runs(ctx):
+    if "_two_runs" not in ctx._memo:
+        r = runs(ctx)
+        state = scratch_path(ctx.spark, "increment-state")
+        one = run_increment(ctx.spark, r.raw1, r.sig1, state, ctx.as_of, ctx.days)
+        two = run_increment(ctx.spark, r.raw, r.sig, state, ctx.as_of, ctx.days)
+        again = run_increment(ctx.spark, r.raw, r.sig, state, ctx.as_of, ctx.days)
+        ctx._memo["_two_runs"] = (state, [one, two, again])
+    return ctx._memo["_two_runs"]
+
+
+@register("run_increment_facts", sql_with(["fact1", "new_fact"], "SELECT * FROM fact1 UNION ALL SELECT * FROM new_fact", extra=B_LAYERS))
+def _run_increment_facts(ctx):
+    """Pipeline B as it runs: first landing, second landing, and the second once more."""
+    state, _counts = _two_runs(ctx)
+    return ctx.spark.read.parquet(f"{state}/fact_payments")
+
+
+_APPENDED = [("payment_validated", "pv1", "new_pv"), ("fraud_enriched", "fe1", "new_fe"), ("dim_merchant", "dm1", "new_dm"),
+             ("dim_customer", "dc1", "new_dc"), ("fact_payments", "fact1", "new_fact")]
+
+
+@register("run_increment_counts", sql_with([n for row in _APPENDED for n in row[1:]], " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM {one}) AS run_1, (SELECT COUNT(*) FROM {two}) AS run_2, 0 AS run_3"
+    for t, one, two in _APPENDED), extra=B_LAYERS))
+def _run_increment_counts(ctx):
+    _state, counts = _two_runs(ctx)
+    rows = [(t, *[run[t] for run in counts]) for t, _one, _two in _APPENDED]
+    return ctx.spark.createDataFrame(rows, "table_name string, run_1 long, run_2 long, run_3 long")

@@ -48,10 +48,12 @@ def _src_fraud_typed(ctx):
     return to_fraud_signals_typed(ctx.fx("fx_fraud_signals_raw"))
 
 
-@register("src_file_metadata")
+@register("src_file_metadata", "SELECT event_id, 'events.parquet' AS file_name, true AS has_modification_time FROM events")
 def _src_file_metadata(ctx):
     events = ctx.spark.read.parquet(f"{ctx.sf_dir}/events.parquet")
-    return silver.with_file_metadata(events).select("event_id", "file_path", "file_modification_time")
+    return silver.with_file_metadata(events).select(
+        "event_id", F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
+        F.col("file_modification_time").isNotNull().alias("has_modification_time"))
 
 
 # ---------------------------------------------------------------------------

@@ -28,6 +28,11 @@ from .registry import register
 SENTINEL_TS = ["2099-01-01 00:00:00", "2099-01-01 00:00:01"]
 N_FILES = 4
 N_SENTINELS = 1
+# FIXED VALUES: the times at which one landed file ends and the next begins
+FILE_CUTS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00"]
+# FIXED VALUE: every tenth payment arrives this much after its event time in the late landing
+STRAGGLER_DELAY = "INTERVAL '72' HOUR"
+LATE_AFTER_SECONDS = 30 * 60
 
 
 # State partitions of the registered streams. A deployment sets its own: the count is fixed for the
@@ -47,22 +52,22 @@ def _signal_sentinel(spark, i: int) -> DataFrame:
     return spark.range(1).select(F.lit(payload).alias("payload"))
 
 
-def _land(ctx, fixture: str, name: str, sentinel, ordered: bool = True) -> str:
+def _land(ctx, fixture: str, name: str, sentinel, late: bool = False) -> str:
+    """The fixture's payloads as files by event time; with ``late``, by arrival time (stragglers come later)."""
     path = scratch_path(ctx.spark, name)
-    src = ctx.fx(fixture)
-    if ordered:
-        sources.land_files(src.select("order_ts", "payload"), path, N_FILES, "order_ts")
-    else:  # arrival order unrelated to event time: late rows from the third file on
-        src.select("payload").repartition(N_FILES, F.col("payload")).write.mode("overwrite").parquet(path)
+    arrival = F.col("order_ts")
+    if late:
+        arrival = F.when(F.col("event_id") % 10 == 7, arrival + F.expr(STRAGGLER_DELAY)).otherwise(arrival)
+    sources.land_files(ctx.fx(fixture).select(arrival.alias("arrival_ts"), "payload"), path, FILE_CUTS, "arrival_ts")
     for i in range(N_SENTINELS):
         sentinel(ctx.spark, i).write.mode("append").parquet(path)
     return path
 
 
-def _payments_path(ctx, ordered=True) -> str:
-    key = f"_pay_path_{ordered}"
+def _payments_path(ctx, late=False) -> str:
+    key = f"_pay_path_{late}"
     if key not in ctx._memo:
-        ctx._memo[key] = _land(ctx, "fx_stream_payments", "stream-payments", _payment_sentinel, ordered)
+        ctx._memo[key] = _land(ctx, "fx_stream_payments", "stream-payments", _payment_sentinel, late)
     return ctx._memo[key]
 
 
@@ -93,8 +98,8 @@ def _not_sentinel(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("transaction_id").startswith("__sentinel__"))
 
 
-def _valid_payments(ctx, ordered=True) -> DataFrame:
-    raw = sources.payload_stream(ctx.spark, _payments_path(ctx, ordered))
+def _valid_payments(ctx, late=False) -> DataFrame:
+    raw = sources.payload_stream(ctx.spark, _payments_path(ctx, late))
     checked = validate.schema_validate(raw, "payload", schemas.PAYMENT_EVENT, schemas.PAYMENT_EVENT_REQUIRED)
     return checked.filter("is_valid").drop("payload", "is_valid", "error")
 
@@ -115,6 +120,18 @@ SELECT payload, json_valid(payload) AS ok,
 FROM fx_stream_payments"""),
     "sp_valid": (["sp"], """SELECT * FROM sp WHERE ok AND transaction_id IS NOT NULL AND merchant_id IS NOT NULL
        AND amount IS NOT NULL AND event_ts IS NOT NULL"""),
+    # the late landing: the file each valid payment arrives in, and the latest event time of the files before it
+    "sp_arrived": (["sp_valid"], f"""
+SELECT *, CASE {' '.join(f"WHEN arrival_ts < TIMESTAMP '{cut}' THEN {i}" for i, cut in enumerate(FILE_CUTS))}
+       ELSE {len(FILE_CUTS)} END AS file_no
+FROM (SELECT *, event_ts + CASE WHEN CAST(substr(transaction_id, 5) AS BIGINT) % 10 = 7 THEN {STRAGGLER_DELAY}
+                ELSE INTERVAL '0' HOUR END AS arrival_ts FROM sp_valid) a"""),
+    "sp_routed": (["sp_arrived"], f"""
+SELECT a.*, COALESCE(a.event_ts < h.high - INTERVAL '{LATE_AFTER_SECONDS}' SECOND, false) AS late
+FROM sp_arrived a LEFT JOIN (
+  SELECT n.file_no, MAX(b.event_ts) AS high
+  FROM (SELECT DISTINCT file_no FROM sp_arrived) n JOIN sp_arrived b ON b.file_no < n.file_no
+  GROUP BY n.file_no) h ON a.file_no = h.file_no"""),
     "ss": (["fx_stream_signals"], """
 SELECT json_extract_string(payload, '$.transaction_id') AS transaction_id,
        CAST(json_extract_string(payload, '$.risk_score') AS DECIMAL(3,2)) AS risk_score,
@@ -270,11 +287,12 @@ def _st4b(ctx):
 
 # ---- st5: late rows to the DLQ -----------------------------------------------------
 
-@register("st5_late_to_dlq")
+@register("st5_late_to_dlq", ssql(["sp_routed"], """
+SELECT transaction_id, event_ts, CASE WHEN late THEN 'dlq' ELSE 'on_time' END AS route FROM sp_routed"""))
 def _st5(ctx):
     good, dlq, hwm = (scratch_path(ctx.spark, n) for n in ("st5-good", "st5-dlq", "st5-hwm"))
-    stream = _valid_payments(ctx, ordered=False)
-    w = stream.writeStream.foreachBatch(validate.late_router("event_ts", 30 * 60, good, dlq, hwm)) \
+    stream = _valid_payments(ctx, late=True)
+    w = stream.writeStream.foreachBatch(validate.late_router("event_ts", LATE_AFTER_SECONDS, good, dlq, hwm)) \
               .option("checkpointLocation", scratch_path(ctx.spark, "st5-ckpt"))
     jobs._trigger(w, True).start().awaitTermination()
     g = ctx.spark.read.parquet(good).select("transaction_id", "event_ts", F.lit("on_time").alias("route"))
@@ -295,6 +313,46 @@ def _st6(ctx):
     return _not_sentinel(out).select("transaction_id", "amount", "event_ts", "ingestion_date")
 
 
+# ---- the composed job: payload -> DLQ or bronze ---------------------------------------
+
+def _bronze_run(ctx) -> tuple[str, str]:
+    if "_bronze" not in ctx._memo:
+        folder = scratch_path(ctx.spark, "bronze-job")
+        bronze, dlq = f"{folder}/bronze", f"{folder}/dlq"
+        jobs.run_bronze_pipeline(ctx.spark, _payments_path(ctx, late=True), _signals_path(ctx), bronze, dlq, folder, FIXTURE_KEY,
+                                 late_after_seconds=LATE_AFTER_SECONDS, n_state_partitions=STATE_PARTITIONS)
+        ctx._memo["_bronze"] = (bronze, dlq)
+    return ctx._memo["_bronze"]
+
+
+@register("pipeline_bronze_events", ssql(["sp_routed", "ss"], f"""
+SELECT p.transaction_id, p.merchant_id, p.status, p.amount, p.event_ts, {token_sql('p.card_number')} AS tokenized_pan,
+       s.risk_score, s.decision, CAST(p.event_ts AS DATE) AS ingestion_date
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY event_ts DESC) AS rn
+      FROM sp_routed WHERE NOT late) p
+LEFT JOIN ss s ON p.transaction_id = s.transaction_id AND s.signal_ts BETWEEN p.event_ts - INTERVAL 1 HOUR
+      AND p.event_ts + INTERVAL 1 HOUR
+WHERE p.rn = 1"""))
+def _bronze_events(ctx):
+    bronze, _dlq = _bronze_run(ctx)
+    return wall_clock(_not_sentinel(ctx.spark.read.parquet(bronze))).select(
+        "transaction_id", "merchant_id", "status", "amount", "event_ts", "tokenized_pan", "risk_score", "decision",
+        "ingestion_date")
+
+
+@register("pipeline_dlq", ssql(["sp", "sp_routed"], """
+SELECT payload, CASE WHEN NOT ok THEN 'malformed json' WHEN transaction_id IS NULL THEN 'missing transaction_id'
+            WHEN merchant_id IS NULL THEN 'missing merchant_id' WHEN amount IS NULL THEN 'missing amount'
+            ELSE 'missing event_ts' END AS error
+FROM sp WHERE NOT (ok AND transaction_id IS NOT NULL AND merchant_id IS NOT NULL AND amount IS NOT NULL
+                   AND event_ts IS NOT NULL)
+UNION ALL
+SELECT payload, 'late event' FROM sp_routed WHERE late"""))
+def _bronze_dlq(ctx):
+    _bronze, dlq = _bronze_run(ctx)
+    return ctx.spark.read.parquet(dlq).select("payload", "error")
+
+
 # ---- st7: velocity with state --------------------------------------------------------
 
 @register("st7_velocity_state", ssql(["sp_valid"], """
@@ -355,6 +413,16 @@ def _st11(ctx):
                                                  "fee", "chargeback_flag")
 
 
+@register("st11_settlement_dlq", sql_with(["fx_settlement"], """
+SELECT settlement_id, transaction_id, '12,50' AS amount, 'bad amount' AS error
+FROM fx_settlement WHERE settlement_id LIKE '%7'"""))
+def _st11_dlq(ctx):
+    bronze, dlq = scratch_path(ctx.spark, "st11-bronze"), scratch_path(ctx.spark, "st11-dlq")
+    jobs.start_settlement_ingest(ctx.spark, _settlement_dir(ctx), bronze, dlq, scratch_path(ctx.spark, "st11-ckpt"),
+                                 max_files=1).awaitTermination()
+    return ctx.spark.read.parquet(dlq).select("settlement_id", "transaction_id", "_raw.amount", "error")
+
+
 @register("alert_stream_lag")
 def _lag(ctx):
     d = stateful.dedupe_latest(_valid_payments(ctx), "transaction_id", "event_ts", "30 minutes")

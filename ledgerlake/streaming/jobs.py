@@ -18,7 +18,7 @@ from .. import constants as K
 from .. import schemas
 from ..functions import crypto
 from ..operators import fraud
-from . import sources, validate
+from . import sources, stateful, validate
 
 
 def _trigger(writer, available_now: bool):
@@ -65,6 +65,37 @@ def start_validated_ingest(spark: SparkSession, src_path: str, good_path: str, d
     return _trigger(w, available_now).start()
 
 
+def run_bronze_pipeline(spark: SparkSession, payments_path: str, signals_path: str, bronze_path: str, dlq_path: str,
+                        work_dir: str, key: str, late_after_seconds: int, n_state_partitions: int | None = None,
+                        max_files: int = 1) -> None:
+    """The whole payment stream: validate -> tokenise -> late and invalid rows to the DLQ -> join the
+    fraud signals -> dedupe -> bronze partitioned by ``ingestion_date``.
+
+    Two queries, as rows must be routed before a stateful operator drops the late ones. The first
+    reads payloads and writes accepted, tokenised events and the DLQ; no card number is stored. The
+    second reads the accepted events with no file limit: those of one micro-batch of the first span
+    any time, so they must meet the watermark together. Both resume from their checkpoints in ``work_dir``."""
+    accepted = f"{work_dir}/accepted"
+    raw = sources.payload_stream(spark, payments_path, max_files)
+    checked = validate.schema_validate(raw, "payload", schemas.PAYMENT_EVENT, schemas.PAYMENT_EVENT_REQUIRED)
+    tokenised = tokenize_stream(checked, "card_number", key)
+    router = validate.late_router("event_ts", late_after_seconds, accepted, dlq_path, f"{work_dir}/high_water", validated=True)
+    first = _trigger(tokenised.writeStream.foreachBatch(router)
+                     .option("checkpointLocation", f"{work_dir}/checkpoint_accept"), True).start()
+    first.awaitTermination()
+
+    schema = spark.read.parquet(accepted).drop("batch_id").schema
+    events = spark.readStream.schema(schema).parquet(f"{accepted}/batch_id=*")
+    delay = f"{late_after_seconds} seconds"
+    signals = sources.stream_signals(spark, signals_path, max_files)
+    joined = stateful.stream_join(events, signals, bound="1 hour", before="1 hour", delay=delay)
+    enriched = joined.select("p.*", "s.risk_score", "s.decision")
+    latest = stateful.dedupe_latest(enriched, "transaction_id", "event_ts", delay, watermarked=True)
+    out = latest.withColumn("ingestion_date", F.col("event_ts").cast("date"))
+    start_file_sink(out, bronze_path, f"{work_dir}/checkpoint_bronze", ["ingestion_date"],
+                    n_state_partitions=n_state_partitions).awaitTermination()
+
+
 def first_start_time(spark: SparkSession, checkpoint: str) -> str:
     """The time this query first started, kept next to its checkpoint so that restarts
     reuse it (files that arrive while the query is down are still read)."""

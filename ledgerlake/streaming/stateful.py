@@ -25,9 +25,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from .. import constants as K
 
 
-def dedupe_latest(stream: DataFrame, key: str, ts: str, delay: str = K.WATERMARK_DELAY) -> DataFrame:
+def dedupe_latest(stream: DataFrame, key: str, ts: str, delay: str = K.WATERMARK_DELAY,
+                  watermarked: bool = False) -> DataFrame:
+    """``watermarked``: ``ts`` carries a watermark already (a watermark cannot be set twice)."""
     cols = stream.columns
-    return (stream.withWatermark(ts, delay)
+    return ((stream if watermarked else stream.withWatermark(ts, delay))
             .groupBy(F.col(key).alias("_k"), F.session_window(F.col(ts), delay).alias("_w"))
             .agg(F.max_by(F.struct(*cols), F.struct(F.col(ts), *[F.col(c) for c in cols])).alias("_r"))
             .select("_r.*"))
@@ -39,12 +41,13 @@ def dedupe_first(stream: DataFrame, key: str, ts: str, delay: str = K.WATERMARK_
 
 def stream_join(payments: DataFrame, signals: DataFrame, key: str = "transaction_id", p_ts: str = "event_ts",
                 s_ts: str = "signal_ts", delay: str = K.WATERMARK_DELAY, bound: str = "1 hour",
-                how: str = "leftOuter") -> DataFrame:
-    """payments LEFT JOIN signals ON key AND s_ts BETWEEN p_ts AND p_ts + bound."""
+                how: str = "leftOuter", before: str = "0 seconds") -> DataFrame:
+    """payments LEFT JOIN signals ON key AND s_ts BETWEEN p_ts - before AND p_ts + bound. A positive
+    ``before`` also lets a later version of a payment meet the signal of its first version."""
     p = payments.withWatermark(p_ts, delay).alias("p")
     s = signals.withColumnRenamed(key, "_s_key").withWatermark(s_ts, delay).alias("s")
     cond = ((F.col(f"p.{key}") == F.col("s._s_key"))
-            & (F.col(f"s.{s_ts}") >= F.col(f"p.{p_ts}"))
+            & (F.col(f"s.{s_ts}") >= F.col(f"p.{p_ts}") - F.expr(f"INTERVAL {before}"))
             & (F.col(f"s.{s_ts}") <= F.col(f"p.{p_ts}") + F.expr(f"INTERVAL {bound}")))
     return p.join(s, cond, how).drop("_s_key")
 

@@ -62,10 +62,13 @@ def dlq_writer(good_path: str, dlq_path: str, good_cols: list[str] | None = None
     return write
 
 
-def late_router(ts: str, delay_seconds: int, good_path: str, dlq_path: str, hwm_path: str) -> Callable:
+def late_router(ts: str, delay_seconds: int, good_path: str, dlq_path: str, hwm_path: str,
+                validated: bool = False) -> Callable:
     """foreachBatch function that sends rows older than (high-water mark - delay) to the
     DLQ instead of dropping them silently. The high-water mark of every batch is stored
-    in ``hwm_path`` (one small file per batch), so a restart continues from it."""
+    in ``hwm_path`` (one small file per batch), so a restart continues from it. With
+    ``validated`` the rows come from ``schema_validate``: invalid ones go to the DLQ with
+    their own error and do not move the mark, and the good sink gets no payload."""
 
     def current_hwm(spark, batch_id: int) -> object:
         marks = read_if_exists(spark, hwm_path)
@@ -83,11 +86,16 @@ def late_router(ts: str, delay_seconds: int, good_path: str, dlq_path: str, hwm_
                 late = F.lit(False)
             else:
                 late = F.col(ts) < (F.lit(hwm).cast("timestamp") - F.expr(f"INTERVAL {delay_seconds} SECONDS"))
-            tagged = batch.withColumn("_late", late)
-            tagged.filter(~F.col("_late")).drop("_late").write.mode("overwrite").parquet(_batch_path(good_path, batch_id))
-            (tagged.filter(F.col("_late")).drop("_late").withColumn("dlq_ts", F.current_timestamp())
-             .withColumn("error", F.lit("late event")).write.mode("overwrite").parquet(_batch_path(dlq_path, batch_id)))
-            (batch.agg(F.max(ts).alias("hwm")).withColumn("batch", F.lit(batch_id))
+            error = F.when(F.coalesce(late, F.lit(False)), F.lit("late event"))
+            if validated:
+                error = F.coalesce(F.col("error"), error)
+            tagged = batch.withColumn("error", error)
+            good = tagged.filter(F.col("error").isNull()).drop("error", *(["payload", "is_valid"] if validated else []))
+            good.write.mode("overwrite").parquet(_batch_path(good_path, batch_id))
+            (tagged.filter(F.col("error").isNotNull()).withColumn("dlq_ts", F.current_timestamp())
+             .write.mode("overwrite").parquet(_batch_path(dlq_path, batch_id)))
+            seen = batch.filter("is_valid") if validated else batch
+            (seen.agg(F.max(ts).alias("hwm")).withColumn("batch", F.lit(batch_id))
              .write.mode("overwrite").parquet(_batch_path(hwm_path, batch_id)))
         finally:
             batch.unpersist()

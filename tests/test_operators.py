@@ -81,7 +81,7 @@ def test_missing_path_is_empty_and_other_errors_are_raised(spark, tmp_path):
 def test_landed_files_keep_rows_without_a_time(spark, tmp_path):
     from ledgerlake.streaming.sources import land_files
     df = spark.range(100).selectExpr("id", "if(id % 10 = 0, null, timestamp_seconds(id)) as t")
-    assert spark.read.parquet(land_files(df, str(tmp_path / "land"), 4, "t")).count() == 100
+    assert spark.read.parquet(land_files(df, str(tmp_path / "land"), ["1970-01-01 00:00:20", "1970-01-01 00:01:00"], "t")).count() == 100
 
 
 def test_scan_names_columns_with_underscores(spark):
