@@ -2,7 +2,8 @@
 
 HMAC(K, m) = H((K' xor opad) || H((K' xor ipad) || m)) with SHA-256 (block size 64).
 The two padded keys depend only on the key, so they are computed once on the driver
-and enter the plan as binary literals; the per-row work is two ``sha2`` calls.
+and enter the plan as binary literals; the per-row work is two ``sha2`` calls. ``build_session``
+sets ``spark.sql.redaction.string.regex`` (``PAD_REDACTION``) so that plan texts show no pad.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 
 _BLOCK = 64
+PAD_REDACTION = "(?i)[0-9a-f]{128}"
 
 
 def _c(c) -> Column:
@@ -52,8 +54,9 @@ def verify_hmac(c, signature, key: str) -> Column:
     return hmac_column(c, key) == _c(signature)
 
 
-def token_for(c, key: str, length: int = 16) -> Column:
-    """'tok_' + first 16 hex characters of the keyed HMAC: the same value always gets the
-    same token, so retries and re-runs are stable (the reference used random ids)."""
+def token_for(c, key: str, length: int = 32) -> Column:
+    """'tok_' + first 32 hex characters (128 bits) of the keyed HMAC: the same value always gets the
+    same token, so retries and re-runs are stable; two of 10^12 values meet with probability 10^-15.
+    ``pci.token_collisions`` lists such tokens of a vault."""
     return F.when(_c(c).isNull(), F.lit(None).cast("string")).otherwise(
         F.concat(F.lit(K.TOKEN_PREFIX), F.substring(hmac_column(c, key), 1, length)))

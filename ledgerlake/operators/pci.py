@@ -77,6 +77,11 @@ def tokenize_column(df: DataFrame, col: str, key: str, token_col: str | None = N
     return out, vault
 
 
+def token_collisions(vault: DataFrame) -> DataFrame:
+    """Tokens that stand for more than one value (a vault must have none): (token, n_values)."""
+    return vault.groupBy("token").agg(F.count_distinct("value").alias("n_values")).filter(F.col("n_values") > 1)
+
+
 def detokenize(df: DataFrame, token_col: str, vault: DataFrame, value_col: str = "value") -> DataFrame:
     """token -> original value (NULL for an unknown or revoked token)."""
     v = vault.select(F.col("token").alias(token_col), F.col("value").alias(value_col))

@@ -27,7 +27,7 @@ def hmac_sql(x: str) -> str:
 
 
 def token_sql(x: str) -> str:
-    return f"CASE WHEN {x} IS NULL THEN NULL ELSE 'tok_' || substr({hmac_sql(x)}, 1, 16) END"
+    return f"CASE WHEN {x} IS NULL THEN NULL ELSE 'tok_' || substr({hmac_sql(x)}, 1, 32) END"
 
 
 def _in_words(col: str, words) -> str:
@@ -269,6 +269,17 @@ def _revoke(ctx):
     return result
 
 
+@register("token_collisions", sql_with(["fx_cardholders"], f"""
+SELECT token, COUNT(DISTINCT card_number) AS n_values
+FROM (SELECT substr({token_sql('card_number')}, 1, 6) AS token, card_number FROM fx_cardholders WHERE card_number IS NOT NULL) v
+GROUP BY token HAVING COUNT(DISTINCT card_number) > 1"""))
+def _collisions(ctx):
+    """The vault check on tokens cut to two hex characters, where values do collide."""
+    h = ctx.fx("fx_cardholders").filter(F.col("card_number").isNotNull())
+    return pci.token_collisions(h.select(crypto.token_for("card_number", FIXTURE_KEY, length=2).alias("token"),
+                                         F.col("card_number").alias("value")))
+
+
 @register("hash_column", sql_with(["fx_cardholders"], "SELECT holder_id, sha256(email) AS email_sha256 FROM fx_cardholders"))
 def _hash(ctx):
     return ctx.fx("fx_cardholders").select("holder_id", crypto.hash_column("email", 256).alias("email_sha256"))

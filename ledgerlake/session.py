@@ -13,6 +13,8 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+from .functions.crypto import PAD_REDACTION
+
 # Settings that matter for correctness or for the plans this library relies on.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -23,6 +25,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.redaction.string.regex": PAD_REDACTION,
 }
 
 
