@@ -70,7 +70,7 @@ UNION ALL
 SELECT 'ST_X' || CAST(event_id AS STRING), 'PAY_X' || CAST(event_id AS STRING), CAST(ts AS DATE), amt, CAST(0 AS DECIMAL(18,2)), false
 FROM {fx_base} WHERE event_id % 200 = 0"""),
     "fx_payments_bulk": (["lineitem", "orders"], """
-SELECT 'LI_' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING) AS payment_id,
+SELECT 'LI_' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING) || '_' || CAST(l_partkey AS STRING) || '_' || CAST(l_suppkey AS STRING) AS payment_id,
        'M' || CAST(l_suppkey AS STRING) AS merchant_id, 'C' || CAST(o_custkey AS STRING) AS customer_id,
        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) AS amount, 'usd' AS currency,
        CASE l_partkey % 5 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'debit_card' WHEN 2 THEN 'ach' WHEN 3 THEN 'wire' ELSE 'digital_wallet' END AS payment_method,
@@ -79,6 +79,17 @@ SELECT 'LI_' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING
        CAST(date_trunc('second', l_shipdate + l_linenumber * INTERVAL '1' HOUR) AS STRING) AS updated_at,
        '{{}}' AS metadata
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey"""),
+    # One signal for seven of eight bulk payments, so that the bulk fraud join meets rows.
+    "fx_fraud_signals_bulk": (["lineitem"], """
+SELECT 'SIG_' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING) || '_' || CAST(l_partkey AS STRING) || '_' || CAST(l_suppkey AS STRING) AS signal_id,
+       'LI_' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING) || '_' || CAST(l_partkey AS STRING) || '_' || CAST(l_suppkey AS STRING) AS transaction_id,
+       CAST(CAST(CAST((l_partkey * 37 + l_linenumber) % 101 AS DECIMAL(5,2)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(3,2)) AS STRING) AS risk_score,
+       CASE WHEN (l_partkey * 37 + l_linenumber) % 101 >= 75 THEN 'critical' WHEN (l_partkey * 37 + l_linenumber) % 101 >= 50 THEN 'high' WHEN (l_partkey * 37 + l_linenumber) % 101 >= 25 THEN 'medium' ELSE 'low' END AS risk_level,
+       CASE WHEN l_partkey % 3 = 0 THEN '["amount_anomaly","velocity_exceeded"]' ELSE '[]' END AS alerts,
+       CASE l_partkey % 9 WHEN 0 THEN 'decline' WHEN 1 THEN 'review' WHEN 2 THEN 'challenge' WHEN 3 THEN 'block' WHEN 4 THEN 'escalate' ELSE 'approve' END AS decision,
+       CASE l_partkey % 6 WHEN 0 THEN 'pending' WHEN 1 THEN 'under_review' WHEN 2 THEN 'resolved' WHEN 3 THEN 'escalated' WHEN 4 THEN 'closed' ELSE 'other' END AS case_status,
+       CAST(date_trunc('second', l_shipdate + l_linenumber * INTERVAL '1' HOUR) AS STRING) AS created_at
+FROM {lineitem} WHERE l_partkey % 8 <> 0"""),
     # Payment events of the streaming design (pipeline C), one per event.
     "fx_payment_events": (["fx_base"], f"""
 SELECT 'PAY_' || lpad(CAST(event_id AS STRING), 9, '0') AS transaction_id,
