@@ -110,7 +110,7 @@ def _location(ctx):
 
 @register("rule_amount_anomaly", _sql("SELECT transaction_id, amount, r_amt AS amount_anomaly FROM scored"))
 def _rule_amount(ctx):
-    c = scoring_context(ctx)
+    c = scoring_base(ctx)  # needs no history
     return c.select("transaction_id", "amount", fraud.rule_amount_anomaly("amount", AMOUNT_LIMIT).alias("amount_anomaly"))
 
 
@@ -129,7 +129,7 @@ def _rule_location(ctx):
 
 @register("rule_device", _sql("SELECT transaction_id, r_dev AS device_fingerprint_mismatch FROM scored"))
 def _rule_device(ctx):
-    c = scoring_context(ctx)
+    c = scoring_base(ctx)  # needs no history
     return c.select("transaction_id", fraud.rule_device("device_mismatch").alias("device_fingerprint_mismatch"))
 
 
