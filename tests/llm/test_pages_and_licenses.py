@@ -54,6 +54,12 @@ def test_licences_and_inheritance(spark):
     assert {r.license for r in C.scan(df, C.template_table(spark).limit(0)).collect()} == {None}
 
 
+def test_a_file_that_is_mostly_notice_governs(spark):
+    df = spark.createDataFrame([(1, "d/NOTE", "Released under the MIT License\nquixotic zephyr wanders"), (2, "d/e.py", "code")], "doc_id long, path string, text string")
+    got = {r.doc_id: r for r in C.scan(df, C.template_table(spark)).collect()}
+    assert got[1].is_file and (got[2].inherited_license, got[2].inherited_from) == ("MIT", "d")
+
+
 @pytest.mark.parametrize("name", sorted(Qs.oracle_sql()))
 def test_queries_match_their_sql(spark, name):
     from tools.oracle_check import compare_one
