@@ -6,6 +6,7 @@ import pytest
 from ledgerlake.llm import html_extract as H
 from ledgerlake.llm import license_scan as C
 from ledgerlake.llm import queries as Qs
+from ledgerlake.llm.license_texts import TEXTS
 
 CASES = [
     (None, ""), ("", ""), ("plain < 3 &amp;", "plain < 3 &"), ("<p>a<!-- x", "a"), ("<p>a</p><a href=\"", "a"), ("<p>x &am", "x &am"),
@@ -60,6 +61,19 @@ def test_a_file_that_is_mostly_notice_governs(spark):
     assert got[1].is_file and (got[2].inherited_license, got[2].inherited_from) == ("MIT", "d")
 
 
+def test_wrapped_headers_and_full_licence_texts(spark):
+    header = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+              "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n")
+    full = dict(TEXTS)
+    files = [("a/x.py", header + "import os\n" * 300), ("b/LICENSE", "Copyright (c) 2020 A. Person\n\n" + full["MIT"]), ("b/c/y.py", "code"), ("d/z.py", "# Released under the MIT License. " + "many more words follow on this line " * 20),
+             ("e/COPYING", full["GPL-2.0"]), ("e/f.py", "code"), ("g/COPYING", full["LGPL-3.0"]), ("h/LICENSE", full["BSD-2-Clause"]), ("i/big.py", "/*\n" + full["MIT"] + "*/\n" + "some code here " * 900)]
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(files)], "doc_id long, path string, text string").repartition(3)
+    got = {r.doc_id: r for r in C.scan(df, C.template_table(spark)).collect()}
+    assert {i: r.license for i, r in got.items() if r.license} == {0: "GPL-3.0", 1: "MIT", 3: "MIT", 4: "GPL-2.0", 6: "LGPL-3.0", 7: "BSD-2-Clause", 8: "MIT"}
+    assert {i for i, r in got.items() if r.is_file} == {1, 4, 6, 7}
+    assert (got[2].inherited_license, got[2].inherited_from) == ("MIT", "b") and (got[5].inherited_license, got[5].inherited_from) == ("GPL-2.0", "e")
+
+
 @pytest.mark.parametrize("name", sorted(Qs.oracle_sql()))
 def test_queries_match_their_sql(spark, name):
     from tools.oracle_check import compare_one
