@@ -5,7 +5,9 @@ whole subtree); Spark counts the pages of each host that have a hash, and hashes
 template. Extraction deletes template subtrees and takes the blocks of what is left of the article.
 
 What cannot recur on a host (one page, changing adverts) goes by its kind: elements that never hold main text and
-classes, ids or roles that name menus, adverts, notices, comments and the like. Within an article, text elements (paragraphs,
+classes, ids or roles that name menus, adverts, comments and the like. A class token counts as a whole: ``with-sidebar`` or ``nav-open`` name
+no menu, and words that can also name main text (notice, form, related) are left to the host's counts. No name drops an element that holds
+most of the page's text besides template, or the only article or main element. Within an article, text elements (paragraphs,
 headings, list items, quotes, tables) stay even when they recur: a passage that a site repeats in its articles is
 main text.
 
@@ -44,12 +46,17 @@ TEXT_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre tab
 NEVER_MAIN = frozenset("head script style title noscript template iframe noembed noframes svg math canvas audio video object nav footer aside form fieldset menu "
                        "button select textarea option dialog search".split())
 ENDS_P = BLOCK - {"option", "html", "body"}
-# Words in a class, id or role that name what is not main text.
+# Words in a class, id or role that name what is not main text; those among them that can also name main text and
+# decide nothing alone; words that may stand beside them in one token.
 OTHER_WORDS = frozenset("ad ads advert adverts advertisement advertising advertorial sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
                         "notification alert popup modal overlay newsletter subscribe subscription signup paywall sidebar sidenav aside complementary menu menubar nav "
                         "navbar navigation breadcrumb breadcrumbs footer contentinfo masthead comment comments commentlist disqus respond replies reply share sharing social "
                         "related recommended recommendations widget toolbar pager pagination login search skip dialog form".split())
+UNSURE_WORDS = frozenset("notice notices notification alert form related recommended recommendations search share sharing social dialog widget skip aside promotion banner "
+                         "reply replies respond menu login subscription consent overlay".split())
+PLACE_WORDS = frozenset("site page main post posts list box bar container wrapper block section area buttons links left right top bottom slot unit item items".split())
 HEADER_WORDS = frozenset({"header", "topbar"})
+SURE_WORDS, BESIDE_OTHER, BESIDE_HEADER = OTHER_WORDS - UNSURE_WORDS, OTHER_WORDS | PLACE_WORDS, HEADER_WORDS | PLACE_WORDS
 NEVER_OTHER = frozenset({"html", "body", "main"})
 
 _MARKUP = re.compile(r"<(?:!--(.*?)(?:--!?>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)(>|\Z)|[!?/][^>]*(?:>|\Z))", re.S)
@@ -124,14 +131,39 @@ def _close_implied(node: Node, tag: str) -> Node:
     return found.parent if found is not None else node
 
 
-def _names(node: Node) -> set[str]:
+def _tokens(node: Node) -> list[set[str]]:
+    """The words of every class, id and role token."""
     a = node.attributes
     said = " ".join(a[k] for k in ("class", "id", "role") if a.get(k))
-    return {w.lower() for w in _WORD.findall(said)} if said else set()
+    return [words for token in said.split() if (words := {w.lower() for w in _WORD.findall(token)})]
 
 
-def is_other(node: Node, in_article: bool) -> bool:
-    """Whether an element's kind says that it is not main text."""
+def _named(tokens: list[set[str]], sure: frozenset, others: frozenset) -> bool:
+    """Whether a whole token is made of such words, a sure one among them."""
+    return any(t & sure and t <= others for t in tokens)
+
+
+def is_named_other(node: Node, in_article: bool) -> bool:
+    """Whether an element's class, id or role says that it is not main text."""
+    if not node.attributes or node.tag in NEVER_OTHER:
+        return False
+    tokens = _tokens(node)
+    if node.tag == "article" and not in_article:
+        return any(t <= {"comment", "comments", "reply"} for t in tokens)
+    return (_named(tokens, SURE_WORDS, BESIDE_OTHER)
+            or (not in_article and _named(tokens, HEADER_WORDS, BESIDE_HEADER)))
+
+
+class _Any(frozenset):
+    def __contains__(self, item) -> bool:
+        return True
+
+
+ANY = _Any()  # holds every element
+
+
+def is_other(node: Node, in_article: bool, held: frozenset | set = frozenset()) -> bool:
+    """Whether an element's kind says that it is not main text; no name says so of the elements in ``held``."""
     tag, a = node.tag, node.attributes
     if tag in NEVER_MAIN:
         return True
@@ -143,10 +175,7 @@ def is_other(node: Node, in_article: bool) -> bool:
         return False
     if "hidden" in a or a.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", a.get("style", "")):
         return True
-    names = _names(node)
-    if tag == "article" and not in_article:
-        return bool(names & {"comment", "comments", "reply"})
-    return bool(names & OTHER_WORDS) or (not in_article and bool(names & HEADER_WORDS))
+    return id(node) not in held and is_named_other(node, in_article)
 
 
 def _squeeze(text: str) -> str:
@@ -180,13 +209,42 @@ def subtree_hashes(root: Node) -> dict[int, int]:
     return hashes
 
 
-def _articles(root: Node) -> list[Node]:
+def _is_top(node: Node) -> bool:
+    return node.tag in ("article", "main") or node.attributes.get("role") == "main"
+
+
+def _held(root: Node, hashes: dict[int, int], template: frozenset) -> set[int]:
+    """Elements that no name may drop: they hold most of the page's text besides template, or its only articles and main elements."""
+    order: list[Node] = []
+    stack: list[Node] = [root]
+    while stack:
+        n = stack.pop()
+        if n is not root and (is_other(n, True, ANY) or hashes.get(id(n)) in template):
+            continue
+        order.append(n)
+        stack.extend(c for c in n.children if isinstance(c, Node))
+    size: dict[int, int] = {}
+    tops: dict[int, bool] = {}
+    for n in reversed(order):
+        nodes = [c for c in n.children if isinstance(c, Node)]
+        size[id(n)] = sum(size.get(id(c), 0) for c in nodes) + sum(len(_squeeze(c)) for c in n.children if isinstance(c, str))
+        tops[id(n)] = (_is_top(n) and not is_named_other(n, False)) or any(tops.get(id(c)) for c in nodes)
+    free, stack = False, [root]  # is there one outside of what names drop?
+    while stack and not free:
+        n = stack.pop()
+        if id(n) in size and not (n is not root and is_named_other(n, False)):
+            free = _is_top(n)
+            stack.extend(c for c in n.children if isinstance(c, Node))
+    return {id(n) for n in order if 2 * size[id(n)] > size[id(root)] or (tops[id(n)] and not free)}
+
+
+def _articles(root: Node, held: set[int]) -> list[Node]:
     """The outermost articles; else the main elements; else the whole page."""
     found: dict[str, list[Node]] = {"article": [], "main": []}
     stack: list[tuple[Node, bool]] = [(root, False)]
     while stack:
         n, inside = stack.pop()
-        if n.tag != "#root" and is_other(n, False):
+        if n.tag != "#root" and is_other(n, False, held):
             continue
         kind = "article" if n.tag == "article" else "main" if n.tag == "main" or n.attributes.get("role") == "main" else None
         if kind and not (kind == "article" and inside):
@@ -201,7 +259,8 @@ def main_text(page: str | None, template: frozenset = frozenset()) -> str:
         return ""
     root = parse(page)
     hashes = subtree_hashes(root) if template else {}
-    articles = _articles(root)
+    held = _held(root, hashes, template)
+    articles = _articles(root, held)
     blocks: list[str] = []
     run: list[str] = []
 
@@ -222,7 +281,7 @@ def main_text(page: str | None, template: frozenset = frozenset()) -> str:
                 if n.tag != "wbr":
                     run.append(" ")
                 stack.extend(reversed(n.children))
-            elif n is not top and is_other(n, bool(articles)):
+            elif n is not top and is_other(n, bool(articles), held):
                 run.append(" ")
             elif n is not top and hashes.get(id(n)) in template and not (articles and n.tag in TEXT_BLOCK):
                 continue

@@ -23,6 +23,16 @@ def test_main_text(page, want):
     assert H.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<body><div class='layout with-sidebar'><article><p>a</p></article></div></body>", "a"), ("<div id='page' class='nav-open'><p>a</p></div>", "a"),
+    ("<div class='sidebar'><article><p>only one</p></article></div><p>x", "only one"), ("<div class='nav'><p>a long text of the page</p></div><p>end", "a long text of the page\nend"),
+    ("<article><section class='related-work'>r</section><p class='notice'>n</p><div class='form-of-government'>g</div><p>own text</p><div class='cookieNotice'>c</div><div class='post-comments x'>k</div></article>", "r\nn\ng\nown text"),
+    ("<article><p>The story itself</p></article><div id='comments'><article><p>so</p></article></div>", "The story itself"),
+])
+def test_names_drop_no_main_text(page, want):
+    assert H.main_text(page) == want
+
+
 def test_site_templates_go_and_article_passages_stay(spark):
     shared = "<p>A passage that every article of this host holds.</p>"
     rows = [(i, f"https://Host.example/{i}", f"<div class=top>All about us</div><div>Story {i} begins.</div><div><p>Middle {i}.</p>{shared}</div><div>Call us now</div>") for i in range(12)]
