@@ -8,8 +8,9 @@ becomes bytes, so decoding gives the text back byte by byte.
 
 No piece has a space after another character, so merges never cross into the next chunk (spaces, then other
 characters) and chunks are encoded apart; where the vocabulary joins no Latin letter with ASCII punctuation,
-digits or control characters, chunks end there too. Every run of ``run`` chunks draws one of ``variants`` keys by a
-keyed hash of (seed, document id, place in the text); equal chunks with equal keys are segmented once and remembered. Short
+digits or control characters, chunks end there too. Every occurrence of a chunk draws for itself, by a keyed hash of (seed,
+document id, place in the text). A chunk's possible candidates do not depend on the draw and are listed once; which of them an occurrence
+skips decides its segmentation, so chunks that skip the same are segmented once and remembered. Short
 chunks of equal length run their agendas in lockstep as matrices, long ones with a heap.
 
 Defined results: null text = empty text = no ids. A null id hashes as 0. Repeated rows are encoded each, alike.
@@ -24,6 +25,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +49,8 @@ _A, _B, _C = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 class DropoutParams:
     model: str | None = None   # path of a SentencePiece model; None: the public 32k model
     dropout: float = 0.1
-    variants: int = 8          # keys that occurrences draw from; a power of two
-    run: int = 32              # chunks that draw together
     seed: int = 42
+    run: ClassVar[int] = 1     # every chunk draws for itself
 
 
 def _mix(h: int) -> int:
@@ -58,8 +59,14 @@ def _mix(h: int) -> int:
     return h ^ h >> 33
 
 
-def variant_keys(params: DropoutParams) -> np.ndarray:
-    return tv.keyed(np.arange(1, params.variants + 1, dtype=np.uint64), params.seed * _A + 1)
+class variant_keys:
+    """The key of every draw (see ``run_variants``)."""
+
+    def __init__(self, params: DropoutParams):
+        self.key = params.seed * _A + 1
+
+    def __getitem__(self, draws) -> np.ndarray:
+        return tv.keyed(np.asarray(draws, dtype=np.uint64), self.key)
 
 
 def chunk_pattern(pieces: Pieces) -> re.Pattern:
@@ -68,11 +75,9 @@ def chunk_pattern(pieces: Pieces) -> re.Pattern:
 
 
 def run_variants(doc_id: int | None, chunks: int, params: DropoutParams) -> np.ndarray:
-    """Which key each run of a document's chunks draws."""
-    count = -(-chunks // params.run)
+    """The draw of each of a document's chunks."""
     doc = np.uint64(_mix((int(doc_id or 0) & MASK) ^ (params.seed * _B & MASK)))
-    h = tv.mix(np.arange(count, dtype=np.uint64) * np.uint64(_A) + doc)
-    return (h & np.uint64(params.variants - 1)).astype(np.int64)
+    return tv.mix(np.arange(chunks, dtype=np.uint64) * np.uint64(_A) + doc)
 
 
 def _chunk_keys(points: np.ndarray, variant: np.ndarray) -> np.ndarray:
@@ -190,9 +195,8 @@ def _lockstep(points: np.ndarray, keys: np.ndarray, pieces: Pieces, dropout: flo
             merged[ok, q], rank[ok, q] = m, r
 
 
-def encode_chunks(chunks: list[str], variant: list[int], pieces: Pieces, params: DropoutParams) -> list[bytes]:
-    """Ids (little-endian int32) of each chunk under its variant's key."""
-    keys = variant_keys(params)[np.array(variant, dtype=np.int64)] if chunks else np.zeros(0, np.uint64)
+def encode_chunks(chunks: list[str], keys: np.ndarray, pieces: Pieces, params: DropoutParams) -> list[bytes]:
+    """Ids (little-endian int32) of each chunk under its key."""
     out: list[bytes] = [b""] * len(chunks)
     length = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
     order = np.argsort(length, kind="stable")
@@ -202,7 +206,7 @@ def encode_chunks(chunks: list[str], variant: list[int], pieces: Pieces, params:
         for cut in range(lo, hi, max(1, 400_000 // max(size, 1))):
             at = order[cut:min(hi, cut + max(1, 400_000 // max(size, 1)))]
             points = np.frombuffer("".join([chunks[i] for i in at]).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(at), size)
-            key = _chunk_keys(points, keys[at])
+            key = keys[at]
             if size <= LOCKSTEP:
                 got = _lockstep(points, key, pieces, params.dropout)
             else:
@@ -212,43 +216,110 @@ def encode_chunks(chunks: list[str], variant: list[int], pieces: Pieces, params:
     return out
 
 
-_memory: dict = {}
+def candidates_of(chunk: str, id_of: dict) -> list[int]:
+    """The hashed spans of all merges that an agenda of this chunk can come to, whatever it skips."""
+    n, spans = len(chunk), []
+    part = {(a, b) for a in range(n) for b in range(a + 1, n + 1) if chunk[a:b] in id_of}
+    for a, b in sorted(part):
+        spans.extend(a * _A + m * _B + b * _C & MASK for m in range(a + 1, b) if (a, m) in part and (m, b) in part)
+    return spans
+
+
+class _Chunks:
+    """What a worker remembers of chunks: number, hash and candidates of each, and the segmentations met, in two
+    generations of {(number, skipped candidates): ids}, so that frequent ones stay."""
+
+    def __init__(self, params: DropoutParams):
+        self.params, self.pieces = params, load_pieces(params.model or default_model())
+        self.pattern = chunk_pattern(self.pieces)
+        self.clear()
+
+    def clear(self):
+        self.number: dict[str, int] = {}
+        self.hash, self.spans = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.new, self.old = {}, {}
+
+    def add(self, chunks: list[str]):
+        spans, counts, hashes = [], [], np.zeros(len(chunks), np.uint64)
+        by_size: dict[int, list[int]] = {}
+        for i, c in enumerate(chunks):
+            self.number[c] = len(self.number)
+            found = candidates_of(c, self.pieces.id_of) if len(c) <= LOCKSTEP else []
+            spans.extend(found)
+            counts.append(len(found))
+            by_size.setdefault(len(c), []).append(i)
+        for size, at in by_size.items():
+            points = np.frombuffer("".join([chunks[i] for i in at]).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(at), size)
+            hashes[at] = running_hash(points)[:, -1]
+        counts = np.array(counts, dtype=np.int64)
+        self.start = np.concatenate((self.start, len(self.spans) + np.cumsum(counts) - counts))
+        self.count, self.hash = np.concatenate((self.count, counts)), np.concatenate((self.hash, hashes))
+        self.spans = np.concatenate((self.spans, np.array(spans, dtype=np.uint64)))
+
+    def skipped(self, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """A bit for every candidate that an occurrence skips, of chunks with at most 64 of them."""
+        limit, out = np.uint64(_skip_limit(self.params.dropout)), np.zeros(len(at), np.uint64)
+        if not limit:
+            return out
+        for lo in range(0, len(at), 1 << 15):
+            ids = at[lo:lo + (1 << 15)]
+            count = np.where(self.count[ids] <= 64, self.count[ids], 0)
+            occ = np.repeat(np.arange(len(ids)), count)
+            bit = np.arange(len(occ)) - np.repeat(np.cumsum(count) - count, count)
+            hit = np.flatnonzero(tv.mix(keys[lo:lo + (1 << 15)][occ] ^ self.spans[self.start[ids][occ] + bit]) < limit)
+            if len(hit):
+                heads = np.flatnonzero(np.diff(occ[hit], prepend=-1))
+                out[lo + occ[hit[heads]]] = np.bitwise_or.reduceat(np.uint64(1) << bit[hit].astype(np.uint64), heads)
+        return out
+
+    def encode(self, chunks: list[str], draws: np.ndarray) -> list[bytes]:
+        if len(self.number) > REMEMBERED:
+            self.clear()
+        elif len(self.new) > REMEMBERED:
+            self.new, self.old = {}, self.new
+        if fresh := list(dict.fromkeys(c for c in chunks if c not in self.number)):
+            self.add(fresh)
+        at = np.fromiter(map(self.number.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+        keys = tv.mix(self.hash[at] ^ variant_keys(self.params)[draws])
+        length = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
+        alone = ((self.count[at] > 64) | (length > LOCKSTEP)).tolist()  # too many candidates to remember by
+        named = list(zip(at.tolist(), self.skipped(at, keys).tolist()))
+        out: list = [None] * len(chunks)
+        first: dict = {}
+        for i, name in enumerate(named):
+            b = None if alone[i] else self.new.get(name)
+            if b is None and not alone[i]:
+                b = self.old.get(name)
+                if b is not None:
+                    self.new[name] = b
+            if b is None:
+                first.setdefault(i if alone[i] else name, i)
+            out[i] = b
+        todo = list(first.values())
+        for i, b in zip(todo, encode_chunks([chunks[i] for i in todo], keys[todo], self.pieces, self.params)):
+            out[i] = b
+            if not alone[i]:
+                self.new[named[i]] = b
+        return [self.new[name] if b is None else b for name, b in zip(named, out)]
 
 
-def _recall(params: DropoutParams) -> tuple[list[dict], list[dict], Pieces, re.Pattern]:
-    """What this worker remembers: two generations of {chunk: ids} per key, so that frequent chunks stay."""
-    if _memory.get("params") != params:
-        pieces = load_pieces(params.model or default_model())
-        _memory.update(params=params, pieces=pieces, pattern=chunk_pattern(pieces), old=[{} for _ in range(params.variants)], new=[{} for _ in range(params.variants)])
-    elif sum(map(len, _memory["new"])) > REMEMBERED:
-        _memory.update(old=_memory["new"], new=[{} for _ in range(params.variants)])
-    return _memory["new"], _memory["old"], _memory["pieces"], _memory["pattern"]
+_memory: dict = {}
 
 
 def encode_texts(texts: list[str | None], doc_ids: list[int | None], params: DropoutParams) -> list[bytes]:
     """Ids of each text as little-endian int32 bytes."""
-    new, old, pieces, pattern = _recall(params)
-    plans, wanted = [], [set() for _ in range(params.variants)]
+    if _memory.get("params") != params:
+        _memory.update(params=params, chunks=_Chunks(params))
+    known = _memory["chunks"]
+    flat, draws, heads = [], [np.zeros(0, np.uint64)], [0]
     for text, doc in zip(texts, doc_ids):
-        chunks = pattern.findall(" " + text) if text else []
-        draw = run_variants(doc, len(chunks), params).tolist()
-        runs = [chunks[i:i + params.run] for i in range(0, len(chunks), params.run)]
-        for v, run in zip(draw, runs):
-            wanted[v].update(run)
-        plans.append((draw, runs))
-    todo = []
-    for v, chunks in enumerate(wanted):
-        for c in chunks.difference(new[v]):
-            b = old[v].get(c)
-            if b is None:
-                todo.append((c, v))
-            else:
-                new[v][c] = b
-    if todo:
-        for (c, v), b in zip(todo, encode_chunks([c for c, _ in todo], [v for _, v in todo], pieces, params)):
-            new[v][c] = b
-    get = [d.__getitem__ for d in new]
-    return [b"".join([b for v, run in zip(*plan) for b in map(get[v], run)]) for plan in plans]
+        chunks = known.pattern.findall(" " + text) if text else []
+        flat.extend(chunks)
+        draws.append(run_variants(doc, len(chunks), params))
+        heads.append(len(flat))
+    got = known.encode(flat, np.concatenate(draws))
+    return [b"".join(got[a:b]) for a, b in zip(heads, heads[1:])]
 
 
 def decode_ids(ids, params: DropoutParams = DropoutParams()) -> str:

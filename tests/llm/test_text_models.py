@@ -145,6 +145,16 @@ def test_document_scores(spark, odd_docs, no_docs, head):
         assert all(r.base_score == 0 and r.n_known == 0 for r in L.lattice_scores(all_held, params).collect())
 
 
+def test_every_occurrence_draws_for_itself():
+    p = M.DropoutParams(dropout=0.3)
+    one = M.encode_texts(["unbelievable" for _ in range(2000)], list(range(2000)), p)
+    assert len(set(one)) > 16
+    text = "unbelievable " * 31
+    parts = M._Chunks(p).encode([" unbelievable"] * 31, M.run_variants(5, 31, p))
+    assert len(set(parts)) > 4  # within what was one run
+    assert M.decode_ids(np.frombuffer(M.encode_texts([text], [5], p)[0], "<i4").tolist()) == text
+
+
 # ---- ORC ------------------------------------------------------------------------------------
 
 def test_words_encode_as_the_library_does():
