@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from . import (block_neighbours, html_extract, lattice_lm, license_scan, merge_dropout, orc_tokens, quality_mil, simhash_dedup,
-               string_tiling, toxicity_fm)
+               string_tiling, toxicity_fm, whitening)
 from .oracle import ORACLE_SQL
 from .store import table
 
@@ -59,8 +59,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(files, license_scan.template_table(spark))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"), components=4)
+
+
 QUERIES = [op1_quality_mil, op2_simhash_ball, op3_html_template, op4_lattice_lm, op5_string_tiling, op6_orc_tokens, op7_merge_dropout,
-           op8_toxicity_fm, op9_block_neighbours, op10_license_scan]
+           op8_toxicity_fm, op9_block_neighbours, op10_license_scan, op13_whitening]
 
 
 def _with_package(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
