@@ -15,5 +15,36 @@ pairs AS (
   GROUP BY ALL),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM pairs)
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 20
+""",
+    "op12_prefix_trie": """
+WITH t AS (
+  SELECT CAST(conv_id AS BIGINT) AS c, turn, coalesce(role, '') AS r,
+         substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS dt,
+         CAST(length(coalesce(text, '')) AS BIGINT) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, r, dt) AS p, dt, chars FROM t),
+ids AS (
+  SELECT c, c - c % 100 AS base, xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+      lambda crc, b: list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(crc, b)),
+      4294967295), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT c FROM t) d),
+opening AS (SELECT i.c, o.p, o.dt, o.chars FROM ids i JOIN own o ON o.c = i.base AND o.p <= i.h),
+taken AS (SELECT i.c, i.h, count(o.p) AS n FROM ids i LEFT JOIN opening o ON o.c = i.c GROUP BY i.c, i.h),
+rebuilt AS (SELECT * FROM opening UNION ALL
+            SELECT o.c, o.p - k.h + k.n, o.dt, o.chars FROM own o JOIN taken k ON o.c = k.c AND o.p > k.h),
+paths AS (SELECT c, p, chars, list(dt) OVER (PARTITION BY c ORDER BY p) AS pre FROM rebuilt
+          UNION ALL SELECT c, 0, 0, [] FROM ids),
+nodes AS (SELECT pre, p AS depth, min(c) AS conv_id, count(*) AS n, min(chars) AS chars FROM paths GROUP BY pre, p),
+steps AS (SELECT a.c, a.p, n.conv_id AS node FROM paths a JOIN nodes n ON a.pre = n.pre AND a.p = n.depth),
+linked AS (SELECT n.*, s.node AS parent FROM nodes n LEFT JOIN steps s ON s.c = n.conv_id AND s.p = n.depth - 1),
+kids AS (SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL),
+tree AS (SELECT l.*, coalesce(k.n_children, 0) AS n_children FROM linked l LEFT JOIN kids k ON k.parent = l.conv_id AND k.depth = l.depth),
+totals AS (SELECT s.node, s.p, sum(CASE WHEN y.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((y.n - 1) * y.chars) AS saved
+           FROM tree y JOIN steps s ON s.c = y.conv_id AND s.p <= y.depth GROUP BY s.node, s.p),
+last AS (SELECT c, max(p) AS p FROM paths GROUP BY c),
+ends AS (SELECT s.node, s.p, sha256(string_agg(CAST(l.c AS VARCHAR), ',' ORDER BY l.c)) AS digest FROM last l JOIN steps s ON s.c = l.c AND s.p = l.p GROUP BY s.node, s.p)
+SELECT y.conv_id, CAST(y.depth AS BIGINT) AS depth, y.parent AS parent_conv_id, CAST(y.n AS BIGINT) AS n_convs, CAST(y.n_children AS BIGINT) AS n_children,
+       CAST(g.n_leaves AS BIGINT) AS n_leaves, CAST(g.saved AS BIGINT) AS saved_tokens, coalesce(e.digest, sha256('')) AS ends_sha256
+FROM tree y JOIN totals g ON g.node = y.conv_id AND g.p = y.depth LEFT JOIN ends e ON e.node = y.conv_id AND e.p = y.depth
 """,
 }
