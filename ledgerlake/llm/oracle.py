@@ -1,6 +1,58 @@
 """DuckDB twins of the queries that SQL can state."""
 
+from . import pii_scan as _pii
+
+
+def _pii_sql() -> str:
+    """Every proposal of every pattern as a row; positions are sums of the lengths of pieces and matches before."""
+    def text(s: str) -> str:
+        return "'" + s.replace("\\x20", " ").replace("'", "''") + "'"
+
+    def luhn(x: str) -> str:
+        doubled = f"CAST(substr({x}, length({x}) - i, 1) AS INTEGER) * (1 + i % 2)"
+        return f"coalesce(list_sum(list_transform(range(length({x})), lambda i: CASE WHEN {doubled} > 9 THEN {doubled} - 9 ELSE {doubled} END)) % 10 = 0, false)"
+
+    digits = "regexp_replace(value, '[^0-9]', '', 'g')"
+    iban = "replace(value, ' ', '')"
+    turned = f"string_split(substr({iban}, 5) || substr({iban}, 1, 4), '')"
+    checks = {
+        ("email", True): "true", ("ip", True): f"regexp_matches(value, {text(_pii.IP_RANGES)})", ("card", True): f"length({digits}) BETWEEN 16 AND 19 AND {luhn(digits)}",
+        ("phone", True): f"length({digits}) BETWEEN 8 AND 15", ("ip", False): "true", ("card", False): f"regexp_matches({digits}, {text(_pii.ISSUERS)}) AND {luhn(digits)}",
+        ("phone", False): f"regexp_matches({digits}, {text(_pii.PHONE_RANGES)})", ("ssn", False): f"regexp_matches(value, {text(_pii.SSN_RANGES)})",
+        ("iban", False): f"list_reduce({turned}, lambda r, s: CASE WHEN ascii(s) < 58 THEN (CAST(r AS INTEGER) * 10 + ascii(s) - 48) % 97 ELSE (CAST(r AS INTEGER) * 100 + ascii(s) - 55) % 97 END, 0) = 1",
+    }
+    patterns = [(k, True, p, 0) for k, p in _pii.BASE_PATTERNS.items()] + [("card", False, _pii.BASE_PATTERNS["card"], 0)] + [(k, False, p, 1) for k, p in _pii.ADDED_PATTERNS.items()]
+    parts = []
+    for kind, base, pattern, group in patterns:
+        points = (_pii.BASE_POINTS if base else _pii.ADDED_POINTS)[kind]
+        goes_on = f" AND NOT regexp_matches(after, {text(_pii.GOES_ON[kind])})" if group else ""
+        parts.append(f"""
+  SELECT rid, {_pii.KINDS.index(kind)} AS ord, '{kind}' AS kind, {base} AS base, stop - length(value) AS start, stop,
+         {points} + CASE WHEN regexp_matches(near, {text(_pii.near_pattern(_pii.CONTEXT_WORDS[kind]))}) THEN {_pii.CONTEXT} ELSE 0 END
+         - CASE WHEN regexp_matches(near, {text(_pii.near_pattern(_pii.OTHER_WORDS))}) THEN {_pii.OTHER} ELSE 0 END AS points
+  FROM (SELECT *, translate(before || ' ' || chr(10) || ' ' || after, '{_pii.UPPER}', '{_pii.LOWER}') AS near
+        FROM (SELECT rid, g[i] AS value, right(p[i], {_pii.NEAR}) AS before, left(p[i + 1], {_pii.NEAR}) AS after,
+                     CAST(list_sum(list_transform(p[1:i], lambda s: length(s))) + list_sum(list_transform(m[1:i], lambda s: length(s))) AS BIGINT) AS stop
+              FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i
+                    FROM (SELECT rid, regexp_extract_all(t, {text(pattern)}) AS m, regexp_extract_all(t, {text(pattern)}, {group}) AS g,
+                                 string_split_regex(t, {text(pattern)}) AS p FROM d) a) b) c) e
+  WHERE {checks[kind, base]}{goes_on}""")
+    n = ", ".join(f"CAST(count(*) FILTER (WHERE s.base AND s.kind = '{k}') AS BIGINT) AS n_{k}" for k in _pii.BASE_PATTERNS)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, CAST(doc_id AS BIGINT) AS doc_id, coalesce(text, '') AS t FROM documents),
+proposals AS ({" UNION ALL ".join(parts)}),
+kept AS (SELECT * FROM proposals a WHERE base OR points >= 60 AND NOT EXISTS (
+           SELECT 1 FROM proposals b WHERE b.base AND b.rid = a.rid AND a.start < b.stop AND b.start < a.stop)),
+spans AS (SELECT *, kind || ':' || start || ':' || stop AS span FROM kept)
+SELECT d.doc_id, {n},
+       sha256(coalesce(string_agg(s.span, ',' ORDER BY s.ord, s.start) FILTER (WHERE s.base), '')) AS base_sha256,
+       coalesce(string_agg(s.span, ',' ORDER BY s.ord, s.start, s.stop), '') AS spans
+FROM d LEFT JOIN spans s ON s.rid = d.rid GROUP BY d.rid, d.doc_id
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_pii_scan": _pii_sql(),
     "op9_block_neighbours": """
 WITH v AS (
   SELECT DISTINCT CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS e

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import (block_neighbours, html_extract, lattice_lm, license_scan, merge_dropout, orc_tokens, prefix_trie, quality_mil,
-               simhash_dedup, string_tiling, toxicity_fm, whitening)
+from . import (block_neighbours, html_extract, lattice_lm, license_scan, merge_dropout, orc_tokens, pii_scan, prefix_trie,
+               quality_mil, simhash_dedup, string_tiling, toxicity_fm, whitening)
 from .oracle import ORACLE_SQL
 from .store import table
 
@@ -59,6 +59,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(files, license_scan.template_table(spark))
 
 
+def op11_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_scan.pii_report(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -68,7 +72,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_quality_mil, op2_simhash_ball, op3_html_template, op4_lattice_lm, op5_string_tiling, op6_orc_tokens, op7_merge_dropout,
-           op8_toxicity_fm, op9_block_neighbours, op10_license_scan, op12_prefix_trie, op13_whitening]
+           op8_toxicity_fm, op9_block_neighbours, op10_license_scan, op11_pii_scan, op12_prefix_trie, op13_whitening]
 
 
 def _with_package(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
