@@ -90,12 +90,12 @@ def prefix_trie(turns: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]
     if not everyone["n"]:
         nodes = ids.select("conv_id", *[F.lit(None).cast("long").alias(c) for c in ("depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens")])
         return nodes, ids.select("conv_id", F.lit(0).cast("long").alias("depth"), F.col("conv_id").alias("member"))
-    one_each = ends.groupBy("name").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("weight"))
-    seqs = written(rows.join(one_each.select("conv_id", "weight"), "conv_id"), "trie_sequences")
+    one_each = ends.groupBy("name").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("weight"), F.min("depth").alias("length"))
+    seqs = written(rows.join(one_each.select("conv_id", "weight", "length"), "conv_id"), "trie_sequences")
 
     paths = _node_names(seqs, root, everyone["deepest"])
     named = written(paths.groupBy("name").agg(F.min("conv_id").alias("conv_id"), F.min("pos").alias("depth"), F.sum("weight").alias("n_convs"), F.min("chars").alias("chars")), "trie_names")
-    steps = written(paths.join(named.select("name", F.col("conv_id").alias("node")), "name").select("conv_id", F.col("pos").alias("depth"), "node"), "trie_steps")
+    steps = written(paths.join(named.select("name", F.col("conv_id").alias("node")), "name").select("conv_id", F.col("pos").alias("depth"), "node", "length"), "trie_steps")
     above = steps.select("conv_id", (F.col("depth") + 1).alias("depth"), F.col("node").alias("parent_conv_id"))
     linked = (named.drop("name").join(above, ["conv_id", "depth"], "left")
               .withColumn("parent_conv_id", F.coalesce("parent_conv_id", F.lit(everyone["least"]).cast("long"))))
@@ -116,25 +116,32 @@ def prefix_trie(turns: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def _node_names(seqs: DataFrame, root: Column, deepest: int) -> DataFrame:
-    """conv_id, pos, chars, weight and the name of the prefix that ends there, for every turn of every distinct sequence.
+    """conv_id, pos, chars, weight, length and the name of the prefix that ends there, for every turn of every distinct sequence.
 
     Downward through the half cuts: a block's upper half belongs to the block's forest, its lower half to the forest of the cut prefix,
-    whose name is the forest's plus the upper half's sum. The sums come from the halves of the block size below."""
+    whose name is the forest's plus the upper half's sum. The sums come from the halves of the block size below. A sequence enters at the
+    least block size that holds it whole."""
     block = seqs.select("conv_id", (F.col("pos") - 1).alias("block"), *_LIMBS)
     cuts = []
     while (1 << len(cuts)) < deepest:
         is_lower = F.col("block") % 2 == 1
         block = written(block.groupBy("conv_id", F.shiftright("block", 1).alias("block"))
-                        .agg(*[F.sum(x).alias(x) for x in _LIMBS], _named("upper", [F.sum(F.when(~is_lower, F.col(x))) for x in _LIMBS]), F.max(is_lower).alias("cut")),
-                        f"trie_cut{len(cuts)}")
+                        .agg(*[F.sum(x).alias(x) for x in _LIMBS], _named("upper", [F.sum(F.when(~is_lower, F.col(x))) for x in _LIMBS]), F.max(is_lower).alias("cut"))
+                        .filter("block > 0 or cut"), f"trie_cut{len(cuts)}")
         cuts.append(block.select("conv_id", "block", "upper", "cut"))
-    forest = seqs.filter("pos = 1").select("conv_id", F.lit(0).cast("long").alias("block"), root.alias("forest"))
-    for halves in reversed(cuts):
+    heads = written(seqs.filter("pos = 1").select("conv_id", "length", F.lit(0).cast("long").alias("block"), root.alias("forest")), "trie_heads")
+
+    def entering(level: int) -> DataFrame:
+        return heads.filter(F.col("length").between((1 << level) // 2 + 1, 1 << level)).select("conv_id", "block", "forest")
+
+    forest = entering(len(cuts))
+    for level, halves in reversed(list(enumerate(cuts))):
         cut_prefix = _named("forest", [F.col(f"forest.{x}") + F.col(f"upper.{x}") for x in _LIMBS])
         both = F.array(F.struct((F.col("block") * 2).alias("block"), F.col("forest").alias("forest")), F.struct((F.col("block") * 2 + 1).alias("block"), cut_prefix))
         forest = forest.join(halves, ["conv_id", "block"]).select("conv_id", F.explode(F.slice(both, 1, F.when(F.col("cut"), 2).otherwise(1))).alias("half")).select("conv_id", "half.*")
+        forest = forest.unionByName(entering(level))
     name = _named("name", [F.col(f"forest.{x}") + F.col(x) for x in _LIMBS])
-    return written(seqs.join(forest.select("conv_id", (F.col("block") + 1).alias("pos"), "forest"), ["conv_id", "pos"]).select("conv_id", "pos", "chars", "weight", name), "trie_paths")
+    return written(seqs.join(forest.select("conv_id", (F.col("block") + 1).alias("pos"), "forest"), ["conv_id", "pos"]).select("conv_id", "pos", "chars", "weight", "length", name), "trie_paths")
 
 
 def _grafted(tree: DataFrame, steps: DataFrame, deepest: int) -> DataFrame:
@@ -147,7 +154,7 @@ def _grafted(tree: DataFrame, steps: DataFrame, deepest: int) -> DataFrame:
         roots = found.filter((F.col("depth") - 1) % (2 * size) == size).groupBy("conv_id", "depth").agg(*sums)
         forests = (roots.join(tree.select("conv_id", "depth", "parent_conv_id"), ["conv_id", "depth"])
                    .groupBy(F.col("parent_conv_id").alias("conv_id"), ((F.col("depth") - 2) / size).cast("long").alias("block")).agg(*sums))
-        upper = steps.withColumn("block", ((F.col("depth") - 1) / size).cast("long")).filter(F.col("block") % 2 == 0)
+        upper = steps.filter(F.col("length") >= size).withColumn("block", ((F.col("depth") - 1) / size).cast("long")).filter(F.col("block") % 2 == 0)
         grafts = upper.join(forests, ["conv_id", "block"]).groupBy(F.col("node").alias("conv_id"), "depth").agg(*sums)
         found = found.unionByName(written(grafts, f"trie_graft{level}"))
         level += 1
