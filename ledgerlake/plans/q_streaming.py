@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 from ..sinks.tables import read_if_exists
-from ..streaming import jobs, sources, stateful, validate
+from ..streaming import enrich, jobs, sources, stateful, upsert, validate, velocity
 from .oracle_sql import sql_with
 from .q_pci import FIXTURE_KEY, token_sql
 from .registry import register
@@ -77,6 +77,13 @@ def _signals_path(ctx) -> str:
     return ctx._memo["_sig_path"]
 
 
+def _landed(ctx, fixture: str, sentinel) -> str:
+    key = f"_landed_{fixture}"
+    if key not in ctx._memo:
+        ctx._memo[key] = _land(ctx, fixture, fixture.replace("_", "-"), sentinel)
+    return ctx._memo[key]
+
+
 def wall_clock(df: DataFrame) -> DataFrame:
     """Event times back as TIMESTAMP_NTZ (the wall-clock text of the payload), so results do
     not depend on the reading session's time zone."""
@@ -98,8 +105,8 @@ def _not_sentinel(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("transaction_id").startswith("__sentinel__"))
 
 
-def _valid_payments(ctx, late=False) -> DataFrame:
-    raw = sources.payload_stream(ctx.spark, _payments_path(ctx, late))
+def _valid_payments(ctx, late=False, path: str | None = None) -> DataFrame:
+    raw = sources.payload_stream(ctx.spark, path or _payments_path(ctx, late))
     checked = validate.schema_validate(raw, "payload", schemas.PAYMENT_EVENT, schemas.PAYMENT_EVENT_REQUIRED)
     return checked.filter("is_valid").drop("payload", "is_valid", "error")
 
@@ -120,6 +127,19 @@ SELECT payload, json_valid(payload) AS ok,
 FROM fx_stream_payments"""),
     "sp_valid": (["sp"], """SELECT * FROM sp WHERE ok AND transaction_id IS NOT NULL AND merchant_id IS NOT NULL
        AND amount IS NOT NULL AND event_ts IS NOT NULL"""),
+    "sp_far_valid": (["fx_stream_versions"], """
+SELECT * FROM (SELECT CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.transaction_id') END AS transaction_id,
+       CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.merchant_id') END AS merchant_id,
+       CASE WHEN json_valid(payload) THEN CAST(json_extract_string(payload, '$.amount') AS DECIMAL(18,2)) END AS amount,
+       CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.status') END AS status,
+       CASE WHEN json_valid(payload) THEN CAST(json_extract_string(payload, '$.event_ts') AS TIMESTAMP) END AS event_ts
+FROM fx_stream_versions) x WHERE transaction_id IS NOT NULL AND merchant_id IS NOT NULL AND amount IS NOT NULL AND event_ts IS NOT NULL"""),
+    "ss_far": (["fx_stream_signals_far"], """
+SELECT json_extract_string(payload, '$.transaction_id') AS transaction_id,
+       CAST(json_extract_string(payload, '$.risk_score') AS DECIMAL(3,2)) AS risk_score,
+       json_extract_string(payload, '$.decision') AS decision,
+       CAST(json_extract_string(payload, '$.signal_ts') AS TIMESTAMP) AS signal_ts
+FROM fx_stream_signals_far"""),
     # the late landing: the file each valid payment arrives in, and the latest event time of the files before it
     "sp_arrived": (["sp_valid"], f"""
 SELECT *, CASE {' '.join(f"WHEN arrival_ts < TIMESTAMP '{cut}' THEN {i}" for i, cut in enumerate(FILE_CUTS))}
@@ -226,21 +246,43 @@ def _st2(ctx):
 
 # ---- st3: stream-stream join ----------------------------------------------------
 
-JOIN_SQL = ssql(["sp_valid", "ss"], """
+BOUNDED_SQL = ssql(["sp_valid", "ss"], """
 SELECT p.transaction_id, p.event_ts, p.status, s.risk_score, s.decision, s.signal_ts
 FROM sp_valid p LEFT JOIN ss s ON p.transaction_id = s.transaction_id
  AND s.signal_ts >= p.event_ts AND s.signal_ts <= p.event_ts + INTERVAL 1 HOUR""")
 
 
-def _stream_join(ctx):
-    pay = _valid_payments(ctx)
-    sig = sources.stream_signals(ctx.spark, _signals_path(ctx))
-    joined = stateful.stream_join(pay, sig, bound="1 hour")
+@register("st3_bounded_join", BOUNDED_SQL)
+def _st3_bounded(ctx):
+    """The watermarked join: signals from the payment's time to an hour later."""
+    joined = stateful.stream_join(_valid_payments(ctx), sources.stream_signals(ctx.spark, _signals_path(ctx)), bound="1 hour")
     out = _run_to_files(ctx, joined.select("p.transaction_id", "p.event_ts", "p.status", "s.risk_score",
                                            "s.decision", "s.signal_ts"), "st3")
     return _not_sentinel(out)
 
 
+# Signals from hours before the payment to hours after it, two for some payments: joined on the id alone.
+JOIN_SQL = ssql(["sp_valid", "ss_far"], """
+SELECT p.transaction_id, p.event_ts, p.status, s.risk_score, s.decision, s.signal_ts
+FROM sp_valid p LEFT JOIN ss_far s ON p.transaction_id = s.transaction_id""")
+
+
+def _pending_join(ctx) -> enrich.PendingJoin:
+    if "_pending" not in ctx._memo:
+        payments = _valid_payments(ctx).select("transaction_id", "event_ts", "status")
+        signals = sources.stream_signals(ctx.spark, _landed(ctx, "fx_stream_signals_far", _signal_sentinel)).drop("risk_level")
+        folder = scratch_path(ctx.spark, "st3-pending")
+        job = enrich.PendingJoin(ctx.spark, folder, payments.schema, signals.schema, expiry="24 hours")
+        w = enrich.both_sides(payments, signals).writeStream.foreachBatch(job.write).option("checkpointLocation", f"{folder}/checkpoint")
+        jobs._trigger(w, True).start().awaitTermination()
+        ctx._memo["_pending"] = job
+    return ctx._memo["_pending"]
+
+
+def _stream_join(ctx):
+    return wall_clock(_not_sentinel(_pending_join(ctx).enriched()))
+
+
 @register("st3_stream_join", JOIN_SQL)
 def _st3(ctx):
     return _stream_join(ctx)
@@ -251,20 +293,47 @@ def _join_fraud_stream(ctx):
     return _stream_join(ctx)
 
 
+@register("st3_pending_dlq", ssql(["sp_valid", "ss_far"], """
+SELECT p.transaction_id, p.event_ts, 'no signal before expiry' AS error
+FROM sp_valid p WHERE NOT EXISTS (SELECT 1 FROM ss_far s WHERE s.transaction_id = p.transaction_id)"""))
+def _st3_dlq(ctx):
+    return wall_clock(_not_sentinel(_pending_join(ctx).dead_letters()))
+
+
 # ---- st4: dedupe ------------------------------------------------------------------
 
-DEDUPE_SQL = ssql(["sp_valid"], """
+SESSION_SQL = ssql(["sp_valid"], """
 SELECT transaction_id, status, amount, event_ts FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY event_ts DESC) AS rn FROM sp_valid) d
 WHERE rn = 1""")
 
 
-def _dedupe_latest(ctx):
+@register("st4_session_latest", SESSION_SQL)
+def _st4_session(ctx):
+    """The watermarked form: versions within 30 minutes of each other are one session."""
     d = stateful.dedupe_latest(_valid_payments(ctx), "transaction_id", "event_ts", "30 minutes")
     out = _run_to_files(ctx, d, "st4")
     return _not_sentinel(out).select("transaction_id", "status", "amount", "event_ts")
 
 
+# A payment's versions lie minutes, hours and days apart and come in different files.
+DEDUPE_SQL = ssql(["sp_far_valid"], """
+SELECT transaction_id, status, amount, event_ts FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY event_ts DESC) AS rn FROM sp_far_valid) d
+WHERE rn = 1""")
+
+
+def _dedupe_latest(ctx):
+    if "_upserted" not in ctx._memo:
+        rows = _valid_payments(ctx, path=_landed(ctx, "fx_stream_versions", _payment_sentinel)).select("transaction_id", "status", "amount", "event_ts")
+        folder = scratch_path(ctx.spark, "st4-upsert")
+        latest = upsert.UpsertTable(ctx.spark, f"{folder}/table", rows.schema, ["transaction_id"], ["event_ts"], buckets=8)
+        w = rows.writeStream.foreachBatch(latest.writer(compact_every=2)).option("checkpointLocation", f"{folder}/checkpoint")
+        jobs._trigger(w, True).start().awaitTermination()
+        ctx._memo["_upserted"] = latest
+    return wall_clock(_not_sentinel(ctx._memo["_upserted"].read()))
+
+
 @register("st4_dedupe_latest", DEDUPE_SQL)
 def _st4(ctx):
     return _dedupe_latest(ctx)
@@ -355,15 +424,35 @@ def _bronze_dlq(ctx):
 
 # ---- st7: velocity with state --------------------------------------------------------
 
-@register("st7_velocity_state", ssql(["sp_valid"], """
+def _velocity(ctx, rows: DataFrame, name: str) -> DataFrame:
+    ship_package(ctx.spark)
+    with velocity.rocksdb_state(ctx.spark):
+        return _not_sentinel(_run_to_files(ctx, velocity.velocity(rows, minutes=24 * 60, delay="30 minutes"), name))
+
+
+def _velocity_sql(customer: str) -> str:
+    return ssql(["sp_valid"], f"""
+, rows AS (SELECT {customer} AS customer_id, transaction_id, event_ts FROM sp_valid)
 SELECT customer_id, transaction_id, event_ts,
-       (SELECT COUNT(*) FROM sp_valid b WHERE b.customer_id = a.customer_id AND b.event_ts >= a.event_ts - INTERVAL 24 HOUR
+       (SELECT COUNT(*) FROM rows b WHERE b.customer_id = a.customer_id AND b.event_ts >= a.event_ts - INTERVAL 24 HOUR
           AND (b.event_ts < a.event_ts OR (b.event_ts = a.event_ts AND b.transaction_id < a.transaction_id))) AS prior_count
-FROM sp_valid a"""))
+FROM rows a""")
+
+
+@register("st7_velocity_state", _velocity_sql("customer_id"))
 def _st7(ctx):
-    v = stateful.velocity_state(_valid_payments(ctx), minutes=24 * 60, delay="30 minutes")
-    out = _run_to_files(ctx, v, "st7")
-    return _not_sentinel(out)
+    return _velocity(ctx, _valid_payments(ctx), "st7")
+
+
+@register("st7_velocity_hot", _velocity_sql("CASE CAST(substr(transaction_id, 5) AS BIGINT) % 3 WHEN 0 THEN 'C_HOT' WHEN 1 THEN customer_id "
+                                            "ELSE CASE WHEN CAST(substr(transaction_id, 5) AS BIGINT) % 7 > 0 THEN customer_id END END"))
+def _st7_hot(ctx):
+    """One customer with a third of all events; some events without a customer."""
+    number = F.expr("CAST(substr(transaction_id, 5) AS BIGINT)")
+    customer = F.when(F.col("transaction_id").startswith("__"), F.col("customer_id")).otherwise(
+        F.when(number % 3 == 0, F.lit("C_HOT")).when((number % 3 == 1) | (number % 7 > 0), F.col("customer_id")))
+    rows = _valid_payments(ctx).withColumn("customer_id", customer)
+    return _velocity(ctx, rows, "st7-hot")
 
 
 # ---- st8 / st9 / st10 ------------------------------------------------------------------

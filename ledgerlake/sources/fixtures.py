@@ -122,6 +122,30 @@ SELECT CAST(substr(transaction_id, 5) AS BIGINT) AS event_id, CAST(created_at AS
        '{{"transaction_id":"' || transaction_id || '","risk_score":' || risk_score || ',"risk_level":"' || risk_level
        || '","decision":"' || decision || '","signal_ts":"' || created_at || '"}}' AS payload
 FROM {fx_fraud_signals_raw}"""),
+    # Versions of a payment that lie far apart: a second one 5 hours later for every 7th payment, a third one 9 days later for every 21st,
+    # beside the versions 10 minutes later.
+    "fx_stream_versions": (["fx_stream_payments", "fx_payment_events"], """
+SELECT event_id, order_ts, payload FROM {fx_stream_payments}
+UNION ALL
+SELECT event_id, order_ts, '{{"transaction_id":"' || transaction_id || '","merchant_id":"' || merchant_id || '","customer_id":"' || customer_id
+       || '","payment_method":"' || payment_method || '","amount":' || CAST(amount AS STRING) || ',"status":"' || status || '","card_number":"4","event_ts":"' || CAST(order_ts AS STRING) || '"}}'
+FROM (SELECT transaction_id, merchant_id, customer_id, payment_method, amount, 'captured' AS status, CAST(substr(transaction_id, 5) AS BIGINT) AS event_id,
+             event_ts + INTERVAL '5' HOUR AS order_ts FROM {fx_payment_events} WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 7 = 0
+      UNION ALL
+      SELECT transaction_id, merchant_id, customer_id, payment_method, amount, 'refunded', CAST(substr(transaction_id, 5) AS BIGINT),
+             event_ts + INTERVAL '216' HOUR FROM {fx_payment_events} WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 21 = 0) v"""),
+    # Signals up to 3 hours before and 9 hours after their payment, a second one for every 9th.
+    "fx_stream_signals_far": (["fx_payment_events"], """
+SELECT event_id, order_ts,
+       '{{"transaction_id":"' || transaction_id || '","risk_score":' || CAST(score AS STRING) || ',"risk_level":"low","decision":"'
+       || CASE WHEN event_id % 4 = 0 THEN 'review' ELSE 'approve' END || '","signal_ts":"' || CAST(order_ts AS STRING) || '"}}' AS payload
+FROM (SELECT transaction_id, event_id, CAST(CAST(event_id % 100 AS DECIMAL(5,2)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(3,2)) AS score,
+             event_ts + (event_id % 13 - 3) * INTERVAL '1' HOUR AS order_ts
+      FROM (SELECT transaction_id, event_ts, CAST(substr(transaction_id, 5) AS BIGINT) AS event_id FROM {fx_payment_events}) a WHERE event_id % 5 <> 0
+      UNION ALL
+      SELECT transaction_id, event_id, CAST(0.99 AS DECIMAL(3,2)), event_ts + INTERVAL '11' HOUR
+      FROM (SELECT transaction_id, event_ts, CAST(substr(transaction_id, 5) AS BIGINT) AS event_id FROM {fx_payment_events}) b
+      WHERE event_id % 9 = 0 AND event_id % 5 <> 0) e"""),
     # Sensitive-record table in the shape of the reference's PCI tests (card, cvv, name,
     # e-mail, phone), derived from `customer`; a few rows carry short / empty / malformed values.
     "fx_cardholders": (["customer"], """

@@ -1,26 +1,19 @@
-"""Stateful stream operators: watermarked dedupe, stream-stream join, velocity state.
+"""Stateful stream operators with built-in state: watermarked dedupe, stream-stream join.
 
 * dedupe_latest: ``QUALIFY ROW_NUMBER() ... = 1`` is illegal on a stream, so the latest
   row per key is ``max_by(row, ts)`` over a session window whose gap is the watermark
   delay; state is evicted when the watermark passes the session. Versions of a key that
-  arrive more than the delay apart form separate sessions (a documented limit).
+  arrive more than the delay apart form separate sessions (``upsert`` keeps one row per key).
 * dedupe_first: ``dropDuplicatesWithinWatermark`` (keeps the first row).
 * stream_join: both sides watermarked, equi-join plus a time bound, so the state of each
   side is bounded; a left-outer row without a match is emitted once the watermark
-  passes its bound.
-* velocity_state: ``applyInPandasWithState`` keeps, per customer, the event times inside
-  the window (pruned as they age), and emits the count of earlier ones per event.
+  passes its bound (``enrich`` joins without a time bound).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import constants as K
 
@@ -50,58 +43,3 @@ def stream_join(payments: DataFrame, signals: DataFrame, key: str = "transaction
             & (F.col(f"s.{s_ts}") >= F.col(f"p.{p_ts}") - F.expr(f"INTERVAL {before}"))
             & (F.col(f"s.{s_ts}") <= F.col(f"p.{p_ts}") + F.expr(f"INTERVAL {bound}")))
     return p.join(s, cond, how).drop("_s_key")
-
-
-VELOCITY_OUT = "customer_id string, transaction_id string, event_ts timestamp, prior_count long"
-VELOCITY_STATE = "times array<long>, ids array<string>"
-
-
-def _velocity_fn(window_us: int, session_tz: str):
-    """Per customer: state = (event times as local wall-clock microseconds, ids) inside the
-    window; each call ranks the new events against state + batch with numpy."""
-    tz = session_tz
-
-    def to_local_us(epoch_ms: int) -> int:  # watermark (UTC epoch) -> session wall clock
-        ts = pd.Timestamp(epoch_ms, unit="ms", tz="UTC").tz_convert(tz).tz_localize(None)
-        return int(ts.value // 1000)
-
-    def to_epoch_ms(local_us: int) -> int:  # session wall clock -> UTC epoch (timeout)
-        ts = pd.Timestamp(local_us * 1000).tz_localize(tz, ambiguous=True, nonexistent="shift_forward")
-        return int(ts.tz_convert("UTC").value // 1_000_000)
-
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        old_t = np.asarray(state.get[0] if state.exists else [], dtype="int64")
-        old_i = np.asarray(state.get[1] if state.exists else [], dtype=object)
-        new = pd.concat(list(batches), ignore_index=True)
-        new_t = new["event_ts"].to_numpy(dtype="datetime64[us]").astype("int64")
-        new_i = new["transaction_id"].to_numpy(dtype=object)
-        t = np.concatenate([old_t, new_t])
-        i = np.concatenate([old_i, new_i])
-        is_new = np.concatenate([np.zeros(len(old_t), bool), np.ones(len(new_t), bool)])
-        by_id = np.argsort(i, kind="stable")
-        order = by_id[np.argsort(t[by_id], kind="stable")]  # (time, id) order
-        t, i, is_new = t[order], i[order], is_new[order]
-        pos = np.flatnonzero(is_new)
-        prior = pos - np.searchsorted(t, t[pos] - window_us, side="left")
-        # keep what a not-yet-late event (time >= watermark) can still count
-        keep = t >= to_local_us(state.getCurrentWatermarkMs()) - window_us
-        state.update((t[keep].tolist(), i[keep].tolist()))
-        state.setTimeoutTimestamp(to_epoch_ms(int(t[-1]) + window_us))
-        yield pd.DataFrame({"customer_id": [key[0]] * len(pos), "transaction_id": i[pos],
-                            "event_ts": t[pos].astype("datetime64[us]"), "prior_count": prior.astype("int64")})
-
-    return fn
-
-
-def velocity_state(stream: DataFrame, minutes: int = K.ENGINE_WINDOW_MINUTES,
-                   delay: str = K.WATERMARK_DELAY) -> DataFrame:
-    """Per-customer count of earlier events within ``minutes`` (input columns customer_id,
-    transaction_id, event_ts). State per customer holds only the window's events."""
-    src = stream.select("customer_id", "transaction_id", "event_ts").withWatermark("event_ts", delay)
-    tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
-    return src.groupBy("customer_id").applyInPandasWithState(
-        _velocity_fn(minutes * 60 * 1_000_000, tz), VELOCITY_OUT, VELOCITY_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
