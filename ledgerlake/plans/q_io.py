@@ -7,13 +7,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators import lifecycle as lc
 from ..operators import settlement as st
 from ..session import scratch_path
 from ..sinks import tables as sinks
+from ..sinks.file_table import FileTable
 from ..sources import tables as readers
 from .increment import run_increment
 from .oracle_sql import sql_with
 from .q_incremental import B_LAYERS, runs
+from .q_lifecycle import LOOKUP_PAYMENT, life, lsql, stable_id_sql
 from .q_settlement import C_LAYERS, pc
 from .registry import register
 
@@ -71,14 +74,19 @@ SELECT COALESCE(t.transaction_id, s.transaction_id) AS transaction_id, t.merchan
        CASE WHEN s.transaction_id IS NOT NULL THEN s.chargeback_flag ELSE t.chargeback_flag END AS chargeback_flag
 FROM c_fact_before t FULL OUTER JOIN c_silver_st s ON t.transaction_id = s.transaction_id""", extra=C_LAYERS))
 def _merge_publish(ctx):
-    """Nightly MERGE on plain files: version 1 is the fact before settlement; the merged
+    """MERGE of the whole settlement on plain files: version 1 is the fact before settlement; the merged
     fact becomes version 2 only after it is fully written."""
-    root = scratch_path(ctx.spark, "fact-c")
     c = pc(ctx)
-    sinks.write_versioned(c.fact_before, root)
+    fact = _fact_files(ctx, c)
     st.assert_unique(c.settlement, "transaction_id")
-    sinks.write_versioned(st.merge_settlement(sinks.read_current(ctx.spark, root), c.settlement), root)
-    return sinks.read_current(ctx.spark, root)
+    fact.merge(c.settlement, st.merge_settlement)
+    return fact.read()
+
+
+def _fact_files(ctx, c) -> FileTable:
+    fact = FileTable(ctx.spark, scratch_path(ctx.spark, "fact-c"), c.fact_before.schema, "transaction_id")
+    fact.create(c.fact_before, n_files=16)
+    return fact
 
 
 _MERGED_SQL = """
@@ -107,6 +115,42 @@ def _merge_by_day(ctx):
     return ctx.spark.read.schema(days.schema).parquet(path).drop("event_date")
 
 
+@register("merge_settlement_by_file", sql_with(["c_fact_before", "c_silver_st"], _MERGED_SQL, extra=C_LAYERS))
+def _merge_by_file(ctx):
+    """One night's settlement against the fact as clustered files: only the files that hold one of its transactions are
+    rewritten. Run twice, as a repeated run must change nothing."""
+    c = pc(ctx)
+    fact = _fact_files(ctx, c)
+    night = c.settlement.filter(F.col("settlement_date").between(F.lit("2024-01-12").cast("date"), F.lit("2024-01-13").cast("date")))
+    st.assert_unique(night, "transaction_id")
+    for _run in range(2):
+        done = fact.merge(night, st.merge_settlement)
+        if len(done["rewritten"]) >= done["files"] > 1:
+            raise RuntimeError("a night's settlement must not rewrite every file")
+    return fact.read()
+
+
+def _ledger_files(ctx, key: str) -> FileTable:
+    ledger = life(ctx).updated[0]
+    files = FileTable(ctx.spark, scratch_path(ctx.spark, f"ledger-by-{key}"), ledger.schema, key)
+    files.create(ledger, n_files=16)
+    return files
+
+
+@register("transaction_point_lookup", lsql(["l_updated"], f"""
+SELECT * FROM l_updated WHERE id = {stable_id_sql(f"'{LOOKUP_PAYMENT}'", "'charge'")}"""))
+def _transaction_lookup(ctx):
+    """One ledger row by id from files clustered by id, with Bloom filters on it."""
+    wanted = ctx.spark.range(1).select(lc.stable_id(F.lit(LOOKUP_PAYMENT), F.lit("charge"))).first()[0]
+    return _ledger_files(ctx, "id").lookup([wanted])
+
+
+@register("payment_point_lookup", lsql(["l_updated"], f"SELECT * FROM l_updated WHERE payment_id = '{LOOKUP_PAYMENT}'"))
+def _payment_lookup(ctx):
+    """All ledger rows of one payment from files clustered by payment."""
+    return _ledger_files(ctx, "payment_id").lookup([LOOKUP_PAYMENT])
+
+
 @register("backfill_rewrite", sql_with(["c_silver_tx"], "SELECT * FROM c_silver_tx", extra=C_LAYERS))
 def _backfill_rewrite(ctx):
     """A silver table with a damaged week (statuses lost) is rebuilt by replaying that week from bronze."""
