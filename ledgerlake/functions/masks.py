@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from . import sensitive
 
 
 def _c(c) -> Column:
@@ -74,18 +75,15 @@ def mask_for_type(mask_type: str | None, column_name: str, c) -> Column:
     return F.when(_c(c).isNull(), F.lit(None).cast("string")).otherwise(F.lit("***"))
 
 
-# FIXED VALUES: free-text patterns for card numbers (13 to 19 digits, single spaces or dashes between them, keep
-# last 4), phone numbers (keep last 4) and e-mail addresses
-CARD_PATTERN = r"\b(?:[0-9][ -]?){9,15}([0-9]{4})\b"
+# FIXED VALUES: phone numbers in free text (keep last 4)
 PHONE_PATTERN = r"\b[0-9]{3}-[0-9]{3}-([0-9]{4})\b"
-EMAIL_PATTERN = r"([A-Za-z0-9._%+-])[A-Za-z0-9._%+-]*@([A-Za-z0-9.-]+\.[A-Za-z]{2,})"
 
 
 def redact_text(c) -> Column:
-    """Card, phone and e-mail masks applied inside free text."""
-    no_cards = F.regexp_replace(_c(c), CARD_PATTERN, "************$1")
+    """Card, phone and e-mail masks applied inside free text, by the rules that the value scan and the audit use."""
+    no_cards = sensitive.mask_cards(_c(c))
     no_phones = F.regexp_replace(no_cards, PHONE_PATTERN, "***-***-$1")
-    return F.regexp_replace(no_phones, EMAIL_PATTERN, "$1***@$2")
+    return F.when(F.contains(no_phones, F.lit("@")), F.regexp_replace(no_phones, sensitive.EMAIL_PARTS_ONCE, "$1***@$2")).otherwise(no_phones)
 
 
 def mask_by_user(c, allowed_users: list[str], user: Column | None = None) -> Column:

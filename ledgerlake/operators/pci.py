@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
-from ..functions import crypto, masks
+from ..functions import crypto, masks, sensitive
 
 COLUMNS_SCHEMA = T.StructType([T.StructField("schema_name", T.StringType()),
                                T.StructField("table_name", T.StringType()),
@@ -151,22 +151,14 @@ def flatten_inventory(inventory: DataFrame) -> DataFrame:
 
 # ---- value scan ----------------------------------------------------------------
 
-# FIXED VALUES: what a value that "looks like" sensitive data matches
-SENSITIVE_PATTERNS = {
-    "card": r"[0-9]{16}",
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "phone": r"[0-9]{3}-[0-9]{3}-[0-9]{4}",
-}
-
-
 def scan_sensitive_values(df: DataFrame, table_name: str, columns: list[str] | None = None,
-                          patterns: dict | None = None) -> DataFrame:
-    """Share of values per string column matching each pattern: one aggregation pass
-    over the table (all counters in one agg), then unpivoted to long form."""
-    patterns = patterns or SENSITIVE_PATTERNS
+                          held: dict | None = None) -> DataFrame:
+    """Share of values per string column that hold each kind of sensitive value (``sensitive.HELD``): one
+    aggregation pass over the table (all counters in one agg), then unpivoted to long form."""
+    held = held or sensitive.HELD
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    pairs = [(c, p, rx) for c in cols for p, rx in patterns.items()]
-    aggs = [F.count_if(F.col(f"`{c}`").rlike(rx)).alias(f"_m{i}") for i, (c, _, rx) in enumerate(pairs)]
+    pairs = [(c, p, has) for c in cols for p, has in held.items()]
+    aggs = [F.count_if(has(F.col(f"`{c}`"))).alias(f"_m{i}") for i, (c, _, has) in enumerate(pairs)]
     wide = df.select(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_total"), *aggs)
     found = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("pattern"), F.col(f"_m{i}").cast("long").alias("matches"))
                       for i, (c, p, _) in enumerate(pairs)])
@@ -206,8 +198,7 @@ def classify_names_and_values(classified: DataFrame, values: DataFrame) -> DataF
 def leaking_rows(df: DataFrame, table_name: str) -> DataFrame:
     """(table_name, rows, leaking): rows with a card number or an e-mail address in any text column."""
     text = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    found = reduce(lambda a, b: a | b, [F.coalesce(c.rlike(SENSITIVE_PATTERNS[p]), F.lit(False))
-                                        for c in text for p in ("card", "email")], F.lit(False))
+    found = reduce(lambda a, b: a | b, [sensitive.HELD[p](c) for c in text for p in ("card", "email")], F.lit(False))
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(found).alias("leaking")).select(
         F.lit(table_name).alias("table_name"), "rows", "leaking")
 

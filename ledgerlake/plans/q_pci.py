@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions import crypto, masks
+from ..functions import crypto, masks, sensitive
 from ..operators import pci
 from ..sources.tables import TEST_TABLES
 from .oracle_sql import sql_with
@@ -58,9 +58,9 @@ def _scan_sql(tables: dict) -> str:
     """One pass per table: all counters in one aggregate, unpivoted to one row per column and pattern."""
     parts = []
     for t, cols in tables.items():
-        pairs = [(c, p, rx) for c in cols for p, rx in pci.SENSITIVE_PATTERNS.items()]
-        counters = ", ".join(f"COUNT(*) FILTER (WHERE regexp_matches({c}, '{rx}')) AS m{i}" for i, (c, _p, rx) in enumerate(pairs))
-        rows = ", ".join(f"{{'column_name': '{c}', 'pattern': '{p}', 'matches': m{i}}}" for i, (c, p, _rx) in enumerate(pairs))
+        pairs = [(c, p) for c in cols for p in sensitive.HELD]
+        counters = ", ".join(f"COUNT(*) FILTER (WHERE {sensitive.held_sql(p, c)}) AS m{i}" for i, (c, p) in enumerate(pairs))
+        rows = ", ".join(f"{{'column_name': '{c}', 'pattern': '{p}', 'matches': m{i}}}" for i, (c, p) in enumerate(pairs))
         parts.append(f"SELECT '{t}' AS table_name, r.column_name, r.pattern, r.matches, total AS total_values, r.matches / total AS share "
                      f"FROM (SELECT total, unnest([{rows}]) AS r FROM (SELECT COUNT(*) AS total, {counters} FROM {t}) w) u")
     return "\nUNION ALL ".join(parts)
@@ -181,14 +181,17 @@ def _mask_table(ctx):
     return pci.mask_table(holders, classified, "fx_cardholders")
 
 
-REDACT_SQL = (f"regexp_replace(regexp_replace(regexp_replace(text, '{masks.CARD_PATTERN}', '************\\1', 'g'), "
-              f"'{masks.PHONE_PATTERN}', '***-***-\\1', 'g'), '{masks.EMAIL_PATTERN}', '\\1***@\\2', 'g')")
+def redact_sql(text: str) -> str:
+    return (f"regexp_replace(regexp_replace({sensitive.mask_cards_sql(text)}, '{masks.PHONE_PATTERN}', '***-***-\\1', 'g'), "
+            "'([A-Za-z0-9._%+-])[A-Za-z0-9._%+-]*@([A-Za-z0-9.-]+\\.[A-Za-z]{2,})', '\\1***@\\2', 'g')")
+
+
+REDACT_SQL = redact_sql("text")
 
 
 @register("redact_text", f"""
-SELECT doc_id, sha256({REDACT_SQL}) AS redacted_sha256, CAST(length({REDACT_SQL}) AS INTEGER) AS redacted_length,
-       {REDACT_SQL} <> text AS changed
-FROM documents""")
+SELECT doc_id, sha256(r) AS redacted_sha256, CAST(length(r) AS INTEGER) AS redacted_length, r <> text AS changed
+FROM (SELECT doc_id, text, {REDACT_SQL} AS r FROM documents) d""")
 def _redact(ctx):
     d = ctx.fx("documents").select("doc_id", "text")
     r = masks.redact_text("text")
@@ -385,14 +388,28 @@ def _sort_governance(ctx):
 # ---- audit and value scan --------------------------------------------------
 
 # silver and gold tables whose text is searched for values in clear, with the text columns for the oracle
-AUDITED = {"payments_cleaned": ["payment_id", "merchant_id", "customer_id", "currency", "payment_method_normalized", "status_normalized"],
-           "dim_merchant": ["merchant_id", "merchant_code", "merchant_name"],
-           "dim_customer": ["customer_id", "customer_code", "customer_name"]}
+AUDITED = {
+    "payments_cleaned": ["payment_id", "merchant_id", "customer_id", "currency", "payment_method_normalized", "status_normalized"],
+    "fraud_signals_cleaned": ["signal_id", "transaction_id", "risk_level_derived", "risk_level", "alerts", "decision_normalized", "case_status_normalized"],
+    "payments_with_fraud": ["payment_id", "merchant_id", "customer_id", "currency", "payment_method", "status", "fraud_risk_level", "fraud_decision",
+                            "fraud_alerts", "overall_risk_category"],
+    "transactions_fact": ["transaction_id", "merchant_id", "customer_id", "currency", "payment_method", "status", "fraud_risk_level", "fraud_decision",
+                          "overall_risk_category"],
+    "dim_date": ["date_key", "month_name", "day_name"],
+    "dim_merchant": ["merchant_id", "merchant_code", "merchant_name"],
+    "dim_customer": ["customer_id", "customer_code", "customer_name"],
+    "dim_payment_method": ["payment_method", "method_code", "method_name", "method_category"],
+    "fact_transactions": ["transaction_id", "date_key", "merchant_id", "customer_id", "payment_method", "currency", "payment_status", "fraud_risk_level",
+                          "fraud_decision", "overall_risk_category"],
+    "metric_daily_payment_summary": ["month_name", "day_name"],
+    "metric_fraud_analytics": ["merchant_id", "merchant_name"],
+    "metric_customer_risk_profile": ["customer_id", "risk_classification", "customer_name"],
+}
 
 
 def _leaks_sql(tables: dict) -> str:
     def clear(cols):
-        return " OR ".join(f"COALESCE(regexp_matches({c}, '{pci.SENSITIVE_PATTERNS[p]}'), false)" for c in cols for p in ("card", "email"))
+        return " OR ".join([sensitive.held_sql(p, c) for c in cols for p in ("card", "email")] or ["false"])
     return " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) FILTER (WHERE {clear(cols)}) AS leaking FROM {t}"
                               for t, cols in tables.items())
 
@@ -418,9 +435,15 @@ SELECT 'columns_classified', 'every column has a stored classification',
 FROM cols c LEFT JOIN ({stored}) s ON c.table_name = s.table_name AND c.column_name = s.column_name"""
 
 
+def _text_columns(df) -> list[str]:
+    return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+
+
 def _leaks(ctx, extra: dict):
+    """Leaking rows of every silver and gold table, over all of its text columns."""
     out = None
-    for t, df in {**{t: getattr(ctx.med, t).select(*cols) for t, cols in AUDITED.items()}, **extra}.items():
+    tables = {n: getattr(ctx.med, n) for s, n, _kind in INVENTORY if s != "raw"}
+    for t, df in {**{t: df.select(*_text_columns(df)) for t, df in tables.items()}, **extra}.items():
         one = pci.leaking_rows(df, t)
         out = one if out is None else out.unionByName(one)
     return out
@@ -450,6 +473,14 @@ def _audit_violations(ctx):
     return pci.audit(pci.governance_summary(listed_tables(ctx)), _columns(ctx), stale, leaks)
 
 
+@register("find_card_numbers", sql_with(["fx_card_notes"], f"""
+SELECT holder_id, CASE WHEN kind IN (0, 1, 3) THEN 1 ELSE 0 END AS n_cards, {redact_sql('note')} AS redacted FROM fx_card_notes"""))
+def _find_cards(ctx):
+    """Notes with dashed, spaced and 15-digit card numbers, and with order numbers that fail the check or are too long."""
+    notes = ctx.fx("fx_card_notes")
+    return notes.select("holder_id", F.size(sensitive.card_numbers(F.col("note"))).alias("n_cards"), masks.redact_text("note").alias("redacted"))
+
+
 SCAN_TABLES = {t: cols for t, cols in TEXT_COLUMNS.items() if t != "fx_cardholders"}
 
 

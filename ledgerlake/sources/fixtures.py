@@ -16,6 +16,16 @@ _CURRENCY_CASE = ("CASE event_id % 7 WHEN 0 THEN 'usd' WHEN 1 THEN 'eur' WHEN 2
 _METHOD_CASE = ("CASE event_id % 6 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'debit_card' WHEN 2 THEN 'ach' "
                 "WHEN 3 THEN 'wire' WHEN 4 THEN 'digital_wallet' ELSE 'crypto' END")
 
+
+def _check_digit_sql(body: str, n: int) -> str:
+    """The Luhn check digit of ``n`` digits as text: from the right every second digit, the last one first, counts twice."""
+    def weighed(i: int) -> str:
+        d = f"CAST(substr({body}, {i}, 1) AS INT)"
+        return f"CASE WHEN {d} > 4 THEN {d} * 2 - 9 ELSE {d} * 2 END" if (n - i) % 2 == 0 else d
+
+    return f"CAST((10 - ({' + '.join(weighed(i) for i in range(1, n + 1))}) % 10) % 10 AS STRING)"
+
+
 FIXTURES: dict[str, tuple[list[str], str]] = {
     "fx_base": (["events"], """
 SELECT event_id, user_id, ts, event_type, CAST(value AS DECIMAL(18,2)) AS amt,
@@ -151,14 +161,28 @@ FROM (SELECT transaction_id, event_id, CAST(CAST(event_id % 100 AS DECIMAL(5,2))
     "fx_cardholders": (["customer"], """
 SELECT 'H' || CAST(c_custkey AS STRING) AS holder_id,
        CASE WHEN c_custkey % 211 = 0 THEN '' WHEN c_custkey % 223 = 0 THEN CAST(c_custkey % 1000 AS STRING)
-            ELSE '4' || lpad(CAST((c_custkey * 7919 + 12345) % 1000000000000000 AS STRING), 15, '0') END AS card_number,
+            ELSE card16 END AS card_number,
        lpad(CAST((c_custkey * 37) % 1000 AS STRING), 3, '0') AS cvv,
        CASE WHEN c_custkey % 199 = 0 THEN '' ELSE lower(c_mktsegment) || ' ' || replace(c_name, 'Customer#', 'Holder') END AS cardholder_name,
        CASE WHEN c_custkey % 101 = 0 THEN 'no-at-sign' ELSE lower(replace(c_name, '#', '.')) || '@example.com' END AS email,
        CASE WHEN c_custkey % 191 = 0 THEN '12' ELSE '555-' || lpad(CAST(c_custkey % 1000 AS STRING), 3, '0') || '-' || lpad(CAST((c_custkey * 13) % 10000 AS STRING), 4, '0') END AS phone,
        lpad(CAST(c_custkey % 12 + 1 AS STRING), 2, '0') || '/' || CAST(25 + c_custkey % 5 AS STRING) AS expiration_date,
        CAST(c_acctbal AS DECIMAL(18,2)) AS amount
-FROM {customer}"""),
+FROM (SELECT *, body || """ + _check_digit_sql("body", 15) + """ AS card16
+      FROM (SELECT *, '4' || lpad(CAST((c_custkey * 7919 + 12345) % 100000000000000 AS STRING), 14, '0') AS body FROM {customer}) b) c"""),
+    # Free text with card numbers in several forms and with numbers that are none.
+    "fx_card_notes": (["customer"], """
+SELECT 'H' || CAST(c_custkey AS STRING) AS holder_id, CAST(c_custkey % 6 AS INT) AS kind,
+       CASE c_custkey % 6
+            WHEN 0 THEN 'paid with ' || substr(card16, 1, 4) || '-' || substr(card16, 5, 4) || '-' || substr(card16, 9, 4) || '-' || substr(card16, 13, 4) || ', thanks'
+            WHEN 1 THEN 'card ' || substr(card16, 1, 4) || ' ' || substr(card16, 5, 4) || ' ' || substr(card16, 9, 4) || ' ' || substr(card16, 13, 4)
+            WHEN 2 THEN 'order ' || substr(card16, 1, 15) || CAST((CAST(substr(card16, 16, 1) AS INT) + 1) % 10 AS STRING) || ' shipped'
+            WHEN 3 THEN 'amex ' || card15 || '.'
+            WHEN 4 THEN 'write to holder' || CAST(c_custkey AS STRING) || '@example.com or call 555-010-' || lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')
+            ELSE 'parcel ' || card16 || '0000' END AS note
+FROM (SELECT *, body || """ + _check_digit_sql("body", 15) + """ AS card16, amex || """ + _check_digit_sql("amex", 14) + """ AS card15
+      FROM (SELECT *, '4' || lpad(CAST((c_custkey * 7919 + 12345) % 100000000000000 AS STRING), 14, '0') AS body,
+                   '37' || lpad(CAST((c_custkey * 104729 + 777) % 1000000000000 AS STRING), 12, '0') AS amex FROM {customer}) b) c"""),
 }
 
 # FIXED VALUE: the evaluation time used by every query over the fixtures
