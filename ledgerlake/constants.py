@@ -66,9 +66,6 @@ RULE_WEIGHTS = {
 }
 # alerts that turn a HIGH level into DECLINE instead of REVIEW
 ESCALATING_ALERTS = ["bin_blacklist", "velocity_by_ip"]
-# ML placeholder outputs of the reference engine
-ML_PLACEHOLDER = {"risk_score": "0.30", "risk_level": "medium", "decision": "approve",
-                  "alerts": ["ml_prediction"], "model_score": 0.35, "confidence": 0.92}
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: PCI column classifier word lists (substring match, lower case)

@@ -141,39 +141,3 @@ def route_signals(signals: DataFrame, prefix: str = "fraud", value: Column | Non
     val = value if value is not None else F.to_json(F.struct(*[F.col(c) for c in signals.columns]))
     return (signals.select(F.explode(F.array_compact(F.array(main, decision_topic))).alias("topic"),
                            F.col("transaction_id").alias("key"), val.alias("value")))
-
-
-# ---- ML scorer (re-aimed placeholder) --------------------------------------
-
-FEATURES = ["amount_f", "prior_count_f", "location_f", "device_f"]
-
-
-def ml_features(scored: DataFrame) -> DataFrame:
-    return scored.withColumns({
-        "amount_f": F.col("amount").cast("double"),
-        "prior_count_f": F.col("prior_count").cast("double"),
-        "location_f": F.array_contains("alerts", "unusual_location").cast("double"),
-        "device_f": F.array_contains("alerts", "device_fingerprint_mismatch").cast("double"),
-        "label": risk.is_high_risk(F.col("risk_level")).cast("double"),
-    })
-
-
-def fit_ml_model(scored: DataFrame, max_iter: int = 20):
-    """Logistic regression on rule features; labels are the rule engine's high-risk flag."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-    stages = [VectorAssembler(inputCols=FEATURES, outputCol="raw_features"),
-              StandardScaler(inputCol="raw_features", outputCol="features"),
-              LogisticRegression(maxIter=max_iter, featuresCol="features", labelCol="label")]
-    return Pipeline(stages=stages).fit(ml_features(scored))
-
-
-def ml_score(scored: DataFrame, model) -> DataFrame:
-    """Adds ml_scores {model_score, confidence}; the signal columns stay those of the rules."""
-    from pyspark.ml.functions import vector_to_array
-    out = model.transform(ml_features(scored))
-    p = vector_to_array("probability")[1]
-    return (out.withColumn("ml_scores", F.create_map(F.lit("model_score"), p,
-                                                     F.lit("confidence"), F.greatest(p, 1 - p)))
-            .drop(*FEATURES, "label", "raw_features", "features", "rawPrediction", "probability", "prediction"))

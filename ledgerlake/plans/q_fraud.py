@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import risk
-from ..operators import fraud
+from ..operators import fraud, ml
+from ..session import scratch_path
 from .registry import register
 
 AMOUNT_LIMIT = "200"
@@ -200,8 +201,37 @@ def _signal_json(ctx):
     return s.select("transaction_id", fraud.signal_json(s, "ts").alias("signal_json"))
 
 
-@register("ml_score")
+# FIXED VALUES: a stored model version of the registered query (weights of features, intercept, threshold)
+STORED_MODEL = ml.FraudModel({"amount": 0.0125, "prior_count": 0.375, "location_changed": 0.8125, "device_mismatch": 1.4375}, -3.5, 0.3125)
+
+
+@register("ml_score", _sql("""
+, f AS (SELECT transaction_id, COALESCE(CAST(amount AS DOUBLE), 0.0) AS a, COALESCE(CAST(prior_count AS DOUBLE), 0.0) AS v,
+               CAST(r_loc AS INTEGER) AS l, CAST(r_dev AS INTEGER) AS d FROM scored),
+p AS (SELECT transaction_id, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(-3.5::DOUBLE + 0.0125::DOUBLE * a + 0.375::DOUBLE * v + 0.8125::DOUBLE * l + 1.4375::DOUBLE * d))) AS p FROM f),
+s AS (SELECT transaction_id, p, CAST(round(CASE WHEN p < 0.3125 THEN p / 0.625::DOUBLE ELSE 0.5::DOUBLE + (p - 0.3125::DOUBLE) / 1.375::DOUBLE END, 2) AS DECIMAL(3,2)) AS risk_score FROM p),
+lv2 AS (SELECT *, CASE WHEN risk_score >= 0.75 THEN 'critical' WHEN risk_score >= 0.5 THEN 'high' WHEN risk_score >= 0.25 THEN 'medium' ELSE 'low' END AS risk_level FROM s)
+SELECT transaction_id, risk_score, risk_level,
+       CASE risk_level WHEN 'critical' THEN 'block' WHEN 'high' THEN 'review' WHEN 'medium' THEN 'challenge' ELSE 'approve' END AS decision,
+       'ml_prediction' AS alert, round(p, 6) AS model_score, round(greatest(p, 1 - p), 6) AS confidence
+FROM lv2"""))
 def _ml_score(ctx):
-    s = scored(ctx)
-    model = fraud.fit_ml_model(s)
-    return fraud.ml_score(s, model).select("transaction_id", "risk_score", "risk_level", "decision", "ml_scores")
+    """Signals of a stored model version: saved, published, loaded, scored."""
+    root = scratch_path(ctx.spark, "fraud-model")
+    ml.save_model(ctx.spark, STORED_MODEL, root)
+    return _ml_signals(ctx, ml.load_model(ctx.spark, root))
+
+
+def _ml_signals(ctx, model):
+    s = ml.ml_score(ml.features(scoring_context(ctx)), model)
+    return s.select("transaction_id", "risk_score", "risk_level", "decision", F.array_join("alerts", ",").alias("alert"),
+                    F.round(F.col("ml_scores")["model_score"], 6).alias("model_score"), F.round(F.col("ml_scores")["confidence"], 6).alias("confidence"))
+
+
+@register("ml_train_score")
+def _ml_train_score(ctx):
+    """Train on the chargebacks of the settlement table, publish the version and score with it (no SQL form: a fitted model)."""
+    root = scratch_path(ctx.spark, "fraud-model")
+    labels = ctx.fx("fx_settlement").select("transaction_id", F.col("chargeback_flag").cast("int").alias("label"))
+    ml.train(ml.features(scoring_context(ctx)), labels, root)
+    return _ml_signals(ctx, ml.load_model(ctx.spark, root))
