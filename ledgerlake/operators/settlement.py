@@ -18,7 +18,7 @@ FACT_C_COLS = ["transaction_id", "merchant_id", "payment_method", "event_ts", "s
 MERGE_UPDATE_COLS = ["settlement_date", "amount", "fee", "chargeback_flag"]
 
 
-def bronze_events(payments: DataFrame, signals: DataFrame, cards: DataFrame, key: str) -> DataFrame:
+def bronze_events(payments: DataFrame, signals: DataFrame, cards: DataFrame, key: str | crypto.KeyRef) -> DataFrame:
     """Batch form of the streaming bronze: payment events with the fraud score of their
     signal and the card number replaced by its token (cards: customer_id, card_number)."""
     tok = cards.select("customer_id", crypto.token_for("card_number", key).alias("tokenized_pan"))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import crypto, masks, sensitive
-from ..operators import pci
+from ..operators import pci, vault
+from ..session import scratch_path
 from ..sources.tables import TEST_TABLES
 from .oracle_sql import sql_with
 from .registry import register
@@ -224,9 +225,29 @@ def _mask_for_session_user(ctx):
 
 # ---- tokens, hashes --------------------------------------------------------
 
+def keyring(ctx):
+    """The fixture's keyring: written once per context, then only read."""
+    if "_keyring" not in ctx._memo:
+        path = scratch_path(ctx.spark, "keyring")
+        vault.write_keyring(ctx.spark, path, FIXTURE_KEY, {"v1": "first vault secret", "v2": "second vault secret"}, active="v1")
+        ctx._memo["_keyring"] = vault.read_keyring(ctx.spark, path)
+    return ctx._memo["_keyring"]
+
+
+def token_key(ctx):
+    return vault.token_key(keyring(ctx))
+
+
 def _tokenized(ctx):
-    return pci.tokenize_column(ctx.fx("fx_cardholders").select("holder_id", "card_number", "cardholder_name"),
-                               "card_number", FIXTURE_KEY, "card_token")
+    return vault.tokenize(ctx.fx("fx_cardholders").select("holder_id", "card_number", "cardholder_name"),
+                          "card_number", keyring(ctx), "card_token")
+
+
+def _stored_vault(ctx):
+    """The vault as a written table."""
+    path = scratch_path(ctx.spark, "vault")
+    _tokenized(ctx)[1].write.parquet(path)
+    return ctx.spark.read.parquet(path)
 
 
 @register("tokenize_column", sql_with(["fx_cardholders"], f"""
@@ -245,9 +266,19 @@ LEFT JOIN (SELECT DISTINCT {token_sql('card_number')} AS token, card_number AS v
 
 @register("detokenize", _DETOK_SQL)
 def _detokenize(ctx):
-    out, vault = _tokenized(ctx)
-    return pci.detokenize(out.select("holder_id", "card_token"), "card_token", vault, "card_number") \
-              .select("holder_id", "card_token", "card_number")
+    out = _tokenized(ctx)[0].select("holder_id", "card_token")
+    return vault.detokenize(out, "card_token", _stored_vault(ctx), keyring(ctx), "card_number").select("holder_id", "card_token", "card_number")
+
+
+@register("rotate_vault", sql_with(["fx_cardholders"], f"""
+SELECT DISTINCT {token_sql('card_number')} AS token, 'v2' AS key_id, card_number AS value FROM fx_cardholders WHERE card_number IS NOT NULL"""))
+def _rotate(ctx):
+    """A vault sealed under key v1 after a rotation to v2: tokens and values as before, every row under the new key. The old
+    key is then dropped from the keyring."""
+    path = scratch_path(ctx.spark, "keyring")
+    both = vault.read_keyring(ctx.spark, vault.write_keyring(ctx.spark, f"{path}/both", FIXTURE_KEY, {"v1": "first vault secret", "v2": "second vault secret"}, active="v2"))
+    only = vault.read_keyring(ctx.spark, vault.write_keyring(ctx.spark, f"{path}/new", FIXTURE_KEY, {"v2": "second vault secret"}, active="v2"))
+    return vault.opened(vault.rotated(_stored_vault(ctx), both), only).select("token", "key_id", "value")
 
 
 _REVOKE_SQL = sql_with(["fx_cardholders"], f"""
@@ -259,17 +290,27 @@ FROM (SELECT DISTINCT token FROM (
       WHERE token IS NOT NULL) q""")
 
 
-@register("revoke_tokens", _REVOKE_SQL)
-def _revoke(ctx):
+def _revoked(ctx):
     h = ctx.fx("fx_cardholders")
-    _out, vault = _tokenized(ctx)
-    req = (h.filter(F.col("cardholder_name").like("automobile%")).select(crypto.token_for("card_number", FIXTURE_KEY)
+    req = (h.filter(F.col("cardholder_name").like("automobile%")).select(crypto.token_for("card_number", token_key(ctx))
                                                                          .alias("token"))
            .unionByName(h.filter(F.col("cardholder_name").like("building%"))
                         .select(F.concat(F.lit("tok_"), F.lpad("holder_id", 16, "0")).alias("token")))
            .filter(F.col("token").isNotNull()))
-    _remaining, result = pci.revoke_tokens(vault, req)
-    return result
+    return pci.revoke_tokens(_stored_vault(ctx), req)
+
+
+@register("revoke_tokens", _REVOKE_SQL)
+def _revoke(ctx):
+    return _revoked(ctx)[1]
+
+
+@register("revoke_tokens_remaining", sql_with(["fx_cardholders"], f"""
+SELECT DISTINCT {token_sql('card_number')} AS token, card_number AS value FROM fx_cardholders
+WHERE card_number IS NOT NULL AND card_number NOT IN (SELECT card_number FROM fx_cardholders WHERE cardholder_name LIKE 'automobile%' AND card_number IS NOT NULL)"""))
+def _remaining(ctx):
+    """What a vault still opens after the revocation."""
+    return vault.opened(_revoked(ctx)[0], keyring(ctx)).select("token", "value")
 
 
 @register("token_collisions", sql_with(["fx_cardholders"], f"""
@@ -279,7 +320,7 @@ GROUP BY token HAVING COUNT(DISTINCT card_number) > 1"""))
 def _collisions(ctx):
     """The vault check on tokens cut to two hex characters, where values do collide."""
     h = ctx.fx("fx_cardholders").filter(F.col("card_number").isNotNull())
-    return pci.token_collisions(h.select(crypto.token_for("card_number", FIXTURE_KEY, length=2).alias("token"),
+    return pci.token_collisions(h.select(crypto.token_for("card_number", token_key(ctx), length=2).alias("token"),
                                          F.col("card_number").alias("value")))
 
 
@@ -291,7 +332,7 @@ def _hash(ctx):
 @register("hmac_column", sql_with(["fx_cardholders"], f"SELECT holder_id, {hmac_sql('card_number')} AS card_hmac "
                                                       f"FROM fx_cardholders"))
 def _hmac(ctx):
-    return ctx.fx("fx_cardholders").select("holder_id", crypto.hmac_column("card_number", FIXTURE_KEY).alias("card_hmac"))
+    return ctx.fx("fx_cardholders").select("holder_id", crypto.hmac_column("card_number", token_key(ctx)).alias("card_hmac"))
 
 
 @register("verify_hmac", sql_with(["fx_cardholders"], f"""
@@ -300,9 +341,9 @@ SELECT holder_id, CASE WHEN length(phone) < 4 THEN {hmac_sql('phone')} ELSE {hma
 FROM fx_cardholders"""))
 def _verify(ctx):
     h = ctx.fx("fx_cardholders")
-    sig = F.when(F.length("phone") < 4, crypto.hmac_column("phone", FIXTURE_KEY)).otherwise(
-        crypto.hmac_column("email", FIXTURE_KEY))
-    return h.select("holder_id", crypto.verify_hmac("email", sig, FIXTURE_KEY).alias("signature_valid"))
+    key = token_key(ctx)
+    sig = F.when(F.length("phone") < 4, crypto.hmac_column("phone", key)).otherwise(crypto.hmac_column("email", key))
+    return h.select("holder_id", crypto.verify_hmac("email", sig, key).alias("signature_valid"))
 
 
 # ---- governance ------------------------------------------------------------

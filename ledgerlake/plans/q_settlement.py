@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import settlement as st
 from .oracle_sql import sql_with
-from .q_pci import FIXTURE_KEY, token_sql
+from .q_pci import token_key, token_sql
 from .registry import register
 
 
@@ -29,7 +29,7 @@ class PipelineC:
             "transaction_id", F.col("risk_score").try_cast("decimal(3,2)").alias("risk_score"))
         cards = self.ctx.fx("fx_cardholders").select(
             F.concat(F.lit("C"), F.substring("holder_id", 2, 1 << 20)).alias("customer_id"), "card_number")
-        return st.bronze_events(self.ctx.fx("fx_payment_events"), sig, cards, FIXTURE_KEY)
+        return st.bronze_events(self.ctx.fx("fx_payment_events"), sig, cards, token_key(self.ctx))
 
     @cached_property
     def transactions(self):

@@ -22,7 +22,7 @@ from ..session import scratch_path, ship_package
 from ..sinks.tables import read_if_exists
 from ..streaming import enrich, jobs, sources, stateful, upsert, validate, velocity
 from .oracle_sql import sql_with
-from .q_pci import FIXTURE_KEY, token_sql
+from .q_pci import token_key, token_sql
 from .registry import register
 
 SENTINEL_TS = ["2099-01-01 00:00:00", "2099-01-01 00:00:01"]
@@ -388,7 +388,7 @@ def _bronze_run(ctx) -> tuple[str, str]:
     if "_bronze" not in ctx._memo:
         folder = scratch_path(ctx.spark, "bronze-job")
         bronze, dlq = f"{folder}/bronze", f"{folder}/dlq"
-        jobs.run_bronze_pipeline(ctx.spark, _payments_path(ctx, late=True), _signals_path(ctx), bronze, dlq, folder, FIXTURE_KEY,
+        jobs.run_bronze_pipeline(ctx.spark, _payments_path(ctx, late=True), _signals_path(ctx), bronze, dlq, folder, token_key(ctx),
                                  late_after_seconds=LATE_AFTER_SECONDS, n_state_partitions=STATE_PARTITIONS)
         ctx._memo["_bronze"] = (bronze, dlq)
     return ctx._memo["_bronze"]
@@ -483,7 +483,7 @@ def _st9(ctx):
 @register("st10_tokenize_stream", ssql(["sp_valid"], f"""
 SELECT transaction_id, event_ts, {token_sql('card_number')} AS tokenized_pan FROM sp_valid"""))
 def _st10(ctx):
-    t = jobs.tokenize_stream(_valid_payments(ctx), "card_number", FIXTURE_KEY)
+    t = jobs.tokenize_stream(_valid_payments(ctx), "card_number", token_key(ctx))
     out = _run_to_files(ctx, t.select("transaction_id", "event_ts", "tokenized_pan"), "st10")
     return _not_sentinel(out)
 

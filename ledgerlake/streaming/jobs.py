@@ -66,7 +66,7 @@ def start_validated_ingest(spark: SparkSession, src_path: str, good_path: str, d
 
 
 def run_bronze_pipeline(spark: SparkSession, payments_path: str, signals_path: str, bronze_path: str, dlq_path: str,
-                        work_dir: str, key: str, late_after_seconds: int, n_state_partitions: int | None = None,
+                        work_dir: str, key: str | crypto.KeyRef, late_after_seconds: int, n_state_partitions: int | None = None,
                         max_files: int = 1) -> None:
     """The whole payment stream: validate -> tokenise -> late and invalid rows to the DLQ -> join the
     fraud signals -> dedupe -> bronze partitioned by ``ingestion_date``.
@@ -136,7 +136,7 @@ def start_settlement_ingest(spark: SparkSession, src_dir: str, bronze_path: str,
     return _trigger(w, available_now).start()
 
 
-def tokenize_stream(stream: DataFrame, col: str, key: str, out_col: str = "tokenized_pan") -> DataFrame:
+def tokenize_stream(stream: DataFrame, col: str, key: str | crypto.KeyRef, out_col: str = "tokenized_pan") -> DataFrame:
     """st10: replace a card column by its deterministic token (stateless, so in-flight)."""
     return stream.withColumn(out_col, crypto.token_for(col, key)).drop(col)
 
