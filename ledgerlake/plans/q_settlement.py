@@ -13,7 +13,9 @@ from functools import cached_property
 
 from pyspark.sql import functions as F
 
+from ..operators import digests
 from ..operators import settlement as st
+from ..session import scratch_path
 from .oracle_sql import sql_with
 from .q_pci import token_key, token_sql
 from .registry import register
@@ -137,7 +139,7 @@ def _reconcile(ctx):
     return pc(ctx).mismatches
 
 
-@register("reconcile_full", csql(["c_fact_before", "c_silver_st"], """
+RECONCILE_SQL = csql(["c_fact_before", "c_silver_st"], """
 SELECT COALESCE(f.transaction_id, s.transaction_id) AS transaction_id,
        CASE WHEN s.transaction_id IS NULL THEN 'MISSING_IN_SETTLEMENT'
             WHEN f.transaction_id IS NULL THEN 'MISSING_IN_FACT'
@@ -147,11 +149,37 @@ SELECT COALESCE(f.transaction_id, s.transaction_id) AS transaction_id,
        s.settlement_date AS settlement_file_date
 FROM c_fact_before f FULL OUTER JOIN c_silver_st s ON f.transaction_id = s.transaction_id
 WHERE s.transaction_id IS NULL OR f.transaction_id IS NULL OR f.amount IS DISTINCT FROM s.amount
-   OR f.settlement_date IS DISTINCT FROM s.settlement_date"""))
+   OR f.settlement_date IS DISTINCT FROM s.settlement_date""")
+
+
+@register("reconcile_full", RECONCILE_SQL)
 def _reconcile_full(ctx):
     return st.reconcile_full(pc(ctx).fact_before, pc(ctx).settlement)
 
 
+def _by_day(ctx):
+    """Both sides of the reconciliation stored by settlement day."""
+    if "_c_by_day" not in ctx._memo:
+        sides = []
+        for name, df in (("fact", pc(ctx).fact_before), ("settlement", pc(ctx).settlement)):
+            rows = df.select("transaction_id", "amount", "settlement_date")
+            path = scratch_path(ctx.spark, f"reconcile-{name}")
+            rows.withColumn("day", F.col("settlement_date")).repartition("day").write.partitionBy("day").parquet(path)
+            sides.append(ctx.spark.read.schema(rows.schema).parquet(path).select(*rows.columns))
+        ctx._memo["_c_by_day"] = tuple(sides)
+    return ctx._memo["_c_by_day"]
+
+
+@register("reconcile_full_digest", RECONCILE_SQL)
+def _reconcile_full_digest(ctx):
+    return digests.reconcile_full(*_by_day(ctx))
+
+
+@register("reconcile_mismatches_digest", csql(["c_mismatch"], "SELECT * FROM c_mismatch"))
+def _reconcile_digest(ctx):
+    return digests.reconcile_mismatches(*_by_day(ctx))
+
+
 @register("dq_alert_mismatch", csql(["c_mismatch"], """
 SELECT 'payment_reconciliation_mismatches' AS table_name, COUNT(*) AS mismatch_count, 100 AS threshold,
        COUNT(*) > 100 AS alert FROM c_mismatch"""))
