@@ -8,6 +8,8 @@ from .. import constants as K
 from .. import schemas
 from ..functions import casts, normalize, risk
 from ..operators import gold, joins, silver, usage
+from ..operators.daily_state import DailyState
+from ..session import scratch_path
 from ..sources.typed import enforce_schema, to_fraud_signals_typed, to_payment_transactions
 from .oracle_sql import (AS_OF_SQL, RISK_CLASS_B_SQL, RISK_LEVEL_SQL, case_map, method_case, sql_with,
                          status_case, upper_map)
@@ -325,6 +327,19 @@ def _daily(ctx):
     return ctx.med.metric_daily_payment_summary
 
 
+@register("metric_daily_incremental", sql_with(["metric_daily_payment_summary"],
+                                               "SELECT * FROM metric_daily_payment_summary"))
+def _daily_incremental(ctx):
+    """The same summary from state: two batches, then a late one for days of both, delivered twice."""
+    state = DailyState(ctx.spark, scratch_path(ctx.spark, "daily-state"))
+    fact = ctx.med.fact_transactions
+    number = F.pmod(F.xxhash64("transaction_id"), F.lit(10))
+    half = F.col("date_key") < "20240301"
+    for batch, rows in enumerate([fact.filter(half & (number < 7)), fact.filter(~half & (number < 7)), fact.filter(number >= 7), fact.filter(number >= 7)]):
+        state.add(rows, min(batch, 2))
+    return state.summary(ctx.med.dim_date)
+
+
 @register("metric_fraud_analytics", sql_with(["metric_fraud_analytics"], "SELECT * FROM metric_fraud_analytics"))
 def _fraud_metric(ctx):
     return ctx.med.metric_fraud_analytics
