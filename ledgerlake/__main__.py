@@ -40,11 +40,10 @@ def cmd_medallion(a) -> dict:
     spark = _session()
     m = Medallion(spark, tables.read_payments_raw(spark, a.payments, a.format),
                   tables.read_fraud_raw(spark, a.signals, a.format), a.as_of or _now(), a.days)
-    published = m.run(a.out, partition_by=["date_key"] if a.partition_by_day else None)
-    from .sinks.tables import write_table
-    for view in ("dim_date", "metric_daily_payment_summary", "metric_fraud_analytics", "metric_customer_risk_profile"):
-        write_table(getattr(published, view), f"{a.out}/gold/{view}")
-    return {"job": "medallion", "out": a.out}
+    views = ("dim_date", "metric_daily_payment_summary", "metric_fraud_analytics", "metric_customer_risk_profile")
+    m.run(a.out, partition_by=["date_key"] if a.partition_by_day else None, views=views)
+    from .sinks.tables import current_version
+    return {"job": "medallion", "out": a.out, "version": current_version(spark, a.out)}
 
 
 def cmd_increment(a) -> dict:
@@ -56,7 +55,7 @@ def cmd_increment(a) -> dict:
     if a.catalog_db:
         appended = run_increment_bucketed(spark, pays, sigs, a.catalog_db, a.as_of or _now(), a.buckets, a.days)
     else:
-        appended = run_increment(spark, pays, sigs, a.state, a.as_of or _now(), a.days, a.prune_targets)
+        appended = run_increment(spark, pays, sigs, a.state, a.as_of or _now(), a.days, not a.whole_targets)
     return {"job": "increment", "appended": appended}
 
 
@@ -102,7 +101,7 @@ def main(argv=None) -> None:
     i.add_argument("--as-of")
     i.add_argument("--days", type=int, default=90)
     i.add_argument("--format", default="parquet")
-    i.add_argument("--prune-targets", action="store_true")
+    i.add_argument("--whole-targets", action="store_true", help="anti-join the whole history, not the retention window")
     g = sub.add_parser("merge")
     g.add_argument("--fact-root", required=True)
     g.add_argument("--settlement", required=True)

@@ -8,6 +8,8 @@ second run with the same input returns no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,12 +96,18 @@ def join_fact_b(validated: DataFrame, enriched: DataFrame) -> DataFrame:
 
 
 def inc_fact_payments(validated: DataFrame, enriched: DataFrame, target: DataFrame | None,
-                      as_of=None, days: int = K.RETENTION_DAYS, prune_target: bool = False) -> DataFrame:
+                      as_of=None, days: int = K.RETENTION_DAYS, prune_target: bool = False,
+                      stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """New facts only: a late signal never updates a fact that already exists.
+    With ``stage`` (a writer that reads back) the new payments are materialised first and
+    only their signals are ranked, not the whole history of signals.
     With ``prune_target`` both sides are cut to the retention window first (same result
     when validated rows are themselves inside the window, as increments produce them)."""
     if target is not None and prune_target:
         validated = _recent(validated, as_of, days)
         target = _recent(target, as_of, days)
     source = validated if target is None else anti_existing(validated, target, "payment_id")
+    if stage is not None:
+        source = stage(source)
+        enriched = enriched.join(source.select(F.col("payment_id").alias("transaction_id")), on="transaction_id", how="left_semi")
     return join_fact_b(source, enriched).select(*FACT_PAYMENTS_COLS)

@@ -56,9 +56,9 @@ def pii_fields(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("classification") == "pii_restricted")
 
 
-def mask_table(df: DataFrame, classified: DataFrame, table_name: str | None = None) -> DataFrame:
-    """Every column through the mask its classification asks for; others unchanged."""
-    c = classified if table_name is None else classified.filter(F.col("table_name") == table_name)
+def mask_table(df: DataFrame, classified: DataFrame, table_name: str) -> DataFrame:
+    """Every column of ``table_name`` through the mask its classification asks for; others unchanged."""
+    c = classified.filter(F.col("table_name") == table_name)
     plan = {r["column_name"]: r["mask_type"] for r in c.select("column_name", "mask_type").collect()}
     return df.select(*[masks.mask_for_type(plan.get(name), name, F.col(name)).alias(name) for name in df.columns])
 

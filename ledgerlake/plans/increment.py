@@ -29,12 +29,18 @@ def _read_target(spark: SparkSession, state_dir: str, name: str) -> DataFrame |
 
 
 def run_increment(spark: SparkSession, payments: DataFrame, signals: DataFrame, state_dir: str, as_of,
-                  days: int = K.RETENTION_DAYS, prune_targets: bool = False) -> dict[str, int]:
+                  days: int = K.RETENTION_DAYS, prune_targets: bool = True) -> dict[str, int]:
     """Append the new rows of every step; returns the number of rows appended per table.
     ``prune_targets`` restricts the payment and fact anti joins to the retention window
-    of the target (see ``incremental._recent``)."""
+    of the target (see ``incremental._recent``). The fact step stages its new payments first,
+    so that only their signals are ranked."""
     appended: dict[str, int] = {}
 
+    def stage(rows: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "increment-new-payments")
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
     def step(name: str, new_rows: DataFrame, columns: list[str]) -> None:
         # the new rows are written once; their count comes from the written files
         tmp = _path(state_dir, f"_staging_{name}")
@@ -59,7 +65,7 @@ def run_increment(spark: SparkSession, payments: DataFrame, signals: DataFrame,
     step("dim_customer", inc.inc_dim_customer(validated, _read_target(spark, state_dir, "dim_customer")),
          inc.DIM_COLS["customer"])
     step("fact_payments", inc.inc_fact_payments(validated, enriched, _read_target(spark, state_dir, "fact_payments"),
-                                                as_of, days, prune_targets),
+                                                as_of, days, prune_targets, stage),
          inc.FACT_PAYMENTS_COLS)
     return appended
 

@@ -79,20 +79,26 @@ class Medallion:
     def metric_customer_risk_profile(self) -> DataFrame:
         return gold.metric_customer_risk_profile(self.fact_transactions, self.dim_customer)
 
-    def run(self, out_dir: str, partition_by: list[str] | None = None) -> "Medallion":
-        """Write silver.transactions_fact, gold.fact_transactions and the three key
-        dimensions under ``out_dir`` and return a Medallion whose metric views read them
-        back (this also cuts the lineage of everything built on top).
+    def run(self, out_dir: str, partition_by: list[str] | None = None, views: tuple[str, ...] = ()) -> "Medallion":
+        """Write silver.transactions_fact, gold.fact_transactions, the three key dimensions and the
+        ``views`` asked for as a new version of ``out_dir`` and publish it; returns a Medallion whose metric
+        views read the tables back (this also cuts the lineage of everything built on top).
+
+        All tables of a refresh become visible together: they go to ``out_dir/v=<n>`` and a marker written
+        last publishes the version (``tables.published_path`` finds a table). A refresh that fails leaves the
+        version before it in place.
 
         The gold fact is range-clustered by (date_key, transaction_id), so files cover
         contiguous dates and parquet statistics skip files and row groups on date filters; pass
         ``partition_by=["date_key"]`` when days are large enough to deserve their own folders.
         """
-        from ..sinks.tables import write_table
-        txn_path = f"{out_dir}/silver/transactions_fact"
+        from ..sinks.tables import next_version, publish_version, version_path, write_table
+        version = next_version(self.spark, out_dir)
+        base = version_path(out_dir, version)
+        txn_path = f"{base}/silver/transactions_fact"
         write_table(self.transactions_fact, txn_path)
         txn = self.spark.read.parquet(txn_path)
-        fact_path = f"{out_dir}/gold/fact_transactions"
+        fact_path = f"{base}/gold/fact_transactions"
         fact = gold.fact_transactions(txn)
         # range-clustered by day: files cover contiguous dates, so date filters skip whole files;
         # transaction_id as the second key lets one very large day spread over several files
@@ -100,11 +106,17 @@ class Medallion:
         write_table(clustered, fact_path, partition_by=partition_by)
         fact = self.spark.read.schema(fact.schema).parquet(fact_path).select(*fact.columns)
         overrides = {"transactions_fact": txn, "fact_transactions": fact}
-        staged = Medallion(self.spark, self.payments_raw, self.fraud_raw, self.as_of, self.days, self.calendar_days,
-                           overrides=overrides)
+
+        def staged() -> "Medallion":
+            return Medallion(self.spark, self.payments_raw, self.fraud_raw, self.as_of, self.days, self.calendar_days,
+                             overrides=overrides)
+
         for dim in ("dim_merchant", "dim_customer", "dim_payment_method"):  # per-key tables, built from txn
-            path = f"{out_dir}/gold/{dim}"
-            write_table(getattr(staged, dim), path)
+            path = f"{base}/gold/{dim}"
+            write_table(getattr(staged(), dim), path)
             overrides[dim] = self.spark.read.parquet(path)
-        return Medallion(self.spark, self.payments_raw, self.fraud_raw, self.as_of, self.days, self.calendar_days,
-                         overrides=overrides)
+        done = staged()
+        for view in views:
+            write_table(getattr(done, view), f"{base}/gold/{view}")
+        publish_version(self.spark, out_dir, version)
+        return done

@@ -13,7 +13,7 @@ from ..session import scratch_path
 from ..sinks import tables as sinks
 from ..sinks.file_table import FileTable
 from ..sources import tables as readers
-from .increment import run_increment
+from .increment import run_increment, run_increment_bucketed
 from .oracle_sql import sql_with
 from .q_incremental import B_LAYERS, runs
 from .q_lifecycle import LOOKUP_PAYMENT, life, lsql, stable_id_sql
@@ -211,6 +211,16 @@ def _run_increment_facts(ctx):
     return ctx.spark.read.parquet(f"{state}/fact_payments")
 
 
+@register("run_increment_bucketed", sql_with(["fact1", "new_fact"], "SELECT * FROM fact1 UNION ALL SELECT * FROM new_fact", extra=B_LAYERS))
+def _run_increment_bucketed(ctx):
+    """The same runs with catalog targets in buckets of their keys."""
+    r = runs(ctx)
+    database = f"ledgerlake_b_{uuid.uuid4().hex[:12]}"
+    for payments, signals in ((r.raw1, r.sig1), (r.raw, r.sig), (r.raw, r.sig)):
+        run_increment_bucketed(ctx.spark, payments, signals, database, ctx.as_of, 4, ctx.days)
+    return ctx.spark.table(f"{database}.fact_payments")
+
+
 _APPENDED = [("payment_validated", "pv1", "new_pv"), ("fraud_enriched", "fe1", "new_fe"), ("dim_merchant", "dm1", "new_dm"),
              ("dim_customer", "dc1", "new_dc"), ("fact_payments", "fact1", "new_fact")]
 

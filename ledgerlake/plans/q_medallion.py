@@ -10,6 +10,8 @@ from ..functions import casts, normalize, risk
 from ..operators import gold, joins, silver, usage
 from ..operators.daily_state import DailyState
 from ..session import scratch_path
+from ..sinks.tables import write_table
+from ..sources import tables as readers
 from ..sources.typed import enforce_schema, to_fraud_signals_typed, to_payment_transactions
 from .oracle_sql import (AS_OF_SQL, RISK_CLASS_B_SQL, RISK_LEVEL_SQL, case_map, method_case, sql_with,
                          status_case, upper_map)
@@ -42,12 +44,15 @@ FRAUD_TYPED_SQL = """SELECT signal_id, transaction_id, TRY_CAST(risk_score AS DE
 
 @register("src_payments_typed", sql_with(["fx_payments_raw"], PAYMENTS_TYPED_SQL))
 def _src_payments_typed(ctx):
-    return to_payment_transactions(ctx.fx("fx_payments_raw"))
+    """The typed landing, written and read back by its declared-schema reader."""
+    path = write_table(to_payment_transactions(ctx.fx("fx_payments_raw")), scratch_path(ctx.spark, "payment-transactions"))
+    return readers.read_payment_transactions(ctx.spark, path)
 
 
 @register("src_fraud_typed", sql_with(["fx_fraud_signals_raw"], FRAUD_TYPED_SQL))
 def _src_fraud_typed(ctx):
-    return to_fraud_signals_typed(ctx.fx("fx_fraud_signals_raw"))
+    path = write_table(to_fraud_signals_typed(ctx.fx("fx_fraud_signals_raw")), scratch_path(ctx.spark, "fraud-signals"))
+    return readers.read_fraud_signals(ctx.spark, path)
 
 
 @register("src_file_metadata", "SELECT event_id, 'events.parquet' AS file_name, true AS has_modification_time FROM events")

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..session import scratch_path, ship_package
 from ..sinks.tables import read_if_exists
+from ..sources import fixtures
 from ..streaming import enrich, jobs, sources, stateful, upsert, validate, velocity
 from .oracle_sql import sql_with
 from .q_pci import token_key, token_sql
@@ -58,7 +59,7 @@ def _land(ctx, fixture: str, name: str, sentinel, late: bool = False) -> str:
     arrival = F.col("order_ts")
     if late:
         arrival = F.when(F.col("event_id") % 10 == 7, arrival + F.expr(STRAGGLER_DELAY)).otherwise(arrival)
-    sources.land_files(ctx.fx(fixture).select(arrival.alias("arrival_ts"), "payload"), path, FILE_CUTS, "arrival_ts")
+    fixtures.land_files(ctx.fx(fixture).select(arrival.alias("arrival_ts"), "payload"), path, FILE_CUTS, "arrival_ts")
     for i in range(N_SENTINELS):
         sentinel(ctx.spark, i).write.mode("append").parquet(path)
     return path
@@ -244,6 +245,13 @@ def _st2(ctx):
     return wall_clock(ctx.spark.read.parquet(dlq).select("payload", "error"))
 
 
+@register("st2_valid_rows", ssql(["sp_valid"], "SELECT transaction_id, merchant_id, customer_id, amount, status, event_ts FROM sp_valid"))
+def _st2_good(ctx):
+    good, _dlq = _dlq_run(ctx)
+    rows = wall_clock(_not_sentinel(ctx.spark.read.parquet(good)))
+    return rows.select("transaction_id", "merchant_id", "customer_id", "amount", "status", "event_ts")
+
+
 # ---- st3: stream-stream join ----------------------------------------------------
 
 BOUNDED_SQL = ssql(["sp_valid", "ss"], """

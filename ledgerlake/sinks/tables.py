@@ -72,15 +72,27 @@ def write_versioned(df: DataFrame, root: str, partition_by: list[str] | None = N
     published version, so they see the old or the new table, never a mix, and a failed write
     leaves only an unpublished folder behind (nothing is overwritten or deleted)."""
     spark = df.sparkSession
-    nxt = (current_version(spark, root) or 0) + 1
-    base = root.rstrip("/")
-    target = f"{base}/v={nxt}"
+    nxt = next_version(spark, root)
+    target = version_path(root, nxt)
     write_table(df, target, "overwrite", partition_by)
-    spark.createDataFrame([(target,)], "path string").write.mode("errorifexists") \
-        .parquet(f"{base}/_published/version={nxt}")
+    publish_version(spark, root, nxt)
     return target
 
 
+def next_version(spark: SparkSession, root: str) -> int:
+    return (current_version(spark, root) or 0) + 1
+
+
+def version_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/v={version}"
+
+
+def publish_version(spark: SparkSession, root: str, version: int) -> None:
+    """Make a completely written version the one that readers take; fails if it is published already."""
+    (spark.createDataFrame([(version_path(root, version),)], "path string").write.mode("errorifexists")
+     .parquet(f"{root.rstrip('/')}/_published/version={version}"))
+
+
 def read_if_exists(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame | None:
     """The table at ``path``, or None where the path does not exist. Any other failure is raised: a
     storage or permission error must not look like an empty table."""
@@ -106,7 +118,15 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     v = current_version(spark, root)
     if v is None:
         raise FileNotFoundError(f"no published version under {root}")
-    return spark.read.parquet(f"{root.rstrip('/')}/v={v}")
+    return spark.read.parquet(version_path(root, v))
+
+
+def published_path(spark: SparkSession, root: str, table: str) -> str:
+    """The folder of one table in the published version of a set of tables (``Medallion.run``)."""
+    v = current_version(spark, root)
+    if v is None:
+        raise FileNotFoundError(f"no published version under {root}")
+    return f"{version_path(root, v)}/{table}"
 
 
 def write_topics(routed: DataFrame, path: str) -> str:

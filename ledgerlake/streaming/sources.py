@@ -16,25 +16,6 @@ from .. import schemas
 PAYLOAD_SCHEMA = T.StructType([T.StructField("payload", T.StringType(), True)])
 
 
-def land_files(df: DataFrame, path: str, cuts: list[str], order_col: str, fmt: str = "parquet") -> str:
-    """Drop ``df`` into ``path`` the way an upstream system does: one file per range between the
-    given cut times, written one after another, so file modification order equals the order of
-    ``order_col``. The caller's cut times fix the files, whatever the number of rows. Rows without a
-    time come with the first file."""
-    # computed once into the shared checkpoint dir; the range writes below only read it
-    keyed = df.withColumn("_o", F.col(order_col).cast("timestamp_ntz")).checkpoint(eager=True)
-    bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True) if lo is None else F.col("_o") >= F.lit(lo).cast("timestamp_ntz")
-        if hi is not None:
-            cond = cond & (F.col("_o") < F.lit(hi).cast("timestamp_ntz"))
-        if lo is None:
-            cond = cond | F.col("_o").isNull()
-        (keyed.filter(cond).drop("_o").coalesce(1).sortWithinPartitions(order_col)
-         .write.mode("append").format(fmt).save(path))
-    return path
-
-
 def payload_stream(spark: SparkSession, path: str, max_files: int = 1, fmt: str = "parquet") -> DataFrame:
     """Rows with one text column ``payload`` (a broker message value), one file per trigger by default."""
     return spark.readStream.schema(PAYLOAD_SCHEMA).option("maxFilesPerTrigger", max_files).format(fmt).load(path)

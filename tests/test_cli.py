@@ -34,7 +34,7 @@ def test_medallion_job_matches_registered_query(spark):
     ctx.fx("fx_fraud_signals_raw").write.parquet(f"{raw}/signals")
     out = scratch_path(spark, "cli-out")
     run(["medallion", "--payments", f"{raw}/payments", "--signals", f"{raw}/signals", "--out", out, "--as-of", AS_OF])
-    got = spark.read.parquet(f"{out}/gold/metric_fraud_analytics")
+    got = spark.read.parquet(sinks.published_path(spark, out, "gold/metric_fraud_analytics"))
     want = E.queries()["metric_fraud_analytics"](spark, SF_SMALL)
     assert rows(got.select(*want.columns)) == rows(want)
 

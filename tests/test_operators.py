@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import fraud, lifecycle, pci, settlement, silver, windows
@@ -79,7 +80,7 @@ def test_missing_path_is_empty_and_other_errors_are_raised(spark, tmp_path):
 
 
 def test_landed_files_keep_rows_without_a_time(spark, tmp_path):
-    from ledgerlake.streaming.sources import land_files
+    from ledgerlake.sources.fixtures import land_files
     df = spark.range(100).selectExpr("id", "if(id % 10 = 0, null, timestamp_seconds(id)) as t")
     assert spark.read.parquet(land_files(df, str(tmp_path / "land"), ["1970-01-01 00:00:20", "1970-01-01 00:01:00"], "t")).count() == 100
 
@@ -294,6 +295,23 @@ def test_persisted_medallion_equals_lazy_dag(spark):
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect())), view
 
 
+def test_a_refresh_is_published_as_a_whole(spark):
+    from ledgerlake.plans.context import Ctx
+    from ledgerlake.plans.medallion import Medallion
+    from ledgerlake.sinks.tables import current_version, published_path
+    med = Ctx(spark, "/root/testdata/sf0.001").med
+    root = scratch_path(spark, "test-publish")
+    med.run(root, views=("dim_date",))
+    assert current_version(spark, root) == 1 and spark.read.parquet(published_path(spark, root, "gold/dim_date")).count() == 731
+    first = spark.read.parquet(published_path(spark, root, "gold/dim_merchant")).count()
+    broken = Medallion(spark, med.payments_raw.withColumn("merchant_id", F.raise_error(F.lit("boom"))), med.fraud_raw, med.as_of)
+    with pytest.raises(Exception, match="boom"):
+        broken.run(root)
+    assert current_version(spark, root) == 1 and spark.read.parquet(published_path(spark, root, "gold/dim_merchant")).count() == first
+    med.run(root)
+    assert current_version(spark, root) == 2
+
+
 def test_bucketed_increment_is_idempotent_and_keeps_the_target_in_place(spark):
     import uuid
 
