@@ -58,15 +58,22 @@ def _word_ends(path: str) -> np.ndarray:
     return ends
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
+@lru_cache(maxsize=4)
+def _tokenizer(path: str, words_only: bool = True):
+    """The tokenizer as its file gives it; with ``words_only`` special tokens' strings are ordinary text, since words are lowered
+    before they are encoded and must not become special tokens by that."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # special tokens' strings in a text are ordinary text
+    t.encode_special_tokens = words_only
     return t
 
 
+@lru_cache(maxsize=2)
+def _specials(path: str) -> tuple[bytes, ...]:
+    return tuple(t.content.encode() for t in _tokenizer(path, False).get_added_tokens_decoder().values())
+
+
 _memory: dict = {}
 _TAIL = b".,!?;:*#$%&|"  # ends a word in a run of its own after a letter or digit
 
@@ -109,14 +116,15 @@ def _encode_words(words: list[bytes], path: str, known: dict) -> None:
 def encode_texts(texts: list[bytes | None], params: TokenParams) -> list[bytes]:
     """Ids of each text with the end id, as little-endian 32-bit bytes.
 
-    The vocabulary is lower case, so A-Z may be lowered first."""
+    The vocabulary is lower case, so A-Z may be lowered first. A text that holds a special token's string is given to the library whole."""
     path = params.tokenizer or default_tokenizer()
     if _memory.get("path") != path:
         _memory.update(path=path, old={}, new={})
     elif len(_memory["new"]) > REMEMBERED:
         _memory.update(old=_memory["new"], new={})
     old, new = _memory["old"], _memory["new"]
-    split = [t.lower().split() if t else [] for t in texts]  # white space \x20 \x09-\x0D
+    special = [bool(t) and any(s in t for s in _specials(path)) for t in texts]
+    split = [t.lower().split() if t and not whole else [] for t, whole in zip(texts, special)]  # white space \x20 \x09-\x0D
     missing = []
     for w in set().union(*split).difference(new):
         b = old.get(w)
@@ -127,7 +135,11 @@ def encode_texts(texts: list[bytes | None], params: TokenParams) -> list[bytes]:
     _encode_words(missing, path, new)
     end = np.array([params.end_id], dtype="<u4").tobytes()
     get = new.__getitem__
-    return [b"".join([*map(get, words), end]) for words in split]
+    blobs = [b"".join([*map(get, words), end]) for words in split]
+    for i in np.flatnonzero(special):
+        ids = _tokenizer(path, False).encode(texts[i].decode("utf-8", "replace"), add_special_tokens=False).ids
+        blobs[i] = np.array(ids, dtype="<u4").tobytes() + end
+    return blobs
 
 
 def _encode_batches(batches: Iterator[pa.RecordBatch], params: TokenParams) -> Iterator[pa.RecordBatch]:

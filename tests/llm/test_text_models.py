@@ -158,8 +158,10 @@ def test_every_occurrence_draws_for_itself():
 # ---- ORC ------------------------------------------------------------------------------------
 
 def test_words_encode_as_the_library_does():
-    t = O._tokenizer(O.default_tokenizer())
-    for text, blob in zip(TEXTS, O.encode_texts([x.encode() for x in TEXTS], O.TokenParams())):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(O.default_tokenizer())  # unaltered
+    texts = [*TEXTS, "a <|endoftext|> b", "foo<|startoftext|>bar\n<|endoftext|>", "A <|ENDOFTEXT|> <| endoftext |>", "<|endoftext|>"]
+    for text, blob in zip(texts, O.encode_texts([x.encode() for x in texts], O.TokenParams())):
         assert np.frombuffer(blob, "<u4").tolist() == [*t.encode(text, add_special_tokens=False).ids, 1]
 
 
