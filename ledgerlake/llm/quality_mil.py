@@ -4,8 +4,8 @@ A document is a bag of passages of ``passage_words`` words, all of them. Each pa
 layer over its character-class and repetition statistics; gated attention (tanh times sigmoid) weighs the passages,
 with weights learned from document labels alone, and a logistic layer scores the weighted sum.
 
-Training takes a bounded sample of labelled rows (``per_class`` documents of either class, at most
-``train_passages`` evenly spaced passages of each); scoring reads every passage of every text.
+Training takes a bounded sample of labelled rows (``per_class`` documents of either class) with all of
+their passages; scoring reads every passage of every text.
 
 Defined results: a null or empty text is a bag with one empty passage; its score is the model's for it. Without
 labels of both classes every score is the share of label 1 (0.5 without any label). Only ``doc_id`` and
@@ -38,7 +38,6 @@ FEATURES = FINE + COARSE * COARSE + WORD_STATS
 class MILParams:
     passage_words: int = 64
     per_class: int = 1500
-    train_passages: int = 32
     hidden: int = 24
     attention: int = 12
     epochs: int = 30
@@ -183,11 +182,7 @@ def _sample_features(batches: Iterator[pa.RecordBatch], params: MILParams) -> It
     for part in tv.slices(batches, "text"):
         x, row = passage_features(*tv.text_bytes(part.column("text")), params.passage_words)
         heads = np.searchsorted(row, np.arange(part.num_rows + 1))
-        blobs = []
-        for i in range(part.num_rows):
-            n = heads[i + 1] - heads[i]
-            at = np.unique(np.linspace(heads[i], heads[i + 1] - 1, min(n, params.train_passages)).astype(np.int64))
-            blobs.append(x[at].astype("<f4").tobytes())
+        blobs = [x[a:b].astype("<f4").tobytes() for a, b in zip(heads[:-1], heads[1:])]
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), part.column("weight"), pa.array(blobs, pa.binary())],
                                          ["doc_id", "y", "weight", "x"])
 

@@ -15,7 +15,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     Rows whose crc32(id) mod ``modulus`` is ``excluded`` are held out. An id that is labelled several times
     takes the majority (ties: 1). The sample is the rows with the smallest hash of the id, so it does not
     depend on partitioning; ``weight`` restores the classes' shares. The sample (ids, labels) is
-    bounded by 2 * ``per_class``, hence the broadcast; an id that stands in several rows trains once each."""
+    bounded by 2 * ``per_class`` rows, hence the broadcast; an id that stands in several rows trains on the least of its texts."""
     y = (F.avg(F.col(label).cast("double")) >= 0.5).cast("int")
     # labels of documents that are not there (a pipeline stage may have dropped them) take no part
     present = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null")
@@ -35,4 +35,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
                 .withColumn("weight", F.lit(n / max(1, min(n, per_class)) * 2 * per_class / max(1, total))))
         picks = pick if picks is None else picks.union(pick)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(picks), "doc_id").select("doc_id", "y", "weight", "text")
+    return (texts.join(F.broadcast(picks), "doc_id").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("weight").alias("weight"), F.min("text").alias("text"))
+            .select("doc_id", "y", "weight", "text"))
