@@ -11,7 +11,7 @@ from ..session import ship_package
 from . import (block_neighbours, html_extract, lattice_lm, license_scan, merge_dropout, orc_tokens, pii_scan, prefix_trie,
                quality_mil, simhash_dedup, string_tiling, toxicity_fm, whitening)
 from .oracle import ORACLE_SQL
-from .store import table
+from .store import small_batches, table
 
 
 def op1_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +78,7 @@ QUERIES = [op1_quality_mil, op2_simhash_ball, op3_html_template, op4_lattice_lm,
 def _with_package(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
+        small_batches(spark)
         return query(spark, sf_dir)
 
     return run

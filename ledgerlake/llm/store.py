@@ -12,11 +12,21 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+ROW_GROUP_BYTES = 16 << 20  # what a writing task holds in memory
+ARROW_ROWS, ARROW_BYTES = 2000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches that stay small with long texts (session settings that plans read when they run)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

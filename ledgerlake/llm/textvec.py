@@ -20,13 +20,17 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """_BASE**i and _BASE**-i for i < n (at least), modulo 2**64."""
-    if len(_powers.get("up", ())) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for key, base in (("up", _BASE), ("down", _INVERSE)):
-            t = np.full(size, base, dtype=np.uint64)
-            t[0] = 1
-            _powers[key] = np.cumprod(t, dtype=np.uint64)
+    """_BASE**i and _BASE**-i for i < n (at least), modulo 2**64. Only the tables for a slice's length are kept by the
+    worker; those for a longer text go with it."""
+    def powers(base: np.uint64, size: int) -> np.ndarray:
+        t = np.full(size, base, dtype=np.uint64)
+        t[0] = 1
+        return np.cumprod(t, dtype=np.uint64)
+
+    if n > SLICE_BYTES + 1:
+        return powers(_BASE, n), powers(_INVERSE, n)
+    if not _powers:
+        _powers.update(up=powers(_BASE, SLICE_BYTES + 1), down=powers(_INVERSE, SLICE_BYTES + 1))
     return _powers["up"], _powers["down"]
 
 
