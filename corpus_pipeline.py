@@ -16,32 +16,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import merge_dropout, quality_mil, simhash_dedup, string_tiling, toxicity_fm
-from ledgerlake.llm.store import table, written
+from ledgerlake.llm.store import small_batches, table, written
 from ledgerlake.session import ship_package
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
+    small_batches(spark)
     return quality_mil.keep_good(docs, quality_mil.train_quality(docs, table(spark, sf_dir, "labels")), threshold=0.7)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
+    small_batches(spark)
     return toxicity_fm.drop_toxic(docs, toxicity_fm.train_toxicity(docs, table(spark, sf_dir, "labels")), threshold=0.5)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
+    small_batches(spark)
     return simhash_dedup.keep_one_of_each_group(docs, shingle_words=4, max_distance=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
+    small_batches(spark)
     return string_tiling.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
+    small_batches(spark)
     return merge_dropout.encode(docs)
 
 
