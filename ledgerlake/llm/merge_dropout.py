@@ -37,7 +37,7 @@ from .pieces import Pieces, default_model, load_pieces, running_hash
 
 MASK = (1 << 64) - 1
 LOCKSTEP = 48           # longest chunk, in characters, whose agenda runs as a matrix row
-REMEMBERED = 400_000    # segmentations that a worker keeps
+REMEMBERED = 150_000    # segmentations that a worker keeps
 _LETTER, _MARK = "A-Za-zÀ-ɏ", r"\x00-\x1f!-@\[-`{-~"
 _CHUNK = re.compile(" +[^ ]*")
 _FINE_CHUNK = re.compile(f" *[{_LETTER}]+(?=[{_MARK} ]|$)| *[{_MARK}]+(?=[{_LETTER} ]|$)| +[^ ]*|[^ ]+")
