@@ -95,11 +95,12 @@ def prefix_trie(turns: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]
 
     paths = _node_names(seqs, root, everyone["deepest"])
     named = written(paths.groupBy("name").agg(F.min("conv_id").alias("conv_id"), F.min("pos").alias("depth"), F.sum("weight").alias("n_convs"), F.min("chars").alias("chars")), "trie_names")
-    steps = written(paths.join(named.select("name", F.col("conv_id").alias("node")), "name").select("conv_id", F.col("pos").alias("depth"), "node", "length"), "trie_steps")
-    above = steps.select("conv_id", (F.col("depth") + 1).alias("depth"), F.col("node").alias("parent_conv_id"))
-    linked = (named.drop("name").join(above, ["conv_id", "depth"], "left")
-              .withColumn("parent_conv_id", F.coalesce("parent_conv_id", F.lit(everyone["least"]).cast("long"))))
-    linked = written(linked, "trie_links")
+    placed = written(paths.drop("chars").join(named.select("name", F.col("conv_id").alias("node"), "n_convs", "chars"), "name")
+                     .select("conv_id", F.col("pos").alias("depth"), "node", "length", "n_convs", "chars"), "trie_places")
+    above = placed.select("conv_id", (F.col("depth") + 1).alias("depth"), F.col("node").alias("parent_conv_id"))
+    steps = written(placed.join(above, ["conv_id", "depth"], "left")
+                    .withColumn("parent_conv_id", F.coalesce("parent_conv_id", F.lit(everyone["least"]).cast("long"))), "trie_steps")
+    linked = steps.filter("node = conv_id").select("conv_id", "depth", "parent_conv_id", "n_convs", "chars")  # a node on its smallest member's path
     children = linked.groupBy(F.col("parent_conv_id").alias("conv_id"), (F.col("depth") - 1).alias("depth")).agg(F.count(F.lit(1)).alias("n_children"))
     tree = written(linked.join(children, ["conv_id", "depth"], "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))), "trie_tree")
 
@@ -147,15 +148,14 @@ def _node_names(seqs: DataFrame, root: Column, deepest: int) -> DataFrame:
 def _grafted(tree: DataFrame, steps: DataFrame, deepest: int) -> DataFrame:
     """conv_id, depth, n_leaves, saved_tokens over every node's subtree (the root left out)."""
     sums = [F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens")]
-    found = tree.select("conv_id", "depth", (F.col("n_children") == 0).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("chars")).alias("saved_tokens"))
+    found = tree.select("conv_id", "depth", "parent_conv_id", (F.col("n_children") == 0).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("chars")).alias("saved_tokens"))
     level = 0
     while (size := 1 << level) < deepest:
         # roots of lower forests stand just below the cut at half of every block of 2 * size depths
-        roots = found.filter((F.col("depth") - 1) % (2 * size) == size).groupBy("conv_id", "depth").agg(*sums)
-        forests = (roots.join(tree.select("conv_id", "depth", "parent_conv_id"), ["conv_id", "depth"])
+        forests = (found.filter((F.col("depth") - 1) % (2 * size) == size)
                    .groupBy(F.col("parent_conv_id").alias("conv_id"), ((F.col("depth") - 2) / size).cast("long").alias("block")).agg(*sums))
         upper = steps.filter(F.col("length") >= size).withColumn("block", ((F.col("depth") - 1) / size).cast("long")).filter(F.col("block") % 2 == 0)
-        grafts = upper.join(forests, ["conv_id", "block"]).groupBy(F.col("node").alias("conv_id"), "depth").agg(*sums)
+        grafts = upper.join(forests, ["conv_id", "block"]).groupBy(F.col("node").alias("conv_id"), "depth", "parent_conv_id").agg(*sums)
         found = found.unionByName(written(grafts, f"trie_graft{level}"))
         level += 1
     return found.groupBy("conv_id", "depth").agg(*sums)
