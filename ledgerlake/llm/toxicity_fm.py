@@ -5,8 +5,12 @@ bytes, hashed to 2**``bits`` buckets; a text has a bucket or has it not. The sco
 sigmoid(w0 + sum w_i + sum_{i<j} <v_i, v_j>): the factors v learn which terms together are worse (or better) than
 each alone, such as an insult with the mention of a group.
 
-Training takes a bounded sample of labelled rows. Buckets that are independent of the label (chi-square below
-``min_chi2``) get weight zero; at most ``max_terms`` remain, so the model's size is bounded.
+Training takes a bounded sample of labelled rows and all their buckets; none is left out for standing alone badly. Every bucket's
+linear weight pays an L1 penalty of ``caution`` standard deviations of its gradient under chance, so a bucket enters when
+what the model still misses on its rows is more than chance; entered weights are then refitted at a tenth of it. Factors
+start from the pairs of buckets (of ``pair_rows`` common rows or more, whatever either does alone) whose common rows the linear part misses
+beyond the deviations that chance gives somewhere among so many pairs, and are fitted with the weights. Buckets that never enter
+have zero weight, so the model is small, at most 2**``bits`` buckets.
 
 Defined results: a null or empty text has no terms and scores sigmoid(w0). Without labels of both
 classes every score is the share of label 1 (0.5 without any label). Only ``doc_id`` and ``text`` are inputs; a row
@@ -36,12 +40,15 @@ _SEPARATORS = tv.non_alnum()
 class FMParams:
     bits: int = 20
     per_class: int = 4000
-    max_terms: int = 2048
-    min_chi2: float = 15.0
+    max_occurrences: int = 8_000_000    # distinct (row, bucket) of the sample; beyond it, fewer rows
+    caution: float = 2.0
+    pair_margin: float = 1.5            # deviations beyond the highest that chance gives among all pairs
+    pair_rows: int = 30                 # common rows that a pair needs
+    relax: float = 0.1
     factors: int = 6
-    epochs: int = 250
+    epochs: int = 200
     rate: float = 0.05
-    decay: float = 2e-5
+    decay: float = 0.5
     seed: int = 11
 
 
@@ -72,16 +79,6 @@ def _sample_terms(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), part.column("weight"), terms], ["doc_id", "y", "weight", "terms"])
 
 
-def _chosen_terms(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows, place = [], []
-        for i, terms in enumerate(batch.column("terms").to_pylist()):
-            t = np.asarray(terms, dtype=np.int64)
-            at = np.minimum(np.searchsorted(chosen, t), len(chosen) - 1)
-            rows.append(at[chosen[at] == t].astype("<i4").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), batch.column("weight"), pa.array(rows, pa.binary())], ["doc_id", "y", "weight", "x"])
-
-
 def _fm_logits(model: dict, place: np.ndarray, row: np.ndarray, n: int):
     linear = np.bincount(row, weights=model["w"][place], minlength=n)
     v = model["v"][place]
@@ -94,52 +91,181 @@ def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_fm(place: np.ndarray, row: np.ndarray, y: np.ndarray, weight: np.ndarray, terms: int, params: FMParams = FMParams()) -> dict:
-    """Full-batch Adam on the weighted log loss; ``place`` are term numbers below ``terms``."""
-    rng = np.random.default_rng(params.seed)
-    n, k = len(y), params.factors
-    model = {"w0": np.zeros(1), "w": np.zeros(terms), "v": rng.normal(0, 0.02, (terms, k))}
-    first = {p: np.zeros_like(m) for p, m in model.items()}
-    second = {p: np.zeros_like(m) for p, m in model.items()}
+class _Incidence:
+    """Which of ``n`` rows have which of ``terms`` terms, with sums along either side; ``row`` is sorted."""
+
+    def __init__(self, row: np.ndarray, place: np.ndarray, n: int, terms: int):
+        self.row, self.place, self.n, self.terms = row, place, n, terms
+        self._rows, self._row_heads = np.unique(row, return_index=True)
+        order = np.argsort(place, kind="stable")
+        self._row_of = row[order]
+        self._places, self._place_heads = np.unique(place[order], return_index=True)
+
+    def over_terms(self, w: np.ndarray) -> np.ndarray:
+        """For each row, the sum of ``w`` over its terms."""
+        out = np.zeros((self.n, *w.shape[1:]))
+        if len(self.row):
+            out[self._rows] = np.add.reduceat(w[self.place], self._row_heads, axis=0)
+        return out
+
+    def over_rows(self, m: np.ndarray) -> np.ndarray:
+        """For each term, the sum of ``m`` over its rows."""
+        out = np.zeros((self.terms, *m.shape[1:]))
+        if len(self.row):
+            out[self._places] = np.add.reduceat(m[self._row_of], self._place_heads, axis=0)
+        return out
+
+    def only(self, terms: np.ndarray) -> _Incidence:
+        """The terms of a mask, numbered anew."""
+        keep = terms[self.place]
+        return _Incidence(self.row[keep], (np.cumsum(terms) - 1)[self.place[keep]], self.n, int(terms.sum()))
+
+
+def _logits(x: _Incidence, w0, w: np.ndarray, v: np.ndarray):
+    s = x.over_terms(v)
+    return w0 + x.over_terms(w) + 0.5 * ((s * s).sum(axis=1) - x.over_terms((v * v).sum(axis=1))), s
+
+
+def _descend(model: dict, x: _Incidence, active: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: np.ndarray, params: FMParams) -> None:
+    """Refit the active terms in place: Adam on the weighted log loss, L1 steps on w, L2 on v."""
+    some, cost = x.only(active), penalty[active]
+    at = {"w0": model["w0"], "w": model["w"][active], "v": model["v"][active]}
+    paired = at["v"].any(axis=0)
+    first = {p: np.zeros_like(m) for p, m in at.items()}
+    second = {p: np.zeros_like(m) for p, m in at.items()}
+    floor = {"w0": 1e-6, "w": cost, "v": 1e-6}
     for step in range(1, params.epochs + 1):
-        logits, s, v = _fm_logits(model, place, row, n)
-        miss = weight * (_sigmoid(logits) - y) / n
-        per = miss[row]
-        dv = per[:, None] * (s[row] - v)
-        grad = {"w0": miss.sum(keepdims=True), "w": np.bincount(place, weights=per, minlength=terms) + params.decay * model["w"],
-                "v": np.stack([np.bincount(place, weights=dv[:, f], minlength=terms) for f in range(k)], axis=1) + params.decay * model["v"]}
+        z, s = _logits(some, at["w0"], at["w"], at["v"])
+        miss = weight * (_sigmoid(z) - y)
+        grad = {"w0": miss.sum(keepdims=True), "w": some.over_rows(miss)}
+        if paired.any():
+            grad["v"] = (some.over_rows(miss[:, None] * s) - at["v"] * grad["w"][:, None] + params.decay * at["v"]) * paired
+        rate = params.rate * (1 - step / (params.epochs + 1))
         for p, g in grad.items():
             first[p] = 0.9 * first[p] + 0.1 * g
-            second[p] = 0.999 * second[p] + 0.001 * g * g
-            model[p] = model[p] - params.rate * (first[p] / (1 - 0.9 ** step)) / (np.sqrt(second[p] / (1 - 0.999 ** step)) + 1e-8)
+            second[p] = 0.99 * second[p] + 0.01 * g * g
+            size = rate / (np.sqrt(second[p] / (1 - 0.99 ** step)) + floor[p])
+            at[p] = at[p] - size * first[p] / (1 - 0.9 ** step)
+            if p == "w":
+                at[p] = np.sign(at[p]) * np.maximum(np.abs(at[p]) - size * cost, 0.0)
+    model["w0"] = at["w0"]
+    model["w"][active], model["v"][active] = at["w"], at["v"]
+
+
+def _pairs_beyond_chance(x: _Incidence, miss: np.ndarray, variance: np.ndarray, params: FMParams, block: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, score): every pair of terms of ``pair_rows`` rows or more whose common rows the model misses to one side by
+    more than the largest chance deviation (``variance`` of each row) among all pairs; the scores have the sign of the product that is lacking. Dense blocks of rows by
+    1,024 terms are made as needed, so memory does not depend on the number of terms."""
+    able = np.flatnonzero(x.over_rows(np.ones(x.n)) >= params.pair_rows)
+    bar = (np.sqrt(2 * np.log(max(2, len(able) * (len(able) - 1) // 2))) + params.pair_margin) ** 2
+    number = np.full(x.terms, -1)
+    number[able] = np.arange(len(able))
+    place = number[x.place]
+    order = np.argsort(place, kind="stable")
+    cuts = np.searchsorted(place[order], np.arange(0, len(able) + block, block))
+
+    def dense(k: int) -> np.ndarray:
+        out = np.zeros((x.n, min(block, len(able) - k * block)), dtype=np.float32)
+        at = order[cuts[k]:cuts[k + 1]]
+        out[x.row[at], place[at] - k * block] = 1.0
+        return out
+
+    lacking, spread = -miss.astype(np.float32)[:, None], variance.astype(np.float32)[:, None]
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for a in range(len(cuts) - 1):
+        left = dense(a)
+        weighted, squared = (left * lacking).T.copy(), (left * spread).T.copy()
+        for b in range(a, len(cuts) - 1):
+            right = left if a == b else dense(b)
+            total, chance = weighted @ right, squared @ right
+            i, j = np.nonzero((total * total > bar * chance) & (chance > 0))
+            i, j = (i[i < j], j[i < j]) if a == b else (i, j)
+            ok = np.concatenate([np.zeros(0, bool)] + [(left[:, i[c:c + 1024]] * right[:, j[c:c + 1024]]).sum(axis=0) >= params.pair_rows for c in range(0, len(i), 1024)])
+            i, j = i[ok], j[ok]
+            found.append((able[i + a * block], able[j + b * block], (total[i, j] / np.sqrt(chance[i, j])).astype(float)))
+    return tuple(np.concatenate(f) for f in zip(*found))
+
+
+def _first_factors(pairs: tuple[np.ndarray, np.ndarray, np.ndarray], terms: int, params: FMParams) -> np.ndarray:
+    """Factors whose products have the signs of the scores: leading eigenvectors of the pair matrix by subspace iteration."""
+    i, j, score = pairs
+    used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+    i, j, n = at[:len(i)], at[len(i):], len(used)
+    k = min(params.factors, n)
+    u = np.linalg.qr(np.random.default_rng(params.seed).normal(size=(n, k)))[0]
+    shift = np.abs(score).sum() / max(1, n)
+    for _ in range(60):
+        step = np.stack([np.bincount(i, weights=score * u[j, f], minlength=n) + np.bincount(j, weights=score * u[i, f], minlength=n) for f in range(k)], axis=1)
+        u = np.linalg.qr(step + shift * u)[0]
+    v = np.zeros((terms, params.factors))
+    v[used, :k] = 0.3 * u / np.maximum(np.abs(u).max(axis=0), 1e-12)
+    return v
+
+
+def fit_fm(place: np.ndarray, row: np.ndarray, y: np.ndarray, weight: np.ndarray, terms: int, params: FMParams = FMParams()) -> dict:
+    """Factorization machine on rows of both classes; ``place`` are term numbers below ``terms``, ``row`` is sorted."""
+    x = _Incidence(row, place, len(y), terms)
+    share = (weight * y).sum() / weight.sum()
+    variance = weight * weight * share * (1 - share)
+    chance = np.sqrt(x.over_rows(variance))
+    # sums of few rows are not normal: the second part is Bernstein's for steps up to the largest miss
+    penalty = params.caution * chance + params.caution ** 2 / 3 * weight.max() * max(share, 1 - share)
+    model = {"w0": np.array([np.log(share / (1 - share))]), "w": np.zeros(terms), "v": np.zeros((terms, params.factors))}
+    active = np.zeros(terms, dtype=bool)
+
+    def missed() -> np.ndarray:
+        some = x.only(active)
+        return weight * (_sigmoid(_logits(some, model["w0"], model["w"][active], model["v"][active])[0]) - y)
+
+    def enter(cost: np.ndarray) -> None:
+        nonlocal active
+        for _ in range(10):
+            fresh = (np.abs(x.over_rows(missed())) > penalty) & ~active
+            if not fresh.any():
+                return
+            active |= fresh
+            _descend(model, x, active, y, weight, cost, params)
+
+    enter(penalty)
+    active = model["w"] != 0
+    _descend(model, x, active, y, weight, penalty * params.relax, params)
+    pairs = _pairs_beyond_chance(x, missed(), variance, params)
+    if len(pairs[0]):
+        model["v"] = _first_factors(pairs, terms, params)
+        active |= model["v"].any(axis=1)
+        _descend(model, x, active, y, weight, penalty * params.relax, params)
     return model
 
 
+def _within(terms: DataFrame, most: int) -> DataFrame:
+    """The sample's rows, or the first of either class by hash whose buckets number at most ``most`` together."""
+    sizes = terms.select("doc_id", "y", F.size("terms").alias("n"), F.xxhash64("doc_id").alias("h")).toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending")])
+    y, n = np.asarray(sizes.column("y")), np.asarray(sizes.column("n")).astype(np.int64)
+    if n.sum() <= most:
+        return terms
+    turn = np.zeros(len(y))
+    for c in (0, 1):
+        turn[y == c] = (np.arange((y == c).sum())) / max(1, (y == c).sum())  # both classes shrink alike
+    order = np.argsort(turn, kind="stable")
+    keep = order[(np.cumsum(n[order]) <= most) | (turn[order] == 0)]
+    ids = terms.sparkSession.createDataFrame([(int(i),) for i in np.asarray(sizes.column("doc_id"))[keep]], "doc_id long")
+    return terms.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, params: FMParams = FMParams()) -> dict:
     """Fit on the labelled rows that are not held out (crc32 of the id mod 5 is 0)."""
     sample = labelled_sample(docs, labels, "toxic", 5, 0, params.per_class)
     terms = written(sample.mapInArrow(partial(_sample_terms, bits=params.bits), "doc_id long, y int, weight double, terms array<int>"), "fm_sample")
-    sizes = {r["y"]: r["n"] for r in terms.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
-    if not n0 or not n1:
-        return {"constant": float(n1 > 0) if n0 + n1 else 0.5, "bits": params.bits}
-    counts = (terms.select("y", F.explode("terms").alias("t")).groupBy("t")
-              .agg(F.sum(F.col("y").cast("long")).cast("double").alias("a"), F.count(F.lit(1)).cast("double").alias("r")))
-    a, r = F.col("a"), F.col("r")
-    b, c = r - a, F.lit(float(n1)) - a
-    d = F.lit(float(n0)) - b
-    chi2 = F.lit(float(n0 + n1)) * (a * d - b * c) * (a * d - b * c) / (F.lit(float(n0) * float(n1)) * r * (c + d))
-    top = (counts.filter((r >= 3) & (c + d > 0)).select("t", chi2.alias("chi2")).filter(F.col("chi2") >= params.min_chi2)
-           .orderBy(F.desc("chi2"), "t").limit(params.max_terms).select("t").collect())
-    chosen = np.sort(np.array([x["t"] for x in top], dtype=np.int64))
-    if not len(chosen):
-        return {"constant": n1 / (n0 + n1), "bits": params.bits}
-    t = terms.mapInArrow(partial(_chosen_terms, chosen=chosen), "doc_id long, y int, weight double, x binary").toArrow()
-    t = t.sort_by([("doc_id", "ascending"), ("x", "ascending")])
-    rows = [np.frombuffer(x, "<i4") for x in t.column("x").to_pylist()]
-    row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
-    model = fit_fm(np.concatenate(rows).astype(np.int64), row, np.asarray(t.column("y")).astype(float), np.asarray(t.column("weight")), len(chosen), params)
-    return model | {"chosen": chosen, "bits": params.bits}
+    t = _within(terms, params.max_occurrences).toArrow().sort_by([("doc_id", "ascending")])
+    y, weight = np.asarray(t.column("y")).astype(float), np.asarray(t.column("weight"))
+    if not len(y) or y.min() == y.max():
+        return {"constant": float(y.max()) if len(y) else 0.5, "bits": params.bits}
+    buckets = t.column("terms").combine_chunks()
+    chosen, place = np.unique(np.asarray(buckets.flatten()).astype(np.int64), return_inverse=True)
+    row = np.repeat(np.arange(len(y)), np.asarray(pc.list_value_length(buckets)))
+    model = fit_fm(place, row, y, weight, len(chosen), params)
+    kept = (model["w"] != 0) | model["v"].any(axis=1)
+    return {"w0": model["w0"], "w": model["w"][kept], "v": model["v"][kept], "chosen": chosen[kept], "bits": params.bits}
 
 
 def _text_scores(col: pa.Array, model: dict) -> np.ndarray:
@@ -148,6 +274,8 @@ def _text_scores(col: pa.Array, model: dict) -> np.ndarray:
         return np.full(n, model["constant"])
     rows, buckets = term_buckets(col, model["bits"])
     chosen = model["chosen"]
+    if not len(chosen):
+        return np.full(n, _sigmoid(model["w0"])[0])
     at = np.minimum(np.searchsorted(chosen, buckets), len(chosen) - 1)
     hit = np.flatnonzero(chosen[at] == buckets)
     rows, place = _distinct(rows[hit], at[hit], 32)

@@ -80,3 +80,60 @@ def test_factors_learn_what_additive_weights_miss():
     flat = dict(fm, v=np.zeros_like(fm["v"]))
     hit = lambda m: ((T._fm_logits(m, place, row, 800)[0] > 0) == (y > 0.5)).mean()
     assert hit(fm) > 0.85 and hit(fm) > hit(flat) + 0.15
+
+
+def _toxicity_case(spark, n, words):
+    """n rows of filler words plus those that ``words(i, rng)`` gives with a label; ids from 0."""
+    rng = np.random.default_rng(4)
+    rows, marks = [], []
+    for i in range(n):
+        extra, toxic = words(i, rng)
+        filler = [f"w{k}" for k in rng.integers(0, 300, 12)]
+        rows.append((i, " ".join(rng.permutation(filler + extra))))
+        marks.append((i, int(toxic)))
+    return (spark.createDataFrame(rows, "doc_id long, text string").repartition(4), spark.createDataFrame(marks, "doc_id long, toxic int"))
+
+
+def _naive_score(model, text):
+    """The machine's formula by a loop over all pairs of a text's buckets."""
+    import pyarrow as pa
+    _, buckets = T.term_buckets(pa.array([text]), model["bits"])
+    at = [list(model["chosen"]).index(b) for b in sorted(set(buckets.tolist())) if b in set(model["chosen"].tolist())]
+    z = float(model["w0"][0]) + sum(model["w"][i] for i in at)
+    z += sum(float(model["v"][i] @ model["v"][j]) for a, i in enumerate(at) for j in at[a + 1:])
+    return 1 / (1 + np.exp(-z))
+
+
+def test_training_finds_a_pair_whose_words_say_nothing_alone(spark):
+    def words(i, rng):
+        a, b = rng.random(2) < 0.5
+        return ["zeta"] * int(a) + ["omega"] * int(b), a == b
+    docs, labels = _toxicity_case(spark, 2500, words)
+    model = T.train_toxicity(docs, labels)
+    out = T.score_toxicity(docs, model).join(labels, "doc_id").filter("held_out").collect()
+    assert len(out) > 300 and np.mean([r.predicted == r.toxic for r in out]) > 0.97
+    texts = {r.doc_id: r.text for r in docs.limit(40).collect()}
+    got = {r.doc_id: r.score for r in T.score_toxicity(docs, model).collect()}
+    assert all(abs(got[i] - _naive_score(model, t)) < 1e-9 for i, t in texts.items())
+
+
+def test_a_rare_clear_word_gets_a_weight(spark):
+    # "vilest" stands in 10 of about 1,500 toxic rows (those without the common insult) and in no clean one
+    def words(i, rng):
+        toxic = i % 2 == 1
+        return (["vilest"] if toxic and i % 300 == 1 else ["idiot"]) if toxic else [], toxic
+    docs, labels = _toxicity_case(spark, 3000, words)
+    out = T.score_toxicity(docs, T.train_toxicity(docs, labels)).join(labels, "doc_id").collect()
+    rare = [r for r in out if r.doc_id % 300 == 1]
+    assert len(rare) == 10 and all(r.predicted for r in rare)
+    assert not any(r.predicted for r in out if not r.toxic)
+
+
+def test_sample_over_its_occurrences_takes_fewer_rows(spark):
+    docs, labels = _toxicity_case(spark, 400, lambda i, rng: (["idiot"] if i % 2 else [], i % 2))
+    small = T.train_toxicity(docs, labels, T.FMParams(max_occurrences=4000))
+    assert "constant" not in small
+    out = T.score_toxicity(docs, small).join(labels, "doc_id").collect()
+    assert np.mean([r.predicted == r.toxic for r in out]) > 0.95
+    # a bound below one row still leaves the first row of either class
+    assert 0 <= T.score_toxicity(docs, T.train_toxicity(docs, labels, T.FMParams(max_occurrences=1))).first().score <= 1
