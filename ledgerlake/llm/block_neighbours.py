@@ -11,7 +11,8 @@ Tiles have at most about ``query_block`` x ``candidate_block`` pairs whatever th
 
 Defined results: vectors that are null, empty, zero, or hold a null or non-finite component, and rows with a null id take no part.
 Vectors of different lengths never meet. Rows repeated in id and vector count once; an id with several vectors is near by its
-best one, and is one query, whose results leave out its own id. Ties go to the smaller id. Other columns are not read.
+best one, and is one query, whose results leave out its own id. Ties go to the smaller id. A score whose
+double sum overflows is infinite, or no number and then last. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -52,6 +53,15 @@ def quantise(x: np.ndarray):
     return q.astype(np.int8), scale, np.sqrt((back * back).sum(axis=1)) * slack, np.sqrt(((x - back) ** 2).sum(axis=1)) * slack + 1e-300
 
 
+def unit_exponent(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows divided by a power of two, so that the largest component is in [0.5, 1); the exponents of those powers).
+
+    Norms of such rows neither overflow nor vanish, whatever the finite non-zero row was."""
+    exponent = np.frexp(np.abs(x).max(axis=1))[1].astype(np.int64)
+    half = exponent // 2  # in two steps: 2**1074 is no double
+    return np.ldexp(np.ldexp(x, -half[:, None]), -(exponent - half)[:, None]), exponent
+
+
 def int8_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """a @ b.T of int8 matrices, exactly: at most 1,024 products of 127 * 127 stay below 2**24 in float32."""
     out = np.zeros((len(a), len(b)))
@@ -63,16 +73,24 @@ def int8_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise inner products, added in the order of the components, so equal vectors get equal sums."""
     total = np.zeros(len(a))
-    for j in range(a.shape[1]):
-        total += a[:, j] * b[:, j]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for j in range(a.shape[1]):
+            total += a[:, j] * b[:, j]
     return total
 
 
 def tile_nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, rows_at_once: int = 256):
     """(query id, id, score): a tile's k best for every query row, by rising query row."""
-    q8, q_scale, q_norm, q_err = quantise(queries)
-    c8, c_scale, _, c_err = quantise(vectors)
-    c_norm = np.sqrt((vectors * vectors).sum(axis=1)) * (1.0 + 1e-9)
+    plain_q, q_exp = unit_exponent(queries)
+    plain_c, c_exp = unit_exponent(vectors)
+    q8, q_scale, q_norm, q_err = quantise(plain_q)
+    c8, c_scale, _, c_err = quantise(plain_c)
+    c_norm = np.sqrt((plain_c * plain_c).sum(axis=1)) * (1.0 + 1e-9)
+    c_err += 1e-11 * c_norm  # double sums round
+    wide = max((int(np.abs(e).max()) for e in (q_exp, c_exp) if len(e)), default=0) > 450
+    if not wide:
+        q_scale, q_norm, q_err = (np.ldexp(a, q_exp) for a in (q_scale, q_norm, q_err))
+        c_scale, c_norm, c_err = (np.ldexp(a, c_exp) for a in (c_scale, c_norm, c_err))
     # an id may have several vectors here; the bound must pass k different ids
     need = k * int(np.unique(ids, return_counts=True)[1].max()) if len(ids) else k
     out = []
@@ -80,7 +98,11 @@ def tile_nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ve
         hi = min(lo + rows_at_once, len(queries))
         guess = int8_products(q8[lo:hi], c8) * q_scale[lo:hi, None] * c_scale
         error = q_err[lo:hi, None] * c_norm + q_norm[lo:hi, None] * c_err
-        error += 1e-12 * (1.0 + np.abs(guess))
+        if wide:  # where a product may leave the range of doubles the bounds decide nothing and the pair stays
+            exponent = q_exp[lo:hi, None] + c_exp
+            safe = np.abs(exponent) <= 900
+            exponent = np.where(safe, exponent, 0)
+            guess, error = np.ldexp(guess, exponent), np.where(safe, np.ldexp(error, exponent), np.inf)
         own = query_ids[lo:hi, None] == ids
         low = np.where(own, -np.inf, guess - error)
         bar = np.partition(low, -need, axis=1)[:, -need] if need <= len(ids) else np.full(hi - lo, -np.inf)
@@ -116,9 +138,10 @@ def _merge_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Rec
     held_id, best = None, {}
 
     def close():
-        top = heapq.nsmallest(k, ((-s, v) for v, s in best.items()))
+        # a sum that is no number (infinities of both signs) comes last
+        top = [(best[v], v) for _, v in heapq.nsmallest(k, ((-s if s == s else np.inf, v) for v, s in best.items()))]
         return pa.RecordBatch.from_arrays(
-            [pa.array([held_id] * len(top), pa.int64()), pa.array(range(1, len(top) + 1), pa.int32()), pa.array([v for _, v in top], pa.int64()), pa.array([-s for s, _ in top], pa.float64())],
+            [pa.array([held_id] * len(top), pa.int64()), pa.array(range(1, len(top) + 1), pa.int32()), pa.array([v for _, v in top], pa.int64()), pa.array([s for s, _ in top], pa.float64())],
             ["query_id", "rank", "vec_id", "score"])
 
     out = []
@@ -128,7 +151,7 @@ def _merge_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Rec
                 if best:
                     out.append(close())
                 held_id, best = q, {}
-            if s > best.get(v, -np.inf):
+            if v not in best or s > best[v] or best[v] != best[v]:
                 best[v] = s
         if out:
             yield from pa.Table.from_batches(out).combine_chunks().to_batches()

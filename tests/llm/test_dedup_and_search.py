@@ -138,6 +138,27 @@ def test_nearest_matches_brute_force(spark):
     assert B.nearest_of_every(df.limit(0), 20).count() == 0
 
 
+def test_nearest_of_extreme_vectors(spark):
+    rng = np.random.default_rng(9)
+    sizes = [1.0, 1e-200, 1e160, 1e-310, 3e5, 1e100]
+    rows = [(i, [float(x) * sizes[i % 6] for x in rng.normal(size=6)]) for i in range(300)]
+    rows += [(300, [5e-324] * 6), (301, [0.0, 0.0, 1.7e308, 0.0, 0.0, 0.0]), (302, [1e-320, 1.0, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in B.nearest_of_every(df, 20, B.BlockParams(k=5, query_block=7, candidate_block=64)).collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q, x in rows[::20]:
+        every = []
+        for c, z in rows:
+            total = 0.0
+            for a, b in zip(x, z):
+                total += a * b
+            if c != q:
+                every.append((-total if total == total else float("inf"), c))
+        assert got[q] == [(c, -s) for s, c in sorted(every)[:5]]
+    assert len(got) == len(rows[::20])
+
+
 def test_quantised_products_stay_within_their_bounds():
     rnd = np.random.default_rng(4)
     x, y = rnd.normal(size=(40, 1500)), rnd.normal(size=(30, 1500)) * np.logspace(-6, 6, 30)[:, None]
