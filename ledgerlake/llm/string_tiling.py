@@ -18,6 +18,7 @@ listed. Repeated rows and rows with a null doc id are reported each. Empty table
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -85,46 +86,69 @@ def _karp_rabin(words: np.ndarray, free: np.ndarray, size: int) -> tuple[np.ndar
     return (sums[at + size] - sums[at]) * down[at], at
 
 
-def _maximal_matches(item: np.ndarray, text: np.ndarray, item_free: np.ndarray, text_free: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """(length, item start, text start) of the maximal common runs of unmarked words, ``size`` words or more."""
+def _run_lengths(item: np.ndarray, text: np.ndarray, item_free: np.ndarray, text_free: np.ndarray, p: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Length of the common run of unmarked words from each (item, text) place on; compares words, not hashes."""
+    n = np.zeros(len(p), dtype=np.int64)
+    going = np.arange(len(p))
+    while len(going):
+        i, j = p[going] + n[going], t[going] + n[going]
+        inside = (i < len(item)) & (j < len(text))
+        going, i, j = going[inside], i[inside], j[inside]
+        going = going[item_free[i] & text_free[j] & (item[i] == text[j])]
+        n[going] += 1
+    return n
+
+
+def _maximal_matches(item: np.ndarray, text: np.ndarray, item_free: np.ndarray, text_free: np.ndarray, size: int, pairs_at_once: int = 1 << 20) -> list[tuple[int, int, int]]:
+    """(-length, text start, item start) of the maximal common runs of unmarked words, ``size`` words or more."""
     h_item, at_item = _karp_rabin(item, item_free, size)
     h_text, at_text = _karp_rabin(text, text_free, size)
-    hits = np.flatnonzero(np.isin(h_text, h_item))
-    if not len(hits):
-        return []
-    places: dict[int, list[int]] = {}
-    for h, p in zip(h_item.tolist(), at_item.tolist()):
-        places.setdefault(h, []).append(p)
-    found = []
-    for h, t in zip(h_text[hits].tolist(), at_text[hits].tolist()):
-        for p in places[h]:
-            if p and t and item_free[p - 1] and text_free[t - 1] and item[p - 1] == text[t - 1]:
-                continue  # not the start of its run
-            n = 0
-            while p + n < len(item) and t + n < len(text) and item_free[p + n] and text_free[t + n] and item[p + n] == text[t + n]:
-                n += 1
-            if n >= size:  # verifies the hash
-                found.append((n, p, t))
+    order = np.argsort(h_item, kind="stable")
+    h_item, at_item = h_item[order], at_item[order]
+    low, high = np.searchsorted(h_item, h_text, "left"), np.searchsorted(h_item, h_text, "right")
+    hit = np.flatnonzero(high > low)
+    at_text, low, count = at_text[hit], low[hit], (high - low)[hit]
+    before = np.concatenate(([0], np.cumsum(count)))
+    found, start = [], 0
+    while start < len(hit):
+        stop = max(start + 1, int(np.searchsorted(before, before[start] + pairs_at_once, "right")) - 1)
+        c = count[start:stop]
+        t = np.repeat(at_text[start:stop], c)
+        p = at_item[np.repeat(low[start:stop], c) + np.arange(len(t)) - np.repeat(np.cumsum(c) - c, c)]
+        q, u = np.maximum(p - 1, 0), np.maximum(t - 1, 0)
+        inner = (p > 0) & (t > 0) & item_free[q] & text_free[u] & (item[q] == text[u])  # not the start of its run
+        p, t = p[~inner], t[~inner]
+        n = _run_lengths(item, text, item_free, text_free, p, t)
+        ok = n >= size
+        found.extend(zip((-n[ok]).tolist(), t[ok].tolist(), p[ok].tolist()))
+        start = stop
     return found
 
 
 def tile(item: np.ndarray, text: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (length, item start, text start): longest first, none shorter than ``min_match``."""
+    """Greedy tiles (length, item start, text start): always the longest run of unmarked words that is left (ties: first in
+    the text, then in the item), none shorter than ``min_match``.
+
+    A run that a longer tile has cut since it was found goes back into the queue with what is left of it."""
     item_free, text_free = np.ones(len(item), dtype=bool), np.ones(len(text), dtype=bool)
-    tiles = []
-    size = len(item)
-    while size >= min_match:
-        found = _maximal_matches(item, text, item_free, text_free, size)
-        placed = False
-        for n, p, t in sorted(found, key=lambda m: (-m[0], m[2], m[1])):
-            if item_free[p:p + n].all() and text_free[t:t + n].all():
-                item_free[p:p + n] = False
-                text_free[t:t + n] = False
-                tiles.append((n, p, t))
-                placed = True
-        if not placed:
-            # what longer tiles cut short is found again at a smaller size
-            size = max(size // 2, min_match) if size > min_match else 0
+    tiles, size, left = [], len(item), len(item)
+    while size >= min_match and left >= min_match:
+        queue = _maximal_matches(item, text, item_free, text_free, size)
+        heapq.heapify(queue)
+        while queue and left >= size:
+            n, t, p = heapq.heappop(queue)
+            free = item_free[p:p - n] & text_free[t:t - n]
+            if free.all():
+                item_free[p:p - n] = False
+                text_free[t:t - n] = False
+                tiles.append((-n, p, t))
+                left += n
+                continue
+            edges = np.flatnonzero(np.diff(np.concatenate(([0], free.view(np.int8), [0]))))
+            for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                if hi - lo >= size:
+                    heapq.heappush(queue, (lo - hi, t + lo, p + lo))
+        size = max(size // 2, min_match) if size > min_match else 0
     return tiles
 
 

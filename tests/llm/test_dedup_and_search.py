@@ -226,6 +226,29 @@ def test_tiles_match_the_greedy_definition():
         assert all(item[p:p + n].tolist() == text[t:t + n].tolist() for n, p, t in G.tile(item, text, 3))
 
 
+def test_tiles_of_moved_passages_are_the_greedy_ones_exactly():
+    rnd = random.Random(21)
+    for case in range(1500):
+        item = [rnd.randint(0, 4) for _ in range(rnd.randint(1, 24))]
+        cut = sorted(rnd.randint(0, len(item)) for _ in range(3))
+        parts = [item[:cut[0]], item[cut[0]:cut[1]], item[cut[1]:cut[2]], item[cut[2]:], [rnd.randint(0, 4) for _ in range(6)]]
+        rnd.shuffle(parts)
+        text = sum(parts, [])
+        got = G.tile(np.array(item, dtype=np.uint64), np.array(text, dtype=np.uint64), 2 + case % 3)
+        assert [n for n, _, _ in got] == slow_tiles(item, text, 2 + case % 3)
+        assert all(item[p:p + n] == text[t:t + n] for n, p, t in got)
+        assert len({w for n, p, _ in got for w in range(p, p + n)}) == sum(n for n, _, _ in got) == len({w for n, _, t in got for w in range(t, t + n)})
+
+
+def test_tiles_of_one_word_repeated():
+    item, text = np.zeros(200, dtype=np.uint64), np.zeros(20_000, dtype=np.uint64)
+    assert G.tile(item, text, 5) == [(200, 0, 0)]
+    assert G.tile(item, text[:190], 5) == [(190, 0, 0)]
+    mixed = text.copy()
+    mixed[::150] = 1
+    assert [n for n, _, _ in G.tile(item, mixed, 5)] == [149, 51]
+
+
 def test_skipping_frequent_seeds_loses_nothing(spark):
     rnd = random.Random(2)
     vocabulary = [f"w{i}" for i in range(12)]
