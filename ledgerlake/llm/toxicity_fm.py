@@ -95,11 +95,12 @@ class _Incidence:
     """Which of ``n`` rows have which of ``terms`` terms, with sums along either side; ``row`` is sorted."""
 
     def __init__(self, row: np.ndarray, place: np.ndarray, n: int, terms: int):
-        self.row, self.place, self.n, self.terms = row, place, n, terms
-        self._rows, self._row_heads = np.unique(row, return_index=True)
-        order = np.argsort(place, kind="stable")
-        self._row_of = row[order]
-        self._places, self._place_heads = np.unique(place[order], return_index=True)
+        self.row, self.place, self.n, self.terms = row.astype(np.int32), place.astype(np.int32), n, terms
+        sizes = np.bincount(row, minlength=n)
+        self._rows, self._row_heads = np.flatnonzero(sizes), (np.cumsum(sizes) - sizes)[sizes > 0]
+        self._row_of = self.row[np.argsort(self.place, kind="stable")]
+        sizes = np.bincount(place, minlength=terms)
+        self._places, self._place_heads = np.flatnonzero(sizes), (np.cumsum(sizes) - sizes)[sizes > 0]
 
     def over_terms(self, w: np.ndarray) -> np.ndarray:
         """For each row, the sum of ``w`` over its terms."""
@@ -152,16 +153,16 @@ def _descend(model: dict, x: _Incidence, active: np.ndarray, y: np.ndarray, weig
     model["w"][active], model["v"][active] = at["w"], at["v"]
 
 
-def _pairs_beyond_chance(x: _Incidence, miss: np.ndarray, variance: np.ndarray, params: FMParams, block: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pairs_beyond_chance(x: _Incidence, miss: np.ndarray, variance: np.ndarray, params: FMParams, block: int = 512) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, score): every pair of terms of ``pair_rows`` rows or more whose common rows the model misses to one side by
     more than the largest chance deviation (``variance`` of each row) among all pairs; the scores have the sign of the product that is lacking. Dense blocks of rows by
-    1,024 terms are made as needed, so memory does not depend on the number of terms."""
+    512 terms are made as needed, so memory does not depend on the number of terms."""
     able = np.flatnonzero(x.over_rows(np.ones(x.n)) >= params.pair_rows)
     bar = (np.sqrt(2 * np.log(max(2, len(able) * (len(able) - 1) // 2))) + params.pair_margin) ** 2
-    number = np.full(x.terms, -1)
+    number = np.full(x.terms, -1, dtype=np.int32)
     number[able] = np.arange(len(able))
     place = number[x.place]
-    order = np.argsort(place, kind="stable")
+    order = np.argsort(place, kind="stable").astype(np.int32)
     cuts = np.searchsorted(place[order], np.arange(0, len(able) + block, block))
 
     def dense(k: int) -> np.ndarray:
@@ -171,18 +172,23 @@ def _pairs_beyond_chance(x: _Incidence, miss: np.ndarray, variance: np.ndarray,
         return out
 
     lacking, spread = -miss.astype(np.float32)[:, None], variance.astype(np.float32)[:, None]
+    least = np.sqrt(bar * params.pair_rows * variance.min())  # no pair of enough rows passes with a smaller sum
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     for a in range(len(cuts) - 1):
         left = dense(a)
-        weighted, squared = (left * lacking).T.copy(), (left * spread).T.copy()
+        weighted = left * lacking
         for b in range(a, len(cuts) - 1):
             right = left if a == b else dense(b)
-            total, chance = weighted @ right, squared @ right
-            i, j = np.nonzero((total * total > bar * chance) & (chance > 0))
+            total = weighted.T @ right
+            i, j = np.nonzero(np.abs(total) >= least * 0.999)
             i, j = (i[i < j], j[i < j]) if a == b else (i, j)
-            ok = np.concatenate([np.zeros(0, bool)] + [(left[:, i[c:c + 1024]] * right[:, j[c:c + 1024]]).sum(axis=0) >= params.pair_rows for c in range(0, len(i), 1024)])
-            i, j = i[ok], j[ok]
-            found.append((able[i + a * block], able[j + b * block], (total[i, j] / np.sqrt(chance[i, j])).astype(float)))
+            common, chance = np.zeros(len(i)), np.zeros(len(i))
+            for c in range(0, len(i), 512):
+                both = left[:, i[c:c + 512]] * right[:, j[c:c + 512]]
+                common[c:c + 512], chance[c:c + 512] = both.sum(axis=0), (both * spread).sum(axis=0)
+            ok = (common >= params.pair_rows) & (total[i, j].astype(float) ** 2 > bar * chance)
+            i, j, chance = i[ok], j[ok], chance[ok]
+            found.append((able[i + a * block], able[j + b * block], total[i, j].astype(float) / np.sqrt(chance)))
     return tuple(np.concatenate(f) for f in zip(*found))
 
 
@@ -260,9 +266,13 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, params: FMParams = FMPara
     y, weight = np.asarray(t.column("y")).astype(float), np.asarray(t.column("weight"))
     if not len(y) or y.min() == y.max():
         return {"constant": float(y.max()) if len(y) else 0.5, "bits": params.bits}
-    buckets = t.column("terms").combine_chunks()
-    chosen, place = np.unique(np.asarray(buckets.flatten()).astype(np.int64), return_inverse=True)
-    row = np.repeat(np.arange(len(y)), np.asarray(pc.list_value_length(buckets)))
+    lists = t.column("terms").combine_chunks()
+    buckets = np.asarray(lists.flatten())
+    seen = np.zeros(1 << params.bits, dtype=bool)
+    seen[buckets] = True
+    chosen, place = np.flatnonzero(seen), (np.cumsum(seen, dtype=np.int32) - 1)[buckets]
+    row = np.repeat(np.arange(len(y), dtype=np.int32), np.asarray(pc.list_value_length(lists)))
+    del t, lists, buckets
     model = fit_fm(place, row, y, weight, len(chosen), params)
     kept = (model["w"] != 0) | model["v"].any(axis=1)
     return {"w0": model["w0"], "w": model["w"][kept], "v": model["v"][kept], "chosen": chosen[kept], "bits": params.bits}
