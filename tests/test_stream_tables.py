@@ -139,3 +139,26 @@ def test_a_hot_customer_spreads_over_keys(spark):
     assert placed.filter("counted").count() == len(rows)        # every event is counted once
     largest = placed.groupBy("customer_id", "bucket").count().agg(F.max("count")).first()[0]
     assert largest <= 2 * 36                                     # two windows of the hot customer at most
+
+
+def test_a_landed_range_is_one_micro_batch_whatever_its_files(spark, tmp_path):
+    from ledgerlake.sources.fixtures import land_files
+    cuts = ["1970-01-01 00:16:40", "1970-01-01 00:33:20"]
+    seconds = [*range(0, 1000), 1500, *range(2000, 4000)]  # the second range has one row
+    df = spark.createDataFrame([(s, f"{k}:{s}") for s in seconds for k in range(2)], "s long, payload string").select(
+        F.timestamp_seconds("s").alias("t"), "payload", F.split("payload", ":")[0].alias("k"))
+    path = land_files(df, str(tmp_path / "land"), cuts, "t", files=3, key="k")
+    batches = {}
+    stream = spark.readStream.schema("t timestamp, payload string").option("maxFilesPerTrigger", 3).parquet(path)
+
+    def take(batch, batch_id):
+        rows = batch.select("payload", F.input_file_name().alias("f")).collect()
+        batches[batch_id] = rows
+
+    stream.writeStream.foreachBatch(take).trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start().awaitTermination()
+    got = [sorted(r.payload for r in batches[b]) for b in sorted(batches)]
+    assert got == [sorted(f"{k}:{s}" for s in part for k in range(2)) for part in (range(0, 1000), [1500], range(2000, 4000))]
+    for rows in batches.values():  # the rows of one key are in one file, in order of time
+        for k in "01":
+            mine = [(r.f, int(r.payload[2:])) for r in rows if r.payload[0] == k]
+            assert len({f for f, _ in mine}) == 1 and [s for _, s in mine] == sorted(s for _, s in mine)
