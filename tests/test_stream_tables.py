@@ -162,3 +162,37 @@ def test_a_landed_range_is_one_micro_batch_whatever_its_files(spark, tmp_path):
         for k in "01":
             mine = [(r.f, int(r.payload[2:])) for r in rows if r.payload[0] == k]
             assert len({f for f, _ in mine}) == 1 and [s for _, s in mine] == sorted(s for _, s in mine)
+
+
+def test_prior_counts_of_many_owners_against_brute_force():
+    rng = random.Random(2)
+    for _ in range(50):
+        rows = [(rng.randint(0, 30), rng.choice("abcde") + str(k % 7), rng.randint(0, 4)) for k in range(rng.randint(1, 40))]
+        cut = rng.randint(0, len(rows) - 1)
+        us, ids, owners = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], object), np.array([r[2] for r in rows])
+        got = prior_counts(us[:cut], ids[:cut], us[cut:], ids[cut:], 10, owners[:cut], owners[cut:])
+        want = [sum(o == p and (t - 10 <= u < t or (u == t and j < i)) for u, j, p in rows) for t, i, o in rows[cut:]]
+        assert got.tolist() == want
+
+
+def test_velocity_calls_follow_shards_not_customers(spark, tmp_path):
+    from ledgerlake.session import ship_package
+    from ledgerlake.streaming import velocity as V
+    rng = random.Random(3)
+    ship_package(spark)
+    rows = [(None if i % 40 == 0 else f"c{rng.randint(0, 300)}", f"t{i}", at(rng.randint(0, 200) / 2)) for i in range(3000)]
+    for n, part in enumerate([[r for r in rows if r[2] < at(50)], [r for r in rows if r[2] >= at(50)], [("end", "end", at(9_999))]]):
+        spark.createDataFrame(part, "customer_id string, transaction_id string, event_ts timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("customer_id string, transaction_id string, event_ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    with V.rocksdb_state(spark):
+        q = (V.velocity(stream, minutes=24 * 60, delay="30 minutes").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
+             .trigger(availableNow=True).start(str(tmp_path / "out")))
+        q.awaitTermination()
+    got = sorted((r.transaction_id, r.customer_id, r.event_ts, r.prior_count) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    by_customer = {}
+    for c, i, t in rows:
+        by_customer.setdefault(c, []).append((t, i))
+    want = [(i, c, t, 0 if c is None else sum(t - dt.timedelta(hours=24) <= u < t or (u == t and j < i) for u, j in by_customer[c])) for c, i, t in rows]
+    assert got == sorted(want + [("end", "end", at(9_999), 0)])
+    keys = max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"])
+    assert keys < 3000  # list entries are blocks of a shard's events, of the two batches
