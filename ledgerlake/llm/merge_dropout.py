@@ -9,9 +9,9 @@ becomes bytes, so decoding gives the text back byte by byte.
 No piece has a space after another character, so merges never cross into the next chunk (spaces, then other
 characters) and chunks are encoded apart; where the vocabulary joins no Latin letter with ASCII punctuation,
 digits or control characters, chunks end there too. Every occurrence of a chunk draws for itself, by a keyed hash of (seed,
-document id, place in the text). A chunk's possible candidates do not depend on the draw and are listed once; which of them an occurrence
-skips decides its segmentation, so chunks that skip the same are segmented once and remembered. Short
-chunks of equal length run their agendas in lockstep as matrices, long ones with a heap.
+document id, place in the text), and every occurrence runs its agenda: nothing is remembered, so cost and memory do not depend on how
+many different chunks there are. Short chunks run in rounds over flat arrays, one pair of each unfinished chunk a round; a candidate is
+hashed when it comes to be the best. Long ones run with a heap.
 
 Defined results: null text = empty text = no ids. A null id hashes as 0. Repeated rows are encoded each, alike.
 Only ``doc_id`` and ``text`` are read.
@@ -33,11 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .pieces import Pieces, default_model, load_pieces, running_hash
+from .pieces import _BASE, Pieces, PairTable, default_model, load_pieces, running_hash
 
 MASK = (1 << 64) - 1
-LOCKSTEP = 48           # longest chunk, in characters, whose agenda runs as a matrix row
-REMEMBERED = 150_000    # segmentations that a worker keeps
+LOCKSTEP = 48           # longest chunk, in characters, whose agenda runs in rounds with others
+BLOCK = 1 << 17         # characters whose chunks run together
+_OFFSET_BITS, _OFFSET_MASK = 6, 63   # hold an offset below LOCKSTEP
+_GONE, _LONG = -2, -3   # places of ``_agendas`` without a symbol, with a long chunk
 _LETTER, _MARK = "A-Za-zÀ-ɏ", r"\x00-\x1f!-@\[-`{-~"
 _CHUNK = re.compile(" +[^ ]*")
 _FINE_CHUNK = re.compile(f" *[{_LETTER}]+(?=[{_MARK} ]|$)| *[{_MARK}]+(?=[{_LETTER} ]|$)| +[^ ]*|[^ ]+")
@@ -132,176 +134,110 @@ def encode_agenda(chunk: str, key: int, pieces: Pieces, dropout: float) -> list[
     return out
 
 
-def _finish(symbols: np.ndarray, starts: np.ndarray, points: np.ndarray, pieces: Pieces) -> list[bytes]:
-    if (symbols >= 0).all():
-        return [r.tobytes() for r in symbols.astype("<i4")]
-    out = []
-    for row, at, cps in zip(symbols, starts, points):
-        ids: list[int] = []
-        for s, a in zip(row.tolist(), at.tolist()):
-            ids.extend([s] if s >= 0 else pieces.byte_pieces(chr(cps[a])))
-        out.append(np.array(ids, dtype="<i4").tobytes())
-    return out
-
-
-def _lockstep(points: np.ndarray, keys: np.ndarray, pieces: Pieces, dropout: float) -> list[bytes]:
-    """Agendas of chunks of one length: in every round each unfinished row makes its best merge."""
-    table, limit = pieces.merges(), np.uint64(_skip_limit(dropout))
-    n, size = points.shape
-    done: list[bytes] = [b""] * n
-    ids = pieces.char_id[points].astype(np.int64)
-    begin = np.tile(np.arange(size + 1, dtype=np.int64), (n, 1))
-    row = np.arange(n)
-
-    def candidates(left, right, a, mid, b, key):
-        """(merged id, rank) of pairs, without those that the keyed hash skips."""
-        merged = np.where((left >= 0) & (right >= 0), table.find(left, right), -1)
-        if limit:
-            span = a.astype(np.uint64) * np.uint64(_A) + mid.astype(np.uint64) * np.uint64(_B) + b.astype(np.uint64) * np.uint64(_C)
-            merged = np.where(tv.mix(key ^ span) < limit, -1, merged)
-        return merged, table.rank[merged]
-
-    merged, rank = candidates(ids[:, :-1], ids[:, 1:], begin[:, :-2], begin[:, 1:-1], begin[:, 2:], keys[:, None])
-    while True:
-        width = ids.shape[1]
-        if width > 1:
-            at = rank.argmin(axis=1)
-            live = rank[np.arange(len(row)), at] < table.NONE
+def _offer(score: np.ndarray, joined: np.ndarray, at: np.ndarray, offset: np.ndarray, place: np.ndarray, merged: np.ndarray, table: PairTable):
+    """Notes pairs' merged ids at ``place`` and, where there is one, rank and offset in ``score[at]``."""
+    joined[place] = merged
+    score[at] = np.where(merged >= 0, table.rank[merged] << _OFFSET_BITS | offset, table.NONE)
+
+
+def _agendas(symbols: np.ndarray, starts: np.ndarray, stops: np.ndarray, keys: np.ndarray, pieces: Pieces, dropout: float):
+    """Runs the agendas of chunks of at most ``LOCKSTEP`` characters that stand in a row (those without are left alone): ``symbols`` has a
+    character's id at its place and gets each symbol's id at its first character, ``_GONE`` elsewhere. In every round each unfinished chunk
+    takes its best pair, which the keyed hash skips or which is merged; pairs that are never best need no hash."""
+    table, limit, none = pieces.merges(), np.uint64(_skip_limit(dropout)), PairTable.NONE
+    n = len(symbols)
+    after, before, joined = np.arange(1, n + 1), np.arange(-1, n - 1), np.full(n, -1, dtype=np.int64)
+    score = np.full(n, none, dtype=np.int64)      # of the pair that begins with a symbol: rank, then offset in the chunk
+    long = stops - starts > LOCKSTEP
+    open_pair = np.ones(n, dtype=bool)
+    open_pair[stops - 1] = False
+    if long.any():
+        open_pair[np.repeat(long, stops - starts)] = False
+    a = np.flatnonzero(open_pair)
+    _offer(score, joined, a, a - np.repeat(starts, stops - starts)[a], a, table.find(symbols[a], symbols[a + 1]), table)
+    heads, size = starts, stops - starts          # of the unfinished chunks' scores
+    while len(heads):
+        best = np.minimum.reduceat(score, heads)
+        live = best < none
+        count = np.count_nonzero(live)
+        if not count:
+            return
+        if count * 4 < len(heads) * 3:            # scores of finished chunks go
+            score, starts, stops, keys, best, size = score[np.repeat(live, size)], starts[live], stops[live], keys[live], best[live], size[live]
+            heads = np.cumsum(size) - size
+            base, stop, key, shift = starts, stops, keys, heads - starts
         else:
-            live = np.zeros(len(row), dtype=bool)
-        if not live.all():
-            over = np.flatnonzero(~live)
-            for r, b in zip(row[over].tolist(), _finish(ids[over], begin[over, :-1], points[row[over]], pieces)):
-                done[r] = b
-            if not live.any():
-                return done
-            row, ids, begin, merged, rank, keys, at = row[live], ids[live], begin[live], merged[live], rank[live], keys[live], at[live]
-        every = np.arange(len(row))
-        joined = merged[every, at]
-        step = np.arange(width - 1)
-        pick = step + (step > at[:, None])          # symbol at + 1 goes
-        ids = np.take_along_axis(ids, pick, 1)
-        ids[every, at] = joined
-        step = np.arange(width)
-        begin = np.take_along_axis(begin, step + (step > at[:, None]), 1)
-        step = np.arange(width - 2)
-        pick = step + (step >= at[:, None])         # pair at goes
-        merged, rank = np.take_along_axis(merged, pick, 1), np.take_along_axis(rank, pick, 1)
-        for side in (-1, 0):                        # the pairs left and right of the new symbol
-            p = at + side
-            ok = np.flatnonzero((p >= 0) & (p < width - 2))
-            q = p[ok]
-            m, r = candidates(ids[ok, q], ids[ok, q + 1], begin[ok, q], begin[ok, q + 1], begin[ok, q + 2], keys[ok])
-            merged[ok, q], rank[ok, q] = m, r
-
-
-def encode_chunks(chunks: list[str], keys: np.ndarray, pieces: Pieces, params: DropoutParams) -> list[bytes]:
-    """Ids (little-endian int32) of each chunk under its key."""
-    out: list[bytes] = [b""] * len(chunks)
-    length = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
-    order = np.argsort(length, kind="stable")
-    edges = np.flatnonzero(np.diff(length[order], prepend=-1, append=-1))
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        size = int(length[order[lo]])
-        for cut in range(lo, hi, max(1, 400_000 // max(size, 1))):
-            at = order[cut:min(hi, cut + max(1, 400_000 // max(size, 1)))]
-            points = np.frombuffer("".join([chunks[i] for i in at]).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(at), size)
-            key = keys[at]
-            if size <= LOCKSTEP:
-                got = _lockstep(points, key, pieces, params.dropout)
-            else:
-                got = [np.array(encode_agenda(chunks[i], int(k), pieces, params.dropout), dtype="<i4").tobytes() for i, k in zip(at, key)]
-            for i, b in zip(at.tolist(), got):
-                out[i] = b
-    return out
-
-
-def candidates_of(chunk: str, id_of: dict) -> list[int]:
-    """The hashed spans of all merges that an agenda of this chunk can come to, whatever it skips."""
-    n, spans = len(chunk), []
-    part = {(a, b) for a in range(n) for b in range(a + 1, n + 1) if chunk[a:b] in id_of}
-    for a, b in sorted(part):
-        spans.extend(a * _A + m * _B + b * _C & MASK for m in range(a + 1, b) if (a, m) in part and (m, b) in part)
-    return spans
+            base, stop, key, best, shift = starts[live], stops[live], keys[live], best[live], (heads - starts)[live]
+        a = base + (best & _OFFSET_MASK)
+        b = after[a]
+        end = after[b]
+        score[a + shift] = none
+        if limit:
+            span = (a - base).view(np.uint64) * np.uint64(_A) + (b - base).view(np.uint64) * np.uint64(_B) + (end - base).view(np.uint64) * np.uint64(_C)
+            kept = np.flatnonzero(tv.mix(key ^ span) >= limit)
+            a, b, end, base, stop, shift = a[kept], b[kept], end[kept], base[kept], stop[kept], shift[kept]
+        symbols[a] = joined[a]
+        symbols[b] = _GONE
+        score[b + shift] = none
+        after[a] = end
+        right, left = np.flatnonzero(end < stop), np.flatnonzero(a > base)
+        before[end[right]] = a[right]
+        first = np.concatenate((a[right], before[a[left]]))
+        offset = first - np.concatenate((base[right], base[left]))
+        merged = table.find(symbols[first], symbols[np.concatenate((end[right], a[left]))])
+        _offer(score, joined, first + np.concatenate((shift[right], shift[left])), offset, first, merged, table)
+
+
+def _encode_row(chunks: list[str], length: np.ndarray, variant: np.ndarray, pieces: Pieces, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of the chunks in a row, how many each has)."""
+    points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    stops = np.cumsum(length)
+    starts = stops - length
+    power = np.full(int(length.max()), int(_BASE), dtype=np.uint64)
+    power[0] = 1
+    np.cumprod(power, out=power)
+    terms = (points.astype(np.uint64) + np.uint64(1)) * power[np.repeat(stops, length) - 1 - np.arange(len(points))]
+    keys = tv.mix(np.add.reduceat(terms, starts) ^ variant)   # as ``_chunk_keys``
+    symbols = pieces.char_id[points].astype(np.int64)
+    _agendas(symbols, starts, stops, keys, pieces, dropout)
+    long = np.flatnonzero(length > LOCKSTEP).tolist()
+    for i in long:
+        symbols[starts[i]:stops[i]] = _GONE
+    symbols[starts[long]] = _LONG
+    size = (symbols != _GONE).astype(np.int64)
+    other = np.flatnonzero((symbols < 0) & (symbols != _GONE))   # a long chunk or a character of several byte pieces
+    if not len(other):
+        return np.repeat(symbols, size).astype("<i4"), np.add.reduceat(size, starts)
+    heap = (encode_agenda(chunks[i], int(keys[i]), pieces, dropout) for i in long)
+    found = [next(heap) if s == _LONG else pieces.byte_pieces(chr(c)) for s, c in zip(symbols[other].tolist(), points[other].tolist())]
+    size[other] = [len(f) for f in found]
+    out, special = np.repeat(symbols, size), np.zeros(len(symbols), dtype=bool)
+    special[other] = True
+    out[np.repeat(special, size)] = [k for f in found for k in f]
+    return out.astype("<i4"), np.add.reduceat(size, starts)
 
 
 class _Chunks:
-    """What a worker remembers of chunks: number, hash and candidates of each, and the segmentations met, in two
-    generations of {(number, skipped candidates): ids}, so that frequent ones stay."""
+    """Encodes chunks with one vocabulary."""
 
     def __init__(self, params: DropoutParams):
         self.params, self.pieces = params, load_pieces(params.model or default_model())
         self.pattern = chunk_pattern(self.pieces)
-        self.clear()
-
-    def clear(self):
-        self.number: dict[str, int] = {}
-        self.hash, self.spans = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.new, self.old = {}, {}
-
-    def add(self, chunks: list[str]):
-        spans, counts, hashes = [], [], np.zeros(len(chunks), np.uint64)
-        by_size: dict[int, list[int]] = {}
-        for i, c in enumerate(chunks):
-            self.number[c] = len(self.number)
-            found = candidates_of(c, self.pieces.id_of) if len(c) <= LOCKSTEP else []
-            spans.extend(found)
-            counts.append(len(found))
-            by_size.setdefault(len(c), []).append(i)
-        for size, at in by_size.items():
-            points = np.frombuffer("".join([chunks[i] for i in at]).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(at), size)
-            hashes[at] = running_hash(points)[:, -1]
-        counts = np.array(counts, dtype=np.int64)
-        self.start = np.concatenate((self.start, len(self.spans) + np.cumsum(counts) - counts))
-        self.count, self.hash = np.concatenate((self.count, counts)), np.concatenate((self.hash, hashes))
-        self.spans = np.concatenate((self.spans, np.array(spans, dtype=np.uint64)))
-
-    def skipped(self, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """A bit for every candidate that an occurrence skips, of chunks with at most 64 of them."""
-        limit, out = np.uint64(_skip_limit(self.params.dropout)), np.zeros(len(at), np.uint64)
-        if not limit:
-            return out
-        for lo in range(0, len(at), 1 << 15):
-            ids = at[lo:lo + (1 << 15)]
-            count = np.where(self.count[ids] <= 64, self.count[ids], 0)
-            occ = np.repeat(np.arange(len(ids)), count)
-            bit = np.arange(len(occ)) - np.repeat(np.cumsum(count) - count, count)
-            hit = np.flatnonzero(tv.mix(keys[lo:lo + (1 << 15)][occ] ^ self.spans[self.start[ids][occ] + bit]) < limit)
-            if len(hit):
-                heads = np.flatnonzero(np.diff(occ[hit], prepend=-1))
-                out[lo + occ[hit[heads]]] = np.bitwise_or.reduceat(np.uint64(1) << bit[hit].astype(np.uint64), heads)
-        return out
 
-    def encode(self, chunks: list[str], draws: np.ndarray) -> list[bytes]:
-        if len(self.number) > REMEMBERED:
-            self.clear()
-        elif len(self.new) > REMEMBERED:
-            self.new, self.old = {}, self.new
-        if fresh := list(dict.fromkeys(c for c in chunks if c not in self.number)):
-            self.add(fresh)
-        at = np.fromiter(map(self.number.__getitem__, chunks), dtype=np.int64, count=len(chunks))
-        keys = tv.mix(self.hash[at] ^ variant_keys(self.params)[draws])
+    def encode_row(self, chunks: list[str], draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the chunks in a row, how many each has), made from ``BLOCK`` characters at a time."""
+        if not chunks:
+            return np.zeros(0, "<i4"), np.zeros(0, np.int64)
         length = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
-        alone = ((self.count[at] > 64) | (length > LOCKSTEP)).tolist()  # too many candidates to remember by
-        named = list(zip(at.tolist(), self.skipped(at, keys).tolist()))
-        out: list = [None] * len(chunks)
-        first: dict = {}
-        for i, name in enumerate(named):
-            b = None if alone[i] else self.new.get(name)
-            if b is None and not alone[i]:
-                b = self.old.get(name)
-                if b is not None:
-                    self.new[name] = b
-            if b is None:
-                first.setdefault(i if alone[i] else name, i)
-            out[i] = b
-        todo = list(first.values())
-        for i, b in zip(todo, encode_chunks([chunks[i] for i in todo], keys[todo], self.pieces, self.params)):
-            out[i] = b
-            if not alone[i]:
-                self.new[named[i]] = b
-        return [self.new[name] if b is None else b for name, b in zip(named, out)]
+        variant = variant_keys(self.params)[draws]
+        cuts = np.flatnonzero(np.diff(np.cumsum(length) // BLOCK, prepend=-1, append=-1))
+        parts = [_encode_row(chunks[a:b], length[a:b], variant[a:b], self.pieces, self.params.dropout) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([counts for _, counts in parts])
+
+    def encode(self, chunks: list[str], draws: np.ndarray) -> list[bytes]:
+        ids, counts = self.encode_row(chunks, draws)
+        stops = np.cumsum(counts)
+        return [ids[a:b].tobytes() for a, b in zip((stops - counts).tolist(), stops.tolist())]
 
 
 _memory: dict = {}
@@ -318,8 +254,9 @@ def encode_texts(texts: list[str | None], doc_ids: list[int | None], params: Dro
         flat.extend(chunks)
         draws.append(run_variants(doc, len(chunks), params))
         heads.append(len(flat))
-    got = known.encode(flat, np.concatenate(draws))
-    return [b"".join(got[a:b]) for a, b in zip(heads, heads[1:])]
+    ids, counts = known.encode_row(flat, np.concatenate(draws))
+    raw, stops = ids.tobytes(), (4 * np.concatenate(([0], np.cumsum(counts)))[heads]).tolist()
+    return [raw[a:b] for a, b in zip(stops, stops[1:])]
 
 
 def decode_ids(ids, params: DropoutParams = DropoutParams()) -> str:

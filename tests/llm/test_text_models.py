@@ -1,6 +1,8 @@
 """Lattice scores, ORC tokens, merge-dropout: brute force and round trips."""
 
 import math
+import random
+import sys
 import zlib
 from collections import Counter
 from functools import lru_cache
@@ -48,6 +50,32 @@ def test_lockstep_agenda_equals_the_heap_agenda_and_decodes():
     assert M.encode_texts(TEXTS, [1] * len(TEXTS), p) != M.encode_texts(TEXTS, [1] * len(TEXTS), M.DropoutParams(dropout=0.3, seed=7))
 
 
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.6, 1.0])
+def test_rounds_over_blocks_equal_the_heap_agenda(monkeypatch, dropout):
+    monkeypatch.setattr(M, "BLOCK", 64)
+    pieces, p = load_pieces(default_model()), M.DropoutParams(dropout=dropout)
+    rng = random.Random(5)
+    chunks = [" " * rng.randint(0, 2) + "".join(rng.choices("etaoinhrsé▁½漢😀\n", k=rng.randint(1, size))) for size in (3, 9, 48, 49, 130) for _ in range(60)]
+    chunks += [" " + "the" * 15 + "th", " " + "the" * 16, "a" * 48, "a" * 49, "😀" * 70]
+    draws = M.run_variants(7, len(chunks), p)
+    for c, v, got in zip(chunks, draws, M._Chunks(p).encode(chunks, draws)):
+        key = M._chunk_keys(np.frombuffer(c.encode("utf-32-le"), "<u4").reshape(1, -1), M.variant_keys(p)[[v]])[0]
+        assert np.frombuffer(got, "<i4").tolist() == M.encode_agenda(c, int(key), pieces, dropout)
+
+
+def test_new_words_need_no_python_calls_of_their_own():
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("etaoinshrdlu", k=7)) for _ in range(5000)) for _ in range(2)]
+    M.encode_texts(["warm up"], [0], M.DropoutParams())
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event == "call" else None)
+    try:
+        M.encode_texts(texts, [1, 2], M.DropoutParams())
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 5000  # for 10,000 words, nearly all of them new
+
+
 def test_encode_and_decode_tables(odd_docs, no_docs):
     out = M.encode(odd_docs)
     assert out.columns == ["doc_id", "ids", "n_tokens"]
