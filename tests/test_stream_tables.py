@@ -1,7 +1,9 @@
 """Stream operators whose state outlives a watermark: upsert, pending join, velocity keys."""
 
 import datetime as dt
+import json
 import random
+import re
 
 import numpy as np
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.session import scratch_path
+from ledgerlake.streaming import jobs
 from ledgerlake.streaming.enrich import PendingJoin, both_sides
 from ledgerlake.streaming.upsert import UpsertTable
 from ledgerlake.streaming.velocity import placed_events, prior_counts
@@ -196,3 +199,62 @@ def test_velocity_calls_follow_shards_not_customers(spark, tmp_path):
     assert got == sorted(want + [("end", "end", at(9_999), 0)])
     keys = max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"])
     assert keys < 3000  # list entries are blocks of a shard's events, of the two batches
+
+
+def payment(id_: str, minute: float, status: str = "captured") -> str:
+    return json.dumps({"transaction_id": id_, "merchant_id": "m", "customer_id": "c", "payment_method": "ach", "amount": 1.0, "status": status,
+                       "card_number": "4000", "event_ts": str(T0 + dt.timedelta(minutes=minute))})
+
+
+def signal(id_: str, minute: float) -> str:
+    return json.dumps({"transaction_id": id_, "risk_score": 0.5, "risk_level": "low", "decision": "review", "signal_ts": str(T0 + dt.timedelta(minutes=minute))})
+
+
+def land(spark, path: str, payloads: list[str]) -> None:
+    spark.createDataFrame([(p,) for p in payloads], "payload string").coalesce(1).write.mode("append").parquet(path)
+
+
+def test_bronze_pipeline_joins_one_accepted_batch_at_a_time_with_its_state_on_disk(spark):
+    work = scratch_path(spark, "test-bronze-job")
+    pay, sig, bronze, dlq = (f"{work}/{n}" for n in ("pay", "sig", "bronze", "dlq"))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    conf_before = spark.conf.get(key), spark.conf.get("spark.sql.shuffle.partitions")
+
+    def run(max_files: int) -> None:
+        jobs.run_bronze_pipeline(spark, pay, sig, bronze, dlq, work, "key", 1800, n_state_partitions=2, max_files=max_files)
+
+    land(spark, pay, [payment("a", 0), payment("b", 60), payment("c", 50, "authorized")])
+    land(spark, pay, [payment("late", 10), payment("c", 58), payment("d", 30), payment("e", 90)])  # "d" is just not late
+    land(spark, pay, ["{", payment("f", 60), payment("g", 85)])
+    # the signals' watermark runs ahead, so that of the payments decides
+    land(spark, sig, [signal("a", 5), signal("c", 55), signal("g", 200), signal("h", 61), signal("x", 500)])
+    run(1)
+    land(spark, pay, [payment("h", 60)])  # just not late, after a run whose watermark stands at its time
+    land(spark, pay, [payment("end", 1_000_000)])
+    land(spark, sig, [signal("end", 1_000_000)])
+    run(2)
+
+    got = sorted((r["transaction_id"], r["status"], r["decision"]) for r in spark.read.parquet(bronze).collect() if r["transaction_id"] != "end")
+    assert got == [("a", "captured", "review"), ("b", "captured", None), ("c", "captured", "review"), ("d", "captured", None), ("e", "captured", None),
+                   ("f", "captured", None), ("g", "captured", None), ("h", "captured", "review")]
+    assert sorted(r["error"] for r in spark.read.parquet(dlq).collect()) == ["late event", "malformed json"]
+
+    checkpoint = f"{work}/checkpoint_bronze"
+    taken = spark.read.text(f"{checkpoint}/sources/0/*").filter(F.col("value").startswith("{")).collect()
+    batches: dict[int, list[int]] = {}
+    for entry in (json.loads(r["value"]) for r in taken):
+        batches.setdefault(entry["batchId"], []).append(int(re.search(r"batch_id=(\d+)", entry["path"])[1]))
+    assert sorted(batches.values()) == [[0, 0], [1, 1], [2, 2], [3, 3]]
+    started = [json.loads(r["value"]) for r in spark.read.text(f"{checkpoint}/offsets/0").collect() if '"conf"' in r["value"]]
+    assert started[0]["conf"][key].endswith("RocksDBStateStoreProvider")
+    assert (spark.conf.get(key), spark.conf.get("spark.sql.shuffle.partitions")) == conf_before
+
+
+def test_accepted_batches_older_than_the_rule_are_read_without_limit(spark):
+    work = scratch_path(spark, "test-accepted")
+    assert jobs.accepted_batch_files(spark, work, f"{work}/accepted", 3) == 3
+    land(spark, f"{work}/accepted", ["p"])
+    assert jobs.accepted_batch_files(spark, work, f"{work}/accepted", 5) == 3  # for the life of the folder
+    older = scratch_path(spark, "test-accepted-older")
+    land(spark, f"{older}/accepted", ["p"])
+    assert jobs.accepted_batch_files(spark, older, f"{older}/accepted", 3) == 0
